@@ -20,6 +20,7 @@ def local_session(cores: int | str = 8, memory: str = "12g", **settings: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
