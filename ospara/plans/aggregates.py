@@ -13,7 +13,7 @@ from ospara.plans.predicates import FAULT_CASE, FAULTS, MISSING_SQL, orders_with
 SCORED_SQL = """
 scored AS (
   SELECT l_partkey, l_returnflag, l_discount * 10 AS similarity, l_quantity * 2 AS base,
-    CASE l_returnflag WHEN 'R' THEN 1.2 WHEN 'N' THEN 0.8 ELSE 1.0 END AS factor FROM lineitem),
+    CASE l_returnflag WHEN 'R' THEN 1.2::DOUBLE WHEN 'N' THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END AS factor FROM lineitem),
 levelled AS (
   SELECT *, similarity * 100 * 0.4 + base * factor * 0.6 AS combined,
     CASE WHEN similarity * 100 * 0.4 + base * factor * 0.6 >= 80 THEN 'S1'
