@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, IndexToString, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -109,6 +110,56 @@ def _regressed(df, columns, means, todo, steps) -> DataFrame:
     return out
 
 
+def knn_impute(df: DataFrame, columns: Sequence[str], k: int = 5, limit: int = 50_000) -> DataFrame:
+    """Mean of the ``k`` nearest rows that have the value.
+
+    Distances are Euclidean over the columns both rows have, scaled up to all
+    columns and compared to nine places; ties go to the smaller value. Rows
+    with equal features share one answer, so the work is on distinct feature
+    rows, whose number is checked; without any neighbour the mean is used.
+    """
+    raw = [f"_k_{c}" for c in columns]
+    keyed = df.withColumns({r: F.col(c).cast("double") for r, c in zip(raw, columns)})
+    distinct = keyed.groupBy(*raw).agg(F.count(F.lit(1)).alias("_n"))
+    rows = collect_small(distinct, limit, "distinct feature rows")
+    known = np.array([[np.nan if r[c] is None else r[c] for c in raw] for r in rows], dtype=float)
+    times = np.array([r["_n"] for r in rows])
+    means = imputing_values(df, columns, "mean")
+    default = [means.get(c) for c in columns]
+
+    @F.arrow_udf("array<double>")
+    def filled(*parts: pa.Array) -> pa.Array:
+        batch = np.column_stack([np.asarray(p.to_pandas(), dtype=float) for p in parts])
+        return pa.array([_nearest_fill(x, known, times, k, default) for x in batch], pa.list_(pa.float64()))
+
+    gaps = F.lit(False)
+    for r in raw:
+        gaps = gaps | F.col(r).isNull()
+    answers = distinct.filter(gaps).select(
+        *[F.col(r).alias(f"_h{r}") for r in raw], filled(*[F.col(r) for r in raw]).alias("_f")
+    )
+    match = F.lit(True)
+    for r in raw:
+        match = match & keyed[r].eqNullSafe(answers[f"_h{r}"])
+    joined = keyed.join(F.broadcast(answers), match, "left")
+    out = joined.withColumns({c: F.coalesce(r, F.get("_f", F.lit(i))) for i, (c, r) in enumerate(zip(columns, raw))})
+    return out.select(*df.columns)
+
+
+def _nearest_fill(x: np.ndarray, known: np.ndarray, times: np.ndarray, k: int, default: Sequence) -> list:
+    out = [None if np.isnan(v) else float(v) for v in x]
+    gap = known - x
+    shared = (~np.isnan(gap)).sum(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        distance = np.round(np.sqrt(np.nansum(gap * gap, axis=1) * len(x) / shared), 9)
+    for i in np.flatnonzero(np.isnan(x)):
+        donors = np.flatnonzero(~np.isnan(known[:, i]) & (shared > 0))
+        order = donors[np.lexsort((known[donors, i], distance[donors]))][: 4 * k]
+        weight = np.clip(k - np.concatenate([[0], np.cumsum(times[order])[:-1]]), 0, times[order]) if len(order) else []
+        out[i] = float(np.average(known[order, i], weights=weight)) if len(order) else default[i]
+    return out
+
+
 def categories(df: DataFrame, column: str) -> list[str]:
     rows = collect_small(df.select(column).filter(F.col(column).isNotNull()).distinct(), MAX_CATEGORIES, column)
     return sorted(r[0] for r in rows)

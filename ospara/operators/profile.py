@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import stats
-from ospara.scale import MAX_BLOCK_ROWS, running_sums
+from ospara.scale import MAX_BLOCK_ROWS, running_sums, top_k
 
 # Distinct values per group up to which the in-memory percentile is used.
 MAX_DISTINCT = 200_000
@@ -215,3 +215,25 @@ def qq_points(df: DataFrame, column: str, points: int = 100) -> DataFrame:
 def top_means(df: DataFrame, columns: Sequence[str], n: int = 3) -> DataFrame:
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).unpivot([], list(columns), "feature", "mean")
     return means.orderBy(F.abs("mean").desc(), "feature").limit(n)
+
+
+def cluster_terms(df: DataFrame, key: str, cluster: str, text: str, n: int = 10) -> DataFrame:
+    """Terms of a cluster by share of its words times ln((docs + 1) / (df + 1)).
+
+    Words are counted per (cluster, document, term) first, so common terms and
+    large clusters reach the shuffle as partial counts.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+    per_doc = (
+        df.select(key, cluster, F.explode(words).alias("term"))
+        .groupBy(cluster, key, "term").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    counts = per_doc.groupBy(cluster, "term").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    total = df.count()
+    spread = counts.groupBy("term").agg(F.sum("_d").alias("_df"))
+    sizes = counts.groupBy(cluster).agg(F.sum("_n").alias("_size"))
+    idf = F.log((F.lit(total) + 1.0) / (F.col("_df") + 1.0))
+    weighted = counts.join(spread, "term").join(sizes, cluster).select(
+        cluster, "term", (F.round(F.col("_n") * idf / F.col("_size"), 8)).alias("weight")
+    )
+    return top_k(weighted, [cluster], [F.desc("weight"), F.asc("term")], n)
