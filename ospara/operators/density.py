@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ospara.scale import positions
 from ospara.session import materialize
 
 
@@ -66,8 +67,8 @@ def core_points(df: DataFrame, coords: Sequence[str], eps: float, min_samples: i
 def dbscan(df: DataFrame, coords: Sequence[str], eps: float = 0.5, min_samples: int = 5) -> DataFrame:
     """The table with ``core`` and ``cluster``; noise is -1.
 
-    Clusters are numbered by the smallest cell they touch; a border point
-    joins the lowest-numbered cluster in reach.
+    Clusters are numbered from 0 along their smallest core point; a border
+    point joins the lowest-numbered cluster in reach.
     """
     dims = len(coords)
     if dims not in (2, 3):
@@ -95,7 +96,10 @@ def dbscan(df: DataFrame, coords: Sequence[str], eps: float = 0.5, min_samples:
         .select(F.col("a._from").alias("u"), F.col("_cell").alias("v")).distinct()
     )
     labels = connected_components(core.select(F.col("_cell").alias("node")).distinct(), edges)
-    core_labels = core.join(labels, F.col("_cell") == F.col("node")).drop("node")
+    named = core.join(labels, F.col("_cell") == F.col("node")).drop("node")
+    first = named.groupBy("component").agg(F.min(F.struct(*coords)).alias("_p")).select(F.lit(0).alias("_all"), "component", "_p.*")
+    numbers = positions(first, ["_all"], [*coords]).select(F.col("component").alias("_name"), (F.col("pos") - 1).alias("cluster"))
+    core_labels = named.join(numbers, F.col("component") == F.col("_name")).drop("component", "_name")
     border = points.filter(~F.col("core"))
     own_and_near = F.concat(
         F.array(F.struct(*[F.lit(0).alias(f"d{i}") for i in range(dims)])), _reach(dims)
@@ -106,13 +110,13 @@ def dbscan(df: DataFrame, coords: Sequence[str], eps: float = 0.5, min_samples:
     joined = (
         asked.alias("a").join(core_labels.alias("b"), cell)
         .filter(_distance("a", "b", coords) <= eps)
-        .groupBy(*[F.col(f"a.{c}").alias(c) for c in coords]).agg(F.min("b.component").alias("component"))
+        .groupBy(*[F.col(f"a.{c}").alias(c) for c in coords]).agg(F.min("b.cluster").alias("cluster"))
     )
-    labelled = core_labels.select(*coords, F.lit(True).alias("core"), "component").unionByName(
-        joined.select(*coords, F.lit(False).alias("core"), "component")
+    labelled = core_labels.select(*coords, F.lit(True).alias("core"), "cluster").unionByName(
+        joined.select(*coords, F.lit(False).alias("core"), "cluster")
     )
     clustered = df.join(labelled, list(coords), "left").withColumn("core", F.coalesce("core", F.lit(False)))
-    return clustered.withColumn("cluster", F.coalesce("component", F.lit("-1"))).drop("component")
+    return clustered.withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("long")))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:

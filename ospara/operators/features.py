@@ -12,10 +12,12 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ospara.functions import vectors
 from ospara.operators import profile
 from ospara.scale import collect_small
 
 MAX_CATEGORIES = 1_000
+MAX_INLINE_TERMS = 200
 
 
 def imputing_values(df: DataFrame, columns: Sequence[str], strategy: str) -> dict[str, float]:
@@ -178,6 +180,16 @@ def decode_labels(model: StringIndexerModel, df: DataFrame, code: str) -> DataFr
     return back.transform(model.transform(df))
 
 
+def _projector(means: np.ndarray, loadings: np.ndarray):
+    @F.arrow_udf("array<double>")
+    def project(v: pa.Array) -> pa.Array:
+        scores = (vectors.batch_matrix(v, len(means)) - means) @ loadings
+        offsets = np.arange(0, scores.size + 1, loadings.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(scores.ravel()))
+
+    return project
+
+
 class Reduction:
     """Centred principal components with a fixed sign per component."""
 
@@ -190,13 +202,23 @@ class Reduction:
         return self.loadings.shape[1]
 
     def apply(self, df: DataFrame, prefix: str = "pca") -> DataFrame:
-        """Scores as plain arithmetic on the columns; keys stay in the row."""
+        """Scores beside the columns; keys stay in the row.
+
+        A few terms become plain arithmetic; many become one matrix product
+        per Arrow batch, as generated code would grow with their product.
+        """
+        names = [f"{prefix}{j + 1}" for j in range(self.components)]
+        if len(self.columns) * self.components > MAX_INLINE_TERMS:
+            project = _projector(self.means, self.loadings)
+            inputs = F.array(*[F.col(c).cast("double") for c in self.columns])
+            scored = df.withColumn("_scores", project(inputs))
+            return scored.withColumns({n: F.col("_scores")[j] for j, n in enumerate(names)}).drop("_scores")
         out = {}
-        for j in range(self.components):
+        for j, n in enumerate(names):
             score: Column = F.lit(0.0)
             for i, c in enumerate(self.columns):
                 score = score + (F.col(c) - F.lit(float(self.means[i]))) * F.lit(float(self.loadings[i, j]))
-            out[f"{prefix}{j + 1}"] = score
+            out[n] = score
         return df.withColumns(out)
 
     def loading_rows(self) -> list[tuple[int, str, float]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
+from ospara.operators.access import visible_rows
 from ospara.operators.filters import metadata_filter
 from ospara.scale import top_k
 
@@ -35,6 +37,22 @@ def filtered_nearest(
     return vectors.nearest(kept, id_col, vector, query_ids, queries, k)
 
 
+def secure_nearest(
+    requirements: DataFrame, df: DataFrame, attributes: Mapping[str, list] | None,
+    id_col: str, vector: str, query_ids, queries: np.ndarray, k: int,
+) -> DataFrame:
+    """Search for a caller whose read access was decided before.
+
+    ``attributes`` is None for a caller without access, who gets no rows; hits
+    whose required attributes the caller lacks are dropped from the top k.
+    """
+    hits = vectors.nearest(df, id_col, vector, query_ids, queries, k)
+    if attributes is None:
+        return hits.limit(0)
+    owned = F.from_json(F.lit(json.dumps(dict(attributes))), "map<string,array<string>>")
+    return visible_rows(hits.join(requirements, id_col), "required_attributes", owned)
+
+
 def approximate_nearest(
     df: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int,
     bucket_length: float = 0.6, tables: int = 8, seed: int = 42, max_distance: float = 2.0,

@@ -106,6 +106,29 @@ def users(t: Tables):
     )
 
 
+DECISION_SQL = f"""
+{ROLE_SQL},
+decisions AS (
+  SELECT user_id, segment, nation,
+    EXISTS (SELECT 1 FROM granted g WHERE g.user_id = u.user_id AND p = 'admin')
+    OR (EXISTS (SELECT 1 FROM granted g WHERE g.user_id = u.user_id AND p = 'read')
+        AND CASE WHEN nation = 7 THEN false WHEN segment = 'BUILDING' THEN true
+                 WHEN segment IN ('BUILDING', 'AUTOMOBILE') AND nation IN (1, 2, 3) THEN false ELSE true END) AS allowed
+  FROM users u)
+"""
+
+
+def policies(t: Tables):
+    """Policies by position: a deny before an allow."""
+    rows = [
+        (1, "deny", ["write", "read"], '{"nation":["7"]}'),
+        (2, "allow", ["read"], '{"segment":["BUILDING"]}'),
+        (3, "deny", ["read"], '{"segment":["BUILDING","AUTOMOBILE"],"nation":["1","2","3"]}'),
+        (4, "deny", ["delete"], '{"region":["0"]}'),
+    ]
+    return t.spark.createDataFrame(rows, "position int, effect string, permissions array<string>, conditions_json string")
+
+
 def roles(t: Tables):
     """Role table; the names stand for what an administrator would enter."""
     rows = [("viewer", ["read"]), ("analyst", ["read", "write"]), ("operator", ["write"]),

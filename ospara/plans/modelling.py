@@ -216,7 +216,23 @@ def dbscan_core(t: Tables):
     return points.join(flags, PLANE).select("vec_id", "core")
 
 
-@plan("m09_dbscan_clusters")
+@plan(
+    "m09_dbscan_clusters",
+    f"""WITH RECURSIVE {PLANE_SQL},
+        near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM pts a JOIN pts b
+                 ON sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) <= 0.02),
+        core AS (SELECT a AS vec_id FROM near GROUP BY a HAVING count(*) >= 5),
+        links AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+        reach AS (SELECT vec_id AS root, vec_id FROM core UNION SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.vec_id),
+        comp AS (SELECT vec_id, min(root) AS c FROM reach GROUP BY vec_id),
+        first AS (SELECT c, min({{'x': x, 'y': y}}) AS p FROM comp JOIN pts USING (vec_id) GROUP BY c),
+        num AS (SELECT c, row_number() OVER (ORDER BY p) - 1 AS cluster FROM first),
+        own AS (SELECT comp.vec_id, cluster FROM comp JOIN num USING (c)),
+        edge AS (SELECT n.a AS vec_id, min(cluster) AS cluster FROM near n JOIN own ON own.vec_id = n.b
+                 WHERE n.a NOT IN (FROM core) GROUP BY n.a)
+        SELECT p.vec_id, own.cluster IS NOT NULL AS core, coalesce(own.cluster, edge.cluster, -1) AS cluster
+        FROM pts p LEFT JOIN own USING (vec_id) LEFT JOIN edge USING (vec_id)""",
+)
 def dbscan_clusters(t: Tables):
     return density.dbscan(plane(t), PLANE, 0.02, 5).select("vec_id", "core", "cluster")
 
@@ -403,10 +419,10 @@ def severity_scores(t: Tables):
         sims AS (SELECT vec_id, c.label AS rule, list_cosine_similarity(embedding::DOUBLE[], c.c) AS s FROM embeddings, centers c),
         best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, rule) AS n,
                    count(*) OVER (PARTITION BY vec_id) AS hits FROM sims WHERE s >= 0.15) x WHERE n = 1),
-        scores AS (SELECT e.vec_id, environment, analysis, coalesce(s, 0.0) AS sim, coalesce(rule, -1) AS rule,
+        scores AS (SELECT e.vec_id, environment, analysis, coalesce(b.s, 0.0) AS sim, coalesce(rule, -1) AS rule,
             least(coalesce(hits, 0), 3) AS top,
-            CASE WHEN s IS NULL THEN 10.0 ELSE (100.0 - 10.0 * rule) * factor END AS rule_score,
-            CASE WHEN s IS NULL THEN 10.0 ELSE s * 100 * 0.4::DOUBLE + (100.0 - 10.0 * rule) * factor * 0.6::DOUBLE END AS combined
+            CASE WHEN b.s IS NULL THEN 10.0 ELSE (100.0 - 10.0 * rule) * factor END AS rule_score,
+            CASE WHEN b.s IS NULL THEN 10.0 ELSE b.s * 100 * 0.4::DOUBLE + (100.0 - 10.0 * rule) * factor * 0.6::DOUBLE END AS combined
           FROM embeddings e JOIN factored f ON f.event_id = e.vec_id LEFT JOIN best b ON b.vec_id = e.vec_id)
         SELECT vec_id, environment, analysis, round(sim, 6) AS bert_score, round(rule_score, 6) AS rule_score,
           round(combined, 6) AS combined_score, rule::INTEGER AS matched_pattern, top::INTEGER AS top_matches,

@@ -127,32 +127,24 @@ def main_drivers(t: Tables):
     return search.main_drivers(loadings).select("component", F.array_join("drivers", ", ").alias("drivers"))
 
 
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
 @plan(
     "t11_secure_search",
-    f"""WITH {KNN_SQL} SELECT query_id, vec_id, round(cos, 6) AS score FROM byc JOIN embeddings e USING (vec_id)
-        WHERE e.label IN (1, 2, 3, 4) OR vec_id % 4 <> 0""",
+    f"""WITH {combining.DECISION_SQL}, {KNN_SQL},
+        me AS (SELECT segment FROM users WHERE user_id = (SELECT min(user_id) FROM decisions WHERE allowed))
+        SELECT query_id, vec_id, round(cos, 6) AS score FROM byc JOIN embeddings e USING (vec_id), me
+        WHERE vec_id % 4 <> 0 OR ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][e.label % 5 + 1] = segment""",
 )
 def secure_search(t: Tables):
-    allowed = access.decide(combining.users(t), combining.roles(t), policies(t), "read").filter("allowed")
-    if allowed.limit(1).count() == 0:
-        return t.embeddings.limit(0).select(F.col("label").cast("long").alias("query_id"), "vec_id", F.lit(0.0).alias("score"))
-    hits = vectors.nearest(t.embeddings, "vec_id", "embedding", *label_queries(t), 10)
-    need = F.when(F.col("vec_id") % 4 == 0, F.create_map(F.lit("team"), F.array(F.col("label").cast("string"))))
+    allowed = access.decide(combining.users(t), combining.roles(t), combining.policies(t), "read").filter("allowed")
+    caller = allowed.agg(F.min_by("attributes", "user_id").alias("a")).first()["a"]
+    segment = F.get(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("label") % 5)
+    need = F.when(F.col("vec_id") % 4 == 0, F.create_map(F.lit("segment"), F.array(segment)))
     marked = t.embeddings.select("vec_id", need.alias("required_attributes"))
-    owned = F.create_map(F.lit("team"), F.array(*[F.lit(str(i)) for i in (1, 2, 3, 4)]))
-    visible = access.visible_rows(hits.join(marked, "vec_id"), "required_attributes", owned)
-    return visible.select("query_id", "vec_id", rnd("score", 6).alias("score"))
-
-
-def policies(t: Tables):
-    """Policies by position: a deny before an allow."""
-    rows = [
-        (1, "deny", ["write", "read"], '{"nation":["7"]}'),
-        (2, "allow", ["read"], '{"segment":["BUILDING"]}'),
-        (3, "deny", ["read"], '{"segment":["BUILDING","AUTOMOBILE"],"nation":["1","2","3"]}'),
-        (4, "deny", ["delete"], '{"region":["0"]}'),
-    ]
-    return t.spark.createDataFrame(rows, "position int, effect string, permissions array<string>, conditions_json string")
+    hits = search.secure_nearest(marked, t.embeddings, caller, "vec_id", "embedding", *label_queries(t), 10)
+    return hits.select("query_id", "vec_id", rnd("score", 6).alias("score"))
 
 
 @plan(
