@@ -99,14 +99,20 @@ def csv_documents(t: Tables):
     return readers.csv_documents(t.spark, path, schema="n_nationkey int, c_custkey long, c_mktsegment string")
 
 
-@plan("s08_text_files")
+@plan("s08_text_files", "SELECT lang, source, sum(length(text) + 1)::BIGINT AS chars FROM documents GROUP BY lang, source")
 def text_files(t: Tables):
     path = fresh_path(t.spark, "texts")
     t.documents.select("lang", "source", "text").write.partitionBy("lang", "source").text(path)
-    return registry.ingest(t.spark, "text", path, recursiveFileLookup=True)
+    files = registry.ingest(t.spark, "text", path, recursiveFileLookup=True)
+    where = [F.regexp_extract("chunk_id", f"{c}=([^/]+)/", 1).alias(c) for c in ("lang", "source")]
+    return files.groupBy(*where).agg(F.sum(F.length("content")).alias("chars"))
 
 
-@plan("s09_directory_scan")
+@plan(
+    "s09_directory_scan",
+    """SELECT 'text' AS content_type, sum(strlen(html) + 1)::BIGINT AS bytes FROM pages
+       UNION ALL SELECT 'json', sum(strlen('{"page_id":' || page_id || ',"url":"' || url || '"}') + 1)::BIGINT FROM pages""",
+)
 def directory_scan(t: Tables):
     path = fresh_path(t.spark, "pages")
     t.pages.select(F.pmod("page_id", F.lit(4)).alias("shelf"), F.col("html").alias("value")).write.partitionBy(
@@ -114,7 +120,7 @@ def directory_scan(t: Tables):
     ).text(f"{path}/text")
     t.pages.select("page_id", "url").write.json(f"{path}/deep/json")
     files = registry.ingest(t.spark, "directory", path)
-    return files.groupBy("content_type").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return files.groupBy("content_type").agg(F.sum("length").alias("bytes"))
 
 
 @plan(

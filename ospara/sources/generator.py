@@ -79,5 +79,5 @@ def generate_from_yaml(spark: SparkSession, path: str) -> DataFrame:
         import yaml
     except ImportError as e:
         raise RuntimeError("reading a YAML schema needs PyYAML") from e
-    text = "\n".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())
+    text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
     return generate(spark, yaml.safe_load(text))

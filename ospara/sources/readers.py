@@ -87,8 +87,7 @@ def row_chunks(df: DataFrame, key: Column, source: str, source_type: str) -> Dat
 
 def text_files(spark: SparkSession, source: str, **options: Any) -> DataFrame:
     """One document per text file."""
-    reader = spark.read.option("wholetext", True).options(**options)
-    return reader.text(source).select(F.col("value").alias("content"), F.col("_metadata.file_path").alias("chunk_id"))
+    return spark.read.options(**options).text(source, wholetext=True).select(F.col("value").alias("content"), F.col("_metadata.file_path").alias("chunk_id"))
 
 
 def csv_documents(spark: SparkSession, source: str, **options: Any) -> DataFrame:
