@@ -130,14 +130,15 @@ def chunks(text: str, size: int = 500, overlap: int = 50) -> Column:
 
 
 def chunk_rows(df, text: str, size: int = 500, overlap: int = 50):
-    """One row per chunk: chunk_index and chunk."""
+    """One row per chunk: chunk_index and chunk; a NULL text has none."""
     steps, window, step = chunks(text, size, overlap)
     length = F.length(text)
     count = F.greatest(F.lit(1), F.ceil((length - overlap) / F.lit(step))).cast("int")
     return (
         df.withColumn("_steps", steps)
         .withColumn("_chunks", F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.coalesce(window(i), F.lit(""))))
-        .select(*df.columns, F.posexplode("_chunks").alias("chunk_index", "chunk"))
+        .select(*df.columns, F.posexplode_outer("_chunks").alias("chunk_index", "chunk"))
+        .filter("chunk is not null")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions.text import DetectionRule, found, masker
+from ospara.scale import unfold
 
 
 def detections(df: DataFrame, key: str, text: str, rules: Sequence[DetectionRule]) -> DataFrame:
@@ -20,7 +21,7 @@ def detections(df: DataFrame, key: str, text: str, rules: Sequence[DetectionRule
         for r in rules
     ]
     hits = F.filter(F.array(*results), lambda r: F.size(r["matches"]) > 0)
-    return df.select(key, F.explode(hits).alias("_r")).select(key, "_r.*")
+    return unfold(df, hits, "_r", [key]).select(key, "_r.*")
 
 
 def audit_rows(results: DataFrame, key: str) -> DataFrame:

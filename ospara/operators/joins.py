@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
+from ospara.scale import unfold
 
 
 def not_yet_in(df: DataFrame, done: DataFrame, key: str, done_key: str) -> DataFrame:
@@ -26,7 +27,7 @@ def rule_matches(df: DataFrame, key: str, vector: str, names: Sequence, matrix:
     scored = df.select(key, vectors.scores_to(matrix)(F.col(vector)).alias("_s"))
     pairs = F.arrays_zip(known.alias("rule"), F.col("_s").alias("similarity"))
     kept = F.filter(pairs, lambda p: p["similarity"] >= threshold)
-    return scored.select(key, F.explode(kept).alias("_p")).select(
+    return unfold(scored, kept, "_p", [key]).select(
         key, F.col("_p.rule").alias("rule"), F.col("_p.similarity").alias("similarity")
     )
 

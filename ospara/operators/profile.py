@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import stats
-from ospara.scale import MAX_BLOCK_ROWS, running_sums, top_k
+from ospara.scale import MAX_BLOCK_ROWS, running_sums, top_k, unfold
+from ospara.session import materialize
 
 # Distinct values per group up to which the in-memory percentile is used.
 MAX_DISTINCT = 200_000
+# Scans that narrow a bracket by a factor of 60 or more each; any bracket gives exact results.
+MAX_SCANS = 8
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -31,20 +35,116 @@ def quantiles(
 ) -> DataFrame:
     """Exact linear quantiles: (group.., feature, quantiles array).
 
-    Few distinct values: one aggregate. Many: value counts are summed along
-    the order in blocks, so that no task holds all values of a column.
+    Few distinct values: one aggregate. Many: whole columns are narrowed to
+    brackets around each rank by repeated scans, without any shuffle of rows;
+    groups sum value counts along the order in blocks. No task ever holds all
+    values of a column.
     """
+    if not group:
+        return _column_quantiles(df, columns, probabilities, max_distinct)
     distinct = df.groupBy(*group).agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-    largest = distinct.agg(F.max(F.greatest(*columns, F.lit(0))) if len(columns) > 1 else F.max(columns[0])).first()[0]
-    if (largest or 0) <= max_distinct:
+    largest = distinct.agg(*[F.max(c) for c in columns]).first()
+    if max(v or 0 for v in largest) <= max_distinct:
         wide = df.groupBy(*group).agg(
             *[F.percentile(F.col(c).cast("double"), list(probabilities)).alias(c) for c in columns]
         )
         return wide.unpivot(list(group), list(columns), "feature", "quantiles")
+    return _group_quantiles(df, columns, probabilities, group, max_rows)
+
+
+def _column_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_distinct: int, accuracy: int = 10_000
+) -> DataFrame:
+    """Quantiles of whole columns.
+
+    First scan: sizes, distinct values and approximate brackets. Then scans
+    that count the rows below and inside each bracket, narrowing those that
+    still hold many distinct values. The last scan takes the exact value at
+    its rank inside the bracket.
+    """
+    value = {c: F.col(c).cast("double") for c in columns}
+    reach = 2.0 / accuracy
+    edges = [e for p in probabilities for e in (max(0.0, p - reach), min(1.0, p + reach))]
+    first = df.agg(
+        *[
+            F.struct(
+                F.count(v).alias("n"), F.approx_count_distinct(v).alias("d"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+                F.percentile_approx(v, edges, accuracy).alias("e"),
+            ).alias(c)
+            for c, v in value.items()
+        ]
+    ).first()
+    cases = []
+    for c in columns:
+        n = first[c]["n"]
+        for i, p in enumerate(probabilities):
+            case = {"c": c, "p": p, "rank": p * (n - 1), "below": 0, "n": n, "lo": first[c]["lo"], "hi": first[c]["hi"]}
+            case["open"] = n > 0 and first[c]["d"] > max_distinct
+            if case["open"]:
+                case["try"] = (first[c]["e"][2 * i], first[c]["e"][2 * i + 1])
+            cases.append(case)
+    for _ in range(MAX_SCANS):
+        todo = [x for x in cases if x["open"]]
+        if not todo:
+            break
+        counted = df.agg(*[_bracket(value[x["c"]], x, reach, accuracy).alias(f"b{j}") for j, x in enumerate(todo)]).first()
+        for j, x in enumerate(todo):
+            _narrow(x, counted[f"b{j}"], max_distinct)
+    parts = []
+    for i, c in enumerate(columns):
+        mine = cases[i * len(probabilities) : (i + 1) * len(probabilities)]
+        if all(x["n"] == first[c]["n"] for x in mine):
+            values = F.percentile(value[c], list(probabilities))
+        else:
+            values = F.array(*[_at_rank(value[c], x) for x in mine])
+        parts.append(F.struct(F.lit(c).alias("feature"), values.alias("quantiles")).alias(f"_q{i}"))
+    return df.agg(*parts).select(F.inline(F.array(*[f"_q{i}" for i in range(len(columns))])))
+
+
+def _at_rank(v: Column, case: dict) -> Column:
+    """Exact value at the rank of the case, from the rows in its bracket."""
+    share = (case["rank"] - case["below"]) / (case["n"] - 1) if case["n"] > 1 else 0.0
+    return F.percentile(F.when(v.between(case["lo"], case["hi"]), v), F.lit(min(1.0, max(0.0, share))))
+
+
+def _bracket(v: Column, case: dict, reach: float, accuracy: int) -> Column:
+    """Counts around the tried bracket, and finer edges inside it."""
+    low, high = case["try"]
+    inside = F.when(v.between(low, high), v)
+    return F.struct(
+        F.count_if(v < low).alias("below"), F.count(inside).alias("inside"),
+        F.approx_count_distinct(inside).alias("distinct"),
+        F.percentile_approx(inside, [i / 64 for i in range(65)], accuracy).alias("edges"),
+    )
+
+
+def _narrow(case: dict, seen, max_distinct: int) -> None:
+    """Take the tried bracket when it holds both neighbours of the rank."""
+    low, high = case["try"]
+    floor, ceil = math.floor(case["rank"]), math.ceil(case["rank"])
+    if not (seen["below"] <= floor and ceil < seen["below"] + seen["inside"]):
+        # The estimate missed the rank: widen towards the known bracket.
+        width = high - low or abs(high) or 1.0
+        case["try"] = (max(case["lo"], low - 4 * width), min(case["hi"], high + 4 * width))
+        return
+    case.update(lo=low, hi=high, below=seen["below"], n=seen["inside"])
+    case["open"] = seen["distinct"] > max_distinct and low < high
+    if case["open"]:
+        at = (case["rank"] - case["below"]) / max(case["n"] - 1, 1) * 64
+        i, j = max(0, math.floor(at) - 1), min(64, math.ceil(at) + 1)
+        case["try"] = (seen["edges"][i], seen["edges"][j])
+        if case["try"] == (low, high):
+            case["open"] = False
+
+
+def _group_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], group: Sequence[str], max_rows: int
+) -> DataFrame:
     key = [*group, "feature"]
-    counts = (
+    counts = materialize(
         long_form(df, columns, group).filter("value is not null")
-        .groupBy(*key, "value").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*key, "value").agg(F.count(F.lit(1)).alias("_n")),
+        "value-counts",
     )
     ranked = running_sums(counts, key, ["value"], {"_cum": F.col("_n")}, max_rows)
     totals = counts.groupBy(*key).agg(F.sum("_n").alias("_total"))
@@ -225,7 +325,7 @@ def cluster_terms(df: DataFrame, key: str, cluster: str, text: str, n: int = 10)
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
     per_doc = (
-        df.select(key, cluster, F.explode(words).alias("term"))
+        unfold(df, words, "term", [key, cluster])
         .groupBy(cluster, key, "term").agg(F.count(F.lit(1)).alias("_n"))
     )
     counts = per_doc.groupBy(cluster, "term").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))

@@ -22,9 +22,9 @@ levelled AS (
 """
 
 
-def scored(t: Tables):
+def scored(t: Tables, lines=None):
     flag = F.col("l_returnflag")
-    base = t.lineitem.select(
+    base = (t.lineitem if lines is None else lines).select(
         "l_partkey", "l_returnflag", (F.col("l_discount") * 10).alias("similarity"),
         (F.col("l_quantity") * 2).alias("base"),
         F.when(flag == "R", 1.2).when(flag == "N", 0.8).otherwise(1.0).alias("factor"),
@@ -123,7 +123,7 @@ def each_measure(body: str) -> str:
     ),
 )
 def describe(t: Tables):
-    out = profile.describe(t.lineitem, MEASURES)
+    out = profile.describe(t.lines, MEASURES)
     for c in ("mean", "std"):
         out = out.withColumn(c, rnd(c, 4))
     for c in ("q25", "q50", "q75"):
@@ -398,7 +398,7 @@ def guardrail_counts(t: Tables):
         F.col("text").rlike(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"), "ip_address"
     )
     verdict = F.when(F.col("toxic") == 1, "block").when(F.col("toxic") == 0, "log")
-    tagged = t.documents.select("doc_id", kind.alias("kind")).join(
+    tagged = t.texts.select("doc_id", kind.alias("kind")).join(
         t.labels.select("doc_id", verdict.alias("verdict")), "doc_id", "left"
     )
     return aggregates.stacked_counts(tagged, ["kind", "verdict"])

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ospara.scale import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -29,6 +31,16 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
+    @property
+    def texts(self) -> DataFrame:
+        """Documents for work that is heavy per row, on all cores."""
+        return spread(self.documents, "doc_id")
+
+    @property
+    def lines(self) -> DataFrame:
+        """Line items for iterative fits, on all cores."""
+        return spread(self.lineitem, "l_orderkey", "l_partkey")
+
     def views(self, *names: str) -> SparkSession:
         for name in names or TABLES:
             getattr(self, name).createOrReplaceTempView(name)

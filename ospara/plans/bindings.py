@@ -21,9 +21,9 @@ readings AS (
 """
 
 
-def readings(t: Tables) -> DataFrame:
+def readings(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     q, d, x, p = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"), F.col("l_extendedprice")
-    return t.lineitem.select(
+    return (t.lineitem if lines is None else lines).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         (q * 1.4).alias("temperature"),
         (F.lit(10.0) + d * 20.0).alias("voltage"),

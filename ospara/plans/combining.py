@@ -46,7 +46,7 @@ def rule_case(column: str) -> str:
     f"SELECT doc_id, {rule_case('domain')} AS domain, {rule_case('category')} AS category FROM documents",
 )
 def keyword_rules(t: Tables):
-    found = t.documents.select("doc_id", classify.rule_classification("text").alias("c"))
+    found = t.texts.select("doc_id", classify.rule_classification("text").alias("c"))
     return found.select(
         "doc_id", F.coalesce("c.domain", F.lit("none")).alias("domain"),
         F.coalesce("c.category", F.lit("none")).alias("category"),

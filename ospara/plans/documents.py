@@ -24,7 +24,7 @@ CHUNK_RULE_SQL = {c: rule_case(c).replace("text,", "chunk,") for c in ("domain",
         FROM chunks c JOIN documents d USING (doc_id) LEFT JOIN labels l USING (doc_id)""",
 )
 def document_chunks(t: Tables):
-    docs = t.documents.select("doc_id", "source", "text").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
+    docs = t.texts.select("doc_id", "source", "text").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
     chunks = text.chunk_rows(docs, "text").drop("text")
     guarded = guardrails.guard(chunks, "chunk", text.default_rules(), F.col("toxic").cast("double"))
     tagged = guarded.withColumn("c", classify.rule_classification("safe_text"))
@@ -37,7 +37,7 @@ def document_chunks(t: Tables):
 
 @plan("d02_embed_and_store")
 def embed_and_store(t: Tables):
-    chunks = text.chunk_rows(t.documents.select("doc_id", "lang", "text"), "text").drop("text")
+    chunks = text.chunk_rows(t.texts.select("doc_id", "lang", "text"), "text").drop("text")
     vectors_of = readers.text_embeddings(chunks, "chunk", 32)
     stored = vectors_of.select(
         "doc_id", "chunk_index", F.col("lang").alias("collection"),
@@ -64,7 +64,7 @@ def cluster_documents(t: Tables):
         FROM p WHERE len(matches) > 0""",
 )
 def detections(t: Tables):
-    hits = guardrails.detections(t.documents, "doc_id", "text", text.default_rules())
+    hits = guardrails.detections(t.texts, "doc_id", "text", text.default_rules())
     return hits.select("doc_id", "rule", "content_type", "action", "confidence", F.size("matches").alias("n"))
 
 
@@ -74,7 +74,7 @@ def detections(t: Tables):
         FROM p WHERE len(matches) > 0""",
 )
 def detection_audit(t: Tables):
-    return guardrails.audit_rows(guardrails.detections(t.documents, "doc_id", "text", text.default_rules()), "doc_id")
+    return guardrails.audit_rows(guardrails.detections(t.texts, "doc_id", "text", text.default_rules()), "doc_id")
 
 
 @plan(

@@ -23,7 +23,7 @@ gaps AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 <> 3 THEN l_
 
 def with_gaps(t: Tables):
     key = F.col("l_orderkey") % 10
-    return t.lineitem.select(
+    return t.lines.select(
         "l_orderkey", "l_linenumber", F.when(key != 3, F.col("l_quantity")).alias("quantity"),
         F.when(key != 7, F.col("l_discount")).alias("discount"), F.col("l_tax").alias("tax"),
     )
@@ -119,7 +119,7 @@ def scale_sql(offset: str, divisor: str) -> str:
 
 
 def scaled(t: Tables, method: str):
-    out = features.scale(t.lineitem.select("l_orderkey", "l_linenumber", *SCALE_COLUMNS), SCALE_COLUMNS, method)
+    out = features.scale(t.lines.select("l_orderkey", "l_linenumber", *SCALE_COLUMNS), SCALE_COLUMNS, method)
     return out.select("l_orderkey", "l_linenumber", *[rnd(c, 6).alias(c) for c in SCALE_COLUMNS])
 
 
@@ -282,7 +282,7 @@ def center_distance(t: Tables):
 
 @plan("m15_feature_table")
 def feature_table(t: Tables):
-    base = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
+    base = t.lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
     return hyper.feature_table(base, ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"], 6)
 
 
@@ -299,7 +299,7 @@ def sweep(t: Tables):
 def labelled_readings(t: Tables):
     milk, temp, feed = F.col("milk_yield"), F.col("cow_temp"), F.col("feed_intake")
     abnormal = (milk < 10) | (milk > 32) | (temp > 39.5) | (feed < 8)
-    return readings(t).withColumn("label", abnormal.cast("double"))
+    return readings(t, t.lines).withColumn("label", abnormal.cast("double"))
 
 
 SENSORS = ["milk_yield", "cow_temp", "feed_intake"]
@@ -323,7 +323,7 @@ def vector_classifier(t: Tables):
 
 
 def severity_features(t: Tables):
-    return scored(t).select("similarity", (F.col("base") * F.col("factor")).alias("adjusted"), "factor", "level")
+    return scored(t, t.lines).select("similarity", (F.col("base") * F.col("factor")).alias("adjusted"), "factor", "level")
 
 
 @plan("m19_severity_logistic")
@@ -392,7 +392,7 @@ DOC_TIERS = {"critical": (1.0, ("worthless", "the the")), "high": (0.8, ("tion o
        FROM (SELECT doc_id, lower(text) AS x FROM documents) d""",
 )
 def two_tier_severity(t: Tables):
-    out = severity.tiered(t.documents.select("doc_id", "text"), "text", tiers=DOC_TIERS)
+    out = severity.tiered(t.texts.select("doc_id", "text"), "text", tiers=DOC_TIERS)
     return out.select("doc_id", "severity", "confidence", F.coalesce("rule_match", F.lit("")).alias("rule_match"))
 
 
@@ -449,7 +449,7 @@ def severity_scoring(t: Tables):
               FROM documents LEFT JOIN labels USING (doc_id)) x""",
 )
 def hybrid_cascade(t: Tables):
-    docs = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
+    docs = t.texts.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
     model = F.struct(F.lit("business").alias("domain"), F.lit("support").alias("category"), F.lit(0.7).alias("confidence"))
     both = docs.select(
         "doc_id", classify.rule_classification("text").alias("by_rule"), F.when(F.col("toxic") == 1, model).alias("by_model")
@@ -469,7 +469,7 @@ def hybrid_cascade(t: Tables):
          SELECT *, row_number() OVER (PARTITION BY lang ORDER BY weight DESC, term) AS rank FROM s) r WHERE rank <= 10""",
 )
 def cluster_terms(t: Tables):
-    return profile.cluster_terms(t.documents, "doc_id", "lang", "text", 10)
+    return profile.cluster_terms(t.texts, "doc_id", "lang", "text", 10)
 
 
 @plan(

@@ -10,6 +10,7 @@ from ospara.operators import features, guardrails
 from ospara.plans.aggregates import CENTER_SQL, SCORED_SQL, scored
 from ospara.plans.base import Tables, plan, rnd
 from ospara.plans.bindings import INCIDENT_SQL, incidents
+from ospara.scale import unfold
 
 TEXT_FIELDS_SQL = f"""
 {INCIDENT_SQL},
@@ -97,7 +98,7 @@ def severity_bucket(t: Tables):
 )
 def matched_keywords(t: Tables):
     words = text.matched_keywords("text", ["worth", "tion", "the"])
-    return t.documents.select("doc_id", F.array_join(words, " ").alias("keywords"))
+    return t.texts.select("doc_id", F.array_join(words, " ").alias("keywords"))
 
 
 @plan(
@@ -143,7 +144,7 @@ chunks AS (SELECT doc_id, (s // 450)::INTEGER AS chunk_index, substr(text, s + 1
 
 @plan("f11_overlapping_chunks", f"WITH {CHUNK_SQL} SELECT * FROM chunks")
 def overlapping_chunks(t: Tables):
-    return text.chunk_rows(t.documents.select("doc_id", "text"), "text").drop("text")
+    return text.chunk_rows(t.texts.select("doc_id", "text"), "text").drop("text")
 
 
 @plan(
@@ -154,7 +155,7 @@ def overlapping_chunks(t: Tables):
        FROM (SELECT doc_id, text, substr(text, 1, 1000) AS h FROM documents) d""",
 )
 def sentence_truncation(t: Tables):
-    return t.documents.select("doc_id", text.truncate_at_sentence("text").alias("head"))
+    return t.texts.select("doc_id", text.truncate_at_sentence("text").alias("head"))
 
 
 PII_SQL = " UNION ALL ".join(
@@ -169,8 +170,8 @@ PII_SQL = " UNION ALL ".join(
     f"""WITH p AS ({PII_SQL}) SELECT doc_id, rule, unnest(matches) AS match FROM p""",
 )
 def pii_values(t: Tables):
-    hits = guardrails.detections(t.documents, "doc_id", "text", text.default_rules())
-    return hits.select("doc_id", "rule", F.explode("matches").alias("match"))
+    hits = guardrails.detections(t.texts, "doc_id", "text", text.default_rules())
+    return unfold(hits, F.col("matches"), "match", ["doc_id", "rule"])
 
 
 @plan("f13_pii_offsets")
@@ -179,7 +180,7 @@ def pii_offsets(t: Tables):
         F.transform(text.spans_of(r)(F.col("text")), lambda s, name=r.name: F.struct(F.lit(name).alias("rule"), s.alias("s")))
         for r in text.default_rules()
     ]
-    hits = t.documents.select("doc_id", F.explode(F.concat(*spans)).alias("h"))
+    hits = unfold(t.texts, F.concat(*spans), "h", ["doc_id"])
     return hits.select("doc_id", "h.rule", "h.s.start", "h.s.end", F.col("h.s.text").alias("match"))
 
 
@@ -192,7 +193,7 @@ def pii_offsets(t: Tables):
 )
 def literal_matches(t: Tables):
     rule = text.DetectionRule("the", "the ", is_regex=False)
-    spans = t.documents.select("doc_id", F.explode(text.spans_of(rule)(F.col("text"))).alias("s"))
+    spans = unfold(t.texts, text.spans_of(rule)(F.col("text")), "s", ["doc_id"])
     return spans.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("s.start").cast("long").alias("first"), F.sum("s.start").alias("offsets")
     )
@@ -201,7 +202,7 @@ def literal_matches(t: Tables):
 @plan("f15_span_masking")
 def span_masking(t: Tables):
     safe = text.masker(text.default_rules())(F.col("text"))
-    return t.documents.select("doc_id", "text", safe.alias("masked"))
+    return t.texts.select("doc_id", "text", safe.alias("masked"))
 
 
 @plan(
@@ -212,7 +213,7 @@ def span_masking(t: Tables):
 )
 def block_or_allow(t: Tables):
     checks = [*text.default_rules(), text.DetectionRule("insult", r"\bworthless\b", "offensive", "block")]
-    scored_docs = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
+    scored_docs = t.texts.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
     guarded = guardrails.guard(scored_docs, "text", checks, F.col("toxic").cast("double"))
     return guarded.select("doc_id", "blocked", F.length("safe_text").cast("long").alias("kept"))
 
@@ -225,7 +226,7 @@ def block_or_allow(t: Tables):
 )
 def secret_rule(t: Tables):
     rule = text.DetectionRule("secret", text.SECRET_PATTERN, "security")
-    docs = t.documents.select("doc_id", F.replace("text", F.lit(" the "), F.lit(" token=abc-")).alias("text"))
+    docs = t.texts.select("doc_id", F.replace("text", F.lit(" the "), F.lit(" token=abc-")).alias("text"))
     return docs.select("doc_id", F.size(text.found("text", rule)).alias("hits")).filter("hits > 0")
 
 

@@ -156,4 +156,4 @@ def secure_search(t: Tables):
 )
 def summary_lines(t: Tables):
     lines = text.summary_lines("text", ["worth", "tion", "the the"])
-    return t.documents.select("doc_id", F.array_join(lines, "\n").alias("summary"))
+    return t.texts.select("doc_id", F.array_join(lines, "\n").alias("summary"))

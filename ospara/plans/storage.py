@@ -69,7 +69,7 @@ def json_payload(t: Tables):
 
 @plan("s06_text_embeddings")
 def text_embeddings(t: Tables):
-    return readers.text_embeddings(t.documents.select("doc_id", "text"), "text", 64).drop("text")
+    return readers.text_embeddings(t.texts.select("doc_id", "text"), "text", 64).drop("text")
 
 
 @plan(

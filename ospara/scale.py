@@ -67,6 +67,24 @@ def _hashable(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() not in ("map", "variant")
 
 
+def unfold(df: DataFrame, items: Column, name: str, keep: Sequence[str]) -> DataFrame:
+    """One row per array item that is not null.
+
+    A plain explode makes the optimizer test the array's size before the row
+    is built, which computes a costly array twice; the outer form does not.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on a freshly read table that has fewer splits than cores.
+
+    Such a table is at most cores x split size; larger ones stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, key: Sequence[str], max_rows: int) -> dict[tuple, int]:
     """Keys with more than ``max_rows`` rows; there can be rows/max_rows of them."""
     counts = df.groupBy(*key).count().filter(F.col("count") > max_rows)

@@ -174,7 +174,7 @@ def test_iterative_imputer_recovers_a_plane(spark):
     rows = []
     for i in range(80):
         a, c = float(i % 9), float((i * 7) % 13)
-        rows.append((i, a, None if i % 5 == 0 else 2 * a + c, None if i % 11 == 1 else c))
+        rows.append((i, a, None if i % 5 == 0 else 2 * a + c, None if i % 5 == 1 else c))
     out = features.iterative_impute(spark.createDataFrame(rows, "i int, a double, b double, c double"), ["a", "b", "c"])
     for r in out.collect():
         c = (r.i * 7) % 13

@@ -96,3 +96,19 @@ def test_small_sides_are_checked(spark):
     assert len(scale.collect_small(spark.range(10), 10)) == 10
     with pytest.raises(scale.TooLarge):
         scale.collect_small(spark.range(11), 10)
+
+
+@pytest.mark.parametrize("limit", [1, 30, 10**6])
+def test_column_quantiles_by_brackets(spark, limit):
+    rng = random.Random(2)
+    values = [rng.choice([rng.gauss(0, 1), rng.randint(0, 3), 2.0]) for _ in range(5000)] + [None] * 10
+    df = spark.createDataFrame([(None if v is None else float(v), None) for v in values], "a double, b double").repartition(5)
+    probs = [0.0, 0.013, 0.25, 0.5, 0.501, 0.75, 0.999, 1.0]
+    got = {r["feature"]: r["quantiles"] for r in profile._column_quantiles(df, ["a", "b"], probs, limit, accuracy=50).collect()}
+    want = df.agg(F.percentile("a", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    assert got["a"] == pytest.approx(want, abs=1e-9) and not any(got["b"] or [])
+
+
+def test_unfold_drops_nothing_but_nulls(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "id int, xs array<int>")
+    assert rows(scale.unfold(df, F.col("xs"), "x", ["id"])) == [(1, 1), (1, 2)]
