@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ospara.scale import broadcast_if_small
+from ospara.scale import broadcast_if_small, collect_small
 
 ADMIN = "admin"
 
@@ -36,26 +36,34 @@ def visible_rows(df: DataFrame, required: str, attributes: Column) -> DataFrame:
     return df.filter(attributes_match(F.col(required), attributes))
 
 
-def _first_effect(subjects: DataFrame, policies: DataFrame, permission: str, extra: list[str]) -> DataFrame:
-    """Effect of the first policy that covers the permission and matches.
+MAX_POLICIES = 10_000
 
-    The covering policies are folded into one array per scope and looked up,
-    so each subject row is decided in place.
-    """
-    covering = policies.filter(F.array_contains("permissions", permission))
-    listed = covering.groupBy(*extra).agg(
-        F.sort_array(F.collect_list(F.struct("position", "effect", "conditions_json"))).alias("_policies")
-    )
+
+def _covering(policies: DataFrame, permission: str) -> DataFrame:
+    return policies.filter(F.array_contains("permissions", permission))
+
+
+def _effect(listed: Column) -> Column:
+    """Effect of the first listed policy whose conditions the subject meets."""
     parsed = F.transform(
-        "_policies",
+        listed,
         lambda p: F.struct(
             p["effect"].alias("effect"), F.from_json(p["conditions_json"], "map<string,array<string>>").alias("conditions")
         ),
     )
-    listed = broadcast_if_small(listed.withColumn("_policies", parsed))
-    joined = subjects.join(listed, extra, "left") if extra else subjects.join(listed, F.lit(True), "left")
-    hit = F.filter("_policies", lambda p: attributes_match(p["conditions"], F.col("attributes")))
-    return joined.withColumn("_effect", F.get(hit, F.lit(0))["effect"]).drop("_policies")
+    hit = F.filter(parsed, lambda p: attributes_match(p["conditions"], F.col("attributes")))
+    return F.get(hit, F.lit(0))["effect"]
+
+
+def _general_effect(policies: DataFrame, permission: str) -> Column:
+    """The policies, a checked short list, as a constant in the expression."""
+    columns = ["position", "effect", "conditions_json"]
+    rows = sorted(collect_small(_covering(policies, permission).select(*columns), MAX_POLICIES, "policy list"))
+    if not rows:
+        return F.lit(None).cast("string")
+    return _effect(
+        F.array(*[F.struct(F.lit(r.effect).alias("effect"), F.lit(r.conditions_json).alias("conditions_json")) for r in rows])
+    )
 
 
 def decide(users: DataFrame, roles: DataFrame, policies: DataFrame, permission: str) -> DataFrame:
@@ -66,7 +74,7 @@ def decide(users: DataFrame, roles: DataFrame, policies: DataFrame, permission:
     """
     held = user_permissions(users, roles)
     subjects = users.select("user_id", "attributes").join(held, "user_id", "left")
-    decided = _first_effect(subjects, policies, permission, [])
+    decided = subjects.withColumn("_effect", _general_effect(policies, permission))
     has = F.coalesce(F.array_contains("permissions", permission), F.lit(False))
     admin = F.coalesce(F.array_contains("permissions", ADMIN), F.lit(False))
     allowed = admin | (has & (F.coalesce("_effect", F.lit("allow")) == "allow"))
@@ -80,13 +88,14 @@ def collection_access(
     """(user_id, collection): general decision first, then the collection's policies."""
     general = decide(users, roles, policies, permission).filter("allowed").drop("allowed")
     pairs = general.withColumn("collection", F.explode(_names(collections)))
-    decided = _first_effect(pairs, collection_policies, permission, ["collection"])
+    listed = _covering(collection_policies, permission).groupBy("collection").agg(
+        F.sort_array(F.collect_list(F.struct("position", "effect", "conditions_json"))).alias("_policies")
+    )
+    decided = pairs.join(broadcast_if_small(listed), "collection", "left").withColumn("_effect", _effect(F.col("_policies")))
     return decided.filter(F.coalesce("_effect", F.lit("allow")) == "allow").select("user_id", "collection")
 
 
 def _names(collections: DataFrame) -> Column:
-    from ospara.scale import collect_small
-
     names = sorted(r[0] for r in collect_small(collections.select("collection"), 1_000, "collection list"))
     return F.array(*[F.lit(n) for n in names])
 

@@ -69,8 +69,9 @@ def deviating_feature(df: DataFrame, cluster: str, features: Sequence[str]) -> D
     sums = df.groupBy(cluster).agg(
         *[F.sum(c).alias(f"_s_{c}") for c in features], *[F.count(c).alias(f"_n_{c}") for c in features]
     )
-    overall = sums.agg(*[(F.sum(f"_s_{c}") / F.sum(f"_n_{c}")).alias(f"_g_{c}") for c in features])
-    gaps = sums.join(F.broadcast(overall)).select(
+    whole = Window.partitionBy()
+    overall = {c: F.sum(f"_s_{c}").over(whole) / F.sum(f"_n_{c}").over(whole) for c in features}
+    gaps = sums.select("*", *[g.alias(f"_g_{c}") for c, g in overall.items()]).select(
         cluster,
         F.explode(
             F.array(

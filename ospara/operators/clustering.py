@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
@@ -84,29 +84,32 @@ def cluster_profile(df: DataFrame, label: str, vector: str) -> DataFrame:
         F.count(F.lit(1)).alias("size"), F.avg("distance_to_center").alias("avg_distance"),
         F.avg("silhouette").alias("silhouette"),
     )
-    best = table.agg(F.max_by(label, F.struct("silhouette", "size")).alias("_best"))
-    return table.join(F.broadcast(best)).withColumn("best", F.col(label) == F.col("_best")).drop("_best")
+    place = Window.orderBy(F.desc("silhouette"), F.desc("size"), label)
+    return table.withColumn("best", F.row_number().over(place) == 1)
 
 
-def davies_bouldin(df: DataFrame, label: str, vector: str, stats: ClusterStats | None = None) -> float:
+def quality(df: DataFrame, label: str, vector: str) -> tuple[float, float]:
+    """Mean silhouette and Davies-Bouldin index: two scans, one for the sums."""
+    stats = cluster_stats(df, label, vector)
+    rows = with_center_distance(with_silhouette(df, label, vector, stats), vector, stats.centers, label, stats.clusters)
+    figures = rows.groupBy(label).agg(F.sum("silhouette").alias("_sil"), F.avg("distance_to_center").alias("_s"))
+    found = {r[0]: r for r in collect_small(figures, MAX_CLUSTERS, "cluster list")}
+    silhouette = sum(r["_sil"] for r in found.values()) / stats.counts.sum()
+    return float(silhouette), _worst_ratio(stats, np.array([found[c]["_s"] for c in stats.clusters]))
+
+
+def _worst_ratio(stats: ClusterStats, spread: np.ndarray) -> float:
     """Mean over clusters of the worst (S_i + S_j) / M_ij."""
-    stats = stats or cluster_stats(df, label, vector)
-    spread = (
-        with_center_distance(df, vector, stats.centers, label, stats.clusters)
-        .groupBy(label).agg(F.avg("distance_to_center").alias("_s"))
-    )
-    by_label = {r[0]: r[1] for r in collect_small(spread, MAX_CLUSTERS, "cluster list")}
-    s = np.array([by_label[c] for c in stats.clusters])
     gaps = vectors.distance_matrix(stats.centers, stats.centers)
     with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = (s[:, None] + s[None, :]) / gaps
+        ratio = (spread[:, None] + spread[None, :]) / gaps
     ratio[~np.isfinite(ratio)] = 0.0
     np.fill_diagonal(ratio, 0.0)
     return float(ratio.max(axis=1).mean())
 
 
-def mean_silhouette(df: DataFrame, label: str, vector: str, stats: ClusterStats | None = None) -> float:
-    return with_silhouette(df, label, vector, stats).agg(F.avg("silhouette")).first()[0]
+def davies_bouldin(df: DataFrame, label: str, vector: str) -> float:
+    return quality(df, label, vector)[1]
 
 
 def pairwise_silhouette(df: DataFrame, label: str, vector: str) -> DataFrame:
@@ -182,10 +185,8 @@ def choose_k(df: DataFrame, vector: str, candidates: Sequence[int], by: str = "c
             if k > n - 1:
                 break
             _, labelled = kmeans(data, vector, k)
-            stats = cluster_stats(labelled, "cluster", vector)
-            sil = mean_silhouette(labelled, "cluster", vector, stats)
-            db = davies_bouldin(labelled, "cluster", vector, stats)
-            rows.append((k, float(sil), db, float(sil) - db / 10.0))
+            sil, db = quality(labelled, "cluster", vector)
+            rows.append((k, sil, db, sil - db / 10.0))
     finally:
         data.unpersist()
     table = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, combined double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ospara.functions.text import DetectionRule, found, masker
+from ospara.functions.text import DetectionRule, found, java_pattern, masker
 from ospara.scale import unfold
 
 
@@ -34,7 +34,7 @@ def audit_rows(results: DataFrame, key: str) -> DataFrame:
 def has_match(text: str, rules: Sequence[DetectionRule]) -> Column:
     hit = F.lit(False)
     for r in rules:
-        hit = hit | (F.size(found(text, r)) > 0)
+        hit = hit | F.col(text).rlike(java_pattern(r))
     return hit
 
 
@@ -44,12 +44,12 @@ def guard(
 ) -> DataFrame:
     """Add ``blocked`` and ``safe_text``: empty when blocked, else masked.
 
-    Only texts with something to mask go through the Python masker.
+    Blocked texts are not sent to the Python masker.
     """
     blocked = has_match(text, [r for r in rules if r.action == "block"])
     if toxicity is not None:
         blocked = blocked | F.coalesce(toxicity > block_above, F.lit(False))
-    masked = masker(rules, mask_char)(F.col(text))
+    masked = masker(rules, mask_char)(F.when(~F.col("blocked"), F.col(text)))
     return df.withColumn("blocked", blocked).withColumn(
         "safe_text", F.when(F.col("blocked"), F.lit("")).otherwise(masked)
     )

@@ -38,11 +38,9 @@ def run_trial(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold:
     names = [f"pca{j + 1}" for j in range(reduction.components)]
     data = reduction.apply(scaled).withColumn("_v", F.array(*names)).persist(StorageLevel.MEMORY_AND_DISK)
     model, labelled = clustering.kmeans(data, "_v", trial["k"])
-    stats = clustering.cluster_stats(labelled, "cluster", "_v")
-    sil = clustering.mean_silhouette(labelled, "cluster", "_v", stats)
-    db = clustering.davies_bouldin(labelled, "cluster", "_v", stats)
+    sil, db = clustering.quality(labelled, "cluster", "_v")
     data.unpersist()
-    scores = {**trial, "silhouette": float(sil), "db": db, "combined": float(sil) - db / 10.0}
+    scores = {**trial, "silhouette": sil, "db": db, "combined": sil - db / 10.0}
     return model, labelled, scores
 
 

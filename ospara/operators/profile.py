@@ -6,7 +6,7 @@ import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ospara.functions import stats
@@ -295,10 +295,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     width = (high - low) / bins
     slot = F.least(F.floor((F.col(column) - low) / width), F.lit(bins - 1)).cast("int")
     counted = df.filter(F.col(column).isNotNull()).groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n").alias("_total"))
-    return counted.join(F.broadcast(total)).select(
-        "bin", (F.lit(low) + F.col("bin") * width).alias("left"), "n",
-        (F.col("n") / (F.col("_total") * width)).alias("density"),
+    total = F.sum("n").over(Window.partitionBy())
+    return counted.select(
+        "bin", (F.lit(low) + F.col("bin") * width).alias("left"), "n", (F.col("n") / (total * width)).alias("density")
     )
 
 
@@ -328,7 +327,9 @@ def cluster_terms(df: DataFrame, key: str, cluster: str, text: str, n: int = 10)
         unfold(df, words, "term", [key, cluster])
         .groupBy(cluster, key, "term").agg(F.count(F.lit(1)).alias("_n"))
     )
-    counts = per_doc.groupBy(cluster, "term").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    counts = materialize(
+        per_doc.groupBy(cluster, "term").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d")), "term-counts"
+    )
     total = df.count()
     spread = counts.groupBy("term").agg(F.sum("_d").alias("_df"))
     sizes = counts.groupBy(cluster).agg(F.sum("_n").alias("_size"))

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
+from ospara.operators import clustering
 from ospara.operators.access import visible_rows
 from ospara.operators.filters import metadata_filter
-from ospara.scale import top_k
 
 
 def recall_at_k(found: DataFrame, truth: DataFrame, id_col: str, k: int) -> DataFrame:
@@ -53,23 +51,34 @@ def secure_nearest(
     return visible_rows(hits.join(requirements, id_col), "required_attributes", owned)
 
 
-def approximate_nearest(
-    df: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int,
-    bucket_length: float = 0.6, tables: int = 8, seed: int = 42, max_distance: float = 2.0,
-) -> DataFrame:
-    """Candidates that share a hash bucket on unit vectors, ranked exactly."""
-    unit = [F.col(id_col), array_to_vector(vectors.normalized(vector)).alias("_v")]
-    data = df.select(*unit)
-    asked = queries.select(F.col("query_id"), array_to_vector(vectors.normalized("center")).alias("_v"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_v", outputCol="_h", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    pairs = lsh.fit(data).approxSimilarityJoin(data, asked, max_distance, "_d")
-    hits = pairs.select(
-        F.col("datasetB.query_id").alias("query_id"), F.col(f"datasetA.{id_col}").alias(id_col),
-        (1 - F.col("_d") * F.col("_d") / 2).alias("score"),
-    )
-    return top_k(hits, ["query_id"], [F.desc("score"), F.asc(id_col)], k)
+class CellIndex:
+    """Vectors stored by nearest cell centre, one folder per cell.
+
+    A search reads the folders of the cells nearest to its queries and nothing
+    else; inside them it is exact. A crowded cell is written by several tasks
+    and read by several tasks, as no step groups by cell.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, centers: np.ndarray, id_col: str, vector: str):
+        self.spark, self.path, self.centers = spark, path, centers
+        self.id_col, self.vector = id_col, vector
+
+    @classmethod
+    def build(cls, df: DataFrame, id_col: str, vector: str, path: str, cells: int = 64, salts: int = 16) -> CellIndex:
+        unit = df.withColumn("_unit", vectors.normalized(vector))
+        model, _ = clustering.kmeans(unit.select("_unit"), "_unit", cells)
+        centers = np.array(model.clusterCenters())
+        placed = clustering.assign(unit, "_unit", list(range(len(centers))), centers).drop("_unit", "distance_to_center")
+        salt = F.pmod(F.xxhash64(id_col), F.lit(salts))
+        placed.repartition("cluster", salt).write.partitionBy("cluster").parquet(path)
+        return cls(df.sparkSession, path, centers, id_col, vector)
+
+    def search(self, query_ids: Sequence, queries: np.ndarray, k: int, probes: int = 8) -> DataFrame:
+        norms = np.linalg.norm(queries, axis=1, keepdims=True)
+        gaps = vectors.distance_matrix(queries / np.where(norms > 0, norms, 1.0), self.centers)
+        near = np.unique(np.argsort(gaps, axis=1, kind="stable")[:, :probes])
+        cells = self.spark.read.parquet(self.path).filter(F.col("cluster").isin([int(c) for c in near]))
+        return vectors.nearest(cells, self.id_col, self.vector, query_ids, queries, k)
 
 
 def keyword_score(text: Column, query: str) -> Column:

@@ -411,9 +411,10 @@ def guardrail_counts(t: Tables):
 )
 def collection_overview(t: Tables):
     sizes = t.embeddings.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    totals = sizes.agg(F.count(F.lit(1)).alias("clusters"),
-                       rnd(F.coalesce(F.avg("size"), F.lit(0.0)), 4).alias("avg_cluster_size"))
-    return totals.join(t.documents.agg(F.count(F.lit(1)).alias("documents")))
+    return sizes.agg(
+        F.lit(t.documents.count()).alias("documents"), F.count(F.lit(1)).alias("clusters"),
+        rnd(F.coalesce(F.avg("size"), F.lit(0.0)), 4).alias("avg_cluster_size"),
+    )
 
 
 @plan(

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from ospara.plans.base import Tables, plan
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ospara import scale
+from ospara.operators import joins
+from ospara.plans.base import Tables, plan, rnd
 from ospara.sources import registry
 
 
@@ -28,20 +33,20 @@ SELECT c_custkey, 'idle' FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O')"""
 _sql("q02_semi_and_anti", _EXISTS, _EXISTS, "customer", "orders")
 
-# Buckets of ten minutes turn the range condition into an equality on two buckets.
-_RANGE = """
-WITH e AS (SELECT *, CAST(floor(timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) / 600) AS BIGINT) AS slot
-           FROM events),
-     p AS (SELECT user_id, event_id, ts, explode(array(slot - 1, slot)) AS slot FROM e WHERE event_type = 'purchase')
-SELECT p.event_id AS purchase_id, count(*) AS before, round(sum(e.value), 2) AS total
-FROM p JOIN e ON e.user_id = p.user_id AND e.slot = p.slot
-WHERE e.event_type <> 'purchase' AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 10 MINUTES
-GROUP BY p.event_id"""
-_RANGE_CHECK = """
-SELECT p.event_id AS purchase_id, count(*) AS before, round(sum(e.value), 2) AS total
-FROM events p JOIN events e ON e.user_id = p.user_id AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 10 MINUTE
-WHERE p.event_type = 'purchase' AND e.event_type <> 'purchase' GROUP BY p.event_id"""
-_sql("q03_range_join", _RANGE, _RANGE_CHECK, "events")
+
+@plan(
+    "q03_range_join",
+    """SELECT p.event_id AS purchase_id, count(*) AS before, round(sum(e.value), 2) AS total
+       FROM events p JOIN events e ON e.user_id = p.user_id AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 10 HOUR
+       WHERE p.event_type = 'purchase' AND e.event_type <> 'purchase' GROUP BY p.event_id""",
+)
+def range_join(t: Tables):
+    """Other events of a user in the ten hours before each of the purchases."""
+    purchases = t.events.filter("event_type = 'purchase'").withColumnRenamed("event_id", "purchase_id")
+    others = t.events.filter("event_type <> 'purchase'")
+    out = joins.totals_before(purchases, others, "user_id", "ts", "purchase_id", "event_id", "value", 36_000)
+    return out.withColumn("total", rnd("total", 2))
+
 
 _SETS = """
 SELECT 'both' AS kind, user_id FROM (
@@ -78,12 +83,6 @@ _sql(
 )
 def windows(t: Tables):
     """Rank, lag and a moving mean; long histories are worked on in blocks."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from ospara import scale
-    from ospara.plans.base import rnd
-
     order = ["ts", "event_id"]
     placed = scale.positions(t.events.select("user_id", *order, "value"), ["user_id"], order)
     blocks = scale.halo_blocks(placed, ["user_id"], order, 6)

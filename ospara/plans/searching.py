@@ -9,6 +9,7 @@ from ospara.operators import access, joins, search
 from ospara.plans import combining
 from ospara.plans.aggregates import CENTER_SQL, KNN_SQL, label_queries
 from ospara.plans.base import Tables, plan, rnd
+from ospara.session import fresh_path
 
 
 @plan(
@@ -33,8 +34,8 @@ def nearest_euclidean(t: Tables):
 
 @plan("t03_nearest_approximate")
 def nearest_approximate(t: Tables):
-    centers = vectors.group_means(t.embeddings, "label", "embedding").withColumnRenamed("label", "query_id")
-    return search.approximate_nearest(t.embeddings, centers, "vec_id", "embedding", 10)
+    index = search.CellIndex.build(t.embeddings, "vec_id", "embedding", fresh_path(t.spark, "cells"), cells=16)
+    return index.search(*label_queries(t), 10, probes=6)
 
 
 @plan(

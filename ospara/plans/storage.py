@@ -201,7 +201,8 @@ def json_sink(t: Tables):
     sinks.write_json(rows, path, "2024-01-01T00:00:00Z")
     manifest = t.spark.read.schema("generated_at string, record_count long, version string").json(f"{path}/manifest")
     data = registry.ingest(t.spark, "json", f"{path}/data", schema=rows.schema)
-    return data.join(F.broadcast(manifest.drop("generated_at")))
+    envelope = manifest.first()
+    return data.withColumn("record_count", F.lit(envelope.record_count)).withColumn("version", F.lit(envelope.version))
 
 
 @plan(

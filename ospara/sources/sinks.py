@@ -76,10 +76,8 @@ def catalogue_of(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 def first_rows(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
     """First ``n`` rows by key as pretty JSON, with the size of the table."""
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    head = df.orderBy(*key).limit(n)
-    shown = head.select(*key, F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("row_json"))
-    return shown.join(F.broadcast(total))
+    shown = F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("row_json")
+    return df.orderBy(*key).limit(n).select(*key, shown, F.lit(df.count()).alias("total"))
 
 
 def hand_off(df: DataFrame, columns: Sequence[str], order: Sequence[Column], n: int = 10) -> DataFrame:

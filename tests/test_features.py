@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ospara.functions import stats, vectors
+from ospara.session import fresh_path
 from ospara.operators import (
     clustering, density, features, hyper, joins, models, profile, search, timeseries,
 )
@@ -91,12 +92,14 @@ def test_nearest_with_ties_and_odd_rows(spark):
     assert few.count() == 21
 
 
-def test_approximate_search_finds_most(points):
+def test_cell_index_finds_most_and_reads_few_cells(points, spark):
     x, _ = as_arrays(points)
-    asked = points.filter("id < 5").select(F.col("id").alias("query_id"), F.transform("v", lambda a: a.cast("double")).alias("center"))
-    found = search.approximate_nearest(points, asked, "id", "v", 5)
+    index = search.CellIndex.build(points, "id", "v", fresh_path(spark, "cells"), cells=8)
+    found = index.search(list(range(5)), x[:5], 5, probes=3)
     truth = vectors.nearest(points, "id", "v", list(range(5)), x[:5], 5)
     assert search.recall_at_k(found, truth, "id", 5).first()[0] > 0.8
+    whole = index.search(list(range(5)), x[:5], 5, probes=8)
+    assert search.recall_at_k(whole, truth, "id", 5).first()[0] == 1.0
 
 
 def test_rule_matches(points):

@@ -189,3 +189,19 @@ def test_metadata_update(spark):
     new = spark.createDataFrame([(1, {"b": "9"}), (2, {"c": "4"})], "id int, metadata map<string,string>")
     got = {r.id: r.metadata for r in access.update_metadata(df, new, "id").collect()}
     assert got == {1: {"a": "1", "b": "9"}, 2: {"c": "4"}, 3: {"a": "3"}}
+
+
+@pytest.mark.parametrize("limit", [25, 10**6])
+def test_totals_before_match_pairs(spark, limit):
+    df = spark.range(400).select(
+        F.col("id"), F.when(F.col("id") % 4 == 0, 2).otherwise(1).alias("k"),
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, cast(id div 3 as int))").alias("ts"),
+        (F.col("id") % 13 / 4).alias("v"), (F.col("id") % 5 == 0).alias("anchor"),
+    ).cache()
+    anchors, events = df.filter("anchor").withColumnRenamed("id", "a"), df.filter("not anchor")
+    got = joins.totals_before(anchors, events, "k", "ts", "a", "id", "v", 20, limit)
+    pairs = anchors.alias("p").join(events.alias("e"), F.expr(
+        "e.k = p.k and e.ts < p.ts and e.ts >= p.ts - interval 20 seconds"))
+    want = pairs.groupBy("p.a").agg(F.count(F.lit(1)), F.sum("e.v"))
+    flat = lambda rows: [x for r in sorted(rows) for x in r]
+    assert flat(one(got)) == pytest.approx(flat(one(want)))
