@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
@@ -171,25 +171,32 @@ def assign(df: DataFrame, vector: str, names: Sequence, centers: np.ndarray) ->
     )
 
 
-def choose_k(df: DataFrame, vector: str, candidates: Sequence[int], by: str = "combined"):
+def choose_k(df: DataFrame, vector: str, candidates: Sequence[int], by: str = "combined", parallelism: int = 4):
     """Best k and the score table, one k-means fit per candidate.
 
-    combined = silhouette - davies_bouldin / 10; the first maximum wins.
+    combined = silhouette - davies_bouldin / 10; the first maximum wins. The
+    fits are independent, so a few run at a time and share the cached vectors.
     """
     spark = df.sparkSession
     data = df.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+
+    def score(k: int) -> tuple:
+        _, labelled = kmeans(data, vector, k)
+        sil, db = quality(labelled, "cluster", vector)
+        return k, sil, db, sil - db / 10.0
+
     try:
         n = data.count()
-        for k in candidates:
-            if k > n - 1:
-                break
-            _, labelled = kmeans(data, vector, k)
-            sil, db = quality(labelled, "cluster", vector)
-            rows.append((k, sil, db, sil - db / 10.0))
+        rows = run_jointly(spark, score, [k for k in candidates if k <= n - 1], parallelism)
     finally:
         data.unpersist()
     table = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, combined double")
     at = {"silhouette": 1, "combined": 3}[by]
     best = max(rows, key=lambda r: (r[at], -r[0]))[0] if rows else None
     return best, table
+
+
+def run_jointly(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:
+    """Results of independent Spark jobs in the order of their items."""
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))

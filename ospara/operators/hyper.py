@@ -44,9 +44,10 @@ def run_trial(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold:
     return model, labelled, scores
 
 
-def sweep(df: DataFrame, columns: Sequence[str], trials: Sequence[Mapping]) -> DataFrame:
+def sweep(df: DataFrame, columns: Sequence[str], trials: Sequence[Mapping], parallelism: int = 3) -> DataFrame:
     """History of all trials, best first; the loop runs over settings only."""
-    history = [{"iteration": i, **run_trial(df, columns, t)[2]} for i, t in enumerate(trials)]
+    runs = clustering.run_jointly(df.sparkSession, lambda t: run_trial(df, columns, t)[2], trials, parallelism)
+    history = [{"iteration": i, **r} for i, r in enumerate(runs)]
     ddl = "iteration int, k int, imputer string, scaler string, silhouette double, db double, combined double"
     names = [p.split()[0] for p in ddl.split(", ")]
     table = df.sparkSession.createDataFrame([tuple(h[n] for n in names) for h in history], ddl)
