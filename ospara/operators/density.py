@@ -77,24 +77,7 @@ def dbscan(df: DataFrame, coords: Sequence[str], eps: float = 0.5, min_samples:
     name = F.concat_ws(":", *cell)
     points = materialize(core_points(df, coords, eps, min_samples).withColumn("_cell", name), "dbscan-points")
     core = points.filter("core")
-    reach = core.select(*coords, "_cell", *cell, F.explode(_reach(dims)).alias("_d")).select(
-        *coords, F.col("_cell").alias("_from"), *[(F.col(f"_c{i}") + F.col(f"_d.d{i}")).alias(f"_c{i}") for i in range(dims)]
-    )
-    forward = reach.filter(F.col("_from") < name)
-    boxes = core.groupBy("_cell", *cell).agg(
-        *[F.min(c).alias(f"_lo_{c}") for c in coords], *[F.max(c).alias(f"_hi_{c}") for c in coords]
-    )
-    # Cells whose boxes of core points are farther apart than eps are settled without pairs.
-    gap = F.lit(0.0)
-    for c in coords:
-        g = F.greatest(F.col(f"b._lo_{c}") - F.col(f"a.{c}"), F.col(f"a.{c}") - F.col(f"b._hi_{c}"), F.lit(0.0))
-        gap = gap + g * g
-    close = forward.alias("a").join(boxes.alias("b"), cell).filter(F.sqrt(gap) <= eps).select("a.*", "b._cell")
-    edges = (
-        close.alias("a").join(core.alias("b"), "_cell")
-        .filter(_distance("a", "b", coords) <= eps)
-        .select(F.col("a._from").alias("u"), F.col("_cell").alias("v")).distinct()
-    )
+    edges = _linked_cells(core, coords, cell, eps)
     labels = connected_components(core.select(F.col("_cell").alias("node")).distinct(), edges)
     named = core.join(labels, F.col("_cell") == F.col("node")).drop("node")
     first = named.groupBy("component").agg(F.min(F.struct(*coords)).alias("_p")).select(F.lit(0).alias("_all"), "component", "_p.*")
@@ -119,6 +102,51 @@ def dbscan(df: DataFrame, coords: Sequence[str], eps: float = 0.5, min_samples:
     return clustered.withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("long")))
 
 
+def _linked_cells(core: DataFrame, coords: Sequence[str], cell: Sequence[str], eps: float) -> DataFrame:
+    """Pairs of cells (u, v) with core points of both within ``eps``.
+
+    Most pairs are settled per cell: boxes farther apart than ``eps`` cannot be
+    linked, and outermost points (witnesses) within ``eps`` prove a link. Only
+    the rest compares points, and only those within ``eps`` of the other box.
+    """
+    dims = len(coords)
+    point = F.struct(*coords)
+    sides = [d for d in itertools.product((-1.0, 0.0, 1.0), repeat=dims) if any(d)]
+    outward = [sum((F.col(c) * w for c, w in zip(coords, d) if w), F.lit(0.0)) for d in sides]
+    boxes = core.groupBy("_cell", *cell).agg(
+        F.array(*[F.max_by(point, o) for o in outward]).alias("_w"),
+        *[F.min(c).alias(f"_lo_{c}") for c in coords], *[F.max(c).alias(f"_hi_{c}") for c in coords],
+    )
+    around = boxes.select("*", F.explode(_reach(dims)).alias("_d")).select(
+        F.col("_cell").alias("u"), "_w", *[f"_{e}_{c}" for e in ("lo", "hi") for c in coords],
+        *[(F.col(k) + F.col(f"_d.d{i}")).alias(k) for i, k in enumerate(cell)],
+    )
+    gaps = [F.greatest(F.col(f"b._lo_{c}") - F.col(f"a._hi_{c}"), F.col(f"a._lo_{c}") - F.col(f"b._hi_{c}"), F.lit(0.0))
+            for c in coords]
+    proven = F.exists(
+        F.col("a._w"),
+        lambda p: F.exists(F.col("b._w"), lambda q: F.sqrt(sum(((p[c] - q[c]) * (p[c] - q[c]) for c in coords), F.lit(0.0))) <= eps),
+    )
+    pairs = materialize(
+        around.alias("a").join(boxes.alias("b"), list(cell))
+        .filter((F.col("u") < F.col("b._cell")) & (F.sqrt(sum((g * g for g in gaps), F.lit(0.0))) <= eps))
+        .select("u", F.col("b._cell").alias("v"), proven.alias("proven"),
+                *[F.col(f"b._{e}_{c}").alias(f"_{e}_{c}") for e in ("lo", "hi") for c in coords]),
+        "cell-pairs",
+    )
+    to_box = [F.greatest(F.col(f"p._lo_{c}") - F.col(f"a.{c}"), F.col(f"a.{c}") - F.col(f"p._hi_{c}"), F.lit(0.0)) for c in coords]
+    candidates = (
+        core.alias("a").join(pairs.filter("not proven").alias("p"), F.col("a._cell") == F.col("p.u"))
+        .filter(F.sqrt(sum((g * g for g in to_box), F.lit(0.0))) <= eps)
+        .select("u", "v", *[f"a.{c}" for c in coords])
+    )
+    compared = (
+        candidates.alias("a").join(core.alias("b"), F.col("a.v") == F.col("b._cell"))
+        .filter(_distance("a", "b", coords) <= eps).select("u", "v").distinct()
+    )
+    return pairs.filter("proven").select("u", "v").unionByName(compared)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component): the smallest node name in reach.
 

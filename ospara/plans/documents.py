@@ -35,7 +35,10 @@ def document_chunks(t: Tables):
     )
 
 
-@plan("d02_embed_and_store")
+@plan(
+    "d02_embed_and_store",
+    f"""WITH {CHUNK_SQL} SELECT doc_id, chunk_index, lang AS collection, 32 AS dims FROM chunks JOIN documents USING (doc_id)""",
+)
 def embed_and_store(t: Tables):
     chunks = text.chunk_rows(t.texts.select("doc_id", "lang", "text"), "text").drop("text")
     vectors_of = readers.text_embeddings(chunks, "chunk", 32)

@@ -144,6 +144,15 @@ def test_dbscan_equals_brute_force(spark):
     assert [r.cluster for r in rows] == label.tolist()
 
 
+def test_dbscan_in_three_coordinates(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(np.vstack([rng.normal(0, 0.3, (70, 3)), rng.normal(1.5, 0.3, (70, 3)), rng.uniform(-2, 3, (30, 3))]), 3)
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id int, x double, y double, z double")
+    core, label = brute_dbscan(x, 0.45, 6)
+    rows = density.dbscan(df, ["x", "y", "z"], 0.45, 6).orderBy("id").collect()
+    assert [r.core for r in rows] == core.tolist() and [r.cluster for r in rows] == label.tolist()
+
+
 def test_components_of_a_long_chain(spark):
     n = 64
     nodes = spark.createDataFrame([(f"{i:03d}",) for i in range(n + 2)], "node string")
