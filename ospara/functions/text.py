@@ -157,6 +157,11 @@ def matched_keywords(text: str, patterns: Sequence[str]) -> Column:
     return F.filter(words, lambda w: F.exists(known, lambda p: F.contains(w, p)))
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """A number with a fixed count of digits, rounded by its exact binary value."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * digits))
+
+
 def summary_lines(text: str, words: Sequence[str] = SUMMARY_WORDS, first: int = 20, fallback: int = 5) -> Column:
     """Of the first non-blank lines those with a wanted word, else the first few."""
     lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), lambda x: F.trim(x)), lambda x: x != "")

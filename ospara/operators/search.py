@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
+from ospara.functions.text import fixed_text
 from ospara.operators import clustering
 from ospara.operators.access import visible_rows
 from ospara.operators.filters import metadata_filter
@@ -104,6 +105,6 @@ def main_drivers(loadings: DataFrame, limit: float = 0.3) -> DataFrame:
     return strong.groupBy("component").agg(
         F.transform(
             F.sort_array(F.collect_list(size)),
-            lambda s: F.concat(s["f"], F.lit(" ("), F.format_number(s["l"], 3), F.lit(")")),
+            lambda s: F.concat(s["f"], F.lit(" ("), fixed_text(s["l"], 3), F.lit(")")),
         ).alias("drivers")
     )

@@ -341,7 +341,7 @@ def trig_series(t: Tables):
 )
 def rounding(t: Tables):
     p = F.col("o_totalprice")
-    return t.orders.select("o_orderkey", rnd(p / 7, 2).alias("r2"), F.format_string("%.1f%%", p / 7000).alias("share"))
+    return t.orders.select("o_orderkey", rnd(p / 7, 2).alias("r2"), F.concat(text.fixed_text(p / 7000, 1), F.lit("%")).alias("share"))
 
 
 @plan(

@@ -111,3 +111,9 @@ def test_summary_lines(spark):
 def test_keywords(spark):
     df = spark.createDataFrame([("The  Database-Corruption\nfound ",)], "t string")
     assert df.select(text.matched_keywords("t", ["corruption", "zz"])).first()[0] == ["database-corruption"]
+
+
+def test_fixed_text_rounds_like_python(spark):
+    values = [9.35, 0.05, 2.5, 1234.25, -0.349, 0.125, 1e7 + 0.55]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(text.fixed_text(F.col("x"), 1)).collect()] == [f"{v:.1f}" for v in values]
