@@ -116,14 +116,17 @@ def priority_queue(t: Tables):
 
 @plan(
     "t10_main_drivers",
-    """WITH m AS (SELECT label, i, avg(embedding[i]::DOUBLE) * 10 AS w FROM embeddings, range(1, 65) r(i) GROUP BY label, i)
+    """WITH m AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) r(i) GROUP BY label, i),
+         l AS (SELECT label, i, m / max(abs(m)) OVER (PARTITION BY label) AS w FROM m)
        SELECT label AS component, string_agg('f' || (i - 1) || ' (' || printf('%.3f', w) || ')', ', '
-         ORDER BY abs(w) DESC, 'f' || (i - 1)) AS drivers FROM m WHERE abs(w) > 0.3 GROUP BY label""",
+         ORDER BY abs(w) DESC, 'f' || (i - 1)) AS drivers FROM l WHERE abs(w) > 0.3 GROUP BY label""",
 )
 def main_drivers(t: Tables):
     means = vectors.group_means(t.embeddings, "label", "embedding")
-    loadings = means.select(F.col("label").alias("component"), F.posexplode("center").alias("i", "m")).select(
-        "component", F.concat(F.lit("f"), F.col("i")).alias("feature"), (F.col("m") * 10).alias("loading")
+    largest = F.array_max(F.transform("center", lambda x: F.abs(x)))
+    loadings = means.select("label", largest.alias("_max"), F.posexplode("center").alias("i", "m")).select(
+        F.col("label").alias("component"), F.concat(F.lit("f"), F.col("i")).alias("feature"),
+        (F.col("m") / F.col("_max")).alias("loading"),
     )
     return search.main_drivers(loadings).select("component", F.array_join("drivers", ", ").alias("drivers"))
 
