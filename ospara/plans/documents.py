@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ospara.functions import rules, text, vectors
-from ospara.operators import classify, clustering, features, filters, guardrails, monitor
+from ospara.functions import text, vectors
+from ospara.operators import classify, clustering, features, guardrails, monitor
 from ospara.plans.aggregates import KNN_SQL, label_queries, with_dims
-from ospara.plans.base import Tables, plan, rnd
+from ospara.plans.base import Tables, plan
 from ospara.plans.combining import rule_case
 from ospara.plans.scalars import CHUNK_SQL, PII_SQL
 from ospara.session import fresh_path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ospara.functions import text, vectors
-from ospara.operators import access, joins, search
+from ospara.operators import access, search
 from ospara.plans import combining
 from ospara.plans.aggregates import CENTER_SQL, KNN_SQL, label_queries
 from ospara.plans.base import Tables, plan, rnd

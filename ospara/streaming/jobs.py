@@ -8,7 +8,7 @@ loses nor doubles rows. The current table is read from the log.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,6 +97,7 @@ def consume(stream: DataFrame, valid: Column, handle: Callable[[DataFrame], Data
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         good = batch.filter(F.coalesce(valid, F.lit(False)))
         sink.write(batch.filter(~F.coalesce(valid, F.lit(False))), batch_id, "quarantine")
         try:
@@ -104,6 +105,7 @@ def consume(stream: DataFrame, valid: Column, handle: Callable[[DataFrame], Data
         except Exception as e:  # noqa: BLE001
             log.warning("batch %s failed: %s", batch_id, e)
             sink.write(good, batch_id, "failed")
+        batch.unpersist()
 
     run(stream, step)
     return sink
