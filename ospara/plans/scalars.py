@@ -174,12 +174,31 @@ def pii_values(t: Tables):
     return unfold(hits, F.col("matches"), "match", ["doc_id", "rule"])
 
 
-@plan("f13_pii_offsets")
+# Offsets from the pieces between matches: lengths of pieces and earlier matches.
+PARTS_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, 'default_{n}' AS rule, regexp_extract_all(text, '(?i){p}') AS matches, "
+    f"string_split_regex(text, '(?i){p}') AS parts FROM documents"
+    for n, p in text.PII_PATTERNS.items()
+)
+
+
+@plan(
+    "f13_pii_offsets",
+    f"""WITH p AS ({PARTS_SQL}),
+        u AS (SELECT doc_id, rule, unnest(matches) AS match, unnest(parts[1:len(matches)]) AS part,
+                     generate_subscripts(matches, 1) AS i FROM p WHERE len(matches) > 0),
+        o AS (SELECT *, sum(length(part)) OVER (PARTITION BY doc_id, rule ORDER BY i)
+                + coalesce(sum(length(match)) OVER (PARTITION BY doc_id, rule ORDER BY i
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM u)
+        SELECT doc_id, rule, s::INTEGER AS "start", (s + length(match))::INTEGER AS "end", match FROM o""",
+)
 def pii_offsets(t: Tables):
-    spans = [
-        F.transform(text.spans_of(r)(F.col("text")), lambda s, name=r.name: F.struct(F.lit(name).alias("rule"), s.alias("s")))
-        for r in text.default_rules()
-    ]
+    def named(rule: text.DetectionRule):
+        return F.transform(
+            text.spans_of(rule)(F.col("text")), lambda s: F.struct(F.lit(rule.name).alias("rule"), s.alias("s"))
+        )
+
+    spans = [named(r) for r in text.default_rules()]
     hits = unfold(t.texts, F.concat(*spans), "h", ["doc_id"])
     return hits.select("doc_id", "h.rule", "h.s.start", "h.s.end", F.col("h.s.text").alias("match"))
 
