@@ -182,15 +182,19 @@ PARTS_SQL = " UNION ALL ".join(
 )
 
 
-@plan(
-    "f13_pii_offsets",
-    f"""WITH p AS ({PARTS_SQL}),
+OFFSET_SQL = f"""
+        p AS ({PARTS_SQL}),
         u AS (SELECT doc_id, rule, unnest(matches) AS match, unnest(parts[1:len(matches)]) AS part,
                      generate_subscripts(matches, 1) AS i FROM p WHERE len(matches) > 0),
         o AS (SELECT *, sum(length(part)) OVER (PARTITION BY doc_id, rule ORDER BY i)
                 + coalesce(sum(length(match)) OVER (PARTITION BY doc_id, rule ORDER BY i
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM u)
-        SELECT doc_id, rule, s::INTEGER AS "start", (s + length(match))::INTEGER AS "end", match FROM o""",
+"""
+
+
+@plan(
+    "f13_pii_offsets",
+    f"""WITH {OFFSET_SQL} SELECT doc_id, rule, s::INTEGER AS "start", (s + length(match))::INTEGER AS "end", match FROM o""",
 )
 def pii_offsets(t: Tables):
     def named(rule: text.DetectionRule):
@@ -218,7 +222,16 @@ def literal_matches(t: Tables):
     )
 
 
-@plan("f15_span_masking")
+@plan(
+    "f15_span_masking",
+    f"""WITH {OFFSET_SQL},
+        hidden AS (SELECT DISTINCT doc_id, unnest(range(s::BIGINT, (s + length(match))::BIGINT)) AS at FROM o),
+        chars AS (SELECT doc_id, unnest(string_split(text, '')) AS c, unnest(range(0, length(text))) AS at
+                  FROM documents WHERE doc_id IN (SELECT doc_id FROM o)),
+        redone AS (SELECT c.doc_id, string_agg(CASE WHEN h.at IS NULL THEN c ELSE '*' END, '' ORDER BY c.at) AS masked
+                   FROM chars c LEFT JOIN hidden h ON h.doc_id = c.doc_id AND h.at = c.at GROUP BY c.doc_id)
+        SELECT doc_id, text, coalesce(masked, text) AS masked FROM documents LEFT JOIN redone USING (doc_id)""",
+)
 def span_masking(t: Tables):
     safe = text.masker(text.default_rules())(F.col("text"))
     return t.texts.select("doc_id", "text", safe.alias("masked"))
