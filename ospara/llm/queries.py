@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import packing
+from ospara.llm import bpe, packing
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_word_table_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(bpe.encode_and_decode(Tables(spark, folder).documents))
+
+
 def op3_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.pack_pieces(Tables(spark, folder).documents))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_word_table_bpe": op2_word_table_bpe,
         "op3_power_of_two_packing": op3_power_of_two_packing,
     }
 
