@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import bpe, packing
+from ospara.llm import bpe, counts, packing
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,15 @@ def op3_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.pack_pieces(Tables(spark, folder).documents))
 
 
+def op5_pre_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.over_limit(counts.count_tokens(Tables(spark, folder).documents))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_word_table_bpe": op2_word_table_bpe,
         "op3_power_of_two_packing": op3_power_of_two_packing,
+        "op5_pre_token_counts": op5_pre_token_counts,
     }
 
 
