@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import bpe, counts, packing
+from ospara.llm import bpe, counts, minhash, packing
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(Tables(spark, folder).documents, width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_word_table_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_and_decode(Tables(spark, folder).documents))
 
@@ -26,6 +31,7 @@ def op5_pre_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_lsh_forest": op1_lsh_forest,
         "op2_word_table_bpe": op2_word_table_bpe,
         "op3_power_of_two_packing": op3_power_of_two_packing,
         "op5_pre_token_counts": op5_pre_token_counts,
