@@ -47,7 +47,7 @@ KEY = 12
 #: Neighbours on each side in an order.
 NEIGHBOURS = 6
 #: Sets of a crowded region that are compared with all of it, per sorted stretch.
-CENTRES = 6
+CENTRES = 16
 #: Pairs that a bin confirms, about.
 BIN_PAIRS = 4000
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import bpe, counts, minhash, packing
+from ospara.llm import bpe, counts, minhash, packing, topk
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,14 +29,44 @@ def op5_pre_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.over_limit(counts.count_tokens(Tables(spark, folder).documents))
 
 
+def op9_no_random_access_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(Tables(spark, folder).embeddings)
+    return topk.exact_top_k(vectors, vectors.filter("id % 100 = 0"))
+
+
+OP9_SQL = """
+WITH valid AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+wanted AS (
+    SELECT q.vec_id AS query_id, unnest(q.v) AS a, generate_subscripts(q.v, 1) AS j FROM valid q WHERE q.vec_id % 100 = 0
+),
+held AS (SELECT vec_id, unnest(v) AS b, generate_subscripts(v, 1) AS j FROM valid),
+scored AS (
+    SELECT query_id, vec_id, CAST(sum(a * b) AS BIGINT) AS score
+    FROM wanted JOIN held USING (j) WHERE query_id <> vec_id GROUP BY query_id, vec_id
+),
+ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_lsh_forest": op1_lsh_forest,
         "op2_word_table_bpe": op2_word_table_bpe,
         "op3_power_of_two_packing": op3_power_of_two_packing,
         "op5_pre_token_counts": op5_pre_token_counts,
+        "op9_no_random_access_top_k": op9_no_random_access_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_no_random_access_top_k": OP9_SQL,
+    }

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 
 #: A-Z to a-z, all other bytes as they are.
@@ -25,7 +26,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         if not batch.num_rows:
             continue
         lengths = batch.column(column).cast(pa.large_binary())
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(lengths), 0))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(lengths), 0))
         ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:
