@@ -119,16 +119,17 @@ def exact_top_k(
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
     left = vectors.select("id", "v", block(n_rows, 1).alias("rb"), every(n_queries).alias("qb"))
-    right = queries.select("id", "v", block(n_queries, 2).alias("qb"), every(n_rows).alias("rb"))
+    right = queries.select(
+        F.col("id").alias("query_id"), F.col("v").alias("query"), block(n_queries, 2).alias("of"), every(n_rows).alias("to"))
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def search(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         if not rows.num_rows or not wanted.num_rows:
             return schema.empty_table()
-        width = max(int(pc.max(pc.list_value_length(t.column("v"))).as_py()) for t in (rows, wanted))
+        width = max(pc.max(pc.list_value_length(c)).as_py() for c in (rows.column("v"), wanted.column("query")))
         found = list(best(
             np.asarray(rows.column("id")), _matrix(rows.column("v"), width),
-            np.asarray(wanted.column("id")), _matrix(wanted.column("v"), width), k,
+            np.asarray(wanted.column("query_id")), _matrix(wanted.column("query"), width), k,
         ))
         return pa.Table.from_arrays([
             pa.array(np.repeat([q for q, _, _ in found], [len(i) for _, i, _ in found]), pa.int64()),
@@ -136,7 +137,7 @@ def exact_top_k(
             pa.array(np.concatenate([s for _, _, s in found]), pa.int64()),
         ], schema=schema)
 
-    part = left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInArrow(
+    part = left.groupBy("rb", "qb").cogroup(right.groupBy("to", "of")).applyInArrow(
         search, "query_id long, vec_id long, score long")
     ranked = top_k(part, ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
