@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import bpe, counts, minhash, packing, topk
+from ospara.llm import bpe, counts, lines, minhash, packing, topk
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op9_no_random_access_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.exact_top_k(vectors, vectors.filter("id % 100 = 0"))
 
 
+def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.report(Tables(spark, folder).documents)
+
+
 OP9_SQL = """
 WITH valid AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op3_power_of_two_packing": op3_power_of_two_packing,
         "op5_pre_token_counts": op5_pre_token_counts,
         "op9_no_random_access_top_k": op9_no_random_access_top_k,
+        "op10_line_chunks": op10_line_chunks,
     }
 
 
