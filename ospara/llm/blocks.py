@@ -28,8 +28,8 @@ BLOCK_BYTES = 32 << 20
 REMEMBERED_WORDS = 2_000_000
 ORDINAL_BITS = 24
 
-#: Folds one text into codes, given a function from word to code.
-Fold = Callable[[bytes, Callable[[bytes], int]], np.ndarray]
+#: Folds the texts of a block into codes each, given a function from word to code.
+Fold = Callable[[list[bytes], Callable[[bytes], int]], list[np.ndarray]]
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -56,7 +56,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], fold: Fold, block_bytes: int) ->
     for ordinal, batch in enumerate(slices(batches, "text", block_bytes)):
         words = _Words()
         texts = raw(batch.column("text"))
-        yield first + ordinal, batch.column("doc_id"), texts, words, [fold(t, words.__getitem__) for t in texts]
+        yield first + ordinal, batch.column("doc_id"), texts, words, fold(texts, words.__getitem__)
 
 
 def _buckets(words: list[bytes], buckets: int) -> np.ndarray:

@@ -28,9 +28,10 @@ SCHEMA = "doc_id long, ids array<int>, decoded string"
 ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
 
-def fold_words(text: bytes, code) -> np.ndarray:
-    words = text.split()  # bytes split at space and \t \n \v \f \r only
-    return np.fromiter(map(code, words), np.uint32, len(words))
+def fold_words(texts: list[bytes], code) -> list[np.ndarray]:
+    """Codes of the words of each text; bytes split at space and \\t \\n \\v \\f \\r only."""
+    split = map(bytes.split, texts)
+    return [np.fromiter(map(code, words), np.uint32, len(words)) for words in split]
 
 
 def expand(codes: np.ndarray, start: np.ndarray, number: np.ndarray, flat: np.ndarray) -> np.ndarray:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -62,36 +63,52 @@ def pre_tokens(text: str) -> list[str]:
     return found
 
 
-@functools.lru_cache(maxsize=1 << 18)
-def _of_word(word: str) -> tuple[bytes, ...]:
-    return tuple(p.encode() for p in pre_tokens(word))
+class _SplitWords(dict):
+    """Number of a word that follows a space; a new word is split into the codes of its pre-tokens."""
 
+    def __init__(self, code: Callable[[bytes], int]):
+        self.code = code
+        self.starts, self.pieces = [0], []
 
-def fold_pre_tokens(text: bytes, code: Callable[[bytes], int]) -> np.ndarray:
-    """Pairs (code, frequency) of the text's distinct pre-tokens, interleaved.
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.pieces += [self.code(p.encode()) for p in pre_tokens(" " + word)]
+        self.starts.append(len(self.pieces))
+        return number
+
+
+def fold_pre_tokens(texts: list[bytes], code: Callable[[bytes], int]) -> list[np.ndarray]:
+    """Pairs (code, frequency) of the distinct pre-tokens of each text, interleaved.
 
     Where every space stands before a character that is not white space, the
-    pattern never crosses a space, so words repeat and are split once.
+    pattern never crosses a space, so words repeat and are split once a block.
     """
-    plain = text.decode()
-    counts: dict[bytes, int] = {}
-    if _joined_space.search(plain) or "<|" in plain:
-        for piece in pre_tokens(plain):
-            piece = piece.encode()
-            counts[piece] = counts.get(piece, 0) + 1
-    else:
-        first, *rest = plain.split(" ")
-        words: dict[str, int] = {first: 1} if first else {}
-        for word in rest:
-            word = " " + word
-            words[word] = words.get(word, 0) + 1
-        for word, n in words.items():
-            for piece in _of_word(word):
-                counts[piece] = counts.get(piece, 0) + n
-    pairs = np.empty(2 * len(counts), np.uint32)
-    pairs[0::2] = np.fromiter(map(code, counts), np.uint32, len(counts))
-    pairs[1::2] = np.fromiter(counts.values(), np.uint32, len(counts))
-    return pairs
+    words_seen = _SplitWords(code)
+    number = words_seen.__getitem__
+    counted, plain = [], []
+    for text in texts:
+        text = text.decode()
+        spaced = _joined_space.search(text) or "<|" in text
+        first, *rest = (text,) if spaced else text.split(" ")
+        words = Counter(rest)
+        counted.append((np.fromiter(map(number, words), np.int64, len(words)),
+                        np.fromiter(words.values(), np.int64, len(words))))
+        alone = Counter([code(p.encode()) for p in pre_tokens(first)])
+        plain.append((list(alone), list(alone.values())))
+    at, flat = np.array(words_seen.starts, np.int64), np.array(words_seen.pieces, np.int64)
+    lengths = np.diff(at)
+    out = []
+    for (words, times), (alone, more) in zip(counted, plain):
+        n = lengths[words]
+        ends = np.cumsum(n)
+        index = np.arange(int(n.sum())) + np.repeat(at[words] - (ends - n), n)
+        codes, where = np.unique(np.concatenate([flat[index], np.array(alone, np.int64)]), return_inverse=True)
+        weights = np.concatenate([np.repeat(times, n), np.array(more, np.int64)])
+        pairs = np.empty(2 * len(codes), np.uint32)
+        pairs[0::2] = codes
+        pairs[1::2] = np.bincount(where, weights, len(codes))
+        out.append(pairs)
+    return out
 
 
 def count_tokens(docs: DataFrame, tokenizer: str | None = None, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
