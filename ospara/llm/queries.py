@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import bpe, counts, lines, minhash, packing, topk
+from ospara.llm import bpe, counts, lines, minhash, packing, quality, topk
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op3_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.pack_pieces(Tables(spark, folder).documents))
 
 
+def op4_naive_bayes_machine(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return quality.scored(t.documents, quality.train(t.documents, t.labels))
+
+
 def op5_pre_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.over_limit(counts.count_tokens(Tables(spark, folder).documents))
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op1_lsh_forest": op1_lsh_forest,
         "op2_word_table_bpe": op2_word_table_bpe,
         "op3_power_of_two_packing": op3_power_of_two_packing,
+        "op4_naive_bayes_machine": op4_naive_bayes_machine,
         "op5_pre_token_counts": op5_pre_token_counts,
         "op9_no_random_access_top_k": op9_no_random_access_top_k,
         "op10_line_chunks": op10_line_chunks,
