@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import bpe, counts, lines, minhash, packing, quality, topk
+from ospara.llm import binary, bpe, counts, lines, minhash, packing, quality, topk
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op5_pre_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.over_limit(counts.count_tokens(Tables(spark, folder).documents))
 
 
+def op6_best_fit_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    return binary.packed(Tables(spark, folder).documents)
+
+
 def op9_no_random_access_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(Tables(spark, folder).embeddings)
     return topk.exact_top_k(vectors, vectors.filter("id % 100 = 0"))
@@ -72,6 +76,7 @@ def queries() -> dict[str, Query]:
         "op3_power_of_two_packing": op3_power_of_two_packing,
         "op4_naive_bayes_machine": op4_naive_bayes_machine,
         "op5_pre_token_counts": op5_pre_token_counts,
+        "op6_best_fit_matrices": op6_best_fit_matrices,
         "op9_no_random_access_top_k": op9_no_random_access_top_k,
         "op10_line_chunks": op10_line_chunks,
     }
