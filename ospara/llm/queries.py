@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import binary, bpe, counts, lines, minhash, packing, quality, topk
+from ospara.llm import binary, bpe, counts, lines, minhash, packing, quality, rules, topk
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_best_fit_matrices(spark: SparkSession, folder: str) -> DataFrame:
     return binary.packed(Tables(spark, folder).documents)
 
 
+def op7_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judged(Tables(spark, folder).documents)
+
+
 def op9_no_random_access_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(Tables(spark, folder).embeddings)
     return topk.exact_top_k(vectors, vectors.filter("id % 100 = 0"))
@@ -77,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op4_naive_bayes_machine": op4_naive_bayes_machine,
         "op5_pre_token_counts": op5_pre_token_counts,
         "op6_best_fit_matrices": op6_best_fit_matrices,
+        "op7_weak_supervision": op7_weak_supervision,
         "op9_no_random_access_top_k": op9_no_random_access_top_k,
         "op10_line_chunks": op10_line_chunks,
     }
@@ -84,5 +89,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_weak_supervision": rules.sql(),
         "op9_no_random_access_top_k": OP9_SQL,
     }
