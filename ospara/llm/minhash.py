@@ -4,10 +4,10 @@ Each document's set of word shingles has a signature of ``trees * depth``
 minima. Tree ``t`` sorts all sets by the signature rotated to its own minima,
 so that sets with a long common prefix stand next to each other. Candidates
 are neighbours in a sorted order that share ``depth`` minima or more. Where a
-region of such sets is longer than the neighbourhood, the order reaches deeper:
-those of the region with the longest prefixes, its densest part, are compared
-with the whole region. Every candidate link is confirmed on full sets of
-64-bit shingle hashes.
+region of such sets is longer than the neighbourhood, the order decides by its
+depth: a set is compared with those of the longest common prefix next to it,
+and with the crowd's centres, the sets whose prefixes are longest over all
+trees. Every candidate link is confirmed on full sets of 64-bit shingle hashes.
 
 Equal sets are folded into one node first, so copies make no pairs. The
 orders are cut by range, never by prefix, so a region that holds a third of all
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ospara.llm.graph import components, written
 from ospara.llm.texts import LOWER, raw, slices
+from ospara.scale import top_k
 
 WIDTH = 5
 PERCENT = 80
@@ -44,10 +45,12 @@ TREES = 20
 DEPTH = 4
 #: Minima of an order's key; deeper than this, order is by node.
 KEY = 12
-#: Neighbours on each side in an order.
+#: Neighbours on each side in an order, and in a region that is longer.
 NEIGHBOURS = 6
-#: Sets of a crowded region that are compared with all of it, per sorted stretch.
-CENTRES = 16
+CROWDED_NEIGHBOURS = 2
+#: Centres of a crowd; a smaller crowd is compared whole. Members of a crowd per bin.
+CENTRES = 512
+CROWD_BLOCK = 1024
 #: Pairs that a bin confirms, about.
 BIN_PAIRS = 4000
 
@@ -113,15 +116,15 @@ def sketches(docs: DataFrame, width: int, functions: int) -> DataFrame:
     )
 
 
-def candidates(classes: DataFrame, trees: int, depth: int) -> DataFrame:
-    """Distinct pairs (a, b) of nodes, a < b, that stand close in some order."""
+def candidates(classes: DataFrame, trees: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of nodes, a < b, that stand close in some order; and the crowds' rows (see ``crowds``)."""
     key = max(KEY, depth)
     columns = key + 1
     rotated = F.concat("signature", F.substring("signature", 1, 4 * key))
     orders = classes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.concat(
         F.unhex(F.lpad(F.hex(t), 8, "0")), F.substring(rotated, t * (4 * depth) + 1, F.lit(4 * key))))).alias("key"))
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("region", pa.int64()), ("shared", pa.int64())])
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, keys = pa.array([], pa.binary()), np.zeros((0, columns), ">u4")
@@ -130,25 +133,55 @@ def candidates(classes: DataFrame, trees: int, depth: int) -> DataFrame:
             old = len(keys)
             nodes = pa.concat_arrays([nodes, batch.column("node").cast(pa.binary())])
             keys = np.concatenate([keys, fresh])
-            left, right = close_pairs(keys, depth + 1, old)
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right))], schema=schema)
+            left, right, crowded, shared = close_pairs(keys, depth + 1, old)
+            names = [xxhash.xxh3_64_intdigest(k.tobytes()) >> 1 for k in keys[crowded, : depth + 1]]
+            none = pa.nulls(len(left), pa.int64())
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right)), none, none], schema=schema)
+            yield pa.RecordBatch.from_arrays([
+                nodes.take(pa.array(crowded)), pa.nulls(len(crowded), pa.binary()), pa.array(names, pa.int64()), pa.array(shared, pa.int64())],
+                schema=schema)
             nodes, keys = nodes.slice(max(0, len(keys) - NEIGHBOURS)), keys[-NEIGHBOURS:]
 
-    found = orders.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInArrow(
-        neighbours, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found, _ = written(orders.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInArrow(
+        neighbours, "a binary, b binary, region long, shared long"), "close")
+    pairs = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return written(pairs, "pairs")[0], crowds(found.filter("b is null"))
 
 
-def close_pairs(keys: np.ndarray, depth: int, old: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of sorted keys that share ``depth`` columns and are to be compared.
+def crowds(crowd: DataFrame) -> DataFrame:
+    """(root, block, node, centre): members of crowds in blocks, and the crowd's centres in every block.
 
-    The first ``old`` rows come from the stretch before and were compared
-    with each other there.
+    Long regions that share sets are one crowd, whatever the tree.
+    """
+    members, _ = written(crowd.select(F.col("a").alias("node"), "region", "shared").distinct(), "crowd")
+    region = F.unhex(F.lpad(F.hex("region"), 16, "0"))
+    roots = components(members.select(F.col("node").alias("u"), region.alias("v")))
+    central = members.groupBy("node").agg(F.sum("shared").alias("central"))
+    named, _ = written(central.join(roots, "node"), "crowds")
+    blocks = named.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).alias("blocks"))
+    centres = top_k(named, ["root"], [F.desc("central"), F.asc("node")], CENTRES).select("root", "node")
+    sizes, _ = written(blocks, "crowd-sizes")
+    dealt = named.join(sizes, "root").select(
+        "root", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node", F.lit(False).alias("centre"))
+    everywhere = centres.join(sizes, "root").select(
+        "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "node", F.lit(True).alias("centre"))
+    return written(dealt.unionByName(everywhere), "crowd-blocks")[0]
+
+
+def close_pairs(keys: np.ndarray, depth: int, old: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of sorted keys that share ``depth`` columns and stand close.
+
+    Also the rows of regions longer than the neighbourhood, and how many columns
+    each of these shares with a neighbour. The first ``old`` rows come from
+    the stretch before and were compared with each other there.
     """
     n = len(keys)
+    none = np.zeros(0, np.int64)
     if n < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none, none, none, none
     common = np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1)
+    region = np.concatenate([[0], np.cumsum(common < depth)])
+    long = np.bincount(region)[region] > NEIGHBOURS + 1
     lefts, rights = [], []
     reach = common.copy()
     for step in range(1, NEIGHBOURS + 1):
@@ -156,33 +189,21 @@ def close_pairs(keys: np.ndarray, depth: int, old: int = 0) -> tuple[np.ndarray,
             reach = np.minimum(reach[:-1], common[step - 1 :])
         at = np.flatnonzero(reach >= depth)
         at = at[at + step >= old]
+        if step > CROWDED_NEIGHBOURS:
+            at = at[~long[at]]
         lefts.append(at)
         rights.append(at + step)
-    region = np.concatenate([[0], np.cumsum(common < depth)])
-    sizes = np.bincount(region)
-    crowded = np.flatnonzero(sizes[region] > NEIGHBOURS + 1)
-    if len(crowded):
-        density = np.maximum(np.concatenate([[0], common]), np.concatenate([common, [0]]))[crowded]
-        of = region[crowded]
-        by = np.lexsort((-density, of))
-        starts = np.concatenate([[True], of[by][1:] != of[by][:-1]])
-        rank = np.arange(len(by)) - np.maximum.accumulate(np.where(starts, np.arange(len(by)), 0))
-        chosen = crowded[by[rank < CENTRES]]
-        first = np.searchsorted(region, region[chosen])
-        count = sizes[region[chosen]]
-        centre = np.repeat(chosen, count)
-        member = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        far = np.abs(centre - member) > NEIGHBOURS
-        lefts.append(centre[far])
-        rights.append(member[far])
-    return np.concatenate(lefts), np.concatenate(rights)
-
-
-def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (u, v) with ``100 * intersection >= percent * union`` that connect what the pairs connect.
+    crowded = np.flatnonzero(long)
+    shared = np.maximum(np.concatenate([[0], common]), np.concatenate([common, [0]]))[crowded]
+    return np.concatenate(lefts), np.concatenate(rights), crowded, shared
+
+
+def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, crowd: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) with ``100 * intersection >= percent * union`` that connect what the candidates connect.
 
     A pair goes to the bin of its smaller ends' smallest partner, so that a
-    group of copies meets in one bin; a crowd is spread by its members.
+    group of copies meets in one bin; a crowd is spread by its members. Sides
+    that both grow with the documents are merge joined at every size.
     """
     spark = docs.sparkSession
     total = pairs.count()
@@ -190,23 +211,27 @@ def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, per
     both = pairs.select(F.col("a").alias("n"), F.col("b").alias("m")).unionByName(
         pairs.select(F.col("b").alias("n"), F.col("a").alias("m")))
     labels, _ = written(both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("label")), "labels")
-    dealt = pairs.join(labels.withColumnsRenamed({"n": "a", "label": "la"}), "a").join(
-        labels.withColumnsRenamed({"n": "b", "label": "lb"}), "b").select("a", "b", F.least("la", "lb").alias("label"))
-    crowds, _ = written(dealt.groupBy("label").count().filter(F.col("count") > BIN_PAIRS), "crowds")
+    dealt = pairs.join(labels.withColumnsRenamed({"n": "a", "label": "la"}).hint("merge"), "a").join(
+        labels.withColumnsRenamed({"n": "b", "label": "lb"}).hint("merge"), "b").select("a", "b", F.least("la", "lb").alias("label"))
+    large, _ = written(dealt.groupBy("label").count().filter(F.col("count") > BIN_PAIRS), "large")
     salt = F.pmod(F.xxhash64("a"), F.ceil(F.col("count") / BIN_PAIRS))
     place = F.pmod(F.xxhash64("label", F.coalesce(salt, F.lit(0))), F.lit(bins)).alias("bin")
-    binned, _ = written(dealt.join(crowds, "label", "left").select("a", "b", place), "binned")
-    needed = binned.select("bin", F.explode(F.array("a", "b")).alias("node")).distinct()
-    keyed, _ = written(needed.join(classes.select("node", "row_key"), "node"), "needed")
-    texts = docs.select("doc_id", "text", row_key().alias("row_key")).join(keyed, "row_key").select("bin", "node", "text")
+    paired = dealt.join(large, "label", "left").select(place, "a", "b", F.lit(None).cast("boolean").alias("centre"))
+    gathered = crowd.select(F.pmod(F.xxhash64("root", "block"), F.lit(bins)).alias("bin"), F.col("node").alias("a"),
+                            F.col("root").alias("b"), "centre")
+    binned, _ = written(paired.unionByName(gathered), "binned")
+    needed = binned.select("bin", F.explode(F.when(F.col("centre").isNull(), F.array("a", "b")).otherwise(F.array("a"))).alias("node"))
+    needed = needed.distinct()
+    keyed, _ = written(needed.join(classes.select("node", "row_key").hint("merge"), "node"), "needed")
+    texts = docs.select("doc_id", "text", row_key().alias("row_key")).join(keyed.hint("merge"), "row_key").select("bin", "node", "text")
     schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
 
-    def confirm(wanted: pa.Table, held: pa.Table) -> pa.Table:
+    def confirm(wanted: pa.Table, found: pa.Table) -> pa.Table:
         sets = {}
-        for node, text in zip(held.column("node").to_pylist(), raw(held.column("text").combine_chunks())):
-            found = shingle_set(text, width)
-            if xxhash.xxh3_128_digest(found.tobytes()) == node:
-                sets[node] = found
+        for node, text in zip(found.column("node").to_pylist(), raw(found.column("text").combine_chunks())):
+            shingles = shingle_set(text, width)
+            if xxhash.xxh3_128_digest(shingles.tobytes()) == node:
+                sets[node] = shingles
         parent = {node: node for node in sets}
 
         def root(node):
@@ -215,12 +240,24 @@ def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, per
             return node
 
         us, vs = [], []
-        for a, b in zip(wanted.column("a").to_pylist(), wanted.column("b").to_pylist()):
+
+        def link(a, b):
             ra, rb = root(a), root(b)
             if ra != rb and similar(sets[a], sets[b], percent):
                 parent[ra] = rb
                 us.append(a)
                 vs.append(b)
+
+        members, centres = {}, {}
+        for a, b, centre in zip(*(wanted.column(c).to_pylist() for c in ("a", "b", "centre"))):
+            if centre is None:
+                link(a, b)
+            else:
+                (centres if centre else members).setdefault(b, []).append(a)
+        for name, held in members.items():
+            for centre in centres.get(name, ()):
+                for member in held:
+                    link(member, centre)
         return pa.Table.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], schema=schema)
 
     return binned.groupBy("bin").cogroup(texts.groupBy("bin")).applyInArrow(confirm, "u binary, v binary")
@@ -248,8 +285,8 @@ def near_duplicates(
     classes = sketched.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("signature").alias("signature"))
     classes, _ = written(classes, "classes")
-    pairs, _ = written(candidates(classes, trees, depth), "pairs")
-    roots, _ = written(components(links(docs, classes, pairs, width, percent)), "roots")
+    pairs, crowd = candidates(classes, trees, depth)
+    roots, _ = written(components(links(docs, classes, pairs, crowd, width, percent)), "roots")
     ids = classes.select("node", "first_id")
     named = roots.join(ids, "node").groupBy("root").agg(F.min("first_id").alias("id"))
     component, _ = written(
@@ -257,7 +294,7 @@ def near_duplicates(
             "node", F.coalesce("id", "first_id").alias("component")),
         "components",
     )
-    return sketched.drop("signature").join(component, "node", "left").select(
+    return sketched.drop("signature").join(component.hint("merge"), "node", "left").select(
         "doc_id", "row_key", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
