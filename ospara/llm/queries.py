@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ospara.llm import binary, bpe, counts, lines, minhash, packing, quality, rules, topk
+from ospara.llm import binary, bpe, counts, licenses, lines, minhash, packing, quality, rules, topk
 from ospara.plans.base import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judged(Tables(spark, folder).documents)
 
 
+def op8_positional_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(Tables(spark, folder).documents)
+
+
 def op9_no_random_access_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(Tables(spark, folder).embeddings)
     return topk.exact_top_k(vectors, vectors.filter("id % 100 = 0"))
@@ -82,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op5_pre_token_counts": op5_pre_token_counts,
         "op6_best_fit_matrices": op6_best_fit_matrices,
         "op7_weak_supervision": op7_weak_supervision,
+        "op8_positional_licenses": op8_positional_licenses,
         "op9_no_random_access_top_k": op9_no_random_access_top_k,
         "op10_line_chunks": op10_line_chunks,
     }
@@ -90,5 +95,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_weak_supervision": rules.sql(),
+        "op8_positional_licenses": licenses.sql(),
         "op9_no_random_access_top_k": OP9_SQL,
     }
