@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
     rank = F.xxhash64("doc_id")
     drawn = F.pmod(rank, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(marked.hint("merge"), "doc_id")  # both sides grow.select("text", "label", rank.alias("rank"), drawn.alias("drawn"))
+    joined = texts.join(marked.hint("merge"), "doc_id").select("text", "label", rank.alias("rank"), drawn.alias("drawn"))
     schema = pa.schema([("feature", pa.int32()), ("zeros", pa.int64()), ("ones", pa.int64()),
                         ("rank", pa.int64()), ("label", pa.int32()), ("features", pa.binary())])
 

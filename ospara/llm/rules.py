@@ -150,10 +150,10 @@ def judged(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that the verdict keeps; all columns stay.
 
-    The signals are computed once for the votes and once for the verdict,
-    which is less than a shuffle of whole texts.
+    Rows are written with their signals, which are computed once for the
+    votes and the verdict; a filter above them would be pushed into their steps.
     """
-    signals = with_signals(docs, F.col("text"), F.struct("*").alias("row"))
+    signals, _ = written(with_signals(docs, F.col("text"), F.struct("*").alias("row")), "judged")
     found = estimate(patterns_of(signals))
     scored = signals.select("_keep", *SIGNALS, *votes()).withColumn("posterior", found.posterior())
     return scored.filter(~base_failed() & (F.col("posterior") >= THRESHOLD)).select("_keep.row.*")
