@@ -6,7 +6,7 @@ so that sets with a long common prefix stand next to each other. Candidates
 are neighbours in a sorted order that share ``depth`` minima or more. Where a
 region of such sets is longer than the neighbourhood, the order decides by its
 depth: a set is compared with those of the longest common prefix next to it,
-and with the crowd's centres, the sets whose prefixes are longest over all
+and with the region's centres, the sets whose prefixes are longest over all
 trees. Every candidate link is confirmed on full sets of 64-bit shingle hashes.
 
 Equal sets are folded into one node first, so copies make no pairs. The
@@ -48,7 +48,7 @@ KEY = 12
 #: Neighbours on each side in an order, and in a region that is longer.
 NEIGHBOURS = 6
 CROWDED_NEIGHBOURS = 2
-#: Centres of a crowd; a smaller crowd is compared whole. Members of a crowd per bin.
+#: Centres of a long region; a smaller one is compared whole. Members of a region per bin.
 CENTRES = 512
 CROWD_BLOCK = 1024
 #: Pairs that a bin confirms, about.
@@ -149,22 +149,24 @@ def candidates(classes: DataFrame, trees: int, depth: int) -> tuple[DataFrame, D
 
 
 def crowds(crowd: DataFrame) -> DataFrame:
-    """(root, block, node, centre): members of crowds in blocks, and the crowd's centres in every block.
+    """(root, block, node, centre): members of long regions in blocks, and the region's centres in every block.
 
-    Long regions that share sets are one crowd, whatever the tree.
+    A set belongs to the block of its longest region, whatever the tree; the
+    centres are chosen from all sets of the region.
     """
-    members, _ = written(crowd.select(F.col("a").alias("node"), "region", "shared").distinct(), "crowd")
-    region = F.unhex(F.lpad(F.hex("region"), 16, "0"))
-    roots = components(members.select(F.col("node").alias("u"), region.alias("v")))
+    members = crowd.select(F.col("a").alias("node"), "region", "shared").distinct()
+    members, _ = written(members, "members")
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
     central = members.groupBy("node").agg(F.sum("shared").alias("central"))
-    named, _ = written(central.join(roots, "node"), "crowds")
-    blocks = named.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).alias("blocks"))
-    centres = top_k(named, ["root"], [F.desc("central"), F.asc("node")], CENTRES).select("root", "node")
-    sizes, _ = written(blocks, "crowd-sizes")
-    dealt = named.join(sizes, "root").select(
+    placed, _ = written(members.join(sizes, "region").join(central, "node"), "crowd")
+    homes, _ = written(placed.groupBy("node").agg(F.max(F.struct("size", "region"))["region"].alias("root")), "homes")
+    blocks, _ = written(homes.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).alias("blocks")), "crowd-sizes")
+    dealt = homes.join(blocks, "root").select(
         "root", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node", F.lit(False).alias("centre"))
-    everywhere = centres.join(sizes, "root").select(
-        "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "node", F.lit(True).alias("centre"))
+    chosen = placed.join(blocks.withColumnRenamed("root", "region"), "region")
+    everywhere = top_k(chosen, ["region"], [F.desc("central"), F.asc("node")], CENTRES).select(
+        F.col("region").alias("root"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        "node", F.lit(True).alias("centre"))
     return written(dealt.unionByName(everywhere), "crowd-blocks")[0]
 
 
@@ -218,7 +220,7 @@ def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, crowd: DataFram
     place = F.pmod(F.xxhash64("label", F.coalesce(salt, F.lit(0))), F.lit(bins)).alias("bin")
     paired = dealt.join(large, "label", "left").select(place, "a", "b", F.lit(None).cast("boolean").alias("centre"))
     gathered = crowd.select(F.pmod(F.xxhash64("root", "block"), F.lit(bins)).alias("bin"), F.col("node").alias("a"),
-                            F.col("root").alias("b"), "centre")
+                            F.col("root").cast("string").cast("binary").alias("b"), "centre")
     binned, _ = written(paired.unionByName(gathered), "binned")
     needed = binned.select("bin", F.explode(F.when(F.col("centre").isNull(), F.array("a", "b")).otherwise(F.array("a"))).alias("node"))
     needed = needed.distinct()
