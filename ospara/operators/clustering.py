@@ -7,12 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
@@ -65,14 +64,22 @@ def with_silhouette(df: DataFrame, label: str, vector: str, stats: ClusterStats
     return df.withColumn("silhouette", udf(F.col(vector), F.col(label)))
 
 
+def _number(x: Column) -> Column:
+    """NULL instead of NaN."""
+    return F.when(~F.isnan(x), x)
+
+
 def with_center_distance(df: DataFrame, vector: str, centers: np.ndarray, label: str | None = None,
                          clusters: Sequence | None = None) -> DataFrame:
-    """Distance to the own centre when ``label`` is given, else to the nearest."""
+    """Distance to the own centre when ``label`` is given, else to the nearest.
+
+    A vector that is null or of another length has none.
+    """
     distances = vectors.scores_to(centers, "euclidean")(F.col(vector))
     if label is None:
-        return df.withColumn("distance_to_center", F.array_min(distances))
+        return df.withColumn("distance_to_center", _number(F.array_min(distances)))
     place = F.array_position(F.array(*[F.lit(c) for c in clusters]), F.col(label)).cast("int")
-    return df.withColumn("distance_to_center", F.element_at(distances, place))
+    return df.withColumn("distance_to_center", _number(F.try_element_at(distances, F.nullif(place, F.lit(0)))))
 
 
 def cluster_profile(df: DataFrame, label: str, vector: str) -> DataFrame:
@@ -112,36 +119,6 @@ def davies_bouldin(df: DataFrame, label: str, vector: str) -> float:
     return quality(df, label, vector)[1]
 
 
-def pairwise_silhouette(df: DataFrame, label: str, vector: str) -> DataFrame:
-    """Plain Euclidean silhouette per row, for tables of a checked small size.
-
-    It needs every pair of rows; larger tables use ``with_silhouette``.
-    """
-    rows = collect_small(df.select(label, vector), MAX_PAIRWISE_ROWS, "table for the pairwise silhouette")
-    points = np.array([r[1] for r in rows], dtype=float)
-    names = sorted({r[0] for r in rows})
-    place = {c: i for i, c in enumerate(names)}
-    member = np.zeros((len(rows), len(names)))
-    member[np.arange(len(rows)), [place[r[0]] for r in rows]] = 1.0
-    counts = member.sum(axis=0)
-
-    @F.arrow_udf("double")
-    def score(v: pa.Array, own_label: pa.Array) -> pa.Array:
-        x = vectors.batch_matrix(v, points.shape[1])
-        own = np.array([place[c] for c in own_label.to_pylist()], dtype=int)
-        at = np.arange(len(x))
-        total = vectors.distance_matrix(x, points) @ member
-        a = total[at, own] / np.maximum(counts[own] - 1, 1)
-        mean = total / counts
-        mean[at, own] = np.inf
-        b = mean.min(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = np.where(counts[own] > 1, (b - a) / np.maximum(a, b), 0.0)
-        return pa.array(np.nan_to_num(s))
-
-    return df.withColumn("silhouette", score(F.col(vector), F.col(label)))
-
-
 def kmeans(df: DataFrame, vector: str, k: int, seed: int = SEED, max_iter: int = 20):
     """Fitted model and the table with its ``cluster`` column."""
     doubles = F.transform(vector, lambda x: x.cast("double"))
@@ -159,15 +136,18 @@ def hierarchical(df: DataFrame, vector: str, k: int, seed: int = SEED) -> DataFr
 
 
 def assign(df: DataFrame, vector: str, names: Sequence, centers: np.ndarray) -> DataFrame:
-    """Nearest of fixed centres per row; ties go to the first."""
+    """Nearest of fixed centres per row; ties go to the first.
+
+    A vector that is null or of another length gets no cluster.
+    """
     distances = vectors.scores_to(centers, "euclidean")(F.col(vector))
     least = F.array_min(F.col("_d"))
     return (
         df.withColumn("_d", distances)
-        .withColumn("cluster", F.element_at(F.array(*[F.lit(c) for c in names]),
-                                            F.array_position("_d", least).cast("int")))
-        .withColumn("distance_to_center", least)
-        .drop("_d")
+        .withColumn("distance_to_center", _number(least))
+        .withColumn("cluster", F.when(F.col("distance_to_center").isNotNull(), F.element_at(
+            F.array(*[F.lit(c) for c in names]), F.array_position("_d", least).cast("int"))))
+        .select(*df.columns, "cluster", "distance_to_center")
     )
 
 

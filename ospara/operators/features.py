@@ -248,9 +248,3 @@ def reduce(df: DataFrame, columns: Sequence[str], n: int | None = None, threshol
 
 def vector_columns(df: DataFrame, vector: str, n: int, prefix: str = "f") -> DataFrame:
     return df.select("*", *[F.col(vector)[i].cast("double").alias(f"{prefix}{i}") for i in range(n)])
-
-
-def expand(df: DataFrame, ml_vector: str, prefix: str, n: int) -> DataFrame:
-    """An ML vector as columns prefix_0 .. prefix_n."""
-    array = vector_to_array(ml_vector)
-    return df.select(*[c for c in df.columns if c != ml_vector], *[array[i].alias(f"{prefix}_{i}") for i in range(n)])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -18,9 +18,14 @@ LEVEL_SCORES = {"S1": 100.0, "S2": 75.0, "S3": 50.0, "S4": 25.0}
 
 
 def anomaly_model(df: DataFrame, columns: Sequence[str], label: str, trees: int = 200, seed: int = SEED) -> PipelineModel:
-    """Scaler and random forest; transform adds ``prediction`` and ``probability``."""
+    """Median imputer, scaler and random forest; transform adds ``prediction`` and ``probability``.
+
+    Rows with gaps are kept: a gap counts as the column's median.
+    """
+    filled = [f"_filled_{c}" for c in columns]
     stages = [
-        VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
+        Imputer(inputCols=list(columns), outputCols=filled, strategy="median"),
+        VectorAssembler(inputCols=filled, outputCol="_raw", handleInvalid="keep"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True),
         RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed),
     ]

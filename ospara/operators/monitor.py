@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from ospara.functions import rules
 
 
-def task_records(df: DataFrame, action: str, agent: str = "triage") -> DataFrame:
-    """Queue entries for incidents (incident_id, vector_id, severity)."""
+def task_records(df: DataFrame, action: str, agent: str = "triage", keep: Sequence[str] = ()) -> DataFrame:
+    """Queue entries for incidents (incident_id, vector_id, severity), beside the columns to ``keep``."""
     task = F.struct(F.lit(action).alias("action"), "incident_id", "vector_id")
     return df.select(
-        "incident_id", F.to_json(task).alias("task_json"), F.lit("pending").alias("status"),
+        "incident_id", *keep, F.to_json(task).alias("task_json"), F.lit("pending").alias("status"),
         F.lit(agent).alias("agent"), rules.priority_of(F.col("severity")).alias("priority"),
     )
 

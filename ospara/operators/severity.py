@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import rules, vectors
 
+# Size of a text's word vector.
+WORD_BUCKETS = 256
 # Similarity from which a rule counts as matched.
 SIMILARITY_THRESHOLD = 0.65
 TOP_MATCHES = 3
@@ -77,12 +82,37 @@ SEVERITY_RULES = (
 )
 
 
+def word_counts(text: str | None, buckets: int = WORD_BUCKETS) -> np.ndarray:
+    """A text as counts of its lower-case words, each in the bucket that its MD5 names."""
+    out = np.zeros(buckets)
+    for word in re.findall("[a-z0-9]+", (text or "").lower()):
+        out[int(hashlib.md5(word.encode()).hexdigest()[:6], 16) % buckets] += 1
+    return out
+
+
+def text_scores(patterns: Sequence[str], buckets: int = WORD_BUCKETS):
+    """UDF: cosines of a text with each pattern as hashed word vectors, to nine places."""
+    matrix = np.stack([word_counts(p, buckets) for p in patterns])
+
+    @F.arrow_udf("array<double>")
+    def scores(text: pa.Array) -> pa.Array:
+        texts = text.to_pylist()
+        known = {x: i for i, x in enumerate(dict.fromkeys(texts))}
+        rows = np.stack([word_counts(x, buckets) for x in known]) if known else np.zeros((0, buckets))
+        found = np.round(vectors.cosine_matrix(rows, matrix), 9).tolist()
+        return pa.array([found[known[x]] for x in texts], pa.list_(pa.float64()))
+
+    return scores
+
+
 def with_matches(
-    df: DataFrame, vector: str, names: Sequence, matrix: np.ndarray, threshold: float = SIMILARITY_THRESHOLD
+    df: DataFrame, vector: str | None, names: Sequence, matrix: np.ndarray | None, threshold: float = SIMILARITY_THRESHOLD,
+    scores: Column | None = None,
 ) -> DataFrame:
     """Add ``matches``: rules at or above the threshold, best first.
 
-    Equal similarities put the smaller rule name first.
+    Similarities are cosines of ``vector`` with ``matrix``, or given as
+    ``scores``. Equal similarities put the smaller rule name first.
     """
     known = F.array(*[F.lit(n) for n in names])
     pairs = F.arrays_zip(known.alias("rule"), F.col("_scores").alias("similarity"))
@@ -94,8 +124,8 @@ def with_matches(
         .when(a["rule"] < b["rule"], -1)
         .otherwise(1),
     )
-    scored = df.withColumn("_scores", vectors.scores_to(matrix)(F.col(vector)))
-    return scored.withColumn("matches", by_score).drop("_scores")
+    found = scores if scores is not None else vectors.scores_to(matrix)(F.col(vector))
+    return df.withColumn("_scores", found).withColumn("matches", by_score).drop("_scores")
 
 
 def score(
@@ -145,14 +175,15 @@ def exact_tier(text: str, tiers: Mapping[str, tuple[float, Sequence[str]]] = TIE
 def tiered(
     df: DataFrame, text: str, vector: str | None = None, patterns: Sequence[tuple[str, str]] = (),
     matrix: np.ndarray | None = None, tiers: Mapping[str, tuple[float, Sequence[str]]] = TIERS,
+    scores: Column | None = None,
 ) -> DataFrame:
     """Tier by literal pattern, else by the best weighted similarity.
 
-    ``patterns`` names (tier, pattern) for each row of ``matrix``, in tier
-    order; without vectors a text without a literal hit is low with 0.
+    ``patterns`` names (tier, pattern) for each row of ``matrix``, or each of
+    the given ``scores``, in tier order; without either a text without a literal hit is low with 0.
     """
     exact = exact_tier(text, tiers)
-    if vector is None:
+    if vector is None and scores is None:
         soft = F.struct(F.lit("low").alias("severity"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("rule_match"))
         return df.withColumn("_m", F.coalesce(exact, soft)).select(*df.columns, "_m.*")
     weights = F.array(*[F.lit(float(tiers[t][0])) for t, _ in patterns])
@@ -165,5 +196,6 @@ def tiered(
         F.greatest(best, F.lit(0.0)).alias("confidence"),
         F.when(best > 0, named["rule_match"]).alias("rule_match"),
     )
-    scored = df.withColumn("_scores", vectors.scores_to(matrix)(F.col(vector))).withColumn("_weighted", weighted)
+    found = scores if scores is not None else vectors.scores_to(matrix)(F.col(vector))
+    scored = df.withColumn("_scores", found).withColumn("_weighted", weighted)
     return scored.withColumn("_m", F.coalesce(exact, soft)).select(*df.columns, "_m.*")

@@ -86,7 +86,7 @@ def single_key_counts(t: Tables):
     return t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-DIMS = 4
+DIMS = 64
 GROUP_STATS = ", ".join(
     f"round(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 2) + 0.0 AS mean_{i}, "
     f"round(stddev_samp(CAST(embedding[{i + 1}] AS DOUBLE)), 2) AS std_{i}"
@@ -268,8 +268,8 @@ def cluster_profile(t: Tables):
 
 @plan(
     "a14_deviating_feature",
-    """WITH c AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 5) r(i) GROUP BY label, i),
-         g AS (SELECT i, avg(embedding[i]::DOUBLE) AS g FROM embeddings, range(1, 5) r(i) GROUP BY i),
+    """WITH c AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) r(i) GROUP BY label, i),
+         g AS (SELECT i, avg(embedding[i]::DOUBLE) AS g FROM embeddings, range(1, 65) r(i) GROUP BY i),
          r AS (SELECT label, i, m, m - g AS gap, row_number() OVER (PARTITION BY label ORDER BY abs(m - g) DESC, i) AS n
                FROM c JOIN g USING (i))
        SELECT label, 'f' || (i - 1) AS feature, round(m, 6) AS mean, round(gap, 6) AS gap FROM r WHERE n = 1""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ospara.operators import access, classify, clustering, joins, monitor, timeseries
-from ospara.plans.aggregates import CENTER_SQL, label_queries
+from ospara.plans.aggregates import CENTER_SQL, DIMS, label_queries
 from ospara.plans.base import Tables, plan, rnd
 
 
@@ -53,10 +53,14 @@ def keyword_rules(t: Tables):
     )
 
 
+CENTROIDS = ", ".join(f"round(c[{i + 1}], 6) + 0.0 AS centroid_{i}" for i in range(DIMS))
+FEATURES = ", ".join(f"embedding[{i + 1}]::DOUBLE AS f{i}" for i in range(DIMS))
+
+
 @plan(
     "j04_sizes_with_centroids",
     f"""WITH {CENTER_SQL}, s AS (SELECT label, count(*) AS size FROM embeddings GROUP BY label)
-        SELECT label, size, round(c[1], 6) + 0.0 AS centroid_0, round(c[2], 6) + 0.0 AS centroid_1 FROM s LEFT JOIN centers USING (label)""",
+        SELECT label, size, {CENTROIDS} FROM s LEFT JOIN centers USING (label)""",
 )
 def sizes_with_centroids(t: Tables):
     sizes = t.embeddings.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
@@ -64,7 +68,7 @@ def sizes_with_centroids(t: Tables):
 
     centers = vectors.group_means(t.embeddings, "label", "embedding").drop("size")
     return sizes.join(centers, "label", "left").select(
-        "label", "size", *[rnd(F.col("center")[i], 6).alias(f"centroid_{i}") for i in range(2)]
+        "label", "size", *[rnd(F.col("center")[i], 6).alias(f"centroid_{i}") for i in range(DIMS)]
     )
 
 
@@ -212,14 +216,14 @@ def last_wins_merge(t: Tables):
 
 @plan(
     "j11_feature_blocks",
-    f"""WITH {CENTER_SQL} SELECT vec_id, embedding[1]::DOUBLE AS f0, embedding[2]::DOUBLE AS f1, label,
+    f"""WITH {CENTER_SQL} SELECT vec_id, {FEATURES}, label,
           round(list_distance(embedding::DOUBLE[], c), 6) AS distance FROM embeddings JOIN centers USING (label)""",
 )
 def feature_blocks(t: Tables):
     stats = clustering.cluster_stats(t.embeddings, "label", "embedding")
     with_distance = clustering.with_center_distance(t.embeddings, "embedding", stats.centers, "label", stats.clusters)
     return with_distance.select(
-        "vec_id", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(2)], "label",
+        "vec_id", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(DIMS)], "label",
         rnd("distance_to_center", 6).alias("distance"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ospara.functions import text, vectors
 from ospara.operators import classify, clustering, features, guardrails, monitor
-from ospara.plans.aggregates import KNN_SQL, label_queries, with_dims
+from ospara.plans.aggregates import DIMS, KNN_SQL, label_queries, with_dims
 from ospara.plans.base import Tables, plan
 from ospara.plans.combining import rule_case
 from ospara.plans.scalars import CHUNK_SQL, PII_SQL
@@ -54,8 +54,8 @@ def embed_and_store(t: Tables):
 
 @plan("d03_cluster_documents")
 def cluster_documents(t: Tables):
-    names = [f"f{i}" for i in range(16)]
-    table = features.scale(with_dims(t, 16), names, "standard").withColumn("_v", F.array(*names))
+    names = [f"f{i}" for i in range(DIMS)]
+    table = features.scale(with_dims(t), names, "standard").withColumn("_v", F.array(*names))
     best, _ = clustering.choose_k(table, "_v", range(2, 7), by="silhouette")
     _, out = clustering.kmeans(table.select("vec_id", "_v"), "_v", best)
     return out.select("vec_id", "cluster")
@@ -104,19 +104,21 @@ def audit_append(t: Tables):
 
 @plan(
     "d08_incident_intake",
-    """SELECT o_orderkey AS incident_id, split_part(o_orderpriority, '-', 2) AS severity, 'vec-' || label AS vector_id,
+    """SELECT o_orderkey AS incident_id, split_part(o_orderpriority, '-', 2) AS severity, vector_id,
          CASE split_part(o_orderpriority, '-', 2) WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'HIGH' THEN 3 ELSE 1 END AS priority,
-         '{"action":"analyze_incident","incident_id":' || o_orderkey || ',"vector_id":"vec-' || label || '"}' AS task_json
-       FROM orders JOIN embeddings ON vec_id = o_orderkey""",
+         '{"action":"analyze_incident","incident_id":' || o_orderkey || ',"vector_id":"' || vector_id || '"}' AS task_json
+       FROM (SELECT *, coalesce('vec-' || label, 'order-' || o_orderkey) AS vector_id
+             FROM orders LEFT JOIN embeddings ON vec_id = o_orderkey) x""",
 )
 def incident_intake(t: Tables):
     vector_ids = t.embeddings.select("vec_id", F.concat(F.lit("vec-"), F.col("label")).alias("vector_id"))
-    records = t.orders.join(vector_ids, F.col("vec_id") == F.col("o_orderkey")).select(
-        F.col("o_orderkey").alias("incident_id"), "vector_id",
+    own = F.concat(F.lit("order-"), F.col("o_orderkey"))
+    records = t.orders.join(vector_ids, F.col("vec_id") == F.col("o_orderkey"), "left").select(
+        F.col("o_orderkey").alias("incident_id"), F.coalesce("vector_id", own).alias("vector_id"),
         F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("severity"),
     )
-    tasks = monitor.task_records(records, "analyze_incident")
-    return records.join(tasks, "incident_id").select("incident_id", "severity", "vector_id", "priority", "task_json")
+    tasks = monitor.task_records(records, "analyze_incident", keep=("severity", "vector_id"))
+    return tasks.select("incident_id", "severity", "vector_id", "priority", "task_json")
 
 
 @plan(
@@ -140,11 +142,12 @@ def alert_intake(t: Tables):
 
 @plan(
     "d10_search_page",
-    f"""WITH {KNN_SQL} SELECT query_id, rank::INTEGER AS rank, doc_id, lang AS domain, substr(text, 1, 200) AS snippet
-        FROM byc JOIN documents ON doc_id = vec_id WHERE rank <= 3""",
+    f"""WITH {KNN_SQL} SELECT query_id, rank::INTEGER AS rank, vec_id AS doc_id, coalesce(lang, '') AS domain,
+          coalesce(substr(text, 1, 200), '') AS snippet FROM byc LEFT JOIN documents ON doc_id = vec_id WHERE rank <= 3""",
 )
 def search_page(t: Tables):
     hits = vectors.nearest(t.embeddings, "vec_id", "embedding", *label_queries(t), 3)
     named = hits.select("query_id", "rank", F.col("vec_id").alias("doc_id"))
-    page = monitor.search_page(named, t.documents, ["doc_id", "lang"]).filter("lang is not null")
-    return page.select("query_id", "rank", "doc_id", F.col("lang").alias("domain"), "snippet")
+    page = monitor.search_page(named, t.documents, ["doc_id", "lang"])
+    return page.select("query_id", "rank", "doc_id", F.coalesce("lang", F.lit("")).alias("domain"),
+                       F.coalesce("snippet", F.lit("")).alias("snippet"))

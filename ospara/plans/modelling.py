@@ -396,43 +396,81 @@ def two_tier_severity(t: Tables):
 
 
 SEVERITY_THRESHOLD = 0.15
+BUCKET_SQL = f"('0x' || substr(md5({{w}}), 1, 6))::INTEGER % {severity.WORD_BUCKETS}"
+
+
+def similarity_sql(rows: str) -> str:
+    """Similarity of each analysis text with each pattern of ``rows`` (rule, weight, place), as hashed word vectors."""
+    word, text = BUCKET_SQL.format(w="unnest(string_split(rule, ' '))"), BUCKET_SQL.format(w="w")
+    return f"""{TEXT_FIELDS_SQL}, patterns(rule, weight, place) AS (VALUES {rows}),
+        rw AS (SELECT rule, b, count(*)::DOUBLE AS n FROM (SELECT rule, {word} AS b FROM patterns) GROUP BY ALL),
+        rn AS (SELECT rule, sqrt(sum(n * n)) AS norm FROM rw GROUP BY rule),
+        tw AS (SELECT analysis, b, count(*)::DOUBLE AS n FROM (SELECT analysis, {text} AS b FROM (
+                 SELECT analysis, unnest(regexp_extract_all(lower(analysis), '[a-z0-9]+')) AS w
+                 FROM (SELECT DISTINCT analysis FROM factored))) GROUP BY ALL),
+        tn AS (SELECT analysis, sqrt(sum(n * n)) AS norm FROM tw GROUP BY analysis),
+        sims AS (SELECT analysis, rule, weight, place, round(sum(tw.n * rw.n) / (any_value(tn.norm) * any_value(rn.norm)), 9) AS s
+                 FROM tw JOIN rw USING (b) JOIN tn USING (analysis) JOIN rn USING (rule) JOIN patterns USING (rule)
+                 GROUP BY analysis, rule, weight, place)"""
+
+
+TIER_PATTERNS = [(tier, p) for tier, (_, patterns) in severity.TIERS.items() for p in patterns]
+TIER_ROWS = ", ".join(f"('{p}', {severity.TIERS[tier][0]}::DOUBLE, {n})" for n, (tier, p) in enumerate(TIER_PATTERNS))
+TIER_NAMES = " ".join(f"WHEN '{p}' THEN '{tier}'" for tier, p in TIER_PATTERNS)
+LITERAL = " ".join(f"WHEN contains(lower(analysis), '{p}') THEN '{p}'" for _, p in TIER_PATTERNS)
+
+
+@plan(
+    "m23_similarity_tier",
+    f"""WITH {similarity_sql(TIER_ROWS)},
+        soft AS (SELECT analysis, rule AS soft_rule, s * weight AS soft_score FROM sims WHERE s > 0
+                 QUALIFY row_number() OVER (PARTITION BY analysis ORDER BY s * weight DESC, place) = 1),
+        found AS (SELECT event_id, CASE {LITERAL} END AS literal, soft_rule, soft_score FROM factored LEFT JOIN soft USING (analysis))
+        SELECT event_id, coalesce(CASE coalesce(literal, soft_rule) {TIER_NAMES} END, 'low') AS severity,
+          CASE WHEN literal IS NOT NULL THEN 1.0 ELSE round(coalesce(soft_score, 0.0), 6) END AS confidence,
+          coalesce(literal, soft_rule, '') AS rule_match FROM found""",
+)
+def similarity_tier(t: Tables):
+    records = incidents(t).select("event_id", jsonfields.analysis_text("payload").alias("analysis"))
+    scores = severity.text_scores([p for _, p in TIER_PATTERNS])(F.col("analysis"))
+    out = severity.tiered(records, "analysis", patterns=TIER_PATTERNS, scores=scores)
+    return out.select("event_id", "severity", rnd("confidence", 6).alias("confidence"),
+                      F.coalesce("rule_match", F.lit("")).alias("rule_match"))
+
+
+RULE_ROWS = ", ".join(f"('{r[0]}', {r[2]}::DOUBLE, {n})" for n, r in enumerate(severity.SEVERITY_RULES))
 
 
 def severity_scores(t: Tables):
-    """Incident records with the vector of their text, scored by the rule vectors."""
+    """All incident records, their analysis text scored by the severity rules."""
     records = incidents(t).select(
-        F.col("event_id").alias("vec_id"), jsonfields.analysis_text("payload").alias("analysis"),
-        jsonfields.environment("payload").alias("raw_env"),
-    )
-    texts = t.embeddings.select("vec_id", "embedding").join(records, "vec_id")
-    names, matrix = label_queries(t)
-    matched = severity.with_matches(texts, "embedding", names, matrix, SEVERITY_THRESHOLD)
-    base = {n: 100.0 - 10.0 * n for n in names}
+        "event_id", jsonfields.analysis_text("payload").alias("analysis"), jsonfields.environment("payload").alias("raw_env"))
+    base = {r[0]: float(r[2]) for r in severity.SEVERITY_RULES}
+    scores = severity.text_scores(list(base))(F.col("analysis"))
+    matched = severity.with_matches(records, None, list(base), None, SEVERITY_THRESHOLD, scores)
     out = severity.score(matched, base, rules.environment_factor(F.col("raw_env")))
     return out.withColumn("environment", rules.environment_name(F.col("raw_env")))
 
 
 @plan(
     "m24_severity_scoring",
-    f"""WITH {TEXT_FIELDS_SQL}, {CENTER_SQL},
-        sims AS (SELECT vec_id, c.label AS rule, list_cosine_similarity(embedding::DOUBLE[], c.c) AS s FROM embeddings, centers c),
-        best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, rule) AS n,
-                   count(*) OVER (PARTITION BY vec_id) AS hits FROM sims WHERE s >= 0.15) x WHERE n = 1),
-        scores AS (SELECT e.vec_id, environment, analysis, coalesce(b.s, 0.0) AS sim, coalesce(rule, -1) AS rule,
-            least(coalesce(hits, 0), 3) AS top,
-            CASE WHEN b.s IS NULL THEN 10.0 ELSE (100.0 - 10.0 * rule) * factor END AS rule_score,
-            CASE WHEN b.s IS NULL THEN 10.0 ELSE b.s * 100 * 0.4::DOUBLE + (100.0 - 10.0 * rule) * factor * 0.6::DOUBLE END AS combined
-          FROM embeddings e JOIN factored f ON f.event_id = e.vec_id LEFT JOIN best b ON b.vec_id = e.vec_id)
-        SELECT vec_id, environment, analysis, round(sim, 6) AS bert_score, round(rule_score, 6) AS rule_score,
-          round(combined, 6) AS combined_score, rule::INTEGER AS matched_pattern, top::INTEGER AS top_matches,
-          CASE WHEN rule = -1 THEN 'S4' WHEN combined >= 80 THEN 'S1' WHEN combined >= 60 THEN 'S2' WHEN combined >= 40 THEN 'S3' ELSE 'S4' END
+    f"""WITH {similarity_sql(RULE_ROWS)},
+        best AS (SELECT *, count(*) OVER (PARTITION BY analysis) AS hits FROM sims WHERE s >= {SEVERITY_THRESHOLD}
+                 QUALIFY row_number() OVER (PARTITION BY analysis ORDER BY s DESC, rule) = 1),
+        scores AS (SELECT event_id, environment, analysis, coalesce(b.s, 0.0) AS sim, coalesce(rule, '') AS rule,
+            least(coalesce(hits, 0), 3) AS top, CASE WHEN b.s IS NULL THEN 10.0 ELSE weight * factor END AS rule_score,
+            CASE WHEN b.s IS NULL THEN 10.0 ELSE b.s * 100 * 0.4::DOUBLE + weight * factor * 0.6::DOUBLE END AS combined
+          FROM factored LEFT JOIN best b USING (analysis))
+        SELECT event_id, environment, analysis, round(sim, 6) AS bert_score, round(rule_score, 6) AS rule_score,
+          round(combined, 6) AS combined_score, rule AS matched_pattern, top::INTEGER AS top_matches,
+          CASE WHEN rule = '' THEN 'S4' WHEN combined >= 80 THEN 'S1' WHEN combined >= 60 THEN 'S2' WHEN combined >= 40 THEN 'S3' ELSE 'S4' END
             AS severity_level FROM scores""",
 )
 def severity_scoring(t: Tables):
     return severity_scores(t).select(
-        "vec_id", "environment", "analysis", rnd("bert_score", 6).alias("bert_score"),
+        "event_id", "environment", "analysis", rnd("bert_score", 6).alias("bert_score"),
         rnd("rule_score", 6).alias("rule_score"), rnd("combined_score", 6).alias("combined_score"),
-        F.coalesce("matched_pattern", F.lit(-1)).alias("matched_pattern"), F.size("top_matches").alias("top_matches"),
+        F.coalesce("matched_pattern", F.lit("")).alias("matched_pattern"), F.size("top_matches").alias("top_matches"),
         "severity_level",
     )
 

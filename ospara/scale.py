@@ -255,16 +255,3 @@ def running_sums(
     for n in values:
         added = added.withColumn(n, F.col(n) + F.coalesce(f"_t_{n}", F.lit(0)))
     return added.select(*df.columns, *values)
-
-
-def salted_agg(
-    df: DataFrame,
-    keys: Sequence[str],
-    partial: Sequence[Column],
-    final: Sequence[Column],
-    salts: int = 16,
-) -> DataFrame:
-    """Two-step aggregate for functions whose state grows with the group."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)]), F.lit(salts))
-    first = df.withColumn("_salt", salt).groupBy(*keys, "_salt").agg(*partial)
-    return first.groupBy(*keys).agg(*final)

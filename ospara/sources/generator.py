@@ -72,12 +72,3 @@ def with_fields(df: DataFrame, fields: Mapping[str, Mapping], index: str, seed:
     return df.select(
         "*", *[field_column(name, s, F.col(index), seed + i).alias(name) for i, (name, s) in enumerate(fields.items())]
     )
-
-
-def generate_from_yaml(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        import yaml
-    except ImportError as e:
-        raise RuntimeError("reading a YAML schema needs PyYAML") from e
-    text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
-    return generate(spark, yaml.safe_load(text))

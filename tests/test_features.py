@@ -44,8 +44,6 @@ def test_silhouettes(points):
     x, y = as_arrays(points)
     fast = [r.silhouette for r in clustering.with_silhouette(points, "label", "v").orderBy("id").collect()]
     assert fast == pytest.approx(brute_silhouette(x, y, True), abs=1e-9)
-    plain = [r.silhouette for r in clustering.pairwise_silhouette(points, "label", "v").orderBy("id").collect()]
-    assert plain == pytest.approx(brute_silhouette(x, y, False), abs=1e-9)
 
 
 def test_davies_bouldin(points):
