@@ -56,7 +56,7 @@ def sql_scan(t: Tables):
 
 @plan(
     "s05_json_payload",
-    """SELECT event_id, json_extract(props, '$.k')::DOUBLE AS k, CASE WHEN event_id % 2 = 0 THEN event_type ELSE '' END AS kind
+    """SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, CASE WHEN event_id % 2 = 0 THEN event_type ELSE '' END AS kind
        FROM events""",
 )
 def json_payload(t: Tables):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from typing import Any
 
@@ -10,14 +11,12 @@ from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ospara.scale import collect_small
 from ospara.sources import generator
 
 # Content type by file extension.
 CONTENT_TYPES = {
     "txt": "text", "md": "text", "csv": "csv", "json": "json", "html": "html", "htm": "html", "parquet": "parquet",
 }
-MAX_JSON_KEYS = 1_000
 
 
 def parquet(spark: SparkSession, source: str, **options: Any) -> DataFrame:
@@ -45,23 +44,18 @@ def json(spark: SparkSession, source: Any, column: str | None = None, schema=Non
 def json_payload(df: DataFrame, column: str, schema: str | None = None) -> DataFrame:
     """Fields of a payload column beside the other columns.
 
-    Without a schema the union of all keys is taken (their number is checked);
-    a key whose values are all numbers becomes DOUBLE.
+    Without a schema one aggregate finds the union of all keys with the types
+    of their values: texts stay texts, whole numbers are BIGINT, others DOUBLE,
+    booleans BOOLEAN, mixed values VARIANT. Rows that are no JSON give NULLs.
     """
     others = [c for c in df.columns if c != column]
-    if schema:
-        return df.select(*others, F.from_json(column, schema).alias("_p")).select(*others, "_p.*")
-    keys = df.select(F.explode(F.json_object_keys(column)).alias("k")).distinct()
-    names = sorted(r["k"] for r in collect_small(keys, MAX_JSON_KEYS, "JSON keys"))
-    fields = {n: F.get_json_object(column, f"$['{n}']") for n in names}
-    if not fields:
-        return df.select(*others)
-    numeric = df.agg(
-        *[F.count_if(c.isNotNull() & c.try_cast("double").isNull()).alias(n) for n, c in fields.items()]
-    ).first()
-    return df.select(
-        *others, *[(c.cast("double") if numeric[n] == 0 else c).alias(n) for n, c in fields.items()]
-    )
+    if not schema:
+        found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0] or "VOID"
+        if not found.startswith("OBJECT<") or found == "OBJECT<>":
+            return df.select(*others)
+        typed = re.sub(r"DECIMAL\(\d+,\d+\)|FLOAT", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+        schema = typed.replace(": VOID", ": STRING")
+    return df.select(*others, F.from_json(column, schema).alias("_p")).select(*others, "_p.*")
 
 
 def sql(spark: SparkSession, source: str | None = None, **_: Any) -> DataFrame:

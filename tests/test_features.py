@@ -278,3 +278,39 @@ def test_sweep_and_feature_table(points):
 def test_suggestions():
     assert hyper.suggest("5 features, missing 12.5%") == {"k": 10, "imputer": "knn", "scaler": "robust"}
     assert hyper.suggest("nothing known")["k"] == 6 and hyper.suggest("1 features missing")["imputer"] == "median"
+
+
+def test_knn_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(features, "DONORS_PER_BLOCK", 16)
+    monkeypatch.setattr(features, "GAPS_PER_BLOCK", 4)
+    rng = np.random.default_rng(9)
+    values = rng.integers(0, 6, (120, 3)).astype(float)
+    values[rng.random((120, 3)) < 0.15] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in x]) for i, x in enumerate(values)]
+    out = features.knn_impute(spark.createDataFrame(rows, "i int, a double, b double, c double"), ["a", "b", "c"], k=4)
+    means = np.nanmean(values, axis=0)
+    for r in out.collect():
+        for j, got in enumerate((r.a, r.b, r.c)):
+            x = values[r.i]
+            if not np.isnan(x[j]):
+                assert got == x[j]
+                continue
+            shared = (~np.isnan(values - x)).sum(axis=1)
+            donors = [n for n in range(120) if shared[n] and not np.isnan(values[n, j])]
+            gap = {n: round(float(np.sqrt(np.nansum((values[n] - x) ** 2) * 3 / shared[n])), 9) for n in donors}
+            near = sorted(donors, key=lambda n: (gap[n], values[n, j]))[:4]
+            assert got == pytest.approx(np.mean([values[n, j] for n in near]) if near else means[j])
+
+
+def test_rows_with_gaps_are_scored(spark):
+    from ospara.operators import models
+
+    rows = [(float(i), None if i % 7 == 0 else float(i % 3), float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, label double")
+    assert models.anomaly_model(df, ["a", "b"], "label", trees=3).transform(df).count() == 60
+
+
+def test_vectors_without_numbers_get_no_cluster(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, None), (3, [1.0]), (4, [5.0, 5.0])], "i int, v array<double>")
+    out = {r.i: (r.cluster, r.distance_to_center) for r in clustering.assign(df, "v", [10, 20], np.array([[0.0, 0.0], [5.0, 5.0]])).collect()}
+    assert out == {1: (10, 0.0), 2: (None, None), 3: (None, None), 4: (20, 0.0)}

@@ -95,3 +95,11 @@ def test_text_embeddings(spark):
     assert out.columns == ["t"] + [f"emb_{i}" for i in range(8)]
     own = readers.text_embeddings(df, "t", 2, encoder=lambda c: F.array(F.length(c).cast("double"), F.lit(1.0)))
     assert own.first().emb_0 == 7.0
+
+
+def test_json_payload_keeps_types(spark):
+    df = spark.createDataFrame([(1, '{"code":"00123","ok":true,"n":7}'), (2, '{"code":"4","n":2.5}'), (3, "no json"), (4, None)], "id int, p string")
+    out = registry.ingest(spark, "json", df, column="p")
+    assert dict(out.dtypes) == {"id": "int", "code": "string", "n": "double", "ok": "boolean"}
+    rows = {r.id: r for r in out.collect()}
+    assert rows[1].code == "00123" and rows[1].ok is True and rows[2].n == 2.5 and rows[3].code is None
