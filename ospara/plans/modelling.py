@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from ospara.functions import jsonfields, rules, text, vectors
@@ -495,6 +496,44 @@ def hybrid_cascade(t: Tables):
     return out.select("doc_id", "domain", "category", "confidence", "method", F.size("previous").alias("tried"))
 
 
+#: Bound of the labelled rows that the text model is fitted on, those with the smallest hash.
+TEXT_MODEL_ROWS = 5_000
+
+CASCADE_CHECK_SQL = f"""SELECT doc_id, CASE WHEN c = 'none' THEN '' ELSE d END AS rule_domain, CASE WHEN c = 'none' THEN '' ELSE c END AS rule_category,
+          c <> 'none' AS by_rule, true AS gate_holds, true AS known_class
+        FROM (SELECT doc_id, {rule_case('domain')} AS d, {rule_case('category')} AS c FROM documents) x"""
+
+
+def fitted_cascade(t: Tables, classifier=None):
+    """Rules first, then a text model fitted on labelled documents; the model's part is shown by its gate."""
+    marked = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id")
+    named = marked.withColumn("kind", F.when(F.col("toxic") == 1, "support").otherwise("technical"))
+    sample = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TEXT_MODEL_ROWS)
+    model = classify.train_text_classifier(sample, "text", "kind", classifier, trees=20)
+    judged = classify.model_classification(model.transform(t.documents.select("doc_id", "text")), 0.6)
+    both = judged.select("doc_id", classify.rule_classification("text").alias("by_rule"), "ml_result", "predicted")
+    out = classify.cascade(both, [("rule-based", "by_rule"), ("ml-based", "ml_result")])
+    ruled = F.col("method") == "rule-based"
+    sure = F.col("confidence") >= 0.6
+    return out.select(
+        "doc_id", F.when(ruled, F.col("domain")).otherwise("").alias("rule_domain"),
+        F.when(ruled, F.col("category")).otherwise("").alias("rule_category"), ruled.alias("by_rule"),
+        (sure == (F.col("method") != "fallback")).alias("gate_holds"),
+        F.when(F.col("method") == "ml-based", (F.col("category") == F.col("predicted")) & F.col("predicted").isin("support", "technical"))
+        .otherwise(True).alias("known_class"),
+    )
+
+
+@plan("m25_fitted_cascade", CASCADE_CHECK_SQL)
+def cascade_with_forest(t: Tables):
+    return fitted_cascade(t)
+
+
+@plan("u05_own_estimator", CASCADE_CHECK_SQL)
+def cascade_with_own_estimator(t: Tables):
+    return fitted_cascade(t, LogisticRegression(featuresCol="features", labelCol="_label", maxIter=20, regParam=0.01))
+
+
 @plan(
     "m26_cluster_terms",
     r"""WITH w AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents),
