@@ -42,14 +42,15 @@ def secure_nearest(
 ) -> DataFrame:
     """Search for a caller whose read access was decided before.
 
-    ``attributes`` is None for a caller without access, who gets no rows; hits
-    whose required attributes the caller lacks are dropped from the top k.
+    ``attributes`` is None for a caller without access, who gets no rows; rows
+    whose required attributes the caller lacks are left out of the search, so
+    that the caller's ``k`` best are found.
     """
-    hits = vectors.nearest(df, id_col, vector, query_ids, queries, k)
     if attributes is None:
-        return hits.limit(0)
+        return vectors.nearest(df.limit(0), id_col, vector, query_ids, queries, k)
     owned = F.from_json(F.lit(json.dumps(dict(attributes))), "map<string,array<string>>")
-    return visible_rows(hits.join(requirements, id_col), "required_attributes", owned)
+    seen = visible_rows(requirements, "required_attributes", owned).select(id_col)
+    return vectors.nearest(df.join(seen, id_col, "left_semi"), id_col, vector, query_ids, queries, k)
 
 
 class CellIndex:

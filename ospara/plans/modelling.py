@@ -160,6 +160,24 @@ def reduction(t: Tables, n: int | None = None):
     return table, features.reduce(table, names, n=n, threshold=0.95)
 
 
+VARIANCES_SQL = "SELECT round(" + " + ".join(f"var_samp(embedding[{i + 1}]::DOUBLE)" for i in range(64)) + ", 4) AS total, true AS falling, true AS uncorrelated FROM embeddings"
+
+
+@plan("m06_component_variances", VARIANCES_SQL)
+def component_variances(t: Tables):
+    """Variances of all components fall and sum to those of the columns; neighbours do not correlate."""
+    table, fit = reduction(t, 64)
+    names = [f"pca{j + 1}" for j in range(64)]
+    row = fit.apply(table).agg(
+        F.array(*[F.var_samp(n) for n in names]).alias("v"),
+        F.array(*[F.abs(F.covar_samp(a, b)) for a, b in zip(names, names[1:])]).alias("c"),
+    )
+    falling = F.forall(F.sequence(F.lit(1), F.lit(63)), lambda i: F.get("v", i) <= F.get("v", i - 1) + 1e-9)
+    return row.select(
+        F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 4).alias("total"), falling.alias("falling"),
+        (F.array_max("c") < 1e-6).alias("uncorrelated"))
+
+
 @plan("m06_components")
 def components(t: Tables):
     table, fit = reduction(t)

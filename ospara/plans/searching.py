@@ -32,6 +32,16 @@ def nearest_euclidean(t: Tables):
     return hits.withColumn("score", rnd("score", 6))
 
 
+@plan(
+    "t03_all_cells",
+    f"WITH {KNN_SQL} SELECT query_id, vec_id, round(cos, 6) AS score, rank::INTEGER AS rank FROM byc",
+)
+def nearest_in_all_cells(t: Tables):
+    index = search.CellIndex.build(t.embeddings, "vec_id", "embedding", fresh_path(t.spark, "cells"), cells=16)
+    hits = index.search(*label_queries(t), 10, probes=16)
+    return hits.select("query_id", "vec_id", rnd("score", 6).alias("score"), "rank")
+
+
 @plan("t03_nearest_approximate")
 def nearest_approximate(t: Tables):
     index = search.CellIndex.build(t.embeddings, "vec_id", "embedding", fresh_path(t.spark, "cells"), cells=16)
@@ -138,8 +148,11 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
     "t11_secure_search",
     f"""WITH {combining.DECISION_SQL}, {KNN_SQL},
         me AS (SELECT segment FROM users WHERE user_id = (SELECT min(user_id) FROM decisions WHERE allowed))
-        SELECT query_id, vec_id, round(cos, 6) AS score FROM byc JOIN embeddings e USING (vec_id), me
-        WHERE vec_id % 4 <> 0 OR ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][e.label % 5 + 1] = segment""",
+        SELECT query_id, vec_id, round(cos, 6) AS score FROM (
+          SELECT query_id, vec_id, cos, row_number() OVER (PARTITION BY query_id ORDER BY cos DESC, vec_id) AS place
+          FROM s JOIN embeddings e USING (vec_id), me
+          WHERE vec_id % 4 <> 0 OR ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][e.label % 5 + 1] = segment) x
+        WHERE place <= 10""",
 )
 def secure_search(t: Tables):
     allowed = access.decide(combining.users(t), combining.roles(t), combining.policies(t), "read").filter("allowed")

@@ -67,6 +67,16 @@ def json_payload(t: Tables):
     return fields.withColumn("kind", F.coalesce("kind", F.lit("")))
 
 
+@plan(
+    "s06_embedding_norms",
+    "SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9_]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM documents",
+)
+def embedding_norms(t: Tables):
+    names = [F.col(f"emb_{i}") for i in range(64)]
+    out = readers.text_embeddings(t.texts.select("doc_id", "text"), "text", 64)
+    return out.select("doc_id", F.round(F.sqrt(sum((c * c for c in names), F.lit(0.0))), 6).alias("norm"))
+
+
 @plan("s06_text_embeddings")
 def text_embeddings(t: Tables):
     return readers.text_embeddings(t.texts.select("doc_id", "text"), "text", 64).drop("text")

@@ -32,7 +32,11 @@ def publish_subscribe(t: Tables):
     aside = sink.read(part="quarantine").select(
         "event_id", F.lit("quarantine").alias("state"), F.lit(-1).cast("long").alias("k")
     )
-    return handled.unionByName(aside)
+    parts = handled.unionByName(aside)
+    if sink.has("failed"):
+        lost = F.lit(None).cast("long").alias("k")
+        parts = parts.unionByName(sink.read(part="failed").select("event_id", F.lit("failed").alias("state"), lost))
+    return parts
 
 
 @plan("k02_score_in_flight")

@@ -11,6 +11,9 @@ import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.errors import (
+    ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, NumberFormatException, PythonException,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,6 +37,10 @@ class UpdateLog:
         reader = self.spark.read.option("basePath", f"{self.path}/{part}")
         return (reader.schema(schema) if schema else reader).parquet(f"{self.path}/{part}")
 
+    def has(self, part: str) -> bool:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
+
     def current(self, key: Sequence[str], part: str = "rows") -> DataFrame:
         """Newest row per key over all batches."""
         rows = self.read(part=part)
@@ -58,6 +65,13 @@ def event_stream(
     return stream.withColumn(ts, F.col(ts).cast("timestamp")) if ts in stream.columns else stream
 
 
+#: What a handler raises about its rows: its own errors, and those of expressions and functions.
+ROW_FAULTS = (
+    ValueError, TypeError, LookupError, ArithmeticError, RuntimeError, PythonException, ArithmeticException,
+    ArrayIndexOutOfBoundsException, DateTimeException, NumberFormatException,
+)
+
+
 def run(stream: DataFrame, handler: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None):
     """Process all available input through ``handler`` and wait for the end."""
     spark = stream.sparkSession
@@ -91,9 +105,11 @@ def new_log(spark: SparkSession, name: str) -> UpdateLog:
 
 
 def consume(stream: DataFrame, valid: Column, handle: Callable[[DataFrame], DataFrame], sink: UpdateLog) -> UpdateLog:
-    """Handle good rows, set bad ones aside; a failing handler stops nothing.
+    """Handle good rows, set bad ones aside; a handler that fails on its rows stops nothing.
 
-    A batch the handler cannot process is kept whole under ``failed``.
+    A batch the handler cannot process is kept whole under ``failed``. Faults
+    of the engine, such as lost tables or executors, end the stream, so that its
+    offsets do not advance.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -102,7 +118,7 @@ def consume(stream: DataFrame, valid: Column, handle: Callable[[DataFrame], Data
         sink.write(batch.filter(~F.coalesce(valid, F.lit(False))), batch_id, "quarantine")
         try:
             sink.write(handle(good), batch_id)
-        except Exception as e:  # noqa: BLE001
+        except ROW_FAULTS as e:
             log.warning("batch %s failed: %s", batch_id, e)
             sink.write(good, batch_id, "failed")
         batch.unpersist()
