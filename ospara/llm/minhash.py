@@ -277,10 +277,11 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH
 ) -> DataFrame:
-    """(doc_id, row_key, n_shingles, component_id, kept) of every document.
+    """(doc_id, row_key, n_shingles, root, component_id, kept) of every document.
 
-    Documents of a component are linked with each other by way of links;
-    ``component_id`` is its smallest doc_id, and that document is kept.
+    ``root`` names the component, whose documents are connected by links; it is
+    null for a document without shingles. ``component_id`` is the component's
+    smallest doc_id, and that document is kept.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sketched, _ = written(sketches(docs, width, trees * depth), "sketches")
@@ -292,24 +293,27 @@ def near_duplicates(
     ids = classes.select("node", "first_id")
     named = roots.join(ids, "node").groupBy("root").agg(F.min("first_id").alias("id"))
     component, _ = written(
-        ids.join(roots.join(named, "root").select("node", "id"), "node", "left").select(
-            "node", F.coalesce("id", "first_id").alias("component")),
+        ids.join(roots.join(named, "root").select("node", "root", "id"), "node", "left").select(
+            "node", F.coalesce("root", "node").alias("root"), F.coalesce("id", "first_id").alias("component")),
         "components",
     )
     return sketched.drop("signature").join(component.hint("merge"), "node", "left").select(
-        "doc_id", "row_key", "n_shingles",
+        "doc_id", "row_key", "n_shingles", "root",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents without near-duplicates of a kept one; all columns stay.
+    """One document of each component, the one of the smallest doc_id; all columns stay.
 
-    Rows that repeat in id and text count as one.
+    Rows that repeat in id and text count as one; of several rows with the
+    component's id, or without any id, one stays.
     """
-    keys = {"_k1": F.xxhash64("doc_id", "text"), "_k2": F.hash("doc_id", "text")}
+    parts = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
+    keys = {"_k1": F.xxhash64(*parts), "_k2": F.hash(*parts)}
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = near_duplicates(narrow, width, percent)
-    kept = found.filter("kept").groupBy("row_key").count().select(F.col("row_key").alias("_k1"))
+    group = F.coalesce(F.hex("root"), F.col("row_key").cast("string")).alias("group")
+    kept = found.filter("kept").groupBy(group).agg(F.min("row_key").alias("_k1")).select("_k1")
     whole = docs.select(F.struct("*").alias("_row"), *[v.alias(k) for k, v in keys.items()])
     return whole.join(kept, "_k1", "left_semi").dropDuplicates(["_k1", "_k2"]).select("_row.*")

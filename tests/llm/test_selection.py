@@ -71,6 +71,15 @@ def test_one_of_each_keeps_columns(spark):
     assert sorted(map(tuple, left.collect())) == [(1, "A b c d e f", "y", 2), (3, "", "z", 3)]
 
 
+def test_one_of_each_of_equal_and_missing_ids(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (1, "a b c d e f g h i j k L"), (1, "a b c d e f g h i j k l m"),
+                                  (1, "quite another text of some words"), (None, "x y z u v w"), (None, "X y z u v w")],
+                                 "doc_id int, text string")
+    left = [tuple(r) for r in minhash.one_of_each(docs).collect()]
+    assert len(left) == 3 and (1, "quite another text of some words") in left
+    assert sorted(str(i) for i, _ in left) == ["1", "1", "None"]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 100), (201, 200)], "u long, v long")
     found = {r.node: r.root for r in graph.components(edges).collect()}
