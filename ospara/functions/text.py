@@ -6,7 +6,6 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,58 +52,66 @@ def found(text: str, rule: DetectionRule) -> Column:
     return F.regexp_extract_all(text, F.lit(java_pattern(rule)), F.lit(0 if rule.is_regex else 1))
 
 
-def _spans(text: str, rule: DetectionRule, compiled: re.Pattern) -> list[tuple[int, int, str]]:
-    if rule.is_regex:
-        return [(m.start(), m.end(), m.group()) for m in compiled.finditer(text)]
-    hay = text if rule.case_sensitive else text.lower()
-    width = len(rule.pattern)
-    return [(m.start(), m.start() + width, text[m.start() : m.start() + width]) for m in compiled.finditer(hay)]
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _compiled(rule: DetectionRule) -> re.Pattern:
-    if rule.is_regex:
-        return re.compile(rule.pattern, 0 if rule.case_sensitive else re.IGNORECASE)
-    needle = rule.pattern if rule.case_sensitive else rule.pattern.lower()
-    return re.compile(f"(?={re.escape(needle)})")
+def _span(start: Column, text: Column) -> Column:
+    return F.struct(start.alias("start"), (start + F.length(text)).alias("end"), text.alias("text"))
 
 
 def spans_of(rule: DetectionRule):
-    """UDF: matches of one rule with their offsets in the text."""
+    """Matches of one rule with their offsets in the text, in order; NULL for a NULL text.
+
+    Offsets are running lengths of the pieces that the pattern cuts. A literal
+    cuts before each of its occurrences, so overlapping ones are found, too.
+    """
+    pattern, width = java_pattern(rule), len(rule.pattern)
+    none = F.array().cast(SPAN_TYPE)
+    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+
+    def regex_spans(text: Column) -> Column:
+        def step(a: Column, x: Column) -> Column:
+            span = _span(a["at"] + F.length(x["part"]), x["match"])
+            return F.struct(span["end"].alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
+
+        def placed(m: Column) -> Column:
+            parts = F.slice(F.split(text, pattern, -1), 1, F.size(m))
+            pieces = F.zip_with(parts, m, lambda p, q: F.struct(p.alias("part"), q.alias("match")))
+            return F.when(F.size(m) > 0, F.aggregate(pieces, begin, step, lambda a: a["spans"])).when(m.isNotNull(), none)
+
+        return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+
+    def literal_spans(text: Column) -> Column:
+        def step(a: Column, part: Column) -> Column:
+            span = _span(a["at"], F.substr(text, a["at"] + 1, F.lit(width)))
+            return F.struct((a["at"] + F.length(part)).alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
+
+        def placed(parts: Column) -> Column:
+            every = F.aggregate(parts, begin, step, lambda a: a["spans"])
+            first = text.rlike("^" + pattern)
+            return F.when(first, every).when(F.size(parts) > 1, F.slice(every, 2, F.size(parts))).when(text.isNotNull(), none)
 
-    @F.arrow_udf(SPAN_TYPE)
-    def spans(text: pa.Array) -> pa.Array:
-        compiled = _compiled(rule)
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
-        rows = [
-            None if t is None else [{"start": s, "end": e, "text": m} for s, e, m in _spans(t, rule, compiled)]
-            for t in text.to_pylist()
-        ]
-        return pa.array(rows, kind)
+        return _let(F.split(text, pattern, -1), placed)
 
-    return spans
+    return regex_spans if rule.is_regex else literal_spans
 
 
 def masker(rules: Sequence[DetectionRule], mask_char: str = "*"):
-    """UDF: each character inside a masked span replaced, length kept.
+    """Each character inside a masked span replaced, length kept.
 
     Spans come from the original text, so overlapping rules do not disturb
     each other, which chained replacements would.
     """
     masked = [r for r in rules if r.action == "mask"]
 
-    @F.arrow_udf("string")
-    def mask(text: pa.Array) -> pa.Array:
-        compiled = [(r, _compiled(r)) for r in masked]
-        out = []
-        for t in text.to_pylist():
-            marks = [(s, e) for r, c in compiled for s, e, _ in _spans(t, r, c)] if t else []
-            if marks:
-                chars = list(t)
-                for s, e in marks:
-                    chars[s:e] = mask_char * (e - s)
-                t = "".join(chars)
-            out.append(t)
-        return pa.array(out, pa.string())
+    def mask(text: Column) -> Column:
+        if not masked:
+            return text
+        spans = F.concat(*[spans_of(r)(text) for r in masked])
+        size = lambda s: s["end"] - s["start"]
+        return F.aggregate(spans, text, lambda t, s: F.overlay(t, F.repeat(F.lit(mask_char), size(s)), s["start"] + 1, size(s)))
 
     return mask
 

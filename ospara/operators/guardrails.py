@@ -44,7 +44,7 @@ def guard(
 ) -> DataFrame:
     """Add ``blocked`` and ``safe_text``: empty when blocked, else masked.
 
-    Blocked texts are not sent to the Python masker.
+    Blocked texts are not masked.
     """
     blocked = has_match(text, [r for r in rules if r.action == "block"])
     if toxicity is not None:

@@ -117,3 +117,17 @@ def test_fixed_text_rounds_like_python(spark):
     values = [9.35, 0.05, 2.5, 1234.25, -0.349, 0.125, 1e7 + 0.55]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert [r[0] for r in df.select(text.fixed_text(F.col("x"), 1)).collect()] == [f"{v:.1f}" for v in values]
+
+
+def test_masks_do_not_shift_after_growing_letters(spark):
+    df = spark.createDataFrame([("İİ token end",), ("ßtoken",), ("tokentoken",), ("",)], "t string")
+    rule = text.DetectionRule("t", "token", "security", is_regex=False)
+    rows = [r.m for r in df.select(text.masker([rule])(F.col("t")).alias("m")).collect()]
+    assert rows == ["İİ ***** end", "ß*****", "*" * 10, ""]
+
+
+def test_audit_and_mask_agree_on_accents(spark):
+    df = spark.createDataFrame([("worthlesś word",), ("worthless word",)], "t string")
+    rule = text.DetectionRule("w", r"\bworthless\b", "offensive")
+    rows = df.select(F.size(text.found("t", rule)).alias("n"), text.masker([rule])(F.col("t")).contains("*").alias("m")).collect()
+    assert all((r.n > 0) == r.m for r in rows) and rows[1].m
