@@ -255,6 +255,22 @@ def dbscan_clusters(t: Tables):
     return density.dbscan(plane(t), PLANE, 0.02, 5).select("vec_id", "core", "cluster")
 
 
+@plan("m10_cluster_sums", "SELECT count(*) AS n, 6::BIGINT AS clusters, true AS tighter FROM embeddings")
+def cluster_sums(t: Tables):
+    """All vectors fall into the asked number of clusters, whose inner squares stay below the whole's."""
+    labelled = clustering.hierarchical(t.embeddings.select("vec_id", "embedding"), "embedding", 6)
+    stats = clustering.cluster_stats(labelled, "cluster", "embedding")
+    whole = clustering.cluster_stats(labelled.withColumn("one", F.lit(0)), "one", "embedding")
+
+    def inner(s) -> float:
+        return float((s.squares - (s.sums**2).sum(axis=1) / s.counts).sum())
+
+    tighter = inner(stats) < inner(whole)
+    return t.spark.range(1).select(
+        F.lit(int(stats.counts.sum())).cast("long").alias("n"), F.lit(len(stats.counts)).cast("long").alias("clusters"),
+        F.lit(tighter).alias("tighter"))
+
+
 @plan("m10_hierarchical")
 def hierarchical(t: Tables):
     return clustering.hierarchical(t.embeddings.select("vec_id", "embedding"), "embedding", 6).select("vec_id", "cluster")
@@ -331,6 +347,15 @@ def anomaly_forest(t: Tables):
     return out.select("l_orderkey", "l_linenumber", "label", "prediction", rnd("confidence", 6).alias("confidence"))
 
 
+@plan("m18_gate", "SELECT vec_id, label::DOUBLE AS label, true AS gate_holds FROM embeddings")
+def classifier_gate(t: Tables):
+    """Every vector has a class; it is accepted just where its probability reaches the gate."""
+    out = vector_classifier(t)
+    fits = F.col("accepted") == F.when(F.col("confidence") >= 0.6, F.col("prediction")).otherwise(-1.0)
+    known = F.col("prediction").isin(*[float(i) for i in range(10)]) & F.col("confidence").between(0.0, 1.0)
+    return out.select("vec_id", "label", (fits & known).alias("gate_holds"))
+
+
 @plan("m18_vector_classifier")
 def vector_classifier(t: Tables):
     data = t.embeddings.select("vec_id", "embedding", F.col("label").cast("double").alias("label"))
@@ -395,6 +420,19 @@ def model_round_trip(t: Tables):
     return loaded.transform(data).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
+@plan("m22_reloaded_equals_model", "SELECT l_orderkey, l_linenumber, true AS same FROM lineitem")
+def reloaded_equals_model(t: Tables):
+    """A loaded model gives every row the class and probability of the saved one."""
+    data = labelled_readings(t)
+    model = models.anomaly_model(data, SENSORS, "label", trees=5)
+    loaded = models.save_and_load(model, fresh_path(t.spark, "model"))
+    first = models.class_probability(model.transform(data)).select(
+        *data.columns, F.col("prediction").alias("p"), F.col("confidence").alias("c"))
+    again = models.class_probability(loaded.transform(first))
+    same = F.col("prediction").eqNullSafe(F.col("p")) & F.col("confidence").eqNullSafe(F.col("c"))
+    return again.select("l_orderkey", "l_linenumber", same.alias("same"))
+
+
 DOC_TIERS = {"critical": (1.0, ("worthless", "the the")), "high": (0.8, ("tion of",)), "low": (0.4, ("is the", "una"))}
 
 

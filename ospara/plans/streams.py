@@ -48,6 +48,19 @@ def score_in_flight(t: Tables):
     return jobs.to_files(jobs.score_stream(stream, model, ["event_id", "value"]))
 
 
+@plan("k02_stream_equals_batch", "SELECT event_id, true AS same FROM events")
+def stream_equals_batch(t: Tables):
+    """Every event is scored in flight, and as a batch of the same model scores it."""
+    columns = ["event_id", "value", (F.col("event_id") % 24).cast("double").alias("hour")]
+    marked = t.events.select(*columns, (F.col("value") > 80).cast("double").alias("label"))
+    model = models.anomaly_model(marked, ["value", "hour"], "label", trees=5)
+    streamed = jobs.to_files(jobs.score_stream(events(t).select(*columns), model, ["event_id"]))
+    batch = models.class_probability(model.transform(marked)).select(
+        "event_id", F.col("prediction").alias("p"), F.col("confidence").alias("c"))
+    same = F.col("prediction").eqNullSafe(F.col("p")) & F.col("confidence").eqNullSafe(F.col("c"))
+    return streamed.join(batch, "event_id", "full").select("event_id", same.alias("same"))
+
+
 @plan(
     "k03_anomaly_actions",
     "SELECT event_id, user_id, 'isolate|inspect|notify' AS steps FROM events WHERE event_type = 'error' AND value > 60",
