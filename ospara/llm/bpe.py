@@ -24,6 +24,8 @@ from ospara.llm import blocks
 from ospara.llm.vocabularies import default_path, encoder, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
+#: Bytes of text per block: a block's ids and decoded text are held together.
+BLOCK_BYTES = 16 << 20
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
@@ -42,7 +44,7 @@ def expand(codes: np.ndarray, start: np.ndarray, number: np.ndarray, flat: np.nd
     return flat[at + np.repeat(start[codes] - (ends - n), n)]
 
 
-def encode_and_decode(docs: DataFrame, tokenizer: str | None = None, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, ids, decoded) of every text, for vocabularies that drop white space."""
     path = tokenizer or default_path(VOCABULARY)
     buckets = blocks.bucket_count(docs)
@@ -55,7 +57,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str | None = None, block_bytes
         table = pa.array([pieces.get(i, "") for i in range(max(pieces) + 1)], pa.string())
         ends = np.cumsum(sizes)
         tables = []
-        step = 2000
+        step = 1000
         for lo in range(0, len(doc_ids), step):
             hi = min(lo + step, len(doc_ids))
             part = codes[(ends[lo] - sizes[lo]) : ends[hi - 1]]
