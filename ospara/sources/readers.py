@@ -28,8 +28,12 @@ def table(spark: SparkSession, source: str, **_: Any) -> DataFrame:
 
 
 def csv(spark: SparkSession, source: str, schema=None, header: bool = True, **options: Any) -> DataFrame:
-    """Header row; types inferred unless a schema is given (saves one pass)."""
-    reader = spark.read.options(header=header, multiLine=True, escape='"', **options)
+    """Header row; types inferred unless a schema is given (saves one pass).
+
+    Files are split over tasks. ``multiLine=True`` reads values with line breaks,
+    at the price of one task per file.
+    """
+    reader = spark.read.options(header=header, **{"escape": '"', **options})
     return reader.schema(schema).csv(source) if schema else reader.option("inferSchema", True).csv(source)
 
 

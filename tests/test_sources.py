@@ -70,7 +70,7 @@ def test_csv_with_quotes_and_newlines(spark):
     path = fresh_path(spark, "csv")
     rows = [(1, 'say "hi"\nthere, you'), (2, None)]
     sinks.write_csv(spark.createDataFrame(rows, "id int, t string"), path)
-    assert sorted(map(tuple, registry.ingest(spark, "csv", path).collect())) == rows
+    assert sorted(map(tuple, registry.ingest(spark, "csv", path, multiLine=True).collect())) == rows
 
 
 def test_json_envelope(spark):
