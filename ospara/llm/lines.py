@@ -1,21 +1,27 @@
 """Repeated passages removed by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines decides where a chunk ends, so
-equal passages are cut alike wherever they stand; a line of ``LONG_WORDS``
-words or more is a chunk of its own. A chunk counts as a passage if it has two
-lines with words and ``MIN_WORDS`` words, or is such a long line. Passages
-found more than once anywhere keep their first occurrence, by doc_id and place;
-every other one is compared with the first byte by byte, together with the
-lines before and after it up to the next repeated chunk, and all lines that
-agree are removed.
+A passage is a run of lines with at least two lines with words and ``MIN_WORDS``
+words, or with a line of ``LONG_WORDS`` words. Chunks are the shortest passages
+from each line on and up to each line. They overlap, and a chunk depends on its
+own lines alone, so equal passages have equal chunks whatever stands around
+them. Chunks found more than once anywhere keep their first occurrence, by
+doc_id and place; every other one is compared with the first byte by byte,
+together with the lines without words around it, and the lines that agree are
+removed.
+
+This removes all lines of every run that is a passage and occurs earlier. Such
+a run holds the chunks from its first lines on, up to the last of these that
+fits; the chunks up to each line after that begin no earlier, so they are
+inside the run too.
 
 Only 16-byte hashes of chunks are grouped; the bytes of repeated chunks alone
 are moved and compared, each with one first occurrence.
 
 Defined results: null and empty texts stay as they are; rows that repeat in id
 and text count as one document and are cut alike; ties cannot occur, as an
-occurrence has its own place; a null doc_id comes first; other columns stay; an
-empty table gives no rows.
+occurrence has its own place; where an occurrence overlaps the first in its own
+document, the lines of the first stay; a null doc_id comes first; other columns
+stay; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,38 +34,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ospara.llm.graph import written
-from ospara.llm.texts import raw, slices
+from ospara.llm.texts import SLICE_BYTES, raw, slices
 
-WINDOW = 2
-DIVISOR = 2
 LONG_WORDS = 50
 MIN_WORDS = 20
 
-_MASK = (1 << 64) - 1
-_FACTOR = 0x9E3779B97F4A7C15
-
-
-def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
-    """(first line, line after the last, whether it counts as a passage)."""
-    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
-    words = [len(line.split()) for line in lines]
-    out = []
-    start = 0
-    for i in range(len(lines)):
-        long = words[i] >= LONG_WORDS
-        if long and start < i:
-            out.append((start, i))
-            start = i
-        rolled = 0
-        for h in hashes[max(0, i - WINDOW + 1) : i + 1]:
-            rolled = ((rolled ^ h) * _FACTOR) & _MASK
-        if long or (rolled >> 32) % DIVISOR == 0 or i == len(lines) - 1:
-            out.append((start, i + 1))
-            start = i + 1
-    return [
-        (a, b, words[a] >= LONG_WORDS or (sum(w > 0 for w in words[a:b]) > 1 and sum(words[a:b]) >= MIN_WORDS))
-        for a, b in out
-    ]
+
+def _counts(lines: int, words: int) -> bool:
+    return words >= (MIN_WORDS if lines > 1 else LONG_WORDS)
+
+
+def chunks(lines: list[bytes]) -> list[tuple[int, int, int]]:
+    """(first line, line after the last, words), in order of place."""
+    at, words = [], []
+    for i, line in enumerate(lines):
+        if n := len(line.split()):
+            at.append(i)
+            words.append(n)
+    out = set()
+    last = total = 0
+    for first, n in enumerate(words):
+        while last < len(words) and not _counts(last - first, total):
+            total += words[last]
+            last += 1
+        if not _counts(last - first, total):
+            break
+        out.add((at[first], at[last - 1] + 1, total))
+        total -= n
+    first = total = 0
+    for last, n in enumerate(words):
+        total += n
+        while _counts(last - first, total - words[first]):
+            total -= words[first]
+            first += 1
+        if _counts(last - first + 1, total):
+            out.add((at[first], at[last] + 1, total))
+    return sorted(out)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -70,31 +80,34 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, chunk, name) of every passage; the name is a 128-bit hash of its bytes."""
-    schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()), ("chunk", pa.int32()), ("name", pa.binary())])
+    """(doc_id, k1, k2, start, stop, name) of every chunk; the name is a 128-bit hash of its lines' hashes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()),
+                        ("start", pa.int32()), ("stop", pa.int32()), ("name", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            at, chunk, names = [], [], []
+            at, starts, stops, names = [], [], [], []
             for row, text in enumerate(raw(batch.column("text"))):
                 lines = text.split(b"\n")
-                for n, (a, b, counts) in enumerate(chunks(lines)):
-                    if counts:
-                        at.append(row)
-                        chunk.append(n)
-                        names.append(xxhash.xxh3_128_digest(b"\n".join(lines[a:b])))
+                digests = [xxhash.xxh3_128_digest(line) for line in lines]
+                for a, b, _ in chunks(lines):
+                    at.append(row)
+                    starts.append(a)
+                    stops.append(b)
+                    names.append(xxhash.xxh3_128_digest(b"".join(digests[a:b])))
             rows = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(rows) for c in ("doc_id", "k1", "k2")], pa.array(chunk, pa.int32()), pa.array(names, pa.binary())],
+                [*[batch.column(c).take(rows) for c in ("doc_id", "k1", "k2")], pa.array(starts, pa.int32()),
+                 pa.array(stops, pa.int32()), pa.array(names, pa.binary())],
                 schema=schema,
             )
 
-    return _keyed(docs).mapInArrow(cut, "doc_id long, k1 long, k2 int, chunk int, name binary")
+    return _keyed(docs).mapInArrow(cut, "doc_id long, k1 long, k2 int, start int, stop int, name binary")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(k1, k2, spans) of documents that lose lines; a span is (first line, line after the last)."""
-    place = F.struct("doc_id", "k1", "k2", "chunk")
+    place = F.struct("doc_id", "k1", "k2", "start")
     found = passages(docs)
     named, _ = written(
         found.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -102,33 +115,38 @@ def repeats(docs: DataFrame) -> DataFrame:
         "repeated",
     )
     flagged = found.join(named, "name").groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("chunk", "name", (place == F.col("first")).alias("first"))).alias("chunks"))
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int32()), ("start", pa.int32()), ("name", pa.binary()),
+        F.collect_set(F.struct("start", "stop", "name", (place == F.col("first")).alias("first"))).alias("chunks"))
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("name", pa.binary()),
                         ("first", pa.bool_()), ("bytes", pa.binary()), ("before", pa.list_(pa.binary())), ("after", pa.list_(pa.binary()))])
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out: list[list] = [[] for _ in schema]
+            size = 0
             for k1, k2, text, marks in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(),
                                            raw(batch.column("text")), batch.column("chunks").to_pylist()):
                 lines = text.split(b"\n")
-                cuts = chunks(lines)
-                marks = sorted(marks, key=lambda m: m["chunk"])
-                spans = [cuts[m["chunk"]] for m in marks]
-                for i, (mark, (a, b, _)) in enumerate(zip(marks, spans)):
-                    low = spans[i - 1][1] if i else 0
-                    high = spans[i + 1][0] if i + 1 < len(spans) else len(lines)
-                    row = (k1, k2, a, mark["name"], mark["first"], b"\n".join(lines[a:b]), lines[low:a], lines[b:high])
+                worded = [i for i, line in enumerate(lines) if line.split()]
+                low = dict(zip(worded, [0, *[i + 1 for i in worded]]))
+                high = dict(zip(worded, [*worded[1:], len(lines)]))
+                for mark in marks:
+                    a, b = mark["start"], mark["stop"]
+                    row = (k1, k2, a, b, mark["name"], mark["first"], b"\n".join(lines[a:b]), lines[low[a] : a], lines[b : high[b - 1]])
                     for values, value in zip(out, row):
                         values.append(value)
+                    size += len(row[6])
+                    if size > SLICE_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema)], schema=schema)
+                        out, size = [[] for _ in schema], 0
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema)], schema=schema)
 
     shown, _ = written(
         _keyed(docs).join(flagged, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", "chunks").mapInArrow(
-            show, "k1 long, k2 int, start int, name binary, first boolean, bytes binary, before array<binary>, after array<binary>"),
+            show, "k1 long, k2 int, start int, stop int, name binary, first boolean, bytes binary, before array<binary>, after array<binary>"),
         "passages",
     )
-    firsts = shown.filter("first").select("name", *[F.col(c).alias(f"first_{c}") for c in ("bytes", "before", "after")])
+    firsts = shown.filter("first").select(
+        "name", *[F.col(c).alias(f"first_{c}") for c in ("k1", "k2", "stop", "bytes", "before", "after")])
 
     def common(a: F.Column, b: F.Column) -> F.Column:
         """Length of the common beginning of two arrays."""
@@ -136,13 +154,14 @@ def repeats(docs: DataFrame) -> DataFrame:
         differs = F.filter(F.sequence(F.lit(0), size), lambda i: (i == size) | (F.get(a, i) != F.get(b, i)))
         return F.get(differs, F.lit(0))
 
-    n_lines = F.length("bytes") - F.length(F.replace(F.col("bytes").cast("string"), F.lit("\n"), F.lit("")).cast("binary")) + 1
     compared = shown.filter("not first").join(firsts, "name").filter(F.col("bytes") == F.col("first_bytes"))
+    inside = (F.col("k1") == F.col("first_k1")) & (F.col("k2") == F.col("first_k2"))
     return compared.select(
         "k1", "k2",
         F.struct(
-            (F.col("start") - common(F.reverse("before"), F.reverse("first_before"))).cast("int").alias("start"),
-            (F.col("start") + n_lines + common(F.col("after"), F.col("first_after"))).cast("int").alias("stop"),
+            F.greatest(F.col("start") - common(F.reverse("before"), F.reverse("first_before")),
+                       F.when(inside, F.col("first_stop"))).cast("int").alias("start"),
+            (F.col("stop") + common(F.col("after"), F.col("first_after"))).cast("int").alias("stop"),
         ).alias("span"),
     ).groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
 

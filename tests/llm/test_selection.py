@@ -119,6 +119,48 @@ def test_cuts_resist_a_shift():
     assert len(plain - shifted) <= 2
 
 
+@pytest.mark.parametrize("n, words", [(2, 26), (2, 45), (3, 20), (4, 15), (6, 10)])
+def test_short_passages_in_other_contexts_go(spark, n, words):
+    rng = random.Random(n * words)
+    line = lambda size: " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(size))
+    rows, want = [], {}
+    for i in range(40):
+        shared = [line(words) for _ in range(n)]
+        for k in range(2):
+            before, after = ([line(rng.randint(1, 40)) for _ in range(rng.randint(0, 3))] for _ in range(2))
+            rows.append((2 * i + k, "\n".join([*before, *shared, *after])))
+            want[2 * i + k] = "\n".join([*before, *(() if k else shared), *after])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.without_repeats(docs).collect()} == want
+
+
+def plain_repeats(texts):
+    """Lines that stay, by every run of lines of each text in order."""
+    seen, out = {}, []
+    for d, text in enumerate(texts):
+        rows = text.split("\n")
+        runs = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows) + 1) if rows[a].split() and rows[b - 1].split()]
+        gone = set()
+        for a, b in runs:
+            sizes = [len(r.split()) for r in rows[a:b] if r.split()]
+            if sum(sizes) >= (20 if len(sizes) > 1 else 50):
+                e, f = seen.setdefault(tuple(rows[a:b]), (d, a))
+                if (e, f) != (d, a):
+                    gone |= set(range(max(a, f + b - a) if e == d else a, b))
+        out.append([r for i, r in enumerate(rows) if i not in gone])
+    return out
+
+
+def test_passages_equal_every_run_compared(spark):
+    rng = random.Random(3)
+    pool = [" ".join(rng.choice(WORDS) for _ in range(n)) for n in (1, 2, 5, 7, 8, 9, 12, 15, 19, 21, 49, 50, 55)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id: r for r in lines.without_repeats(docs).collect()}
+    for d, rows in enumerate(plain_repeats(texts)):
+        assert left[d]._n_lines - left[d]._n_removed == len(rows) and left[d].text == "\n".join(rows)
+
+
 def plain_signals(text):
     space = " \t\n\x0b\f\r"
     words = [w for w in "".join(" " if c in space else c for c in text or "").split(" ") if w]
