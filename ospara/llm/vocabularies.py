@@ -22,7 +22,9 @@ def encoder(path: str):
 
     ``.json`` files go to tokenizers, ``.tiktoken`` ranks to tiktoken (the same
     ids for the byte-level vocabulary, about five times faster), ``.model``
-    files to sentencepiece. Special strings inside a text become their id, as
+    files to sentencepiece. A text that tiktoken refuses, as it does runs of
+    about a million white-space characters, goes to the ``.json`` file beside
+    the ranks. Special strings inside a text become their id, as
     tokenizers does by default.
     """
     if path.endswith(".json"):
@@ -41,7 +43,16 @@ def encoder(path: str):
         loaded = tiktoken.Encoding(
             os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=END_OF_TEXT
         )
-        return lambda texts: [loaded.encode(t, allowed_special="all") for t in texts]
+
+        def encode(text: str) -> list[int]:
+            try:
+                return loaded.encode(text, allowed_special="all")
+            except ValueError as refused:
+                if "stack size" not in str(refused):
+                    raise
+                return encoder(f"{path.removesuffix('.tiktoken')}.json")([text])[0]
+
+        return lambda texts: [encode(t) for t in texts]
     if path.endswith(".model"):
         import sentencepiece
 

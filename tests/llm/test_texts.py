@@ -63,6 +63,16 @@ def test_ranks_and_json_agree():
     assert encoder(default_path(packing.RANKS))(texts) == encoder(default_path("byte_bpe_50k.json"))(texts)
 
 
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_long_white_space(spark, space):
+    text = f"a{space * 1_500_000}b <|endoftext|>"
+    ids = encoder(default_path("byte_bpe_50k.json"))([text])[0]
+    assert encoder(default_path(packing.RANKS))([text, "a b"]) == [ids, encoder(default_path("byte_bpe_50k.json"))(["a b"])[0]]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pieces = packing.pack_pieces(docs).orderBy("start").collect()
+    assert np.concatenate([np.frombuffer(r.ids, "<u4") for r in pieces]).tolist() == [*ids, packing.END_ID]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 1023, 1024, 1025, 5000])
 def test_binary_cuts(n):
     cuts = packing.binary_cuts(n)
