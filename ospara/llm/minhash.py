@@ -11,7 +11,8 @@ trees. Every candidate link is confirmed on full sets of 64-bit shingle hashes.
 
 Equal sets are folded into one node first, so copies make no pairs. The
 orders are cut by range, never by prefix, so a region that holds a third of all
-sets is spread over tasks. Pairs are confirmed in bins that get each set once,
+sets is spread over tasks; the ends of the ranges are compared with those of the
+next ranges in a second, small pass. Pairs are confirmed in bins that get each set once,
 and a bin skips pairs that it has connected already.
 
 A link of similarity ``s`` is missed by one tree with probability
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ospara.llm.graph import components, written
-from ospara.llm.texts import LOWER, raw, slices
+from ospara.llm.texts import LOWER, raw, slices, task_number
 from ospara.scale import top_k
 
 WIDTH = 5
@@ -48,6 +49,8 @@ KEY = 12
 #: Neighbours on each side in an order, and in a region that is longer.
 NEIGHBOURS = 6
 CROWDED_NEIGHBOURS = 2
+#: Keys at each end of a range that are compared with those of the next ranges; enough to see a long region.
+EDGE = NEIGHBOURS + 2
 #: Centres of a long region; a smaller one is compared whole. Members of a region per bin.
 CENTRES = 512
 CROWD_BLOCK = 1024
@@ -124,26 +127,60 @@ def candidates(classes: DataFrame, trees: int, depth: int) -> tuple[DataFrame, D
     orders = classes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.concat(
         F.unhex(F.lpad(F.hex(t), 8, "0")), F.substring(rotated, t * (4 * depth) + 1, F.lit(4 * key))))).alias("key"))
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("region", pa.int64()), ("shared", pa.int64())])
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("region", pa.int64()), ("shared", pa.int64()),
+                        ("part", pa.int32()), ("place", pa.int64()), ("key", pa.binary())])
+
+    def close(nodes: pa.Array, keys: np.ndarray, old: int = 0, gaps: np.ndarray | None = None) -> pa.Table:
+        left, right, crowded, shared = close_pairs(keys, depth + 1, old, gaps)
+        names = [xxhash.xxh3_64_intdigest(k.tobytes()) >> 1 for k in keys[crowded, : depth + 1]]
+        none, blank = pa.nulls(len(left), pa.int64()), pa.nulls(len(crowded), pa.binary())
+        return pa.concat_tables([
+            pa.Table.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right)), none, none], schema=close_schema),
+            pa.Table.from_arrays([nodes.take(pa.array(crowded)), blank, pa.array(names, pa.int64()), pa.array(shared, pa.int64())],
+                                 schema=close_schema)]).combine_chunks()
+
+    close_schema = pa.schema(list(schema)[:4])
+
+    def unpacked(column) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, columns)
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, keys = pa.array([], pa.binary()), np.zeros((0, columns), ">u4")
+        head, tail, total = [], [], 0
         for batch in batches:
-            fresh = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, columns)
+            if not batch.num_rows:
+                continue
             old = len(keys)
             nodes = pa.concat_arrays([nodes, batch.column("node").cast(pa.binary())])
-            keys = np.concatenate([keys, fresh])
-            left, right, crowded, shared = close_pairs(keys, depth + 1, old)
-            names = [xxhash.xxh3_64_intdigest(k.tobytes()) >> 1 for k in keys[crowded, : depth + 1]]
-            none = pa.nulls(len(left), pa.int64())
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right)), none, none], schema=schema)
-            yield pa.RecordBatch.from_arrays([
-                nodes.take(pa.array(crowded)), pa.nulls(len(crowded), pa.binary()), pa.array(names, pa.int64()), pa.array(shared, pa.int64())],
-                schema=schema)
-            nodes, keys = nodes.slice(max(0, len(keys) - NEIGHBOURS)), keys[-NEIGHBOURS:]
+            keys = np.concatenate([keys, unpacked(batch.column("key"))])
+            table = close(nodes, keys, old)
+            for part in table.to_batches():
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *[pa.nulls(part.num_rows, f.type) for f in list(schema)[4:]]], schema=schema)
+            edge = [(node, key, total + i) for rows in (range(min(EDGE, batch.num_rows)), range(max(EDGE, batch.num_rows - EDGE), batch.num_rows))
+                    for i in rows for node, key in [(batch.column("node")[i].as_py(), batch.column("key")[i].as_py())]]
+            head = (head + edge)[:EDGE]
+            tail = (tail + edge)[-EDGE:]
+            total += batch.num_rows
+            kept = max(0, len(keys) - NEIGHBOURS - 1)
+            nodes, keys = nodes.slice(kept), keys[kept:]
+        edge = head + [row for row in tail if row[2] > head[-1][2]]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([n for n, _, _ in edge], pa.binary()), *[pa.nulls(len(edge), f.type) for f in list(schema)[1:4]],
+            pa.array([task_number()] * len(edge), pa.int32()), pa.array([i for _, _, i in edge], pa.int64()),
+            pa.array([k for _, k, _ in edge], pa.binary())], schema=schema)
+
+    def across(edges: pa.Table) -> pa.Table:
+        edges = edges.sort_by([("part", "ascending"), ("place", "ascending")]).combine_chunks()
+        part, place = (edges.column(c).to_numpy() for c in ("part", "place"))
+        gaps = (part[1:] == part[:-1]) & (place[1:] > place[:-1] + 1)
+        return close(pa.array(edges.column("a").to_pylist(), pa.binary()), unpacked(edges.column("key")), 0, gaps)
 
     found, _ = written(orders.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInArrow(
-        neighbours, "a binary, b binary, region long, shared long"), "close")
+        neighbours, "a binary, b binary, region long, shared long, part int, place long, key binary"), "close")
+    joined, _ = written(found.filter("key is not null").select("a", "part", "place", "key", F.substring("key", 1, 4).alias("tree")).groupBy(
+        "tree").applyInArrow(across, "a binary, b binary, region long, shared long"), "joined")
+    found = found.filter("key is null").select("a", "b", "region", "shared").unionByName(joined)
     pairs = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return written(pairs, "pairs")[0], crowds(found.filter("b is null"))
 
@@ -154,7 +191,7 @@ def crowds(crowd: DataFrame) -> DataFrame:
     A set belongs to the block of its longest region, whatever the tree; the
     centres are chosen from all sets of the region.
     """
-    members = crowd.select(F.col("a").alias("node"), "region", "shared").distinct()
+    members = crowd.groupBy(F.col("a").alias("node"), "region").agg(F.max("shared").alias("shared"))
     members, _ = written(members, "members")
     sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
     central = members.groupBy("node").agg(F.sum("shared").alias("central"))
@@ -170,18 +207,23 @@ def crowds(crowd: DataFrame) -> DataFrame:
     return written(dealt.unionByName(everywhere), "crowd-blocks")[0]
 
 
-def close_pairs(keys: np.ndarray, depth: int, old: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def close_pairs(
+    keys: np.ndarray, depth: int, old: int = 0, gaps: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs of sorted keys that share ``depth`` columns and stand close.
 
     Also the rows of regions longer than the neighbourhood, and how many columns
     each of these shares with a neighbour. The first ``old`` rows come from
-    the stretch before and were compared with each other there.
+    the stretch before and were compared with each other there. ``gaps`` marks
+    rows after which others are left out.
     """
     n = len(keys)
     none = np.zeros(0, np.int64)
     if n < 2:
         return none, none, none, none
     common = np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1)
+    if gaps is not None:
+        common[gaps] = 0
     region = np.concatenate([[0], np.cumsum(common < depth)])
     long = np.bincount(region)[region] > NEIGHBOURS + 1
     lefts, rights = [], []

@@ -87,6 +87,23 @@ def test_components_of_a_long_chain(spark):
     assert graph.components(edges.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 10])
+def test_near_copies_in_more_partitions_than_keys(spark, copies):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    words = [f"v{i}" for i in range(300)]
+    rows = [(i, " ".join([*words[:-1], f"end{i}"])) for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    classes = minhash.sketches(docs, 5, 80).select("node", "signature")
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    try:
+        pairs, crowd = minhash.candidates(classes, 20, 4)
+        met = {frozenset((r.a, r.b)) for r in pairs.collect()}
+        blocks = {r.node for r in crowd.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert met if copies == 2 else len(blocks) == copies
+
+
 def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
