@@ -8,6 +8,9 @@ region of such sets is longer than the neighbourhood, the order decides by its
 depth: a set is compared with those of the longest common prefix next to it,
 and with the region's centres, the sets whose prefixes are longest over all
 trees. Every candidate link is confirmed on full sets of 64-bit shingle hashes.
+What these links connect need not be compared again; all other pairs of each
+long region are, block by block, so all pairs that share ``depth`` minima in a
+tree are connected or compared.
 
 Equal sets are folded into one node first, so copies make no pairs. The
 orders are cut by range, never by prefix, so a region that holds a third of all
@@ -51,9 +54,11 @@ NEIGHBOURS = 6
 CROWDED_NEIGHBOURS = 2
 #: Keys at each end of a range that are compared with those of the next ranges; enough to see a long region.
 EDGE = NEIGHBOURS + 2
-#: Centres of a long region; a smaller one is compared whole. Members of a region per bin.
+#: Centres of a long region, which connect most of it. Members of a region per bin.
 CENTRES = 512
 CROWD_BLOCK = 1024
+#: Strays, and sets that they are compared with, of a bin.
+STRAY_BLOCK = 512
 #: Pairs that a bin confirms, about.
 BIN_PAIRS = 4000
 
@@ -119,8 +124,8 @@ def sketches(docs: DataFrame, width: int, functions: int) -> DataFrame:
     )
 
 
-def candidates(classes: DataFrame, trees: int, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a, b) of nodes, a < b, that stand close in some order; and the crowds' rows (see ``crowds``)."""
+def candidates(classes: DataFrame, trees: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of nodes, a < b, that stand close in some order; the crowds' rows and members (see ``crowds``)."""
     key = max(KEY, depth)
     columns = key + 1
     rotated = F.concat("signature", F.substring("signature", 1, 4 * key))
@@ -182,12 +187,13 @@ def candidates(classes: DataFrame, trees: int, depth: int) -> tuple[DataFrame, D
         "tree").applyInArrow(across, "a binary, b binary, region long, shared long"), "joined")
     found = found.filter("key is null").select("a", "b", "region", "shared").unionByName(joined)
     pairs = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return written(pairs, "pairs")[0], crowds(found.filter("b is null"))
+    return written(pairs, "pairs")[0], *crowds(found.filter("b is null"))
 
 
-def crowds(crowd: DataFrame) -> DataFrame:
+def crowds(crowd: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(root, block, node, centre): members of long regions in blocks, and the region's centres in every block.
 
+    Also (node, region, shared) of every long region that a set is in.
     A set belongs to the block of its longest region, whatever the tree; the
     centres are chosen from all sets of the region.
     """
@@ -204,7 +210,7 @@ def crowds(crowd: DataFrame) -> DataFrame:
     everywhere = top_k(chosen, ["region"], [F.desc("central"), F.asc("node")], CENTRES).select(
         F.col("region").alias("root"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
         "node", F.lit(True).alias("centre"))
-    return written(dealt.unionByName(everywhere), "crowd-blocks")[0]
+    return written(dealt.unionByName(everywhere), "crowd-blocks")[0], members
 
 
 def close_pairs(
@@ -307,6 +313,80 @@ def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, crowd: DataFram
     return binned.groupBy("bin").cogroup(texts.groupBy("bin")).applyInArrow(confirm, "u binary, v binary")
 
 
+def late_links(
+    docs: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links (u, v) between sets of one long region that are not connected by ``roots``.
+
+    In each region the sets outside of its largest component, the strays, are
+    compared with all others that they are not connected with. Regions of the
+    same largest component share their bins, a block of strays and one of all
+    sets each, so that a bin gets each set once or twice, whatever the trees.
+    """
+    spark = docs.sparkSession
+    held, _ = written(members.select("node", "region").join(roots, "node", "left").select(
+        "node", "region", F.coalesce("root", "node").alias("component")), "held")
+    counted = held.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"))
+    mixed = counted.groupBy("region").agg(
+        F.max(F.struct("size", "component"))["component"].alias("label"), F.count(F.lit(1)).alias("components")).filter("components > 1")
+    placed, _ = written(held.join(mixed.drop("components"), "region").groupBy("label", "node", "component").agg(
+        F.collect_set("region").alias("regions")).withColumn("stray", F.col("component") != F.col("label")), "strays")
+    blocks = placed.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / STRAY_BLOCK).alias("all_blocks"),
+                                         F.ceil(F.count_if("stray") / STRAY_BLOCK).alias("stray_blocks"))
+    dealt = placed.join(blocks, "label")
+    mine = F.xxhash64("node")
+    others = dealt.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_blocks") - 1))).withColumn(
+        "j", F.pmod(mine, F.col("all_blocks"))).withColumn("stray", F.lit(False))
+    strays = dealt.filter("stray").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1))).withColumn(
+        "i", F.pmod(mine, F.col("stray_blocks")))
+    columns = ["label", "i", "j", "node", "component", "regions", "stray"]
+    rows, _ = written(others.select(columns).unionByName(strays.select(columns)), "stray-blocks")
+    bins = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // STRAY_BLOCK)
+    keyed = rows.select(F.pmod(F.xxhash64("label", "i", "j"), F.lit(bins)).alias("bin"), "node", "component", "regions", "stray").join(
+        classes.select("node", "row_key").hint("merge"), "node")
+    texts = docs.select("text", row_key().alias("row_key")).join(keyed.hint("merge"), "row_key").drop("row_key")
+    schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
+
+    def confirm(found: pa.Table) -> pa.Table:
+        sets, component = {}, {}
+        first, second = {}, {}
+        names = found.column("node").to_pylist()
+        for node, text, root_, regions, stray in zip(
+            names, raw(found.column("text").combine_chunks()), *(found.column(c).to_pylist() for c in ("component", "regions", "stray"))
+        ):
+            if node not in sets:
+                shingles = shingle_set(text, width)
+                if xxhash.xxh3_128_digest(shingles.tobytes()) != node:
+                    continue
+                sets[node], component[node] = shingles, root_
+            for region in regions:
+                (first if stray else second).setdefault(region, set()).add(node)
+        parent = {c: c for c in component.values()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        us, vs, apart = [], [], set()
+        for region, some in first.items():
+            for a in some:
+                for b in second.get(region, ()):
+                    ra, rb = root(component[a]), root(component[b])
+                    pair = (a, b) if a < b else (b, a)
+                    if ra == rb or pair in apart:
+                        continue
+                    if similar(sets[a], sets[b], percent):
+                        parent[ra] = rb
+                        us.append(a)
+                        vs.append(b)
+                    else:
+                        apart.add(pair)
+        return pa.Table.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], schema=schema)
+
+    return texts.groupBy("bin").applyInArrow(confirm, "u binary, v binary")
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -330,8 +410,12 @@ def near_duplicates(
     classes = sketched.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("signature").alias("signature"))
     classes, _ = written(classes, "classes")
-    pairs, crowd = candidates(classes, trees, depth)
+    pairs, crowd, members = candidates(classes, trees, depth)
     roots, _ = written(components(links(docs, classes, pairs, crowd, width, percent)), "roots")
+    late, _ = written(late_links(docs, classes, members, roots, width, percent), "late")
+    if not late.isEmpty():
+        stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots, _ = written(components(stars.unionByName(late)), "roots")
     ids = classes.select("node", "first_id")
     named = roots.join(ids, "node").groupBy("root").agg(F.min("first_id").alias("id"))
     component, _ = written(

@@ -96,7 +96,7 @@ def test_near_copies_in_more_partitions_than_keys(spark, copies):
     classes = minhash.sketches(docs, 5, 80).select("node", "signature")
     spark.conf.set("spark.sql.shuffle.partitions", 200)
     try:
-        pairs, crowd = minhash.candidates(classes, 20, 4)
+        pairs, crowd, _ = minhash.candidates(classes, 20, 4)
         met = {frozenset((r.a, r.b)) for r in pairs.collect()}
         blocks = {r.node for r in crowd.collect()}
     finally:
@@ -104,6 +104,24 @@ def test_near_copies_in_more_partitions_than_keys(spark, copies):
     assert met if copies == 2 else len(blocks) == copies
 
 
+def test_pairs_of_a_long_region_that_only_link_each_other(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CENTRES", 2)
+    monkeypatch.setattr(minhash, "STRAY_BLOCK", 16)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for pair in range(60):
+        words = list(base)
+        for at in rng.sample(range(200), 9):
+            words[at] = f"p{pair}x{at}"
+        rows.append((2 * pair, " ".join(words)))
+        words[rng.randrange(200)] = f"q{pair}"
+        rows.append((2 * pair + 1, " ".join(words)))
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+    got = sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str)
+    assert got == brute_components(rows, 3, 85)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
