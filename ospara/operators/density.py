@@ -1,163 +1,302 @@
-"""Density clusters on a grid, for two or three coordinates.
+"""Density clusters in any number of coordinates.
 
-Cells have a diagonal of ``eps``, so a cell with ``min_samples`` rows holds
-core points only, and no pair inside a cell is ever formed. Copies of a point
-are folded into one weighted point before anything else.
+Copies of a point are folded into one weighted point. Points are then folded
+into groups: a leader with points within half of ``eps``, so that all members
+of a group are neighbours. A group of ``min_samples`` rows holds core points
+only, and no pair inside a group is ever formed. Members of lighter groups meet
+the groups in their reach (``nearby``): a group that is wholly within ``eps``
+counts with its weight, and only groups that may be partly within it are
+looked into, for points whose count is still open.
+
+Groups of core points are linked by their leaders where these are within
+``eps``. Groups that are near but not linked so compare members only if they
+are still in different components after that, and only members that pass the
+triangle inequality against both leaders.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ospara.functions.vectors import batch_matrix
+from ospara.operators import nearby
+from ospara.operators.nearby import MARGIN, Pivots, distance, intervals
 from ospara.scale import positions
-from ospara.session import materialize
+from ospara.session import discard, written
 
+FOLDED = "id long, v array<double>, w long, cell int, gap double, leader long, away double, rho double, weight long"
+#: Points of one folding task.
+FOLD_ROWS = 4096
 
-def _distance(left: str, right: str, coords: Sequence[str]) -> Column:
-    total = F.lit(0.0)
-    for c in coords:
-        gap = F.col(f"{left}.{c}") - F.col(f"{right}.{c}")
-        total = total + gap * gap
-    return F.sqrt(total)
 
+def _vector(coords: str | Sequence[str]):
+    """The point of a row, null where a coordinate is missing or not finite."""
+    v = F.col(coords).cast("array<double>") if isinstance(coords, str) else F.array(*[F.col(c).cast("double") for c in coords])
+    return F.when(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), v)
 
-def _cells(coords: Sequence[str], eps: float) -> list[Column]:
-    side = eps / math.sqrt(len(coords))
-    return [F.floor(F.col(c) / side).alias(f"_c{i}") for i, c in enumerate(coords)]
 
+def folded(points: DataFrame, eps: float) -> DataFrame:
+    """Placed points with the leader of their group, its radius and weight."""
+    _, placed = nearby.tasks_of(points, FOLD_ROWS)
 
-def _reach(dims: int) -> Column:
-    """Offsets of all other cells that can hold a neighbour."""
-    r = math.ceil(math.sqrt(dims))
-    steps = [s for s in itertools.product(range(-r, r + 1), repeat=dims) if any(s)]
-    return F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(s)]) for s in steps])
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        current = None
 
+        def groups() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            x = batch_matrix(rows.column("v"), len(rows.column("v")[0]))
+            ids, times = np.asarray(rows.column("id")), np.asarray(rows.column("w"))
+            own, away = np.full(len(x), -1), np.zeros(len(x))
+            free = np.arange(len(x))
+            while len(free):
+                gap = nearby.to_point(x[free], x[free[0]])
+                inside = gap <= eps / 2 * (1 - MARGIN)
+                inside[0] = True
+                own[free[inside]], away[free[inside]] = free[0], gap[inside]
+                free = free[~inside]
+            rho, weight = np.zeros(len(x)), np.zeros(len(x), np.int64)
+            np.maximum.at(rho, own, away * (1 + MARGIN))
+            np.add.at(weight, own, times)
+            return pa.RecordBatch.from_arrays(
+                [*[rows.column(c) for c in ("id", "v", "w", "cell", "gap")], pa.array(ids[own]), pa.array(away),
+                 pa.array(rho[own]), pa.array(weight[own])], names=[c.split()[0] for c in FOLDED.split(", ")])
 
-def core_points(df: DataFrame, coords: Sequence[str], eps: float, min_samples: int) -> DataFrame:
-    """Distinct points with weight, cell and the core flag.
+        for batch in batches:
+            numbers = np.asarray(batch.column("task"))
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1), len(numbers)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a < b:
+                    if numbers[a] != current and waiting:
+                        yield groups()
+                        waiting = []
+                    current = numbers[a]
+                    waiting.append(batch.slice(a, b - a))
+        if waiting:
+            yield groups()
 
-    A point counts itself. Only points of sparse cells look into the cells
-    around them; a crowded neighbour cell is spread by the join's skew split.
-    """
-    dims = len(coords)
-    cell = [f"_c{i}" for i in range(dims)]
-    points = df.groupBy(*coords).agg(F.count(F.lit(1)).alias("_n")).select("*", *_cells(coords, eps))
-    weights = points.groupBy(*cell).agg(F.sum("_n").alias("_cell_n"))
-    placed = points.join(weights, cell)
-    sparse = placed.filter(F.col("_cell_n") < min_samples)
-    around = sparse.select(*coords, *cell, "_cell_n", F.explode(_reach(dims)).alias("_d")).select(
-        *coords, "_cell_n", *[(F.col(f"_c{i}") + F.col(f"_d.d{i}")).alias(f"_c{i}") for i in range(dims)]
-    )
-    near = (
-        around.alias("a").join(points.alias("b"), cell)
-        .filter(_distance("a", "b", coords) <= eps)
-        .groupBy(*[F.col(f"a.{c}").alias(c) for c in coords]).agg(F.sum("b._n").alias("_near"))
-    )
-    counted = placed.join(near, list(coords), "left")
-    return counted.withColumn(
-        "core", (F.col("_cell_n") + F.coalesce("_near", F.lit(0))) >= min_samples
-    ).drop("_near", "_cell_n")
+    return placed.repartition("task").sortWithinPartitions("task", "id").mapInArrow(fold, FOLDED)
 
 
-def dbscan(df: DataFrame, coords: Sequence[str], eps: float = 0.5, min_samples: int = 5) -> DataFrame:
-    """The table with ``core`` and ``cluster``; noise is -1.
+class _Counts:
+    """Weight surely within ``eps`` of each owner, and the groups to look into while that is below ``least``."""
 
-    Clusters are numbered from 0 along their smallest core point; a border
-    point joins the lowest-numbered cluster in reach.
+    def __init__(self, ids, points, eps: float, least: int):
+        self.ids, self.points, self.eps, self.least = ids, points, eps, least
+        self.sure = np.zeros(len(ids), np.int64)
+        self.near: list[list[tuple]] = [[] for _ in ids]
+
+    def meet(self, ids, points, radii, weights) -> None:
+        left = np.flatnonzero(self.sure < self.least)
+        for at in range(0, len(left), nearby.OWNERS):
+            rows = left[at : at + nearby.OWNERS]
+            low, high = intervals(self.points[rows], points)
+            inside = high + radii[None, :] <= self.eps * (1 - MARGIN)
+            self.sure[rows] += inside @ weights
+            for i, j in zip(*np.nonzero(low <= (self.eps + radii[None, :]) * (1 + MARGIN))):
+                self.near[rows[i]].append((int(ids[j]), float(low[i, j]), float(high[i, j]), bool(inside[i, j])))
+            for i in rows[self.sure[rows] >= self.least]:
+                self.near[i] = []
+
+    def rows(self) -> list[pa.Array]:
+        kind = pa.list_(pa.struct([("leader", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("sure", pa.bool_())]))
+        near = [[dict(zip(("leader", "low", "high", "sure"), n)) for n in own] for own in self.near]
+        return [pa.array(self.ids), pa.array(self.sure), pa.array(near, kind)]
+
+
+class _Links:
+    """Spanning edges between owners and balls whose centres are within ``eps``; pairs that only their members can link."""
+
+    def __init__(self, ids, points, radii, eps: float):
+        self.ids, self.points, self.radii, self.eps = ids, points, radii, eps
+        self.slots = {int(i): n for n, i in enumerate(ids)}
+        self.parent = np.arange(len(ids))
+        self.edges: list[tuple[int, int, bool]] = []
+        self.open: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def _roots(self, slots: np.ndarray) -> np.ndarray:
+        found = self.parent[slots]
+        while (self.parent[found] != found).any():
+            found = self.parent[found]
+        self.parent[slots] = found
+        return found
+
+    def meet(self, ids, points, radii, weights) -> None:
+        slots = np.array([self.slots.setdefault(int(i), len(self.slots)) for i in ids])
+        self.parent = np.append(self.parent, np.arange(len(self.parent), len(self.slots)))
+        for at in range(0, len(self.ids), nearby.OWNERS):
+            rows = slice(at, at + nearby.OWNERS)
+            low, high = intervals(self.points[rows], points)
+            linked = high <= self.eps
+            for i in np.flatnonzero(linked.any(axis=1)):
+                there = np.flatnonzero(linked[i])
+                roots, first = np.unique(self._roots(slots[there]), return_index=True)
+                own = self._roots(np.array([at + i]))[0]
+                for root, n in zip(roots, there[first]):
+                    if root != own:
+                        self.edges.append((int(self.ids[at + i]), int(ids[n]), True))
+                        self.parent[root] = own
+            i, j = np.nonzero(~linked & (low <= (self.eps + self.radii[rows, None] + radii[None, :]) * (1 + MARGIN)))
+            apart = self._roots(i + at) != self._roots(slots[j]) if len(i) else np.empty(0, bool)
+            if apart.any():
+                self.open.append((self.ids[i[apart] + at], ids[j[apart]], i[apart] + at, slots[j[apart]]))
+
+    def rows(self) -> list[pa.Array]:
+        for u, v, i, j in self.open:
+            for n in np.flatnonzero(self._roots(i) != self._roots(j)):
+                self.edges.append((int(u[n]), int(v[n]), False))
+        u, v, sure = zip(*self.edges) if self.edges else ((), (), ())
+        return [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(sure, pa.bool_())]
+
+
+class _Clusters:
+    """The written steps of one run."""
+
+    def __init__(self, df: DataFrame, coords: str | Sequence[str], eps: float, least: int):
+        self.spark, self.eps, self.least, self.paths = df.sparkSession, eps, least, []
+        rows = df.select(_vector(coords).alias("v")).filter("v IS NOT NULL")
+        distinct = rows.groupBy("v").agg(F.count(F.lit(1)).alias("w")).select(F.monotonically_increasing_id().alias("id"), "v", "w")
+        points = self._keep(distinct, "points")
+        total, dims = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+        self.empty, self.dims = not total, dims
+        if self.empty:
+            return
+        if points.filter(F.size("v") != dims).limit(1).count():
+            raise ValueError("points have different numbers of coordinates")
+        self.pivots = Pivots.sampled(points, total, eps / 2)
+        self.members = self._keep(folded(self._keep(self.pivots.place(points), "placed"), eps), "members")
+        self.counted = self._keep(self._counts(), "counts")
+        self.points = self._keep(self._core(), "core")
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        found, path = written(df, f"dbscan-{name}")
+        self.paths.append(path)
+        return found
+
+    def discard(self) -> None:
+        for path in self.paths:
+            discard(self.spark, path)
+
+    def _counts(self) -> DataFrame:
+        eps, least = self.eps, self.least
+        light = self.members.filter(F.col("weight") < least).withColumn("rho", F.lit(0.0))
+        balls = self.members.filter("id = leader")
+        return nearby.streamed(
+            nearby.meetings(light, balls, self.pivots, eps), self.dims, lambda ids, x, rho: _Counts(ids, x, eps, least),
+            "id long, sure long, near array<struct<leader long, low double, high double, sure boolean>>", ["id", "sure", "near"])
+
+    def _into(self, asked: DataFrame, members: DataFrame) -> DataFrame:
+        """Pairs of asked points (id, v, near) and members within ``eps``, by the leaders in reach."""
+        each = asked.select(F.col("id").alias("p"), F.col("v").alias("pv"), F.inline("near"))
+        slack = F.lit(self.eps * (1 + MARGIN))
+        pairs = each.withColumnRenamed("sure", "whole").join(members, "leader")
+        pairs = pairs.filter((F.col("away") <= F.col("high") + slack) & (F.col("away") >= F.col("low") - slack))
+        return pairs.filter(distance(F.col("pv"), F.col("v")) <= self.eps)
+
+    def _core(self) -> DataFrame:
+        """Members with ``core`` and, where that was open, their near groups."""
+        open_ = self.counted.filter(F.col("sure") < self.least).join(self.members.select("id", "v"), "id")
+        partial = open_.withColumn("near", F.filter("near", lambda n: ~n["sure"]))
+        more = self._into(partial, self.members).groupBy("p").agg(F.sum("w").alias("more"))
+        state = self.counted.join(more, F.col("id") == F.col("p"), "left").select(
+            "id", (F.col("sure") + F.coalesce("more", F.lit(0)) >= self.least).alias("reached"), "near")
+        return self.members.join(state, "id", "left").withColumn("core", F.coalesce("reached", F.lit(True))).drop("reached")
+
+    def labels(self) -> DataFrame:
+        """(v, core, cluster) of all points that are core or within ``eps`` of a core point."""
+        eps = self.eps
+        heavy = F.col("weight") >= self.least
+        core = self.points.filter("core").withColumn("node", F.when(heavy, F.col("leader")).otherwise(F.col("id")))
+        core = core.withColumns({"rho": F.when(heavy, F.col("rho")).otherwise(0.0), "to_node": F.when(heavy, F.col("away")).otherwise(0.0)})
+        nodes = core.filter("id = node").select("id", "v", "rho", "weight", "cell", "gap")
+        links = self._keep(nearby.streamed(
+            nearby.meetings(nodes, nodes, self.pivots, eps), self.dims, lambda ids, x, rho: _Links(ids, x, rho, eps),
+            "u long, v long, sure boolean", ["u", "v", "sure"]), "links")
+        names = nodes.select(F.col("id").alias("node"))
+        found = self._keep(connected_components(names, links.filter("sure").select("u", "v")), "components")
+        found = self._joined(found, links, core, nodes)
+        named = core.join(found, "node")
+        first = named.groupBy("component").agg(F.min("v").alias("_p")).select(F.lit(0).alias("_all"), "component", "_p")
+        numbers = positions(first, ["_all"], ["_p"]).select("component", (F.col("pos") - 1).alias("cluster"))
+        labelled = self._keep(named.join(numbers, "component").select("id", "v", "leader", "away", "w", "cluster"), "labels")
+        edge = self._into(self.points.filter("NOT core"), labelled).groupBy("pv").agg(F.min("cluster").alias("cluster"))
+        return labelled.select("v", F.lit(True).alias("core"), "cluster").unionByName(
+            edge.select(F.col("pv").alias("v"), F.lit(False).alias("core"), "cluster"))
+
+    def _joined(self, found: DataFrame, links: DataFrame, core: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Components after pairs of near groups that are still apart have compared their members."""
+        a, b = (found.select(F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in ("u", "v"))
+        ball = nodes.select("id", F.col("v").alias("x"), "rho")
+        apart = links.filter("NOT sure").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        apart = self._keep(
+            apart.join(a, "u").join(b, "v").filter("cu <> cv")
+            .join(ball.select(F.col("id").alias("u"), F.col("x").alias("xu"), F.col("rho").alias("ru")), "u")
+            .join(ball.select(F.col("id").alias("v"), F.col("x").alias("xv"), F.col("rho").alias("rv")), "v"), "apart")
+        if apart.isEmpty():
+            return found
+        eps = self.eps
+        member = core.select("node", F.col("v").alias("m"), "to_node")
+        ahead, behind = distance(F.col("m"), F.col("xv")), distance(F.col("m"), F.col("xu"))
+        left = apart.join(member, F.col("u") == F.col("node")).select(
+            "u", "v", "cu", "cv", "rv", F.col("m").alias("mu"), F.col("to_node").alias("au"), ahead.alias("bu")
+        ).filter(F.col("bu") <= (eps + F.col("rv")) * (1 + MARGIN))
+        right = apart.join(member, F.col("v") == F.col("node")).select(
+            "u", "v", "ru", F.col("m").alias("mv"), F.col("to_node").alias("bv"), behind.alias("av")
+        ).filter(F.col("av") <= (eps + F.col("ru")) * (1 + MARGIN))
+        slack = eps * (1 + MARGIN)
+        met = left.join(right, ["u", "v"]).filter(
+            (F.abs(F.col("au") - F.col("av")) <= slack) & (F.abs(F.col("bu") - F.col("bv")) <= slack)
+        ).filter(distance(F.col("mu"), F.col("mv")) <= eps)
+        edges = met.select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct()
+        roots = found.select(F.col("component").alias("node")).distinct()
+        merged = connected_components(roots, edges).select(F.col("node").alias("component"), F.col("component").alias("_c"))
+        return self._keep(found.join(merged, "component").select("node", F.col("_c").alias("component")), "merged")
+
+
+def core_points(df: DataFrame, coords: str | Sequence[str], eps: float, min_samples: int) -> DataFrame:
+    """The distinct points ``v`` with their weight ``w`` and the ``core`` flag; a point counts itself.
+
+    ``coords`` names the columns of the coordinates, or one column of arrays.
     """
-    dims = len(coords)
-    if dims not in (2, 3):
-        raise ValueError("the grid supports two or three coordinates")
-    cell = [f"_c{i}" for i in range(dims)]
-    name = F.concat_ws(":", *cell)
-    points = materialize(core_points(df, coords, eps, min_samples).withColumn("_cell", name), "dbscan-points")
-    core = points.filter("core")
-    edges = _linked_cells(core, coords, cell, eps)
-    labels = connected_components(core.select(F.col("_cell").alias("node")).distinct(), edges)
-    named = core.join(labels, F.col("_cell") == F.col("node")).drop("node")
-    first = named.groupBy("component").agg(F.min(F.struct(*coords)).alias("_p")).select(F.lit(0).alias("_all"), "component", "_p.*")
-    numbers = positions(first, ["_all"], [*coords]).select(F.col("component").alias("_name"), (F.col("pos") - 1).alias("cluster"))
-    core_labels = named.join(numbers, F.col("component") == F.col("_name")).drop("component", "_name")
-    border = points.filter(~F.col("core"))
-    own_and_near = F.concat(
-        F.array(F.struct(*[F.lit(0).alias(f"d{i}") for i in range(dims)])), _reach(dims)
-    )
-    asked = border.select(*coords, *cell, F.explode(own_and_near).alias("_d")).select(
-        *coords, *[(F.col(f"_c{i}") + F.col(f"_d.d{i}")).alias(f"_c{i}") for i in range(dims)]
-    )
-    joined = (
-        asked.alias("a").join(core_labels.alias("b"), cell)
-        .filter(_distance("a", "b", coords) <= eps)
-        .groupBy(*[F.col(f"a.{c}").alias(c) for c in coords]).agg(F.min("b.cluster").alias("cluster"))
-    )
-    labelled = core_labels.select(*coords, F.lit(True).alias("core"), "cluster").unionByName(
-        joined.select(*coords, F.lit(False).alias("core"), "cluster")
-    )
-    clustered = df.join(labelled, list(coords), "left").withColumn("core", F.coalesce("core", F.lit(False)))
-    return clustered.withColumn("cluster", F.coalesce("cluster", F.lit(-1).cast("long")))
+    run = _Clusters(df, coords, eps, min_samples)
+    if run.empty:
+        return df.sparkSession.createDataFrame([], "v array<double>, w long, core boolean")
+    return run.points.select("v", "w", "core")
 
 
-def _linked_cells(core: DataFrame, coords: Sequence[str], cell: Sequence[str], eps: float) -> DataFrame:
-    """Pairs of cells (u, v) with core points of both within ``eps``.
+def dbscan(df: DataFrame, coords: str | Sequence[str], eps: float = 0.5, min_samples: int = 5) -> DataFrame:
+    """The table with ``core`` and ``cluster``; noise is -1.
 
-    Most pairs are settled per cell: boxes farther apart than ``eps`` cannot be
-    linked, and outermost points (witnesses) within ``eps`` prove a link. Only
-    the rest compares points, and only those within ``eps`` of the other box.
+    Clusters are numbered from 0 along their smallest core point; a border
+    point joins the lowest-numbered cluster in reach. Rows with a missing or
+    infinite coordinate are noise and count for nobody.
     """
-    dims = len(coords)
-    point = F.struct(*coords)
-    sides = [d for d in itertools.product((-1.0, 0.0, 1.0), repeat=dims) if any(d)]
-    outward = [sum((F.col(c) * w for c, w in zip(coords, d) if w), F.lit(0.0)) for d in sides]
-    boxes = core.groupBy("_cell", *cell).agg(
-        F.array(*[F.max_by(point, o) for o in outward]).alias("_w"),
-        *[F.min(c).alias(f"_lo_{c}") for c in coords], *[F.max(c).alias(f"_hi_{c}") for c in coords],
-    )
-    around = boxes.select("*", F.explode(_reach(dims)).alias("_d")).select(
-        F.col("_cell").alias("u"), "_w", *[f"_{e}_{c}" for e in ("lo", "hi") for c in coords],
-        *[(F.col(k) + F.col(f"_d.d{i}")).alias(k) for i, k in enumerate(cell)],
-    )
-    gaps = [F.greatest(F.col(f"b._lo_{c}") - F.col(f"a._hi_{c}"), F.col(f"a._lo_{c}") - F.col(f"b._hi_{c}"), F.lit(0.0))
-            for c in coords]
-    proven = F.exists(
-        F.col("a._w"),
-        lambda p: F.exists(F.col("b._w"), lambda q: F.sqrt(sum(((p[c] - q[c]) * (p[c] - q[c]) for c in coords), F.lit(0.0))) <= eps),
-    )
-    pairs = materialize(
-        around.alias("a").join(boxes.alias("b"), list(cell))
-        .filter((F.col("u") < F.col("b._cell")) & (F.sqrt(sum((g * g for g in gaps), F.lit(0.0))) <= eps))
-        .select("u", F.col("b._cell").alias("v"), proven.alias("proven"),
-                *[F.col(f"b._{e}_{c}").alias(f"_{e}_{c}") for e in ("lo", "hi") for c in coords]),
-        "cell-pairs",
-    )
-    to_box = [F.greatest(F.col(f"p._lo_{c}") - F.col(f"a.{c}"), F.col(f"a.{c}") - F.col(f"p._hi_{c}"), F.lit(0.0)) for c in coords]
-    candidates = (
-        core.alias("a").join(pairs.filter("not proven").alias("p"), F.col("a._cell") == F.col("p.u"))
-        .filter(F.sqrt(sum((g * g for g in to_box), F.lit(0.0))) <= eps)
-        .select("u", "v", *[f"a.{c}" for c in coords])
-    )
-    compared = (
-        candidates.alias("a").join(core.alias("b"), F.col("a.v") == F.col("b._cell"))
-        .filter(_distance("a", "b", coords) <= eps).select("u", "v").distinct()
-    )
-    return pairs.filter("proven").select("u", "v").unionByName(compared)
+    run = _Clusters(df, coords, eps, min_samples)
+    if run.empty:
+        return df.withColumns({"core": F.lit(False), "cluster": F.lit(-1).cast("long")})
+    labels, _ = written(run.labels(), "dbscan")
+    run.discard()
+    keyed = df.withColumn("_v", _vector(coords))
+    found = keyed.join(labels.withColumnRenamed("v", "_v"), "_v", "left").drop("_v")
+    return found.withColumns({"core": F.coalesce("core", F.lit(False)), "cluster": F.coalesce("cluster", F.lit(-1).cast("long"))})
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component): the smallest node name in reach.
 
-    Alternating star contractions; each round is written to the shared folder,
-    so a lost executor costs a round at most. Partial minima precede every
-    shuffle, and a node with many neighbours is spread by the skew split.
+    Alternating star contractions; each round is written to the shared folder
+    and replaces the one before, so a lost executor costs a round at most.
+    Partial minima precede every shuffle, and a node with many neighbours is
+    spread by the skew split.
     """
     spark = nodes.sparkSession
-    current = materialize(
-        edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
-    )
+    current, path = written(
+        edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -169,7 +308,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.*").filter("u <> v").distinct()
-        current = materialize(small, "edges")
+        following, next_path = written(small, "edges")
+        discard(spark, path)
+        current, path = following, next_path
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -213,46 +213,45 @@ def fixed_assignment(t: Tables):
     return clustering.assign(t.embeddings, "embedding", *label_queries(t)).select("vec_id", "cluster")
 
 
-PLANE = ["x", "y"]
-PLANE_SQL = "pts AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings)"
+    """All pairs, the closure of core points, numbers along the smallest core point, and border points."""
+    return f"""WITH RECURSIVE pts AS ({points}),
+        near AS (SELECT a.{key} AS a, b.{key} AS b FROM pts a JOIN pts b ON {distance} <= {eps}),
+        core AS (SELECT a AS {key} FROM near GROUP BY a HAVING count(*) >= 5),
+        links AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+        reach AS (SELECT {key} AS root, {key} FROM core UNION SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.{key}),
+        comp AS (SELECT {key}, min(root) AS c FROM reach GROUP BY {key}),
+        first AS (SELECT c, min(p) AS p FROM comp JOIN pts USING ({key}) GROUP BY c),
+        num AS (SELECT c, row_number() OVER (ORDER BY p) - 1 AS cluster FROM first),
+        own AS (SELECT comp.{key}, cluster FROM comp JOIN num USING (c)),
+        edge AS (SELECT n.a AS {key}, min(cluster) AS cluster FROM near n JOIN own ON own.{key} = n.b
+                 WHERE n.a NOT IN (FROM core) GROUP BY n.a)
+        SELECT p.{key}, own.cluster IS NOT NULL AS core, coalesce(own.cluster, edge.cluster, -1) AS cluster
+        FROM pts p LEFT JOIN own USING ({key}) LEFT JOIN edge USING ({key})"""
 
 
-def plane(t: Tables):
-    return t.embeddings.select(
-        "vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y")
-    )
+VECTOR_SQL = "SELECT vec_id, embedding::DOUBLE[] AS p FROM embeddings"
+ACCOUNT_SQL = "SELECT c_custkey, c_acctbal / 1000 AS x, c_nationkey / 4.0 AS y, {'x': x, 'y': y} AS p FROM customer"
 
 
 @plan(
     "m09_dbscan_core",
-    f"""WITH {PLANE_SQL} SELECT a.vec_id, count(*) >= 5 AS core FROM pts a JOIN pts b
-          ON sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) <= 0.02 GROUP BY a.vec_id""",
+    f"""WITH pts AS ({VECTOR_SQL}) SELECT a.vec_id, count(*) >= 5 AS core
+        FROM pts a JOIN pts b ON list_distance(a.p, b.p) <= 1.16 GROUP BY a.vec_id""",
 )
 def dbscan_core(t: Tables):
-    points = plane(t)
-    flags = density.core_points(points, PLANE, 0.02, 5).select(*PLANE, "core")
-    return points.join(flags, PLANE).select("vec_id", "core")
+    points = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return points.join(density.core_points(points, "v", 1.16, 5), "v").select("vec_id", "core")
 
 
-@plan(
-    "m09_dbscan_clusters",
-    f"""WITH RECURSIVE {PLANE_SQL},
-        near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM pts a JOIN pts b
-                 ON sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) <= 0.02),
-        core AS (SELECT a AS vec_id FROM near GROUP BY a HAVING count(*) >= 5),
-        links AS (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
-        reach AS (SELECT vec_id AS root, vec_id FROM core UNION SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.vec_id),
-        comp AS (SELECT vec_id, min(root) AS c FROM reach GROUP BY vec_id),
-        first AS (SELECT c, min({{'x': x, 'y': y}}) AS p FROM comp JOIN pts USING (vec_id) GROUP BY c),
-        num AS (SELECT c, row_number() OVER (ORDER BY p) - 1 AS cluster FROM first),
-        own AS (SELECT comp.vec_id, cluster FROM comp JOIN num USING (c)),
-        edge AS (SELECT n.a AS vec_id, min(cluster) AS cluster FROM near n JOIN own ON own.vec_id = n.b
-                 WHERE n.a NOT IN (FROM core) GROUP BY n.a)
-        SELECT p.vec_id, own.cluster IS NOT NULL AS core, coalesce(own.cluster, edge.cluster, -1) AS cluster
-        FROM pts p LEFT JOIN own USING (vec_id) LEFT JOIN edge USING (vec_id)""",
-)
+@plan("m09_dbscan_clusters", dbscan_sql(VECTOR_SQL, "vec_id", "list_distance(a.p, b.p)", 1.16))
 def dbscan_clusters(t: Tables):
-    return density.dbscan(plane(t), PLANE, 0.02, 5).select("vec_id", "core", "cluster")
+    return density.dbscan(t.embeddings, "embedding", 1.16, 5).select("vec_id", "core", "cluster")
+
+
+@plan("m09_dbscan_plane", dbscan_sql(ACCOUNT_SQL, "c_custkey", "sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))", 0.1))
+def dbscan_plane(t: Tables):
+    accounts = t.customer.select("c_custkey", (F.col("c_acctbal") / 1000).alias("x"), (F.col("c_nationkey") / 4.0).alias("y"))
+    return density.dbscan(accounts, ["x", "y"], 0.1, 5).select("c_custkey", "core", "cluster")
 
 
 @plan("m10_cluster_sums", "SELECT count(*) AS n, 6::BIGINT AS clusters, true AS tighter FROM embeddings")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ospara.functions import stats, vectors
 from ospara.session import fresh_path
 from ospara.operators import (
-    clustering, density, features, hyper, joins, models, profile, search, timeseries,
+    clustering, density, features, hyper, joins, models, nearby, profile, search, timeseries,
 )
 
 
@@ -151,6 +151,50 @@ def test_dbscan_in_three_coordinates(spark):
     assert [r.core for r in rows] == core.tolist() and [r.cluster for r in rows] == label.tolist()
 
 
+def check_dbscan(spark, x, eps, least):
+    df = spark.createDataFrame([(i, p.tolist(), 1) for i, p in enumerate(x)], "id int, p array<double>, core int").repartition(4)
+    core, label = brute_dbscan(x, eps, least)
+    rows = density.dbscan(df.drop("core"), "p", eps, least).orderBy("id").collect()
+    assert [r.core for r in rows] == core.tolist()
+    assert [r.cluster for r in rows] == label.tolist()
+    return core, label
+
+
+@pytest.mark.parametrize("dims, eps", [(1, 0.02), (5, 1.1), (16, 4.2), (40, 7.9)])
+def test_dbscan_in_many_coordinates(spark, monkeypatch, dims, eps):
+    monkeypatch.setattr(density, "FOLD_ROWS", 40)
+    monkeypatch.setattr(nearby, "OWNERS", 32)
+    monkeypatch.setattr(nearby, "SLICE", 48)
+    rng = np.random.default_rng(dims)
+    x = np.vstack([rng.normal(0, 1, (150, dims)), rng.normal(4, 0.7, (120, dims)), rng.uniform(-4, 8, (60, dims))])
+    x = np.vstack([x, np.repeat(x[:3], 6, axis=0)])
+    core, label = check_dbscan(spark, x, eps, 6)
+    assert 0 < core.sum() < len(x) and label.max() >= 1
+
+
+def test_dbscan_joins_dense_groups_only_by_their_members(spark, monkeypatch):
+    """Balls whose leaders are farther apart than eps, linked or not by single members."""
+    monkeypatch.setattr(density, "FOLD_ROWS", 60)
+    rng = np.random.default_rng(2)
+    balls = []
+    for k, gap in enumerate((0.0, 1.85, 3.9, 5.6)):
+        angle = rng.uniform(0, 2 * np.pi, 300)
+        radius = 0.45 * np.sqrt(rng.uniform(0, 1, 300))
+        balls.append(np.column_stack([gap + radius * np.cos(angle), radius * np.sin(angle)]))
+    x = np.round(np.vstack([*balls, [[0.95, 0.0], [0.9, 0.3]]]), 6)
+    check_dbscan(spark, x, 1.0, 5)
+
+
+def test_dbscan_of_missing_coordinates_and_of_nothing(spark):
+    rows = [(1, 0.0, 0.0), (2, 0.1, 0.0), (3, None, 0.0), (4, float("nan"), 1.0), (5, float("inf"), 0.0), (6, -0.0, 0.0), (7, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "id int, x double, y double")
+    found = {r.id: (r.core, r.cluster) for r in density.dbscan(df, ["x", "y"], 0.5, 3).collect()}
+    assert found == {1: (True, 0), 2: (True, 0), 3: (False, -1), 4: (False, -1), 5: (False, -1), 6: (True, 0), 7: (False, -1)}
+    assert density.dbscan(df.limit(0), ["x", "y"], 0.5, 3).count() == 0
+    with pytest.raises(ValueError):
+        density.dbscan(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "p array<double>"), "p")
+
+
 def test_components_of_a_long_chain(spark):
     n = 64
     nodes = spark.createDataFrame([(f"{i:03d}",) for i in range(n + 2)], "node string")
