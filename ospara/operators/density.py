@@ -83,15 +83,25 @@ def folded(points: DataFrame, eps: float) -> DataFrame:
     return placed.repartition("task").sortWithinPartitions("task", "id").mapInArrow(fold, FOLDED)
 
 
+def _balls(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, centres and radii."""
+    v = rows.column("v")
+    dims = len(v[0])
+    return np.asarray(rows.column("id")), batch_matrix(v, dims), np.asarray(rows.column("rho"))
+
+
 class _Counts:
     """Weight surely within ``eps`` of each owner, and the groups to look into while that is below ``least``."""
 
-    def __init__(self, ids, points, eps: float, least: int):
-        self.ids, self.points, self.eps, self.least = ids, points, eps, least
+    def __init__(self, owners: pa.Table, eps: float, least: int):
+        ids, self.points, _ = _balls(owners)
+        self.ids, self.eps, self.least = ids, eps, least
         self.sure = np.zeros(len(ids), np.int64)
         self.near: list[list[tuple]] = [[] for _ in ids]
 
-    def meet(self, ids, points, radii, weights) -> None:
+    def meet(self, balls: pa.RecordBatch) -> None:
+        ids, points, radii = _balls(balls)
+        weights = np.asarray(balls.column("weight"))
         left = np.flatnonzero(self.sure < self.least)
         for at in range(0, len(left), nearby.OWNERS):
             rows = left[at : at + nearby.OWNERS]
@@ -103,19 +113,20 @@ class _Counts:
             for i in rows[self.sure[rows] >= self.least]:
                 self.near[i] = []
 
-    def rows(self) -> list[pa.Array]:
+    def rows(self) -> dict[str, pa.Array]:
         kind = pa.list_(pa.struct([("leader", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("sure", pa.bool_())]))
         near = [[dict(zip(("leader", "low", "high", "sure"), n)) for n in own] for own in self.near]
-        return [pa.array(self.ids), pa.array(self.sure), pa.array(near, kind)]
+        return {"id": pa.array(self.ids), "sure": pa.array(self.sure), "near": pa.array(near, kind)}
 
 
 class _Links:
     """Spanning edges between owners and balls whose centres are within ``eps``; pairs that only their members can link."""
 
-    def __init__(self, ids, points, radii, eps: float):
-        self.ids, self.points, self.radii, self.eps = ids, points, radii, eps
-        self.slots = {int(i): n for n, i in enumerate(ids)}
-        self.parent = np.arange(len(ids))
+    def __init__(self, owners: pa.Table, eps: float):
+        self.ids, self.points, self.radii = _balls(owners)
+        self.eps = eps
+        self.slots = {int(i): n for n, i in enumerate(self.ids)}
+        self.parent = np.arange(len(self.ids))
         self.edges: list[tuple[int, int, bool]] = []
         self.open: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -126,7 +137,8 @@ class _Links:
         self.parent[slots] = found
         return found
 
-    def meet(self, ids, points, radii, weights) -> None:
+    def meet(self, balls: pa.RecordBatch) -> None:
+        ids, points, radii = _balls(balls)
         slots = np.array([self.slots.setdefault(int(i), len(self.slots)) for i in ids])
         self.parent = np.append(self.parent, np.arange(len(self.parent), len(self.slots)))
         for at in range(0, len(self.ids), nearby.OWNERS):
@@ -146,12 +158,12 @@ class _Links:
             if apart.any():
                 self.open.append((self.ids[i[apart] + at], ids[j[apart]], i[apart] + at, slots[j[apart]]))
 
-    def rows(self) -> list[pa.Array]:
+    def rows(self) -> dict[str, pa.Array]:
         for u, v, i, j in self.open:
             for n in np.flatnonzero(self._roots(i) != self._roots(j)):
                 self.edges.append((int(u[n]), int(v[n]), False))
         u, v, sure = zip(*self.edges) if self.edges else ((), (), ())
-        return [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(sure, pa.bool_())]
+        return {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "sure": pa.array(sure, pa.bool_())}
 
 
 class _Clusters:
@@ -162,11 +174,11 @@ class _Clusters:
         rows = df.select(_vector(coords).alias("v")).filter("v IS NOT NULL")
         distinct = rows.groupBy("v").agg(F.count(F.lit(1)).alias("w")).select(F.monotonically_increasing_id().alias("id"), "v", "w")
         points = self._keep(distinct, "points")
-        total, dims = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-        self.empty, self.dims = not total, dims
+        total, least_dims, most_dims = points.agg(F.count(F.lit(1)), F.min(F.size("v")), F.max(F.size("v"))).first()
+        self.empty = not total
         if self.empty:
             return
-        if points.filter(F.size("v") != dims).limit(1).count():
+        if least_dims != most_dims:
             raise ValueError("points have different numbers of coordinates")
         self.pivots = Pivots.sampled(points, total, eps / 2)
         self.members = self._keep(folded(self._keep(self.pivots.place(points), "placed"), eps), "members")
@@ -187,8 +199,8 @@ class _Clusters:
         light = self.members.filter(F.col("weight") < least).withColumn("rho", F.lit(0.0))
         balls = self.members.filter("id = leader")
         return nearby.streamed(
-            nearby.meetings(light, balls, self.pivots, eps), self.dims, lambda ids, x, rho: _Counts(ids, x, eps, least),
-            "id long, sure long, near array<struct<leader long, low double, high double, sure boolean>>", ["id", "sure", "near"])
+            nearby.meetings(light, balls, self.pivots, eps), lambda owners: _Counts(owners, eps, least),
+            "id long, sure long, near array<struct<leader long, low double, high double, sure boolean>>")
 
     def _into(self, asked: DataFrame, members: DataFrame) -> DataFrame:
         """Pairs of asked points (id, v, near) and members within ``eps``, by the leaders in reach."""
@@ -215,8 +227,8 @@ class _Clusters:
         core = core.withColumns({"rho": F.when(heavy, F.col("rho")).otherwise(0.0), "to_node": F.when(heavy, F.col("away")).otherwise(0.0)})
         nodes = core.filter("id = node").select("id", "v", "rho", "weight", "cell", "gap")
         links = self._keep(nearby.streamed(
-            nearby.meetings(nodes, nodes, self.pivots, eps), self.dims, lambda ids, x, rho: _Links(ids, x, rho, eps),
-            "u long, v long, sure boolean", ["u", "v", "sure"]), "links")
+            nearby.meetings(nodes, nodes, self.pivots, eps), lambda owners: _Links(owners, eps),
+            "u long, v long, sure boolean"), "links")
         names = nodes.select(F.col("id").alias("node"))
         found = self._keep(connected_components(names, links.filter("sure").select("u", "v")), "components")
         found = self._joined(found, links, core, nodes)

@@ -8,11 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import PCA, IndexToString, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
-from ospara.operators import profile
+from ospara.operators import imputing, profile
 from ospara.scale import collect_small
 from ospara.session import materialize
 
@@ -112,7 +112,7 @@ def _regressed(df, columns, means, todo, steps) -> DataFrame:
     return out
 
 
-DONORS_PER_BLOCK, GAPS_PER_BLOCK = 8192, 512
+DONORS_PER_BLOCK = 8192
 
 
 def knn_impute(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
@@ -120,80 +120,27 @@ def knn_impute(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
 
     Distances are Euclidean over the columns both rows have, scaled up to all
     columns and compared to nine places; ties go to the smaller value. Rows
-    with equal features are one donor with a weight, and share one answer.
-    Blocks of distinct rows with gaps meet blocks of distinct donors; each
-    meeting hands on its nearest ``k``, so neither side meets the driver or one
-    task whole. Without any neighbour the mean is used.
+    with equal features are one donor with a weight, and share one answer. A
+    row meets only the blocks of donors that bounds do not rule out
+    (``imputing``). Without any neighbour the mean is used.
     """
     raw = [f"_k_{c}" for c in columns]
-    given = [f"_g_{c}" for c in columns]
     keyed = df.withColumns({r: F.col(c).cast("double") for r, c in zip(raw, columns)})
-    distinct = materialize(keyed.groupBy(*raw).agg(F.count(F.lit(1)).alias("_n")), "donors")
-    missing = F.lit(False)
-    for r in raw:
-        missing = missing | F.col(r).isNull()
-    gaps = distinct.filter(missing).select(*[F.col(r).alias(g) for r, g in zip(raw, given)])
-    n_donors = max(1, -(-distinct.count() // DONORS_PER_BLOCK))
-    n_gaps = max(1, -(-gaps.count() // GAPS_PER_BLOCK))
-
-    def block(names: Sequence[str], n: int) -> Column:
-        return F.pmod(F.xxhash64(*names), F.lit(n))
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
-    left = gaps.select(*given, block(given, n_gaps).alias("_gb"), every(n_donors).alias("_db"))
-    right = distinct.select(*raw, "_n", block(raw, n_donors).alias("_to"), every(n_gaps).alias("_of"))
-    fields = [*[pa.field(g, pa.float64()) for g in given], pa.field("column", pa.int32()), pa.field("distance", pa.float64()),
-              pa.field("value", pa.float64()), pa.field("n", pa.int64())]
-
-    def meet(wanted: pa.Table, donors: pa.Table) -> pa.Table:
-        out: list[list] = [[] for _ in fields]
-        if wanted.num_rows and donors.num_rows:
-            known = np.column_stack([donors.column(r).to_pandas().to_numpy(dtype=float) for r in raw])
-            rows = np.column_stack([wanted.column(g).to_pandas().to_numpy(dtype=float) for g in given])
-            times = np.asarray(donors.column("_n"))
-            for x in rows:
-                own = [None if np.isnan(v) else float(v) for v in x]
-                for found in _nearest(x, known, times, k):
-                    for values, value in zip(out, (*own, *found)):
-                        values.append(value)
-        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(out, fields)], schema=pa.schema(fields))
-
-    near = left.groupBy("_gb", "_db").cogroup(right.groupBy("_of", "_to")).applyInArrow(
-        meet, ", ".join([*[f"{g} double" for g in given], "column int", "distance double", "value double", "n long"]))
-    before = Window.partitionBy(*given, "column").orderBy("distance", "value").rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.least("n", F.lit(k) - F.coalesce(F.sum("n").over(before), F.lit(0)))
-    answers = (
-        near.withColumn("weight", weight).filter("weight > 0").groupBy(*given, "column")
-        .agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("answer"))
-        .groupBy(*given).agg(F.map_from_entries(F.collect_list(F.struct("column", "answer"))).alias("_f"))
-    )
+    search = imputing.NearestRows(keyed.groupBy(*raw).agg(F.count(F.lit(1)).alias("_n")), raw, k, DONORS_PER_BLOCK)
+    answers = search.answers().groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("column", "answer"))).alias("_f"))
+    given = [F.col("v")[i].alias(f"_g_{c}") for i, c in enumerate(columns)]
+    found = materialize(search.rows.join(answers, "id").select(*given, "_f"), "nearest")
+    search.discard()
     match = F.lit(True)
-    for r, g in zip(raw, given):
-        match = match & F.col(r).eqNullSafe(F.col(g))
+    for r, c in zip(raw, columns):
+        match = match & F.col(r).eqNullSafe(F.col(f"_g_{c}"))
     means = imputing_values(df, columns, "mean")
-    joined = keyed.join(answers, match, "left")
+    joined = keyed.join(found, match, "left")
     return joined.withColumns({
         c: F.coalesce(r, F.try_element_at("_f", F.lit(i)), F.lit(means.get(c))) for i, (c, r) in enumerate(zip(columns, raw))
     }).select(*df.columns)
 
 
-def _nearest(x: np.ndarray, known: np.ndarray, times: np.ndarray, k: int):
-    """(column, distance, value, times) of the donors of each gap of ``x`` that may be among the nearest ``k``."""
-    gap = known - x
-    shared = (~np.isnan(gap)).sum(axis=1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        distance = np.round(np.sqrt(np.nansum(gap * gap, axis=1) * len(x) / shared), 9)
-    for i in np.flatnonzero(np.isnan(x)):
-        donors = np.flatnonzero(~np.isnan(known[:, i]) & (shared > 0))
-        if len(donors) > k:
-            bound = np.partition(distance[donors], k - 1)[k - 1]
-            donors = donors[distance[donors] <= bound]
-        for j in donors[np.lexsort((known[donors, i], distance[donors]))][:k]:
-            yield int(i), float(distance[j]), float(known[j, i]), int(times[j])
-
-
 def categories(df: DataFrame, column: str) -> list[str]:
     rows = collect_small(df.select(column).filter(F.col(column).isNotNull()).distinct(), MAX_CATEGORIES, column)
     return sorted(r[0] for r in rows)

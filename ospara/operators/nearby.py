@@ -105,28 +105,21 @@ def tasks_of(rows: DataFrame, size: int) -> tuple[dict[int, tuple[int, int]], Da
     return found, rows.withColumn("task", task("cell", F.pmod(F.xxhash64("id"), F.lit(1 << 40))))
 
 
-def streamed(
-    rows: DataFrame, dims: int, start: Callable[[np.ndarray, np.ndarray, np.ndarray], object], schema: str, names: list[str]
-) -> DataFrame:
-    """Run one consumer per task over (task, ball, id, v, rho, weight), owners before balls.
-
-    ``start`` takes ids, points and radii of the owners and returns an object
-    with ``meet(ids, points, radii, weights)`` for a slice of balls and
-    ``rows()`` for the columns of the result.
-    """
+def streamed(rows: DataFrame, start: Callable[[pa.Table], object], schema: str) -> DataFrame:
+    """Run one consumer per task over rows with (task, ball, id, ...), owners (ball 0) before balls (ball 1).
 
+    ``start`` takes the owners of a task and returns an object with
+    ``meet(batch)`` for a slice of balls and ``rows()`` for the named columns of
+    the result. Tasks without owners give nothing.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, consumer, owners = None, None, []
-        kept = [pa.schema([])]
-
-        def began():
-            return start(*(np.concatenate(c) for c in zip(*owners)))
 
-        def result(found) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(found, names=names)
+        def result() -> pa.RecordBatch:
+            found = consumer or start(pa.Table.from_batches(owners))
+            return pa.RecordBatch.from_pydict(found.rows())
 
         for batch in batches:
-            kept[0] = batch.schema
             numbers = np.asarray(batch.column("task")).astype(np.int64) * 2 + np.asarray(batch.column("ball"))
             edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1), len(numbers)]
             for a, b in zip(edges[:-1], edges[1:]):
@@ -135,26 +128,23 @@ def streamed(
                 number, ball = divmod(int(numbers[a]), 2)
                 if number != task:
                     if owners:
-                        yield result((consumer or began()).rows())
+                        yield result()
                     task, consumer, owners = number, None, []
                 for at in range(a, b, SLICE):
                     part = batch.slice(at, min(SLICE, b - at))
-                    ids, x = np.asarray(part.column("id")), batch_matrix(part.column("v"), dims)
-                    rho = np.asarray(part.column("rho"))
                     if not ball:
-                        owners.append((ids, x, rho))
+                        owners.append(part)
                     elif owners:
-                        consumer = consumer or began()
-                        consumer.meet(ids, x, rho, np.asarray(part.column("weight")))
+                        consumer = consumer or start(pa.Table.from_batches(owners))
+                        consumer.meet(part)
         if owners:
-            yield result((consumer or began()).rows())
+            yield result()
 
-    ordered = rows.select("task", "ball", "id", "v", "rho", "weight").repartition("task").sortWithinPartitions("task", "ball", "id")
-    return ordered.mapInArrow(run, schema)
+    return rows.repartition("task").sortWithinPartitions("task", "ball", "id").mapInArrow(run, schema)
 
 
 def meetings(owners: DataFrame, balls: DataFrame, pivots: Pivots, eps: float) -> DataFrame:
-    """Rows for ``streamed``: each owner (id, v, rho, weight, cell, gap) once, each ball in every task whose owners it may reach.
+    """Rows (task, ball, id, v, rho, weight) for ``streamed``: each owner (id, v, rho, weight, cell, gap) once, each ball in every task whose owners it may reach.
 
     A ball reaches an owner if their centres are at most ``eps`` and both radii apart.
     """

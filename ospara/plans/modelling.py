@@ -213,6 +213,7 @@ def fixed_assignment(t: Tables):
     return clustering.assign(t.embeddings, "embedding", *label_queries(t)).select("vec_id", "cluster")
 
 
+def dbscan_sql(points: str, key: str, distance: str, eps: float) -> str:
     """All pairs, the closure of core points, numbers along the smallest core point, and border points."""
     return f"""WITH RECURSIVE pts AS ({points}),
         near AS (SELECT a.{key} AS a, b.{key} AS b FROM pts a JOIN pts b ON {distance} <= {eps}),

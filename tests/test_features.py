@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ospara.functions import stats, vectors
 from ospara.session import fresh_path
 from ospara.operators import (
-    clustering, density, features, hyper, joins, models, nearby, profile, search, timeseries,
+    clustering, density, features, hyper, imputing, joins, models, nearby, profile, search, timeseries,
 )
 
 
@@ -326,7 +326,8 @@ def test_suggestions():
 
 def test_knn_blocks_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(features, "DONORS_PER_BLOCK", 16)
-    monkeypatch.setattr(features, "GAPS_PER_BLOCK", 4)
+    monkeypatch.setattr(imputing, "VISITS_PER_TASK", 7)
+    monkeypatch.setattr(imputing, "PATTERNS", 3)
     rng = np.random.default_rng(9)
     values = rng.integers(0, 6, (120, 3)).astype(float)
     values[rng.random((120, 3)) < 0.15] = np.nan
@@ -346,6 +347,29 @@ def test_knn_blocks_equal_brute_force(spark, monkeypatch):
             assert got == pytest.approx(np.mean([values[n, j] for n in near]) if near else means[j])
 
 
+def test_knn_meets_few_blocks(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 3)) + 6 * rng.integers(0, 5, (4000, 1))
+    rows = [(*map(float, p[:2]), None if i % 8 == 0 else float(p[2]), 1) for i, p in enumerate(x)]
+    table = spark.createDataFrame(rows, "a double, b double, c double, _n long")
+    search = imputing.NearestRows(table, ["a", "b", "c"], 5, 64)
+    got = {tuple(r.v[:2]): r.answer for r in search.answers().join(search.rows, "id").collect()}
+    known = np.array([r[:3] for r in rows if r[2] is not None], dtype=float)
+    for a, b, c, _ in rows:
+        if c is None:
+            near = np.round(np.sqrt(((known[:, :2] - (a, b)) ** 2).sum(axis=1) * 3 / 2), 9)
+            assert got[a, b] == pytest.approx(known[np.lexsort((known[:, 2], near))[:5], 2].mean())
+    assert search.met < search.possible / 10
+
+
+def test_knn_without_gaps_and_without_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "a double, b double")
+    assert sorted(map(tuple, features.knn_impute(df, ["a", "b"]).collect())) == [(1.0, 2.0), (2.0, 3.0)]
+    assert features.knn_impute(df.limit(0), ["a", "b"]).count() == 0
+    gaps = spark.createDataFrame([(None, None), (None, 4.0), (5.0, None)], "a double, b double")
+    assert sorted(map(tuple, features.knn_impute(gaps, ["a", "b"]).collect()), key=str) == [(5.0, 4.0)] * 3
+
+
 def test_rows_with_gaps_are_scored(spark):
     from ospara.operators import models
 
