@@ -39,6 +39,12 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; a zero row stays as it is."""
+    norms = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(norms > 0, norms, 1.0)
+
+
 def cosine_matrix(x: np.ndarray, m: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(m, axis=1)[None, :]
     with np.errstate(divide="ignore", invalid="ignore"):

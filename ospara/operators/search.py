@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ospara.functions.text import fixed_text
 from ospara.operators import clustering
 from ospara.operators.access import visible_rows
 from ospara.operators.filters import metadata_filter
+from ospara.scale import top_k
 
 
 def recall_at_k(found: DataFrame, truth: DataFrame, id_col: str, k: int) -> DataFrame:
@@ -53,12 +56,26 @@ def secure_nearest(
     return vectors.nearest(df.join(seen, id_col, "left_semi"), id_col, vector, query_ids, queries, k)
 
 
-class CellIndex:
-    """Vectors stored by nearest cell centre, one folder per cell.
+#: Rows that the centres are fitted on, per cell, and rows of one file.
+SAMPLE_PER_CELL, ROWS_PER_FILE, MAX_CELLS = 256, 1_000_000, 4096
+#: Scores of a code step: residuals are kept as whole numbers up to this.
+LEVELS = 127
+
 
-    A search reads the folders of the cells nearest to its queries and nothing
-    else; inside them it is exact. A crowded cell is written by several tasks
-    and read by several tasks, as no step groups by cell.
+class CellIndex:
+    """Vectors by cell, with one byte a component for the first ranking.
+
+    A vector is coded in its ``copies`` nearest cells: the difference to the
+    cell's centre, divided by its largest component, in whole steps. Its full
+    form is stored once, in its nearest cell. A search reads the codes of the
+    cells that its queries need, and a row meets only the queries that need
+    its cell, once each. Rounding bounds every score from both sides, so the
+    rows that may be among the best ``k`` of the cells read are known; only
+    these are scored exactly. What is found is exact for the cells read; how
+    many neighbours lie in these is the index's recall.
+
+    Centres are fitted on a sample of ``SAMPLE_PER_CELL`` rows a cell; every
+    row with a finite vector of the most common length is in the index.
     """
 
     def __init__(self, spark: SparkSession, path: str, centers: np.ndarray, id_col: str, vector: str):
@@ -66,21 +83,119 @@ class CellIndex:
         self.id_col, self.vector = id_col, vector
 
     @classmethod
-    def build(cls, df: DataFrame, id_col: str, vector: str, path: str, cells: int = 64, salts: int = 16) -> CellIndex:
-        unit = df.withColumn("_unit", vectors.normalized(vector))
-        model, _ = clustering.kmeans(unit.select("_unit"), "_unit", cells)
+    def build(
+        cls, df: DataFrame, id_col: str, vector: str, path: str, cells: int | None = None, copies: int = 1
+    ) -> CellIndex:
+        whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        rows = df.filter(F.col(vector).isNotNull() & whole)
+        size = rows.groupBy(F.size(vector).alias("dims")).count().orderBy(F.desc("count"), "dims").first()
+        if not size:
+            raise ValueError("an index needs vectors")
+        rows = rows.filter(F.size(vector) == size["dims"])
+        total = size["count"]
+        cells = cells or min(MAX_CELLS, max(1, math.isqrt(total)))
+        share = min(1.0, SAMPLE_PER_CELL * cells / max(1, total))
+        sample = rows.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int(share * (1 << 30)))
+        model, _ = clustering.kmeans(sample.select(vectors.normalized(vector).alias("_unit")), "_unit", cells)
         centers = np.array(model.clusterCenters())
-        placed = clustering.assign(unit, "_unit", list(range(len(centers))), centers).drop("_unit", "distance_to_center")
-        salt = F.pmod(F.xxhash64(id_col), F.lit(salts))
-        placed.repartition("cluster", salt).write.partitionBy("cluster").parquet(path)
-        return cls(df.sparkSession, path, centers, id_col, vector)
+        sizes = np.array(model.summary.clusterSizes, dtype=float)
+        salts = np.maximum(1, np.ceil(sizes / sizes.sum() * total / ROWS_PER_FILE)).astype(int).tolist()
+        index = cls(df.sparkSession, path, centers, id_col, vector)
+        index._write(rows, min(copies, len(centers)), salts)
+        return index
+
+    def _write(self, df: DataFrame, copies: int, salts: list[int]) -> None:
+        centers, dims = self.centers, self.centers.shape[1]
+        squares = (centers * centers).sum(axis=1)
+
+        def files(rows: DataFrame, cell: str, name: str) -> None:
+            many = F.element_at(F.array(*[F.lit(n) for n in salts]), F.col(cell) + 1)
+            rows.repartition(cell, F.pmod(F.xxhash64("id"), many)).write.partitionBy(cell).parquet(f"{self.path}/{name}")
+
+        @F.arrow_udf("array<int>")
+        def cells_of(v: pa.Array) -> pa.Array:
+            x = vectors.unit_rows(vectors.batch_matrix(v, dims))
+            near = np.argsort(squares - 2 * x @ centers.T, axis=1, kind="stable")[:, :copies]
+            return pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))
+
+        def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = vectors.unit_rows(vectors.batch_matrix(batch.column("v"), dims))
+                cells = np.array(batch.column("cells").to_pylist())
+                for j in range(cells.shape[1]):
+                    gap = x - centers[cells[:, j]]
+                    step = np.abs(gap).max(axis=1) / LEVELS
+                    whole = np.rint(gap / np.where(step > 0, step, 1)[:, None]).astype(np.int8)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id"), pa.array(cells[:, j], pa.int32()), batch.column("cells"),
+                         pa.array([row.tobytes() for row in whole], pa.binary()), pa.array(step)],
+                        names=["id", "cell", "cells", "code", "step"])
+
+        rows = df.select(F.col(self.id_col).cast("long").alias("id"), F.col(self.vector).cast("array<double>").alias("v"))
+        placed = rows.withColumn("cells", cells_of("v")).withColumn("home", F.col("cells")[0])
+        files(placed, "home", "vectors")
+        stored = self.spark.read.parquet(f"{self.path}/vectors")
+        files(stored.mapInArrow(code, "id long, cell int, cells array<int>, code binary, step double"), "cell", "codes")
 
     def search(self, query_ids: Sequence, queries: np.ndarray, k: int, probes: int = 8) -> DataFrame:
-        norms = np.linalg.norm(queries, axis=1, keepdims=True)
-        gaps = vectors.distance_matrix(queries / np.where(norms > 0, norms, 1.0), self.centers)
-        near = np.unique(np.argsort(gaps, axis=1, kind="stable")[:, :probes])
-        cells = self.spark.read.parquet(self.path).filter(F.col("cluster").isin([int(c) for c in near]))
-        return vectors.nearest(cells, self.id_col, self.vector, query_ids, queries, k)
+        """(query_id, <id>, score, rank) of the best ``k`` rows by cosine in each query's ``probes`` nearest cells."""
+        centers, dims = self.centers, self.centers.shape[1]
+        unit = vectors.unit_rows(np.asarray(queries, dtype=float))
+        gaps = (centers * centers).sum(axis=1) - 2 * unit @ centers.T
+        order = np.argsort(gaps, axis=1, kind="stable")[:, :probes]
+        place = np.full(gaps.shape, len(centers), np.int32)
+        np.put_along_axis(place, order, np.arange(order.shape[1], dtype=np.int32)[None], axis=1)
+        weight = np.abs(unit).sum(axis=1) / 2 * (1 + 1e-6)
+        names = np.array(query_ids, np.int64)
+
+        def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, low, high, home = ([np.empty(0, t) for _ in names] for t in (np.int64, float, float, np.int32))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                every = np.asarray(batch.column("cell"))
+                for cell in np.unique(every):
+                    part = batch.filter(pa.array(every == cell))
+                    asking = np.flatnonzero(place[:, cell] < len(centers))
+                    whole = np.frombuffer(b"".join(part.column("code").to_pylist()), np.int8).reshape(-1, dims).astype(float)
+                    step, own = np.asarray(part.column("step")), np.asarray(part.column("id"))
+                    score = unit[asking] @ centers[cell] + (unit[asking] @ whole.T * step).T
+                    error = step[:, None] * weight[asking] + 1e-9
+                    cells = np.array(part.column("cells").to_pylist())
+                    for n, q in enumerate(asking):
+                        once = place[q][cells].min(axis=1) == place[q, cell]
+                        ids[q] = np.concatenate([ids[q], own[once]])
+                        low[q] = np.concatenate([low[q], (score - error)[once, n]])
+                        high[q] = np.concatenate([high[q], (score + error)[once, n]])
+                        home[q] = np.concatenate([home[q], cells[once, 0].astype(np.int32)])
+                        if len(low[q]) > k:
+                            left = high[q] >= np.partition(low[q], len(low[q]) - k)[len(low[q]) - k]
+                            ids[q], low[q], high[q], home[q] = ids[q][left], low[q][left], high[q][left], home[q][left]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(len(names)), [len(i) for i in ids]), pa.int32()), pa.array(np.concatenate(ids)),
+                 pa.array(np.concatenate(home))], names=["q", "id", "home"])
+
+        codes = self.spark.read.parquet(f"{self.path}/codes").filter(F.col("cell").isin(np.unique(order).tolist()))
+        few = codes.mapInArrow(rank, "q int, id long, home int")
+
+        @F.arrow_udf("double")
+        def exact(q: pa.Array, v: pa.Array) -> pa.Array:
+            rows = vectors.unit_rows(vectors.batch_matrix(v, dims))
+            return pa.array((rows * unit[np.asarray(q)]).sum(axis=1))
+
+        stored = self.spark.read.parquet(f"{self.path}/vectors").select("home", "id", "v")
+        scored = few.join(stored, ["home", "id"]).select(
+            F.element_at(F.array(*[F.lit(int(n)) for n in names]), F.col("q") + 1).alias("query_id"),
+            F.col("id").alias(self.id_col), exact("q", "v").alias("score"))
+        return top_k(scored, ["query_id"], [F.desc("score"), F.asc(self.id_col)], k)
+
+
+def recall_of(index: CellIndex, df: DataFrame, query_ids: Sequence, queries: np.ndarray, k: int, probes: int) -> DataFrame:
+    """(recall): the share of the exact ``k`` nearest rows that the index finds."""
+    truth = vectors.nearest(df, index.id_col, index.vector, query_ids, queries, k)
+    return recall_at_k(index.search(query_ids, queries, k, probes), truth, index.id_col, k)
 
 
 def keyword_score(text: Column, query: str) -> Column:

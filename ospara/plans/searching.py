@@ -42,10 +42,28 @@ def nearest_in_all_cells(t: Tables):
     return hits.select("query_id", "vec_id", rnd("score", 6).alias("score"), "rank")
 
 
+def own_queries(t: Tables):
+    """The query set of the index: every twentieth vector, so many at most as ``small_matrix`` allows."""
+    return vectors.small_matrix(t.embeddings.filter("vec_id % 20 = 0"), "vec_id", "embedding")
+
+
 @plan("t03_nearest_approximate")
 def nearest_approximate(t: Tables):
-    index = search.CellIndex.build(t.embeddings, "vec_id", "embedding", fresh_path(t.spark, "cells"), cells=16)
-    return index.search(*label_queries(t), 10, probes=6)
+    index = search.CellIndex.build(t.embeddings, "vec_id", "embedding", fresh_path(t.spark, "cells"), cells=64, copies=8)
+    return index.search(*own_queries(t), 10, probes=8)
+
+
+@plan(
+    "t03_recall",
+    "SELECT count(*) AS queries, 10 AS k, 8 AS cells_read, true AS recall_reaches_090 FROM embeddings WHERE vec_id % 20 = 0",
+)
+def approximate_recall(t: Tables):
+    """Recall against exact search of an index of 64 cells of which a query reads 8."""
+    index = search.CellIndex.build(t.embeddings, "vec_id", "embedding", fresh_path(t.spark, "cells"), cells=64, copies=8)
+    ids, matrix = own_queries(t)
+    found = search.recall_of(index, t.embeddings, ids, matrix, 10, 8)
+    return found.select(F.lit(len(ids)).cast("long").alias("queries"), F.lit(10).alias("k"), F.lit(8).alias("cells_read"),
+                        (F.col("recall") >= 0.9).alias("recall_reaches_090"))
 
 
 @plan(

@@ -100,6 +100,20 @@ def test_cell_index_finds_most_and_reads_few_cells(points, spark):
     assert search.recall_at_k(whole, truth, "id", 5).first()[0] == 1.0
 
 
+def test_index_copies_codes_and_bad_rows(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(900, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000, None), (2001, [1.0]), (2002, [0.0] * 24), (2003, x[3].tolist())]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    index = search.CellIndex.build(df, "id", "v", fresh_path(spark, "cells"), cells=12, copies=3)
+    ids, q = list(range(40)), x[:40] * 3
+    truth = vectors.nearest(df, "id", "v", ids, q, 6).select("query_id", "id", "rank").collect()
+    whole = index.search(ids, q, 6, probes=12).select("query_id", "id", "rank").collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, truth))
+    part = [search.recall_of(index, df, ids, q, 6, n).first()[0] for n in (1, 4)]
+    assert part[0] < part[1] and part[1] > 0.7
+
+
 def test_rule_matches(points):
     names, m = vectors.small_matrix(vectors.group_means(points, "label", "v"), "label", "center")
     hits = joins.rule_matches(points, "id", "v", names, m, 0.9)
