@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ospara.llm.graph import written
+from ospara.llm.graph import discard, written
 from ospara.llm.texts import SLICE_BYTES, raw, slices
 
 LONG_WORDS = 50
@@ -107,15 +107,16 @@ def passages(docs: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(k1, k2, spans) of documents that lose lines; a span is (first line, line after the last)."""
-    place = F.struct("doc_id", "k1", "k2", "start")
+    spark = docs.sparkSession
     found = passages(docs)
-    named, _ = written(
-        found.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter("first <> last").select("name", "first"),
+    named, named_path = written(
+        found.groupBy("name").agg(F.min(F.struct("doc_id", "k1", "k2", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select("name", F.struct("first.k1", "first.k2", "first.start").alias("first")),
         "repeated",
     )
-    flagged = found.join(named, "name").groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("start", "stop", "name", (place == F.col("first")).alias("first"))).alias("chunks"))
+    own = F.struct("k1", "k2", "start") == F.col("first")
+    flagged = found.select("name", "k1", "k2", "start", "stop").join(named.hint("merge"), "name").groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("start", "stop", "name", own.alias("first"))).alias("chunks"))
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("name", pa.binary()),
                         ("first", pa.bool_()), ("bytes", pa.binary()), ("before", pa.list_(pa.binary())), ("after", pa.list_(pa.binary()))])
 
@@ -140,8 +141,8 @@ def repeats(docs: DataFrame) -> DataFrame:
                         out, size = [[] for _ in schema], 0
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema)], schema=schema)
 
-    shown, _ = written(
-        _keyed(docs).join(flagged, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", "chunks").mapInArrow(
+    shown, shown_path = written(
+        _keyed(docs).join(flagged.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", "chunks").mapInArrow(
             show, "k1 long, k2 int, start int, stop int, name binary, first boolean, bytes binary, before array<binary>, after array<binary>"),
         "passages",
     )
@@ -156,14 +157,17 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     compared = shown.filter("not first").join(firsts, "name").filter(F.col("bytes") == F.col("first_bytes"))
     inside = (F.col("k1") == F.col("first_k1")) & (F.col("k2") == F.col("first_k2"))
-    return compared.select(
+    spans, _ = written(compared.select(
         "k1", "k2",
         F.struct(
             F.greatest(F.col("start") - common(F.reverse("before"), F.reverse("first_before")),
                        F.when(inside, F.col("first_stop"))).cast("int").alias("start"),
             (F.col("stop") + common(F.col("after"), F.col("first_after"))).cast("int").alias("stop"),
         ).alias("span"),
-    ).groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
+    ).groupBy("k1", "k2").agg(F.collect_set("span").alias("spans")), "spans")
+    discard(spark, named_path)
+    discard(spark, shown_path)
+    return spans
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -175,7 +179,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     whole = docs.select(F.struct("*").alias("_row"), F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2"))
     lines = F.split(F.col("_row.text"), "\n", -1)
     gone = F.col("spans").isNotNull()
-    numbered = whole.join(spans, ["k1", "k2"], "left").select(
+    numbered = whole.join(spans.hint("merge"), ["k1", "k2"], "left").select(
         "_row", "spans", F.when(gone, lines).alias("_lines"),
         F.coalesce(F.size(lines), F.lit(0)).alias("_n_lines"))
     kept = numbered.select("_row", "_n_lines", "_lines", F.filter(
