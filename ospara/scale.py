@@ -1,9 +1,9 @@
 """Building blocks that keep hot keys, long histories and small sides safe.
 
-A key may own a third of all rows. Ordered work on such a key is cut into
-blocks along its order: sampled boundaries, fixed once on the driver, give each
-row its block, and block sizes give each row its position. Keys that fit a
-block skip all of that.
+A key may own a third of all rows. Ordered work on such keys runs in blocks:
+their rows are range partitioned by key and order, each range is worked on
+alone, and one total per key and range gives the offset of the next. Keys that
+fit a block skip all of that.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from ospara.session import materialize
+
 MAX_BLOCK_ROWS = 5_000_000
 MAX_SMALL_ROWS = 20_000
-MAX_BLOCKS_PER_KEY = 10_000
-SAMPLES_PER_BLOCK = 10
 
 
 class TooLarge(ValueError):
@@ -85,12 +85,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], max_rows: int) -> dict[tuple, int]:
-    """Keys with more than ``max_rows`` rows; there can be rows/max_rows of them."""
-    counts = df.groupBy(*key).count().filter(F.col("count") > max_rows)
-    return {tuple(r[c] for c in key): r["count"] for r in counts.collect()}
-
-
 def _same(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
     """Null-safe match of ``key`` on the left with ``_h_`` columns on the right."""
     condition = F.lit(True)
@@ -99,66 +93,27 @@ def _same(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
     return condition
 
 
-def _fences(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], max_rows: int
-) -> DataFrame | None:
-    """Cut points of the hot keys, sampled along the order; None without hot keys."""
-    hot = hot_keys(df, key, max_rows)
-    if not hot:
-        return None
-    spark = df.sparkSession
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
-    key_ddl = ", ".join(f"_h_{c} {types[c]}" for c in key)
-    pieces = {v: min(MAX_BLOCKS_PER_KEY, math.ceil(n / max_rows)) for v, n in hot.items()}
-    share = [(*v, min(1.0, SAMPLES_PER_BLOCK * pieces[v] / hot[v])) for v in hot]
-    share_df = spark.createDataFrame(share, f"{key_ddl}, _share double")
-    sample = (
-        df.join(F.broadcast(share_df), _same(df, share_df, key))
-        .filter(F.rand(7) < F.col("_share"))
-        .select(*key, *order)
-        .collect()
-    )
-    by_key: dict[tuple, list] = {}
-    for row in sample:
-        by_key.setdefault(tuple(row[: len(key)]), []).append(tuple(row[len(key) :]))
-    rows = []
-    for values, points in by_key.items():
-        points.sort()
-        n = pieces[values]
-        cuts = sorted({points[i * len(points) // n] for i in range(1, n)})
-        width = max(1, math.isqrt(len(cuts)))
-        groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-        rows.append((*values, width, [g[0] for g in groups], groups))
-    if not rows:
-        return None
-    point = ", ".join(f"{c}: {types[c]}" for c in order)
-    return spark.createDataFrame(
-        rows, f"{key_ddl}, _w int, _outer array<struct<{point}>>, _inner array<array<struct<{point}>>>"
-    )
-
-
 def ordered_blocks(
     df: DataFrame, key: Sequence[str], order: Sequence[str], max_rows: int = MAX_BLOCK_ROWS
 ) -> tuple[DataFrame, bool]:
     """Add ``_blk``, slices of a key along its ascending order.
 
-    The flag tells whether any key was cut at all.
+    Keys of up to ``max_rows`` rows are one slice, 0. The rows of all others
+    are range partitioned by key and order together; a hash of the row parts
+    even rows of equal order. Ranges are numbered along the order and written,
+    so that every later step sees the same ones. The flag tells whether any
+    key was cut at all.
     """
-    fences = _fences(df, key, order, max_rows)
-    if fences is None:
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_h_n")).filter(F.col("_h_n") > max_rows)
+    hot = materialize(counts.select(*[F.col(c).alias(f"_h_{c}") for c in key], "_h_n"), "hot-keys")
+    total = hot.agg(F.sum("_h_n")).first()[0]
+    if not total:
         return df.withColumn("_blk", F.lit(0)), False
-    at = F.struct(*[F.col(c) for c in order])
-    group = F.size(F.filter("_outer", lambda p: p <= at))
-    inner = F.element_at("_inner", F.greatest("_g", F.lit(1)))
-    within = F.size(F.filter(inner, lambda p: p <= at))
-    block = F.when(F.coalesce("_g", F.lit(0)) > 0, (F.col("_g") - 1) * F.col("_w") + within)
-    cut = (
-        df.join(F.broadcast(fences), _same(df, fences, key), "left")
-        .withColumn("_g", F.when(F.col("_w").isNotNull(), group))
-        .withColumn("_blk", F.coalesce(block, F.lit(0)))
-        .select(*df.columns, "_blk")
-    )
-    return cut, True
+    tie = F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)])
+    rows = df.join(hot, _same(df, hot, key), "left_semi").repartitionByRange(math.ceil(total / max_rows), *key, *order, tie)
+    ranges = materialize(rows.withColumn("_blk", F.spark_partition_id() + 1), "ranges")
+    cold = df.join(hot, _same(df, hot, key), "left_anti").withColumn("_blk", F.lit(0))
+    return cold.unionByName(ranges), True
 
 
 def positions(
@@ -175,10 +130,9 @@ def _place(blocks: DataFrame, cut: bool, key: Sequence[str], order: Sequence[str
         return numbered
     before = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        blocks.groupBy(*key, "_blk")
+        blocks.filter("_blk > 0").groupBy(*key, "_blk")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .filter("_blk > 0")
         .select(*[F.col(c).alias(f"_h_{c}") for c in key], F.col("_blk").alias("_b"), "_offset")
     )
     condition = _same(numbered, offsets, key) & (numbered["_blk"] == offsets["_b"])
@@ -241,14 +195,13 @@ def running_sums(
         return summed.drop("_blk")
     before = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        blocks.groupBy(*key, "_blk")
+        blocks.filter("_blk > 0").groupBy(*key, "_blk")
         .agg(*[F.sum(c).alias(f"_t_{n}") for n, c in values.items()])
         .select(
             *[F.col(c).alias(f"_h_{c}") for c in key],
             F.col("_blk").alias("_b"),
             *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_t_{n}") for n in values],
         )
-        .filter("_b > 0")
     )
     condition = _same(summed, totals, key) & (summed["_blk"] == totals["_b"])
     added = summed.join(totals, condition, "left")

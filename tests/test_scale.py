@@ -47,6 +47,14 @@ def test_null_key_is_a_key(spark):
     assert placed.filter("k is null and pos = i + 1").count() == 50
 
 
+def test_rows_of_equal_order_are_parted(spark):
+    df = spark.range(2000).selectExpr("1 AS k", "7 AS t", "id", "1 AS one")
+    blocks, cut = scale.ordered_blocks(df, ["k"], ["t"], 100)
+    assert cut and blocks.groupBy("_blk").count().agg(F.max("count")).first()[0] < 600
+    assert sorted(r.pos for r in scale.positions(df, ["k"], ["t"], 100).collect()) == list(range(1, 2001))
+    assert sorted(r.s for r in scale.running_sums(df, ["k"], ["t"], {"s": F.col("one")}, 100).collect()) == list(range(1, 2001))
+
+
 def test_running_sums_over_blocks(skewed):
     w = Window.partitionBy("user").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     plain = skewed.withColumn("s", F.sum("value").over(w))
