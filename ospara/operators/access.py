@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ospara.scale import broadcast_if_small, collect_small
+from ospara.scale import broadcast_if_small
 
 ADMIN = "admin"
 
@@ -36,48 +36,68 @@ def visible_rows(df: DataFrame, required: str, attributes: Column) -> DataFrame:
     return df.filter(attributes_match(F.col(required), attributes))
 
 
-MAX_POLICIES = 10_000
-
-
 def _covering(policies: DataFrame, permission: str) -> DataFrame:
     return policies.filter(F.array_contains("permissions", permission))
 
 
-def _effect(listed: Column) -> Column:
-    """Effect of the first listed policy whose conditions the subject meets."""
-    parsed = F.transform(
-        listed,
-        lambda p: F.struct(
-            p["effect"].alias("effect"), F.from_json(p["conditions_json"], "map<string,array<string>>").alias("conditions")
-        ),
-    )
-    hit = F.filter(parsed, lambda p: attributes_match(p["conditions"], F.col("attributes")))
-    return F.get(hit, F.lit(0))["effect"]
-
-
-def _general_effect(policies: DataFrame, permission: str) -> Column:
-    """The policies, a checked short list, as a constant in the expression."""
-    columns = ["position", "effect", "conditions_json"]
-    rows = sorted(collect_small(_covering(policies, permission).select(*columns), MAX_POLICIES, "policy list"))
-    if not rows:
-        return F.lit(None).cast("string")
-    return _effect(
-        F.array(*[F.struct(F.lit(r.effect).alias("effect"), F.lit(r.conditions_json).alias("conditions_json")) for r in rows])
-    )
+def with_class(users: DataFrame) -> DataFrame:
+    """Add ``_class``, equal for users whose attributes hold the same values."""
+    entries = F.transform(F.map_entries("attributes"), lambda e: F.struct(e["key"], F.array_sort(F.array_distinct(e["value"])).alias("value")))
+    return users.withColumn("_class", F.coalesce(F.to_json(F.array_sort(entries)), F.lit("none")))
+
+
+def conditions_met(classes: DataFrame, conditions: DataFrame) -> DataFrame:
+    """(_class, condition) for conditions with requirements: a class meets one if it shares a value with each of its keys.
+
+    A relational division: values meet on (key, value), so only pairs with
+    something in common are formed.
+    """
+    parsed = conditions.select("condition", F.from_json("condition", CONDITIONS).alias("m")).withColumn("n", F.size(F.map_keys("m")))
+    need = parsed.select("condition", "n", F.explode("m").alias("key", "values")).select("condition", "n", "key", F.explode("values").alias("value"))
+    have = classes.select("_class", F.explode("attributes").alias("key", "values")).select("_class", "key", F.explode("values").alias("value"))
+    met = have.distinct().join(need.distinct(), ["key", "value"]).groupBy("_class", "condition", "n")
+    return met.agg(F.count_distinct("key").alias("k")).filter("k = n").select("_class", "condition")
+
+
+CONDITIONS = "map<string,array<string>>"
+
+
+def first_effects(classes: DataFrame, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Effects of the first policy that applies, per class of users and list of policies.
+
+    ``lists`` has (list, position, effect, conditions_json). The first table is
+    (list, effect) for classes that meet no condition of the list: that of its
+    first policy without requirements, or allow. The second is (_class, list,
+    effect) for the others.
+    """
+    named = lists.withColumn("condition", F.col("conditions_json"))
+    free = F.coalesce(F.size(F.map_keys(F.from_json("condition", CONDITIONS))), F.lit(0)) <= 0
+    entry = F.struct("position", "effect")
+    default = named.groupBy("list").agg(F.min(F.when(free, entry)).alias("_free"))
+    met = conditions_met(classes, named.filter(~free).select("condition").distinct())
+    first = met.join(named.filter(~free).select("list", "condition", entry.alias("_own")), "condition").groupBy("_class", "list").agg(
+        F.min("_own").alias("_own"))
+    special = first.join(default, "list").select("_class", "list", F.coalesce(F.least("_own", "_free"), "_own")["effect"].alias("effect"))
+    return default.select("list", F.coalesce("_free.effect", F.lit("allow")).alias("effect")), special
 
 
 def decide(users: DataFrame, roles: DataFrame, policies: DataFrame, permission: str) -> DataFrame:
     """(user_id, attributes, allowed) for one permission.
 
     Administrators pass. Others need the permission by role; then the first
-    matching policy decides, and no match allows.
+    matching policy decides, and no match allows. Policies are matched once
+    per class of users with equal attributes.
     """
     held = user_permissions(users, roles)
-    subjects = users.select("user_id", "attributes").join(held, "user_id", "left")
-    decided = subjects.withColumn("_effect", _general_effect(policies, permission))
+    subjects = with_class(users.select("user_id", "attributes")).join(held, "user_id", "left")
+    classes = subjects.select("_class", "attributes").dropDuplicates(["_class"])
+    listed = _covering(policies, permission).select(F.lit(0).alias("list"), "position", "effect", "conditions_json")
+    default, special = first_effects(classes, listed)
+    general = default.agg(F.coalesce(F.max("effect"), F.lit("allow")).alias("_default"))
+    decided = subjects.join(special.select("_class", "effect"), "_class", "left").crossJoin(F.broadcast(general))
     has = F.coalesce(F.array_contains("permissions", permission), F.lit(False))
     admin = F.coalesce(F.array_contains("permissions", ADMIN), F.lit(False))
-    allowed = admin | (has & (F.coalesce("_effect", F.lit("allow")) == "allow"))
+    allowed = admin | (has & (F.coalesce("effect", "_default") == "allow"))
     return decided.select("user_id", "attributes", allowed.alias("allowed"))
 
 
@@ -85,19 +105,28 @@ def collection_access(
     users: DataFrame, roles: DataFrame, policies: DataFrame, collections: DataFrame,
     collection_policies: DataFrame, permission: str,
 ) -> DataFrame:
-    """(user_id, collection): general decision first, then the collection's policies."""
-    general = decide(users, roles, policies, permission).filter("allowed").drop("allowed")
-    pairs = general.withColumn("collection", F.explode(_names(collections)))
-    listed = _covering(collection_policies, permission).groupBy("collection").agg(
-        F.sort_array(F.collect_list(F.struct("position", "effect", "conditions_json"))).alias("_policies")
-    )
-    decided = pairs.join(broadcast_if_small(listed), "collection", "left").withColumn("_effect", _effect(F.col("_policies")))
-    return decided.filter(F.coalesce("_effect", F.lit("allow")) == "allow").select("user_id", "collection")
+    """(user_id, collection): general decision first, then the collection's policies.
 
-
-def _names(collections: DataFrame) -> Column:
-    names = sorted(r[0] for r in collect_small(collections.select("collection"), 1_000, "collection list"))
-    return F.array(*[F.lit(n) for n in names])
+    Users fall into classes by their attributes and collections into classes by
+    their list of policies. Access is decided per pair of classes, and users
+    and collections are joined only where it is granted.
+    """
+    general = with_class(decide(users, roles, policies, permission).filter("allowed").select("user_id", "attributes"))
+    entry = F.struct("position", "effect", "conditions_json")
+    listed = _covering(collection_policies, permission).groupBy("collection").agg(F.sort_array(F.collect_list(entry)).alias("_policies"))
+    kinds = collections.select("collection").distinct().join(listed, "collection", "left").withColumn(
+        "list", F.coalesce(F.sha2(F.to_json("_policies"), 256), F.lit("none")))
+    lists = kinds.dropDuplicates(["list"]).select("list", F.inline("_policies"))
+    classes = general.select("_class", "attributes").dropDuplicates(["_class"])
+    default, special = first_effects(classes, lists)
+    named = kinds.select("list").distinct().join(default, "list", "left").select("list", F.coalesce("effect", F.lit("allow")).alias("default"))
+    rules = special.join(named, "list")
+    denied = rules.filter("effect <> 'allow' AND default = 'allow'").groupBy("_class").agg(F.collect_set("list").alias("_denied"))
+    open_lists = named.filter("default = 'allow'").agg(F.collect_set("list").alias("_open"))
+    by_default = classes.select("_class").join(denied, "_class", "left").crossJoin(F.broadcast(open_lists)).select(
+        "_class", F.explode(F.array_except("_open", F.coalesce("_denied", F.array().cast("array<string>")))).alias("list"))
+    granted = by_default.unionByName(rules.filter("effect = 'allow' AND default <> 'allow'").select("_class", "list"))
+    return general.select("user_id", "_class").join(granted, "_class").join(kinds.select("collection", "list"), "list").select("user_id", "collection")
 
 
 def resource_allowed(user: dict, department: Column, project: Column, clearance: Column) -> Column:

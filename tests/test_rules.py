@@ -132,6 +132,40 @@ def test_policy_order(spark, people):
     assert got == {"ann": True, "bob": True, "cat": True, "dan": False, "eve": False}
 
 
+def test_collection_access_equals_plain_rules(spark):
+    import json
+    import random
+
+    rng = random.Random(8)
+    values = {"dept": "abc", "site": "xyz", "team": "123"}
+    pick = lambda: {k: rng.sample(v, rng.randint(1, 2)) for k, v in values.items() if rng.random() < 0.6}
+    people = [(f"u{i}", rng.choice([["reader"], ["boss"], [], ["reader", "ghost"]]), pick() if i % 9 else None) for i in range(60)]
+    rule = lambda n: (n, rng.choice(["allow", "deny"]), [rng.choice(["read", "write"])],
+                      rng.choice([json.dumps(pick()), "{}", None, json.dumps(pick())]))
+    general = [(1, "deny", ["read"], '{"dept":["a"],"site":["x"]}'), (2, "allow", ["read"], '{"dept":["a","b"]}')]
+    special = [(f"c{i % 7}", *rule(i)) for i in range(40)] + [("gone", *rule(1))]
+    names = [f"c{i}" for i in range(10)]
+    users = spark.createDataFrame(people, "user_id string, roles array<string>, attributes map<string,array<string>>")
+    roles = spark.createDataFrame([("boss", ["admin"]), ("reader", ["read"])], "role string, permissions array<string>")
+    ddl = "position int, effect string, permissions array<string>, conditions_json string"
+    out = access.collection_access(
+        users, roles, spark.createDataFrame(general, ddl), spark.createDataFrame([(n,) for n in names], "collection string"),
+        spark.createDataFrame(special, f"collection string, {ddl}"), "read")
+
+    def effect(rules_, own):
+        for _, what, covered, condition in sorted(rules_, key=lambda r: r[:2]):
+            needed = json.loads(condition or "{}")
+            if "read" in covered and all(set((own or {}).get(k, [])) & set(v) for k, v in needed.items()):
+                return what
+        return "allow"
+
+    want = set()
+    for name, held, own in people:
+        if "boss" in held or ("reader" in held and effect(general, own) == "allow"):
+            want |= {(name, c) for c in names if effect([r[1:] for r in special if r[0] == c], own) == "allow"}
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
 def test_resource_attributes(spark):
     user = {"department": "IT", "security_clearance": 2, "projects": ["project_a", "project_b"]}
     df = spark.createDataFrame(
