@@ -133,6 +133,65 @@ def directory_scan(t: Tables):
     return files.groupBy("content_type").agg(F.sum("length").alias("bytes"))
 
 
+PAGE_RECORD = """'{"page_id":' || page_id || ',"url":"' || url || '"}'"""
+
+
+@plan(
+    "s09_directory_contents",
+    f"""SELECT 'html' AS content_type, NULL AS content, sum(length(html) + 1)::BIGINT AS chars, NULL AS error FROM pages WHERE page_id % 4 = 0
+        UNION ALL SELECT ['', 'json', 'csv', 'parquet'][page_id % 4 + 1], {PAGE_RECORD}, length({PAGE_RECORD}), NULL
+        FROM pages WHERE page_id % 4 > 0
+        UNION ALL VALUES ('json', '{{"page_id":', 11, 'malformed record'), ('parquet', NULL, NULL, 'unreadable'), (NULL, NULL, NULL, 'unknown type')""",
+)
+def directory_contents(t: Tables):
+    """A folder of four types of files with one broken record, a broken and an unknown file among them."""
+    path = fresh_path(t.spark, "mixed")
+    pages = t.pages.withColumn("shelf", F.pmod("page_id", F.lit(4)))
+    pages.filter("shelf = 0").select("html").write.text(f"{path}/a")
+    for shelf, kind in ((1, "json"), (2, "csv"), (3, "parquet")):
+        rows = pages.filter(F.col("shelf") == shelf).select("page_id", "url")
+        (rows.write.option("header", True) if kind == "csv" else rows.write).format(kind).save(f"{path}/deep/{kind}")
+    place = t.spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for part in files.listStatus(place(f"{path}/a")):
+        name = part.getPath().toString()
+        if name.endswith(".txt"):
+            files.rename(part.getPath(), place(name.removesuffix(".txt") + ".html"))
+    for name, text in (("x.json", '{"page_id":'), ("deep/broken.parquet", "no table"), ("x.unknown", "?")):
+        out = files.create(place(f"{path}/{name}"))
+        out.writeBytes(text)
+        out.close()
+    found = registry.ingest_directory(t.spark, path)
+    pages_read = found.filter("content_type = 'html'").groupBy("content_type").agg(
+        F.lit(None).cast("string").alias("content"), F.sum(F.length("content")).alias("chars"), F.max("error").alias("error"))
+    others = found.filter("content_type IS NULL OR content_type <> 'html'")
+    return pages_read.unionByName(others.select("content_type", "content", F.length("content").cast("long").alias("chars"), "error"))
+
+
+class EventPlugin:
+    """Takes sources of kind "event_log": a Parquet table, only events of the named types."""
+
+    def can_handle(self, kind, source) -> bool:
+        return kind == "event_log"
+
+    def ingest(self, spark, source, types=(), **options):
+        return spark.read.options(**options).parquet(source).filter(F.col("event_type").isin(*types))
+
+
+@plan(
+    "u03_plugin_ingestor",
+    "SELECT event_id, user_id, event_type, value FROM events WHERE event_type IN ('click', 'purchase')",
+)
+def plugin_ingestor(t: Tables):
+    """A plugin named by its class answers for its kind before the built-in loaders."""
+    plugin = registry.load_plugin(f"{EventPlugin.__module__}.{EventPlugin.__name__}")
+    try:
+        return registry.ingest(
+            t.spark, "event_log", t.path("events"), ["event_id", "user_id", "event_type", "value"], types=("click", "purchase"))
+    finally:
+        registry.unregister_plugin(plugin)
+
+
 @plan(
     "s10_multi_source",
     """SELECT 'document' AS source_type, doc_id::VARCHAR AS chunk_id, text AS content FROM documents

@@ -93,20 +93,23 @@ def csv_documents(spark: SparkSession, source: str, **options: Any) -> DataFrame
     return csv(spark, source, **options).select(F.to_json(F.struct("*")).alias("content"))
 
 
-def directory(spark: SparkSession, source: str, **options: Any) -> DataFrame:
-    """Files below a folder with their content type; unknown types are left out.
+def directory(spark: SparkSession, source: str, known_only: bool = True, **options: Any) -> DataFrame:
+    """Files below a folder with their content type; unknown types are left out or have none.
 
     Only paths and sizes are listed here; contents are read by a later select
-    of ``content``, and files that vanish or cannot be read are skipped.
+    of ``content``.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, ignoreMissingFiles=True, ignoreCorruptFiles=True, **options)
-        .load(source)
-    )
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, **options).load(source)
     extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
     kinds = F.create_map(*[F.lit(x) for kv in CONTENT_TYPES.items() for x in kv])
-    return files.withColumn("content_type", F.try_element_at(kinds, extension)).filter("content_type is not null")
+    found = files.withColumn("content_type", F.try_element_at(kinds, extension))
+    return found.filter("content_type IS NOT NULL") if known_only else found
+
+
+def name_pattern(kind: str) -> str:
+    """Glob of the file names of a content type, in either case."""
+    either = ["".join(f"[{c}{c.upper()}]" for c in e) for e, k in CONTENT_TYPES.items() if k == kind]
+    return "*.{" + ",".join(either) + "}"
 
 
 def schema(spark: SparkSession, source: Mapping, **options: Any) -> DataFrame:

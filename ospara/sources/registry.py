@@ -16,6 +16,7 @@ from typing import Any, Protocol
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ospara.operators.filters import select_features
 from ospara.sources import readers
@@ -62,6 +63,10 @@ def register_plugin(plugin: Plugin) -> None:
     _PLUGINS.append(plugin)
 
 
+def unregister_plugin(plugin: Plugin) -> None:
+    _PLUGINS.remove(plugin)
+
+
 def load_plugin(path: str) -> Plugin:
     """Import and register a plugin class named "module.Class"."""
     module, _, name = path.rpartition(".")
@@ -84,6 +89,47 @@ def ingest(
     return select_features(df, columns) if columns else df
 
 
+#: Loader of each content type of files.
+FILE_LOADERS = {"text": "text", "html": "text", "csv": "csv", "json": "json", "parquet": "parquet"}
+
+
+def ingest_directory(spark: SparkSession, source: str, **options: Any) -> DataFrame:
+    """(path, content_type, content, error): all files below a folder, each type read once by its loader.
+
+    A text or HTML file is one row; files of records give their rows as JSON,
+    and share one schema per type. What could not be read is a row, too, with
+    the reason in ``error``: files of an unknown type, files that gave no row,
+    and malformed JSON records. Files without a byte hold nothing and give none. Plugins and registered
+    loaders are asked for their type as in ``ingest``.
+    """
+    listed = readers.directory(spark, source, known_only=False).select(
+        F.col("_metadata.file_path").alias("path"), "content_type")
+    none = F.lit(None).cast("string")
+    parts = []
+    for kind in sorted(r[0] for r in listed.select("content_type").distinct().collect() if r[0]):
+        reading = {"recursiveFileLookup": True, "pathGlobFilter": readers.name_pattern(kind), "ignoreCorruptFiles": True, **options}
+        if kind == "parquet":
+            reading["mergeSchema"] = True  # else one broken file may stand for all
+        try:
+            rows = ingest(spark, FILE_LOADERS[kind], source, **reading)
+        except PySparkException as e:
+            log.warning("no %s file below %s could be read: %s", kind, source, e)
+            continue
+        if rows.columns == ["content", "chunk_id"]:
+            parts.append(rows.select(F.col("chunk_id").alias("path"), F.lit(kind).alias("content_type"), "content", none.alias("error")))
+            continue
+        broken = F.col("_corrupt_record") if "_corrupt_record" in rows.columns else none
+        content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "_corrupt_record"]))
+        parts.append(rows.select(
+            F.col("_metadata.file_path").alias("path"), F.lit(kind).alias("content_type"), F.coalesce(broken, content).alias("content"),
+            F.when(broken.isNotNull(), F.lit("malformed record")).alias("error")))
+    shape = "path string, content_type string, content string, error string"
+    read = functools.reduce(DataFrame.unionByName, parts, spark.createDataFrame([], shape))
+    silent = listed.join(read.select("path").distinct(), "path", "left_anti")
+    reason = F.when(F.col("content_type").isNull(), "unknown type").otherwise("unreadable")
+    return read.unionByName(silent.select("path", "content_type", none.alias("content"), reason.alias("error")))
+
+
 def ingest_many(spark: SparkSession, sources: Sequence[DataSource]) -> DataFrame:
     """All sources stacked in order; one that cannot be opened is skipped."""
     parts = []

@@ -89,6 +89,40 @@ def test_directory_detects_types(spark, tmp_path):
     assert [r.content for r in texts] == ["x"]
 
 
+def test_directory_contents_and_what_cannot_be_read(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "a.TXT").write_text("one\ntwo")
+    (tmp_path / "b.json").write_text('{"n":1}\n{"n":\n{"n":2}')
+    (tmp_path / "c.csv").write_text("x,y\n1,p\n2,q\n")
+    (tmp_path / "d.parquet").write_text("no table")
+    (tmp_path / "e.exe").write_text("x")
+    rows = registry.ingest_directory(spark, str(tmp_path)).collect()
+    assert sorted((r.content_type, r.content) for r in rows if not r.error) == [
+        ("csv", '{"x":1,"y":"p"}'), ("csv", '{"x":2,"y":"q"}'), ("json", '{"n":1}'), ("json", '{"n":2}'), ("text", "one\ntwo")]
+    assert sorted((r.path.rpartition("/")[2], r.error) for r in rows if r.error) == [
+        ("b.json", "malformed record"), ("d.parquet", "unreadable"), ("e.exe", "unknown type")]
+    good = spark.range(3).coalesce(1)
+    good.write.parquet(str(tmp_path / "good"))
+    found = registry.ingest_directory(spark, str(tmp_path)).filter("content_type = 'parquet'").collect()
+    assert sorted(r.content or r.error for r in found) == sorted(["unreadable", '{"id":0}', '{"id":1}', '{"id":2}'])
+
+
+def test_plugins_take_their_kind(spark):
+    class Numbers:
+        def can_handle(self, kind, source):
+            return kind == "csv" and source == 4
+
+        def ingest(self, spark, source, **options):
+            return spark.range(source)
+
+    plugin = Numbers()
+    registry.register_plugin(plugin)
+    try:
+        assert registry.ingest(spark, "csv", 4).count() == 4
+    finally:
+        registry.unregister_plugin(plugin)
+
+
 def test_text_embeddings(spark):
     df = spark.createDataFrame([("one two",), ("two three",), ("",)], "t string")
     out = readers.text_embeddings(df, "t", 8)
