@@ -76,6 +76,19 @@ def scores_to(matrix: np.ndarray, metric: str = "cosine"):
     return scores
 
 
+def silhouettes(x: np.ndarray, own: np.ndarray, counts: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """Squared-Euclidean silhouettes of rows in cluster ``own``, from sums per cluster."""
+    rows = np.arange(len(x))
+    mean = (x * x).sum(axis=1)[:, None] + (squares / counts)[None, :] - 2 * x @ (sums / counts[:, None]).T
+    size = counts[own]
+    a = mean[rows, own] * size / np.maximum(size - 1, 1)
+    mean[rows, own] = np.inf
+    b = mean.min(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        s = np.where(size > 1, (b - a) / np.maximum(a, b), 0.0)
+    return np.nan_to_num(s)
+
+
 def silhouette_udf(clusters: Sequence[int], counts: np.ndarray, sums: np.ndarray, squares: np.ndarray):
     """UDF: squared-Euclidean silhouette of a row from per-cluster sums alone."""
     position = {c: i for i, c in enumerate(clusters)}
@@ -83,17 +96,8 @@ def silhouette_udf(clusters: Sequence[int], counts: np.ndarray, sums: np.ndarray
 
     @F.arrow_udf("double")
     def silhouette(v: pa.Array, label: pa.Array) -> pa.Array:
-        x = batch_matrix(v, dims)
         own = np.array([position[c] for c in label.to_pylist()], dtype=int)
-        rows = np.arange(len(x))
-        mean = (x * x).sum(axis=1)[:, None] + (squares / counts)[None, :] - 2 * x @ (sums / counts[:, None]).T
-        size = counts[own]
-        a = mean[rows, own] * size / np.maximum(size - 1, 1)
-        mean[rows, own] = np.inf
-        b = mean.min(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = np.where(size > 1, (b - a) / np.maximum(a, b), 0.0)
-        return pa.array(np.nan_to_num(s))
+        return pa.array(silhouettes(batch_matrix(v, dims), own, counts, sums, squares))
 
     return silhouette
 

@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -19,8 +20,8 @@ from ospara.scale import collect_small
 
 SEED = 42
 MAX_CLUSTERS = 20_000
-# Rows up to which the pairwise Euclidean silhouette is offered.
-MAX_PAIRWISE_ROWS = 20_000
+#: Rows that the starting centres are chosen among, rounds at most, and digits of squared distances that count.
+START_ROWS, ROUNDS, DIGITS = 256, 10, 9
 
 
 @dataclass(frozen=True)
@@ -151,29 +152,137 @@ def assign(df: DataFrame, vector: str, names: Sequence, centers: np.ndarray) ->
     )
 
 
-def choose_k(df: DataFrame, vector: str, candidates: Sequence[int], by: str = "combined", parallelism: int = 4):
-    """Best k and the score table, one k-means fit per candidate.
+def _starts(df: DataFrame, vector: str, key: str | None, k: int) -> np.ndarray:
+    """Up to ``k`` centres, each the farthest from those before it, among the rows of the smallest key hashes."""
+    name = F.col(key).cast("string") if key else F.to_json(F.struct(vector))
+    rows = df.select(F.sha2(name, 256).alias("h"), vector).orderBy("h", vector).limit(START_ROWS).collect()
+    points = np.array([r[1] for r in rows], dtype=float)
+    chosen = [0]
+    near = np.round(np.square(points - points[0]).sum(axis=1), DIGITS)
+    while len(chosen) < min(k, len(points)):
+        chosen.append(int(near.argmax()))
+        near = np.minimum(near, np.round(np.square(points - points[chosen[-1]]).sum(axis=1), DIGITS))
+    return points[chosen]
 
-    combined = silhouette - davies_bouldin / 10; the first maximum wins. The
-    fits are independent, so a few run at a time and share the cached vectors.
+
+def _labels(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Nearest centre of each row; ties go to the first."""
+    return np.round(np.square(vectors.distance_matrix(x, centers)), DIGITS).argmin(axis=1)
+
+
+def _sums(df: DataFrame, vector: str, width: int, slots: int, values: Callable[[np.ndarray], list]) -> np.ndarray:
+    """Sums over all rows of the (slots, rows of figures) pairs that ``values`` gives for a batch of vectors.
+
+    A task hands on one row a slot, so what is summed does not grow with the rows.
+    """
+
+    def add(batches):
+        total = None
+        for batch in batches:
+            x = vectors.batch_matrix(batch.column(0), width)
+            x = x[~np.isnan(x).any(axis=1)]
+            for at, figures in values(x) if len(x) else ():
+                total = np.zeros((slots, figures.shape[1])) if total is None else total
+                np.add.at(total, at, figures)
+        if total is not None:
+            used = np.flatnonzero((total != 0).any(axis=1))
+            offsets = np.arange(0, len(used) * total.shape[1] + 1, total.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(total[used].ravel()))], names=["slot", "s"])
+
+    parts = df.select(vector).mapInArrow(add, "slot int, s array<double>").select("slot", F.posexplode("s").alias("j", "x"))
+    rows = parts.groupBy("slot", "j").agg(F.sum("x").alias("x")).collect()
+    out = np.zeros((slots, max((r["j"] for r in rows), default=0) + 1))
+    for r in rows:
+        out[r["slot"], r["j"]] = r["x"]
+    return out
+
+
+def fit_all(df: DataFrame, vector: str, candidates: Sequence[int], key: str | None = None, rounds: int = ROUNDS) -> dict[int, np.ndarray]:
+    """Centres of k-means for every candidate k; each round is one scan for all of them together.
+
+    The starts are nested: those of k are the first k of one farthest-first
+    order. A cluster without rows keeps its centre; rounds end early once no
+    centre moves.
     """
-    spark = df.sparkSession
-    data = df.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def score(k: int) -> tuple:
-        _, labelled = kmeans(data, vector, k)
-        sil, db = quality(labelled, "cluster", vector)
-        return k, sil, db, sil - db / 10.0
-
-    try:
-        n = data.count()
-        rows = run_jointly(spark, score, [k for k in candidates if k <= n - 1], parallelism)
-    finally:
-        data.unpersist()
-    table = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, combined double")
+    starts = _starts(df, vector, key, max(candidates))
+    fitted = {k: starts[:k].copy() for k in candidates}
+    first = dict(zip(candidates, np.cumsum([0, *map(len, fitted.values())])))
+    slots, width = sum(map(len, fitted.values())), starts.shape[1]
+    for _ in range(rounds):
+
+        def values(x, now=dict(fitted)):
+            ones = np.column_stack([x, np.ones(len(x))])
+            return [(first[k] + _labels(x, c), ones) for k, c in now.items()]
+
+        sums = _sums(df, vector, width, slots, values)
+        moved = False
+        for k, centers in fitted.items():
+            own = sums[first[k] : first[k] + len(centers)]
+            new = np.where(own[:, width:] > 0, own[:, :width] / np.maximum(own[:, width:], 1), centers)
+            moved |= not np.allclose(new, centers, rtol=0, atol=1e-12)
+            fitted[k] = new
+        if not moved:
+            break
+    return fitted
+
+
+def score_all(df: DataFrame, vector: str, fitted: dict[int, np.ndarray]) -> dict[int, tuple[float, float]]:
+    """Mean squared silhouette and Davies-Bouldin index for each k: two scans for all."""
+    first = dict(zip(fitted, np.cumsum([0, *map(len, fitted.values())])))
+    slots, width = sum(map(len, fitted.values())), next(iter(fitted.values())).shape[1]
+
+    def members(x):
+        figures = np.column_stack([x, np.square(x).sum(axis=1), np.ones(len(x))])
+        return [(first[k] + _labels(x, c), figures) for k, c in fitted.items()]
+
+    sums = _sums(df, vector, width, slots, members)
+    stats = {}
+    for k, c in fitted.items():
+        own = sums[first[k] : first[k] + len(c)]
+        used = np.flatnonzero(own[:, -1])
+        stats[k] = (used, ClusterStats(used.tolist(), own[used, -1], own[used, :width], own[used, width]))
+
+    def quality_of(x):
+        out = []
+        for k, c in fitted.items():
+            label = _labels(x, c)
+            used, st = stats[k]
+            place = np.searchsorted(used, label)
+            away = np.sqrt(np.square(x - st.centers[place]).sum(axis=1))
+            out.append((first[k] + label, np.column_stack([vectors.silhouettes(x, place, st.counts, st.sums, st.squares), away])))
+        return out
+
+    sums = _sums(df, vector, width, slots, quality_of)
+    scores = {}
+    for k, c in fitted.items():
+        used, st = stats[k]
+        own = sums[first[k] + used]
+        scores[k] = (float(own[:, 0].sum() / st.counts.sum()), _worst_ratio(st, own[:, 1] / st.counts))
+    return scores
+
+
+def choose_k(df: DataFrame, vector: str, candidates: Sequence[int], by: str = "combined", key: str | None = None):
+    """Best k and the score table, all candidates in the same scans.
+
+    combined = silhouette - davies_bouldin / 10; the first maximum wins.
+    Candidates that leave no row to spare are not tried.
+    """
+    best, table, _ = fitted_choice(df, vector, candidates, by, key)
+    return best, table
+
+
+def fitted_choice(df: DataFrame, vector: str, candidates: Sequence[int], by: str = "combined", key: str | None = None):
+    """Best k, the score table and the centres of the best."""
+    data = df.select(*([key] if key else []), F.col(vector).cast("array<double>").alias(vector))
+    n = data.limit(max(candidates) + 1).count()
+    tried = [k for k in candidates if k <= n - 1]
+    fitted = fit_all(data, vector, tried, key) if tried else {}
+    rows = [(k, sil, db, sil - db / 10.0) for k, (sil, db) in (score_all(data, vector, fitted).items() if tried else ())]
+    table = df.sparkSession.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, combined double")
     at = {"silhouette": 1, "combined": 3}[by]
     best = max(rows, key=lambda r: (r[at], -r[0]))[0] if rows else None
-    return best, table
+    return best, table, fitted.get(best)
 
 
 def run_jointly(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:

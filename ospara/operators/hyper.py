@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ospara.functions import vectors
 from ospara.operators import clustering, features
+from ospara.session import materialize
 
 
 def suggest(summary: str) -> dict:
@@ -31,22 +32,31 @@ def prepare(df: DataFrame, columns: Sequence[str], imputer: str, scaler: str) ->
     return features.scale(filled, columns, scaler)
 
 
-def run_trial(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold: float = 0.95):
-    """One setting end to end: the labelled table and its scores."""
+def components(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold: float) -> DataFrame:
+    """The table with its prepared and reduced features in ``_v``."""
     scaled = prepare(df, columns, trial["imputer"], trial["scaler"])
     reduction = features.reduce(scaled, columns, threshold=threshold)
     names = [f"pca{j + 1}" for j in range(reduction.components)]
-    data = reduction.apply(scaled).withColumn("_v", F.array(*names)).persist(StorageLevel.MEMORY_AND_DISK)
-    model, labelled = clustering.kmeans(data, "_v", trial["k"])
-    sil, db = clustering.quality(labelled, "cluster", "_v")
+    return reduction.apply(scaled).withColumn("_v", F.array(*names)).drop(*names)
+
+
+def run_trial(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold: float = 0.95, key: str | None = None):
+    """One setting end to end: the labelled table and its scores."""
+    data = components(df, columns, trial, threshold).persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = clustering.fit_all(data, "_v", [trial["k"]], key)
+    sil, db = clustering.score_all(data, "_v", fitted)[trial["k"]]
     data.unpersist()
-    scores = {**trial, "silhouette": sil, "db": db, "combined": sil - db / 10.0}
-    return model, labelled, scores
+    labelled = clustering.assign(data, "_v", list(range(len(fitted[trial["k"]]))), fitted[trial["k"]]).drop("_v")
+    return labelled, {**trial, "silhouette": sil, "db": db, "combined": sil - db / 10.0}
 
 
-def sweep(df: DataFrame, columns: Sequence[str], trials: Sequence[Mapping], parallelism: int = 3) -> DataFrame:
-    """History of all trials, best first; the loop runs over settings only."""
-    runs = clustering.run_jointly(df.sparkSession, lambda t: run_trial(df, columns, t)[2], trials, parallelism)
+def sweep(df: DataFrame, columns: Sequence[str], trials: Sequence[Mapping], parallelism: int = 3, threshold: float = 0.95,
+          key: str | None = None) -> DataFrame:
+    """History of all trials, best first; the loop runs over settings only.
+
+    With a ``key`` column the starts, and so the scores, follow the key alone.
+    """
+    runs = clustering.run_jointly(df.sparkSession, lambda t: run_trial(df, columns, t, threshold, key)[1], trials, parallelism)
     history = [{"iteration": i, **r} for i, r in enumerate(runs)]
     ddl = "iteration int, k int, imputer string, scaler string, silhouette double, db double, combined double"
     names = [p.split()[0] for p in ddl.split(", ")]
@@ -54,6 +64,13 @@ def sweep(df: DataFrame, columns: Sequence[str], trials: Sequence[Mapping], para
     return table.orderBy(F.desc("combined"), "iteration")
 
 
+def rerun_best(df: DataFrame, columns: Sequence[str], history: DataFrame, threshold: float = 0.95, key: str | None = None) -> DataFrame:
+    """The table with the clusters of the best setting of a sweep, written once more in full."""
+    best = history.orderBy(F.desc("combined"), "iteration").first()
+    labelled, _ = run_trial(df, columns, {n: best[n] for n in ("k", "imputer", "scaler")}, threshold, key)
+    return materialize(labelled, "best-setting")
+
+
 def feature_table(df: DataFrame, columns: Sequence[str], categorical: Sequence[str], k: int) -> DataFrame:
     """Numerics, one-hot flags, cluster, distance to the centre and two components."""
     scaled = features.preprocess(df.withColumns({f"_z_{c}": F.col(c) for c in columns}), [f"_z_{c}" for c in columns])

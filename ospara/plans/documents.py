@@ -9,6 +9,7 @@ from ospara.operators import classify, clustering, features, guardrails, monitor
 from ospara.plans.aggregates import DIMS, KNN_SQL, label_queries, with_dims
 from ospara.plans.base import Tables, plan
 from ospara.plans.combining import rule_case
+from ospara.plans.kmeans_sql import kmeans_sql
 from ospara.plans.scalars import CHUNK_SQL, PII_SQL
 from ospara.session import fresh_path
 from ospara.sources import readers
@@ -52,13 +53,22 @@ def embed_and_store(t: Tables):
     return t.spark.read.parquet(path).select("doc_id", "chunk_index", "collection", F.size("embedding").alias("dims"))
 
 
-@plan("d03_cluster_documents")
+SCALED_SQL = """dim AS (SELECT i, avg(embedding[i]::DOUBLE) AS m, stddev_pop(embedding[i]::DOUBLE) AS s
+        FROM embeddings, range(1, 65) x(i) GROUP BY i),
+    fit AS (SELECT list(m ORDER BY i) AS m, list(CASE WHEN s = 0 THEN 1 ELSE s END ORDER BY i) AS s FROM dim)"""
+
+
+@plan(
+    "d03_cluster_documents",
+    f"""WITH {SCALED_SQL},
+        {kmeans_sql("SELECT vec_id AS r, list_transform(range(1, 65), lambda j: (embedding[j]::DOUBLE - m[j]) / s[j]) AS v FROM embeddings, fit", range(2, 7))}
+        SELECT r AS vec_id, c::INTEGER AS cluster FROM label WHERE k = (SELECT k FROM score ORDER BY silhouette DESC, k LIMIT 1)""",
+)
 def cluster_documents(t: Tables):
     names = [f"f{i}" for i in range(DIMS)]
-    table = features.scale(with_dims(t), names, "standard").withColumn("_v", F.array(*names))
-    best, _ = clustering.choose_k(table, "_v", range(2, 7), by="silhouette")
-    _, out = clustering.kmeans(table.select("vec_id", "_v"), "_v", best)
-    return out.select("vec_id", "cluster")
+    table = features.scale(with_dims(t), names, "standard").select("vec_id", F.array(*names).alias("_v"))
+    _, _, centers = clustering.fitted_choice(table, "_v", range(2, 7), by="silhouette", key="vec_id")
+    return clustering.assign(table, "_v", list(range(len(centers))), centers).select("vec_id", "cluster")
 
 
 @plan(

@@ -11,6 +11,7 @@ from ospara.plans.aggregates import CENTER_SQL, SCORED_SQL, SILHOUETTE_SQL, labe
 from ospara.plans.base import Tables, plan, rnd
 from ospara.plans.bindings import incidents, readings
 from ospara.plans.combining import rule_case
+from ospara.plans.kmeans_sql import kmeans_sql
 from ospara.plans.scalars import TEXT_FIELDS_SQL
 from ospara.session import fresh_path
 
@@ -21,10 +22,10 @@ gaps AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 <> 3 THEN l_
 """
 
 
-def with_gaps(t: Tables):
+def with_gaps(t: Tables, *more):
     key = F.col("l_orderkey") % 10
     return t.lines.select(
-        "l_orderkey", "l_linenumber", F.when(key != 3, F.col("l_quantity")).alias("quantity"),
+        "l_orderkey", "l_linenumber", *more, F.when(key != 3, F.col("l_quantity")).alias("quantity"),
         F.when(key != 7, F.col("l_discount")).alias("discount"), F.col("l_tax").alias("tax"),
     )
 
@@ -297,10 +298,15 @@ def davies_bouldin(t: Tables):
     return count.select("clusters", rnd(F.lit(value), 6).alias("davies_bouldin"))
 
 
-@plan("m13_choose_k")
+@plan(
+    "m13_choose_k",
+    f"""WITH {kmeans_sql("SELECT vec_id AS r, embedding::DOUBLE[] AS v FROM embeddings", range(2, 11))}
+        SELECT k::INTEGER AS k, round(silhouette, 6) AS silhouette, round(davies_bouldin, 6) AS davies_bouldin,
+               round(combined, 6) + 0.0 AS combined, row_number() OVER (ORDER BY combined DESC, k) = 1 AS best FROM score""",
+)
 def choose_k(t: Tables):
-    best, table = clustering.choose_k(t.embeddings, "embedding", range(2, 11))
-    return table.withColumn("best", F.col("k") == best)
+    best, table = clustering.choose_k(t.embeddings, "embedding", range(2, 11), key="vec_id")
+    return table.select("k", *[rnd(c, 6).alias(c) for c in ("silhouette", "davies_bouldin", "combined")], (F.col("k") == best).alias("best"))
 
 
 @plan(
@@ -320,14 +326,68 @@ def feature_table(t: Tables):
     return hyper.feature_table(base, ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"], 6)
 
 
-@plan("m16_sweep")
+TRIALS = [
+    {"k": 4, "imputer": "median", "scaler": "robust"},
+    {"k": 6, "imputer": "mean", "scaler": "standard"},
+    {"k": 5, "imputer": "most_frequent", "scaler": "minmax"},
+]
+IMPUTE_SQL = {"median": "quantile_cont({c}, 0.5)", "mean": "avg({c})", "most_frequent": "any_value(m_{c})"}
+SCALE_SQL = {
+    "robust": ("quantile_cont({c}, 0.5)", "quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)"),
+    "standard": ("avg({c})", "stddev_pop({c})"), "minmax": ("min({c})", "max({c}) - min({c})"),
+}
+
+
+ROW_KEY_SQL = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+
+
+def sweep_sql() -> str:
+    """All trials prepared and clustered; a full rotation changes no distance, so components are left out."""
+    keyed = GAP_SQL.strip().replace("l_linenumber, CASE", f"l_linenumber, {ROW_KEY_SQL} AS r, CASE", 1)
+    parts = [keyed, f"modes AS (SELECT {MODE_SQL})"]
+    for i, trial in enumerate(TRIALS):
+        low, width = SCALE_SQL[trial["scaler"]]
+        gaps = ", ".join(f"{IMPUTE_SQL[trial['imputer']].format(c=c)} AS i_{c}" for c in GAP_COLUMNS)
+        filled = ", ".join(f"coalesce({c}, i_{c}) AS {c}" for c in GAP_COLUMNS)
+        sizes = ", ".join(f"{low.format(c=c)} AS l_{c}, {width.format(c=c)} AS w_{c}" for c in GAP_COLUMNS)
+        vector = ", ".join(f"({c} - l_{c}) / CASE WHEN w_{c} = 0 THEN 1 ELSE w_{c} END" for c in GAP_COLUMNS)
+        parts += [
+            f"gap{i} AS (SELECT {gaps} FROM gaps, modes)",
+            f"fill{i} AS (SELECT r, {filled} FROM gaps, gap{i})",
+            f"size{i} AS (SELECT {sizes} FROM fill{i})",
+            kmeans_sql(f"SELECT r, [{vector}] AS v FROM fill{i}, size{i}", [trial["k"]], f"t{i}"),
+        ]
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS iteration, k::INTEGER AS k, '{t['imputer']}' AS imputer, '{t['scaler']}' AS scaler, silhouette, davies_bouldin AS db, combined FROM scoret{i}"
+        for i, t in enumerate(TRIALS))
+    labels = " UNION ALL ".join(f"SELECT {i} AS iteration, r, c FROM labelt{i}" for i in range(len(TRIALS)))
+    return "WITH " + ",\n".join(parts) + f",\nhistory AS ({rows}),\nlabels AS ({labels})"
+
+
+def keyed_gaps(t: Tables):
+    return with_gaps(t, F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_key"))
+
+
+@plan(
+    "m16_sweep",
+    f"""{sweep_sql()} SELECT iteration, k, imputer, scaler, round(silhouette, 6) AS silhouette, round(db, 6) AS db,
+        round(combined, 6) AS combined FROM history""",
+)
 def sweep(t: Tables):
-    trials = [
-        {"k": 4, "imputer": "median", "scaler": "robust"},
-        {"k": 6, "imputer": "knn", "scaler": "robust"},
-        {"k": 6, "imputer": "mean", "scaler": "standard"},
-    ]
-    return hyper.sweep(with_gaps(t), GAP_COLUMNS, trials)
+    history = hyper.sweep(keyed_gaps(t), GAP_COLUMNS, TRIALS, threshold=1.0, key="row_key")
+    return history.select("iteration", "k", "imputer", "scaler", *[rnd(c, 6).alias(c) for c in ("silhouette", "db", "combined")])
+
+
+@plan(
+    "m16_best_setting",
+    f"""{sweep_sql()} SELECT l_orderkey, l_linenumber, c::INTEGER AS cluster FROM gaps JOIN labels USING (r)
+        WHERE iteration = (SELECT iteration FROM history ORDER BY combined DESC, iteration LIMIT 1)""",
+)
+def best_setting(t: Tables):
+    """The best setting of the sweep, run again and stored."""
+    rows = keyed_gaps(t)
+    history = hyper.sweep(rows, GAP_COLUMNS, TRIALS, threshold=1.0, key="row_key")
+    return hyper.rerun_best(rows, GAP_COLUMNS, history, threshold=1.0, key="row_key").select("l_orderkey", "l_linenumber", "cluster")
 
 
 def labelled_readings(t: Tables):
