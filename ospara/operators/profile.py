@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import itertools
-import math
+import struct
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +15,8 @@ from ospara.functions import stats
 from ospara.scale import MAX_BLOCK_ROWS, running_sums, top_k, unfold
 from ospara.session import materialize
 
-# Distinct values per group up to which the in-memory percentile is used.
-MAX_DISTINCT = 200_000
-# Scans that narrow a bracket by a factor of 60 or more each; any bracket gives exact results.
-MAX_SCANS = 8
+#: Bits of a value that one scan counts; four scans see all of a double.
+DIGIT_BITS = 16
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -30,111 +30,110 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     group: Sequence[str] = (),
-    max_distinct: int = MAX_DISTINCT,
     max_rows: int = MAX_BLOCK_ROWS,
 ) -> DataFrame:
     """Exact linear quantiles: (group.., feature, quantiles array).
 
-    Few distinct values: one aggregate. Many: whole columns are narrowed to
-    brackets around each rank by repeated scans, without any shuffle of rows;
-    groups sum value counts along the order in blocks. No task ever holds all
-    values of a column.
+    Whole columns are counted digit by digit of their ordered bits, four scans
+    for all columns and probabilities; groups sum value counts along the order
+    in blocks. Neither holds all values of a column in one task.
     """
     if not group:
-        return _column_quantiles(df, columns, probabilities, max_distinct)
-    distinct = df.groupBy(*group).agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-    largest = distinct.agg(*[F.max(c) for c in columns]).first()
-    if max(v or 0 for v in largest) <= max_distinct:
-        wide = df.groupBy(*group).agg(
-            *[F.percentile(F.col(c).cast("double"), list(probabilities)).alias(c) for c in columns]
-        )
-        return wide.unpivot(list(group), list(columns), "feature", "quantiles")
+        return _column_quantiles(df, columns, probabilities)
     return _group_quantiles(df, columns, probabilities, group, max_rows)
 
 
-def _column_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_distinct: int, accuracy: int = 10_000
-) -> DataFrame:
-    """Quantiles of whole columns.
-
-    First scan: sizes, distinct values and approximate brackets. Then scans
-    that count the rows below and inside each bracket, narrowing those that
-    still hold many distinct values. The last scan takes the exact value at
-    its rank inside the bracket.
-    """
-    value = {c: F.col(c).cast("double") for c in columns}
-    reach = 2.0 / accuracy
-    edges = [e for p in probabilities for e in (max(0.0, p - reach), min(1.0, p + reach))]
-    first = df.agg(
-        *[
-            F.struct(
-                F.count(v).alias("n"), F.approx_count_distinct(v).alias("d"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-                F.percentile_approx(v, edges, accuracy).alias("e"),
-            ).alias(c)
-            for c, v in value.items()
-        ]
-    ).first()
-    cases = []
-    for c in columns:
-        n = first[c]["n"]
-        for i, p in enumerate(probabilities):
-            case = {"c": c, "p": p, "rank": p * (n - 1), "below": 0, "n": n, "lo": first[c]["lo"], "hi": first[c]["hi"]}
-            case["open"] = n > 0 and first[c]["d"] > max_distinct
-            if case["open"]:
-                case["try"] = (first[c]["e"][2 * i], first[c]["e"][2 * i + 1])
-            cases.append(case)
-    for _ in range(MAX_SCANS):
-        todo = [x for x in cases if x["open"]]
-        if not todo:
-            break
-        counted = df.agg(*[_bracket(value[x["c"]], x, reach, accuracy).alias(f"b{j}") for j, x in enumerate(todo)]).first()
-        for j, x in enumerate(todo):
-            _narrow(x, counted[f"b{j}"], max_distinct)
-    parts = []
-    for i, c in enumerate(columns):
-        mine = cases[i * len(probabilities) : (i + 1) * len(probabilities)]
-        if all(x["n"] == first[c]["n"] for x in mine):
-            values = F.percentile(value[c], list(probabilities))
-        else:
-            values = F.array(*[_at_rank(value[c], x) for x in mine])
-        parts.append(F.struct(F.lit(c).alias("feature"), values.alias("quantiles")).alias(f"_q{i}"))
-    return df.agg(*parts).select(F.inline(F.array(*[f"_q{i}" for i in range(len(columns))])))
+def _ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the doubles; equal values, also the zeros, are equal."""
+    bits = np.where(np.isnan(x), np.nan, x + 0.0).view(np.int64)
+    return np.where(bits < 0, ~bits, bits | np.int64(-(2**63))).view(np.uint64)
 
 
-def _at_rank(v: Column, case: dict) -> Column:
-    """Exact value at the rank of the case, from the rows in its bracket."""
-    share = (case["rank"] - case["below"]) / (case["n"] - 1) if case["n"] > 1 else 0.0
-    return F.percentile(F.when(v.between(case["lo"], case["hi"]), v), F.lit(min(1.0, max(0.0, share))))
+def _value(bits: int) -> float:
+    raw = bits ^ (1 << 63) if bits >> 63 else bits ^ ((1 << 64) - 1)
+    return struct.unpack("<d", struct.pack("<Q", raw))[0]
 
 
-def _bracket(v: Column, case: dict, reach: float, accuracy: int) -> Column:
-    """Counts around the tried bracket, and finer edges inside it."""
-    low, high = case["try"]
-    inside = F.when(v.between(low, high), v)
-    return F.struct(
-        F.count_if(v < low).alias("below"), F.count(inside).alias("inside"),
-        F.approx_count_distinct(inside).alias("distinct"),
-        F.percentile_approx(inside, [i / 64 for i in range(65)], accuracy).alias("edges"),
-    )
-
+def _column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """Quantiles of whole columns.
 
-def _narrow(case: dict, seen, max_distinct: int) -> None:
-    """Take the tried bracket when it holds both neighbours of the rank."""
-    low, high = case["try"]
-    floor, ceil = math.floor(case["rank"]), math.ceil(case["rank"])
-    if not (seen["below"] <= floor and ceil < seen["below"] + seen["inside"]):
-        # The estimate missed the rank: widen towards the known bracket.
-        width = high - low or abs(high) or 1.0
-        case["try"] = (max(case["lo"], low - 4 * width), min(case["hi"], high + 4 * width))
-        return
-    case.update(lo=low, hi=high, below=seen["below"], n=seen["inside"])
-    case["open"] = seen["distinct"] > max_distinct and low < high
-    if case["open"]:
-        at = (case["rank"] - case["below"]) / max(case["n"] - 1, 1) * 64
-        i, j = max(0, math.floor(at) - 1), min(64, math.ceil(at) + 1)
-        case["try"] = (seen["edges"][i], seen["edges"][j])
-        if case["try"] == (low, high):
-            case["open"] = False
+    Each scan counts the next 16 bits of the values that begin like the values
+    sought: a count per digit leaves a task, and the digit at each rank comes
+    to the driver. Both neighbours of a rank are sought.
+    """
+    data = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    places = [(i, p, up) for i in range(len(columns)) for p in probabilities for up in (0, 1)]
+    spark = df.sparkSession
+    #: (column, bits so far) to its number, and for each place that number and the rank below it.
+    begun: dict[tuple[int, int], int] = {(i, 0): i for i in range(len(columns))}
+    at: dict[int, tuple[int, int]] = {n: (i, 0) for n, (i, _, _) in enumerate(places)}
+    sizes = np.zeros(len(columns))
+    ranks: dict[int, int] = {}
+    for scan in range(64 // DIGIT_BITS):
+        counts = _digit_counts(data, begun, scan)
+        whole = counts.withColumn("cum", F.sum("n").over(Window.partitionBy("head").orderBy("digit")))
+        if scan == 0:
+            rows = [(n, i, float(p), up) for n, (i, p, up) in enumerate(places)]
+            asked = spark.createDataFrame(rows, "place int, head int, p double, up int")
+            exact = F.col("p") * (F.col("total") - 1)
+            whole = whole.withColumn("total", F.sum("n").over(Window.partitionBy("head")))
+            rank = F.when(F.col("up") == 1, F.ceil(exact)).otherwise(F.floor(exact))
+            wanted = whole.join(F.broadcast(asked), "head").withColumn("rank", rank)
+        elif not ranks:
+            break
+        else:
+            asked = spark.createDataFrame([(n, begun[at[n]], r) for n, r in ranks.items()], "place int, head int, rank long")
+            wanted = whole.join(F.broadcast(asked), "head").withColumn("total", F.lit(0).cast("long"))
+        for r in wanted.filter("cum > rank AND cum - n <= rank").select("place", "digit", "total", "rank", "cum", "n").collect():
+            column, head = at[r["place"]]
+            if scan == 0:
+                sizes[column] = r["total"]
+            at[r["place"]] = (column, head << DIGIT_BITS | r["digit"])
+            ranks[r["place"]] = r["rank"] - (r["cum"] - r["n"])
+        begun = {key: n for n, key in enumerate(dict.fromkeys(at[n] for n in ranks))}
+    found = []
+    for i, c in enumerate(columns):
+        own = [n for n, place in enumerate(places) if place[0] == i]
+        if not sizes[i]:
+            found.append((c, None))
+            continue
+        values = []
+        for low, high in zip(own[::2], own[1::2]):
+            a, b = _value(at[low][1]), _value(at[high][1])
+            share = places[low][1] * (sizes[i] - 1) % 1
+            values.append(float(a if a == b or not share else a + (b - a) * share))
+        found.append((c, values))
+    return spark.createDataFrame(found, "feature string, quantiles array<double>")
+
+
+def _digit_counts(data: DataFrame, begun: dict[tuple[int, int], int], scan: int) -> DataFrame:
+    """(head, digit, n): how many values begin with each head, by their next digit."""
+    shift = 64 - DIGIT_BITS * (scan + 1)
+    sought: dict[int, list[tuple[int, int]]] = {}
+    for (column, head), n in sorted(begun.items()):
+        sought.setdefault(column, []).append((head, n))
+
+    def count(batches):
+        found: dict[int, int] = {}
+        for batch in batches:
+            for column, heads in sought.items():
+                values = batch.column(column).drop_null().to_numpy(zero_copy_only=False)
+                bits = _ordered_bits(values) >> np.uint64(shift)
+                upper = bits >> np.uint64(DIGIT_BITS) if scan else np.zeros(len(bits), np.uint64)
+                own = np.array([h for h, _ in heads], np.uint64)
+                at = np.minimum(np.searchsorted(own, upper), len(own) - 1)
+                hit = own[at] == upper
+                numbers = np.array([n for _, n in heads], np.int64)[at[hit]]
+                keys = numbers << DIGIT_BITS | (bits[hit] & np.uint64((1 << DIGIT_BITS) - 1)).astype(np.int64)
+                for key, times in zip(*(x.tolist() for x in np.unique(keys, return_counts=True))):
+                    found[key] = found.get(key, 0) + times
+        keys = np.fromiter(found, np.int64, len(found))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((keys >> DIGIT_BITS).astype(np.int32)), pa.array((keys & ((1 << DIGIT_BITS) - 1)).astype(np.int32)),
+             pa.array(np.fromiter(found.values(), np.int64, len(found)))], names=["head", "digit", "n"])
+
+    parts = data.mapInArrow(count, "head int, digit int, n long")
+    return parts.groupBy("head", "digit").agg(F.sum("n").alias("n"))
 
 
 def _group_quantiles(

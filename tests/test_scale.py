@@ -80,15 +80,12 @@ def test_running_counts_over_days(spark):
         assert r["even"] == even
 
 
-def test_quantiles_of_many_values(skewed):
+def test_quantiles_of_groups_and_columns(skewed):
     probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
-    plain = profile.quantiles(skewed, ["value", "t"], probs)
-    cut = profile.quantiles(skewed, ["value", "t"], probs, max_distinct=1, max_rows=60)
-    one, two = ({r["feature"]: r["quantiles"] for r in d.collect()} for d in (plain, cut))
-    assert one.keys() == two.keys()
-    for k in one:
-        assert two[k] == pytest.approx(one[k])
-    by_user = profile.quantiles(skewed, ["value"], [0.5], ["user"], max_distinct=1, max_rows=60)
+    whole = {r["feature"]: r["quantiles"] for r in profile.quantiles(skewed, ["value", "t"], probs).collect()}
+    want = skewed.agg(*[F.percentile(c, F.array(*map(F.lit, probs))).alias(c) for c in ("value", "t")]).first()
+    assert whole == {"value": pytest.approx(want["value"]), "t": pytest.approx(want["t"])}
+    by_user = profile.quantiles(skewed, ["value"], [0.5], ["user"], max_rows=60)
     check = {r[0]: r[1] for r in skewed.groupBy("user").agg(F.percentile("value", F.lit(0.5))).collect()}
     assert {r["user"]: r["quantiles"][0] for r in by_user.collect()} == pytest.approx(check)
 
@@ -106,15 +103,16 @@ def test_small_sides_are_checked(spark):
         scale.collect_small(spark.range(11), 10)
 
 
-@pytest.mark.parametrize("limit", [30, 10**6])
-def test_column_quantiles_by_brackets(spark, limit):
+def test_column_quantiles_by_digits(spark):
     rng = random.Random(2)
-    values = [rng.choice([rng.gauss(0, 1), rng.randint(0, 3), 2.0]) for _ in range(5000)] + [None] * 10
-    df = spark.createDataFrame([(None if v is None else float(v), None) for v in values], "a double, b double").repartition(5)
+    values = [rng.choice([rng.gauss(0, 1), rng.randint(0, 3), 2.0, -0.0, 1e300 * rng.random(), -1e-300 * rng.random()]) for _ in range(5000)]
+    df = spark.createDataFrame([(float(v), None, 7) for v in values] + [(None, None, None)] * 10, "a double, b double, c int").repartition(5)
     probs = [0.0, 0.013, 0.25, 0.5, 0.501, 0.75, 0.999, 1.0]
-    got = {r["feature"]: r["quantiles"] for r in profile._column_quantiles(df, ["a", "b"], probs, limit, accuracy=50).collect()}
+    got = {r["feature"]: r["quantiles"] for r in profile.quantiles(df, ["a", "b", "c"], probs).collect()}
     want = df.agg(F.percentile("a", F.array(*[F.lit(p) for p in probs]))).first()[0]
-    assert got["a"] == pytest.approx(want, abs=1e-9) and not any(got["b"] or [])
+    assert got["a"] == pytest.approx(want, rel=1e-12, abs=1e-320) and not any(got["b"] or []) and got["c"] == [7.0] * 8
+    odd = spark.createDataFrame([(1.0,), (float("inf"),), (float("-inf"),)], "a double")
+    assert profile.quantiles(odd, ["a"], [0.0, 0.5, 1.0]).first()["quantiles"] == [float("-inf"), 1.0, float("inf")]
 
 
 def test_unfold_drops_nothing_but_nulls(spark):
