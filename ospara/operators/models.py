@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
@@ -112,6 +113,53 @@ def learn_one_weight(df: DataFrame, column: str, level: str) -> DataFrame:
     )
 
 
+def nearest_class(df: DataFrame, columns: Sequence[str], level: str) -> Column:
+    """A classifier as an expression: the class whose mean is nearest in units of each column's deviation.
+
+    One aggregate gives a mean per class and column, as few figures as there
+    are classes; ties, to nine places, go to the smaller class.
+    """
+    sums = [F.avg(c).alias(c) for c in columns]
+    means = df.groupBy(level).agg(*sums).orderBy(level).collect()
+    widths = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
+    cases = []
+    for row in means:
+        gaps = [(F.col(c) - F.lit(row[c])) / F.lit(widths[c] or 1.0) for c in columns]
+        cases.append(F.struct(F.round(sum((g * g for g in gaps), F.lit(0.0)), 9).alias("d"), F.lit(row[level]).alias("level")))
+    return F.array_min(F.array(*cases))["level"]
+
+
+def logistic_expression(model: PipelineModel, columns: Sequence[str]) -> Column:
+    """The class of a fitted ``severity_model`` as one expression: the largest linear score."""
+    labels, scaler, fit = model.stages[0].labels, model.stages[2], model.stages[-1]
+    weights = fit.coefficientMatrix.toArray() / np.where(scaler.std.toArray() > 0, scaler.std.toArray(), 1.0)
+    offsets = fit.interceptVector.toArray() - weights @ scaler.mean.toArray()
+    cases = [
+        F.struct((-sum((F.col(c) * F.lit(float(w)) for c, w in zip(columns, row)), F.lit(float(b)))).alias("s"), F.lit(k).alias("k"))
+        for k, (row, b) in enumerate(zip(weights, offsets))
+    ]
+    return F.get(F.array(*[F.lit(x) for x in labels]), F.array_min(F.array(*cases))["k"])
+
+
+def tree_expression(node, value) -> Column:
+    """``value`` of the leaf that a row of ``features`` falls into; an inner node becomes one CASE."""
+    if node.numDescendants() == 0:
+        return F.lit(float(value(node)))
+    split = node.split()
+    goes_left = F.get("features", F.lit(split.featureIndex())) <= F.lit(float(split.threshold()))
+    return F.when(goes_left, tree_expression(node.leftChild(), value)).otherwise(tree_expression(node.rightChild(), value))
+
+
+def forest_expression(model) -> Column:
+    """Probability of class 1 by a fitted forest over an array column ``features``: the mean of its trees' leaf shares."""
+    def share(node) -> float:
+        stats = list(node.impurityStats().stats())
+        return stats[1] / sum(stats)
+
+    trees = [tree_expression(t._call_java("rootNode"), share) for t in model.trees]
+    return sum(trees[1:], trees[0]) / F.lit(float(len(trees)))
+
+
 def save_and_load(model: PipelineModel, path: str) -> PipelineModel:
     model.write().overwrite().save(path)
     return PipelineModel.load(path)

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import re
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import rules, vectors
+from ospara.functions.text import matched_keywords
+from ospara.sources import sinks
 
 # Size of a text's word vector.
 WORD_BUCKETS = 256
@@ -82,27 +85,40 @@ SEVERITY_RULES = (
 )
 
 
-def word_counts(text: str | None, buckets: int = WORD_BUCKETS) -> np.ndarray:
-    """A text as counts of its lower-case words, each in the bucket that its MD5 names."""
-    out = np.zeros(buckets)
-    for word in re.findall("[a-z0-9]+", (text or "").lower()):
-        out[int(hashlib.md5(word.encode()).hexdigest()[:6], 16) % buckets] += 1
-    return out
+def word_slots(text: Column, buckets: int = WORD_BUCKETS) -> Column:
+    """The buckets of a text's lower-case words in order, each word in the one that its MD5 names."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z0-9]+)"), F.lit(1))
+    return F.array_sort(F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % buckets))
+
+
+def _squares(slots: Column) -> Column:
+    """Sum of the squared counts of equal neighbours: a run of r adds 2r - 1 with its last member."""
+    empty = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("run"), F.lit(0).cast("long").alias("sum"))
+
+    def step(a: Column, x: Column) -> Column:
+        run = F.when(a["last"] == x, a["run"] + 1).otherwise(1)
+        return F.struct(x.alias("last"), run.alias("run"), (a["sum"] + 2 * run - 1).cast("long").alias("sum"))
+
+    return F.aggregate(slots, empty, step, lambda a: a["sum"])
 
 
 def text_scores(patterns: Sequence[str], buckets: int = WORD_BUCKETS):
-    """UDF: cosines of a text with each pattern as hashed word vectors, to nine places."""
-    matrix = np.stack([word_counts(p, buckets) for p in patterns])
+    """Function of a text column: its cosines with each pattern as hashed word vectors, to nine places."""
+    counts = []
+    for p in patterns:
+        own = [0] * buckets
+        for word in re.findall("[a-z0-9]+", p.lower()):
+            own[int(hashlib.md5(word.encode()).hexdigest()[:6], 16) % buckets] += 1
+        counts.append({"n": math.sqrt(sum(c * c for c in own)), "c": own})
+    known = F.from_json(F.lit(json.dumps(counts)), "array<struct<n: double, c: array<int>>>")
 
-    @F.arrow_udf("array<double>")
-    def scores(text: pa.Array) -> pa.Array:
-        texts = text.to_pylist()
-        known = {x: i for i, x in enumerate(dict.fromkeys(texts))}
-        rows = np.stack([word_counts(x, buckets) for x in known]) if known else np.zeros((0, buckets))
-        found = np.round(vectors.cosine_matrix(rows, matrix), 9).tolist()
-        return pa.array([found[known[x]] for x in texts], pa.list_(pa.float64()))
+    def cosines(slots: Column) -> Column:
+        norm = F.sqrt(_squares(slots))
+        dot = lambda p: F.aggregate(slots, F.lit(0), lambda s, x: s + F.get(p["c"], x))
+        return F.transform(known, lambda p: F.round(F.coalesce(F.try_divide(dot(p), norm * p["n"]), F.lit(0.0)), 9))
 
-    return scores
+    # A one-element array binds the words, so that they are made once and not for every pattern.
+    return lambda text: F.get(F.transform(F.array(word_slots(text, buckets)), cosines), F.lit(0))
 
 
 def with_matches(
@@ -161,6 +177,46 @@ def score(
     ).drop("_hit", "matches")
 
 
+def score_new(
+    records: DataFrame, mappings: DataFrame, key: str, text: str, environment: str,
+    known: Sequence[tuple] = SEVERITY_RULES, threshold: float = SIMILARITY_THRESHOLD,
+    weights: Mapping[str, float] | None = None, level: Column | None = None,
+) -> DataFrame:
+    """The mappings after the records without ``processed_at`` are scored and stored by key.
+
+    ``text`` and ``environment`` name the analysis text and the raw environment.
+    With ``weights`` the score is the learned one, and ``level``, an expression
+    over similarity, adjusted and factor, decides the severity of a match.
+    Other records, and mappings of theirs, stay as they are.
+    """
+    base = {r[0]: float(r[2]) for r in known}
+    new = records.filter("processed_at IS NULL")
+    matched = with_matches(new, None, list(base), None, threshold, text_scores(list(base))(F.col(text)))
+    factor = rules.environment_factor(F.col(environment))
+    bases = F.create_map(*[x for k, v in base.items() for x in (F.lit(k), F.lit(v))])
+    best = F.get("matches", F.lit(0))
+    with_features = matched.withColumns({
+        "similarity": best["similarity"], "adjusted": F.element_at(bases, best["rule"]) * factor, "factor": factor})
+    scored = score(with_features, base, F.col("factor"), weights, level)
+    words = F.when(F.col("matched_pattern").isNotNull(), matched_keywords(text, list(base))).otherwise(F.array().cast("array<string>"))
+    rows = scored.select(
+        key, F.col("severity_level").alias("severity_id"), "bert_score", "rule_score", "combined_score", "matched_pattern",
+        words.alias("matched_keywords"), rules.environment_name(F.col(environment)).alias("environment"))
+    return sinks.upsert(mappings, rows, [key])
+
+
+def match_features(
+    records: DataFrame, text: str, environment: str, known: Sequence[tuple] = SEVERITY_RULES, threshold: float = SIMILARITY_THRESHOLD,
+) -> DataFrame:
+    """(similarity, adjusted, factor, level) of the records that match a rule; the level is that of the rule mode."""
+    base = {r[0]: float(r[2]) for r in known}
+    factor = rules.environment_factor(F.col(environment))
+    matched = with_matches(records, None, list(base), None, threshold, text_scores(list(base))(F.col(text))).filter(F.size("matches") > 0)
+    scored = score(matched, base, factor)
+    return scored.select(F.col("bert_score").alias("similarity"), F.col("rule_score").alias("adjusted"), factor.alias("factor"),
+                         F.col("severity_level").alias("level"))
+
+
 def exact_tier(text: str, tiers: Mapping[str, tuple[float, Sequence[str]]] = TIERS) -> Column:
     """First tier and pattern found literally in the text, NULL without one."""
     low = F.lower(text)

@@ -12,7 +12,7 @@ from ospara.plans.base import Tables, plan, rnd
 from ospara.plans.bindings import incidents, readings
 from ospara.plans.combining import rule_case
 from ospara.plans.kmeans_sql import kmeans_sql
-from ospara.plans.scalars import TEXT_FIELDS_SQL
+from ospara.plans.scalars import TEXT_FIELDS_SQL, WEIGHTS
 from ospara.session import fresh_path
 
 GAP_COLUMNS = ["quantity", "discount", "tax"]
@@ -592,6 +592,53 @@ def severity_scoring(t: Tables):
     )
 
 
+KEYWORD_LIST = ", ".join(f"'{r[0]}'" for r in severity.SEVERITY_RULES)
+
+
+@plan(
+    "m24_learned_job",
+    f"""WITH {similarity_sql(RULE_ROWS)},
+        best AS (SELECT * FROM sims WHERE s >= {SEVERITY_THRESHOLD} QUALIFY row_number() OVER (PARTITION BY analysis ORDER BY s DESC, rule) = 1),
+        new AS (SELECT event_id, environment, analysis, b.s AS s, rule, weight * factor AS adj, factor,
+                  b.s * 100 * 0.4::DOUBLE + weight * factor * 0.6::DOUBLE AS combined
+                FROM factored LEFT JOIN best b USING (analysis) WHERE event_id % 3 <> 0),
+        feats AS (SELECT *, CASE WHEN combined >= 80 THEN 'S1' WHEN combined >= 60 THEN 'S2' WHEN combined >= 40 THEN 'S3' ELSE 'S4' END AS lvl
+                  FROM new WHERE s IS NOT NULL),
+        means AS (SELECT lvl, avg(s) AS ms, avg(adj) AS ma, avg(factor) AS mf FROM feats GROUP BY lvl),
+        widths AS (SELECT stddev_pop(s) AS ws, stddev_pop(adj) AS wa, stddev_pop(factor) AS wf FROM feats),
+        class AS (SELECT event_id, m.lvl AS level FROM feats f, means m, widths w QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY
+            round(power((s - ms) / coalesce(nullif(ws, 0), 1), 2) + power((adj - ma) / coalesce(nullif(wa, 0), 1), 2)
+                  + power((factor - mf) / coalesce(nullif(wf, 0), 1), 2), 9), m.lvl) = 1),
+        scored AS (SELECT event_id, coalesce(level, 'S4') AS severity_id, coalesce(s, 0.0) AS bert_score, coalesce(adj, 10.0) AS rule_score,
+            coalesce({WEIGHTS['bert_weight']}::DOUBLE * s + {WEIGHTS['rule_weight']}::DOUBLE * adj + {WEIGHTS['env_weight']}::DOUBLE * factor
+                     + {WEIGHTS['intercept']}::DOUBLE, 10.0) AS combined_score,
+            coalesce(rule, '') AS matched_pattern, array_to_string(list_filter(regexp_split_to_array(lower(analysis), '[ \\t\\n]+'),
+              lambda w: s IS NOT NULL AND len(list_filter([{KEYWORD_LIST}], lambda p: contains(w, p))) > 0), ' ') AS keywords, environment
+          FROM new LEFT JOIN class USING (event_id))
+        SELECT event_id, severity_id, round(bert_score, 6) AS bert_score, round(rule_score, 6) AS rule_score,
+          round(combined_score, 6) AS combined_score, matched_pattern, keywords, environment FROM scored
+        UNION ALL SELECT event_id, 'S0', 0.0, 0.0, 0.0, 'earlier', '', 'unknown' FROM events WHERE event_id % 6 = 0""",
+)
+def learned_job(t: Tables):
+    """New records scored in learned mode with the level of a fitted classifier, and stored beside earlier mappings.
+
+    Every third record was processed before; earlier mappings are those of even
+    ids, of which the new records' are replaced.
+    """
+    records = incidents(t).select(
+        "event_id", jsonfields.analysis_text("payload").alias("analysis"), jsonfields.environment("payload").alias("raw_env"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-01")).alias("processed_at"))
+    earlier = t.events.filter("event_id % 2 = 0").select(
+        "event_id", F.lit("S0").alias("severity_id"), *[F.lit(0.0).alias(c) for c in ("bert_score", "rule_score", "combined_score")],
+        F.lit("earlier").alias("matched_pattern"), F.array().cast("array<string>").alias("matched_keywords"), F.lit("unknown").alias("environment"))
+    trained = severity.match_features(records.filter("processed_at IS NULL"), "analysis", "raw_env", threshold=SEVERITY_THRESHOLD)
+    level = models.nearest_class(trained, ["similarity", "adjusted", "factor"], "level")
+    after = severity.score_new(records, earlier, "event_id", "analysis", "raw_env", threshold=SEVERITY_THRESHOLD, weights=WEIGHTS, level=level)
+    return after.select(
+        "event_id", "severity_id", *[rnd(c, 6).alias(c) for c in ("bert_score", "rule_score", "combined_score")],
+        F.coalesce("matched_pattern", F.lit("")).alias("matched_pattern"), F.array_join("matched_keywords", " ").alias("keywords"), "environment")
+
+
 @plan(
     "m25_hybrid_cascade",
     f"""SELECT doc_id, CASE WHEN c = 'none' THEN CASE WHEN toxic = 1 THEN 'business' ELSE 'unknown' END ELSE d END AS domain,

@@ -384,6 +384,25 @@ def test_knn_without_gaps_and_without_rows(spark):
     assert sorted(map(tuple, features.knn_impute(gaps, ["a", "b"]).collect()), key=str) == [(5.0, 4.0)] * 3
 
 
+def test_models_as_expressions(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 3)).round(3)
+    rows = [(*map(float, p), "S1" if p[0] > 0.5 else "S2" if p[1] > 0 else "S3", float(p[0] + p[2] > 0)) for p in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, level string, label double")
+    model, _ = models.severity_model(df.drop("label"), ["a", "b", "c"], "level")
+    names = model.stages[0].labels
+    both = model.transform(df.drop("label")).select("prediction", models.logistic_expression(model, ["a", "b", "c"]).alias("own")).collect()
+    assert all(names[int(r.prediction)] == r.own for r in both)
+    vectors_of = df.withColumn("v", F.array("a", "b", "c"))
+    forest = models.vector_classifier(vectors_of, "v", "label", trees=7)
+    scored = forest.transform(models.as_features(vectors_of, "v")).withColumn("p", vector_to_array("probability")[1]).drop("features")
+    for r in scored.withColumn("features", F.col("v")).withColumn("own", models.forest_expression(forest.stages[-1])).collect():
+        assert r.own == pytest.approx(r.p, abs=1e-9)
+    assert df.withColumn("own", models.nearest_class(df, ["a", "b", "c"], "level")).filter("own = level").count() > 250
+
+
 def test_rows_with_gaps_are_scored(spark):
     from ospara.operators import models
 

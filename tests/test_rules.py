@@ -166,6 +166,39 @@ def test_collection_access_equals_plain_rules(spark):
     assert sorted(map(tuple, out.collect())) == sorted(want)
 
 
+def test_text_scores_equal_plain_cosines(spark):
+    import hashlib
+    import math
+    import re
+    from collections import Counter
+
+    def plain(text):
+        return Counter(int(hashlib.md5(w.encode()).hexdigest()[:6], 16) % 256 for w in re.findall("[a-z0-9]+", (text or "").lower()))
+
+    patterns = ["memory leak detected", "data data loss"]
+    texts = ["Memory leak: DATA data leak!", "data loss", "", None, "nothing in common", "data " * 3000]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(severity.text_scores(patterns)(F.col("t"))).collect()
+    for text, (row,) in zip(texts, got):
+        for pattern, value in zip(patterns, row):
+            a, b = plain(text), plain(pattern)
+            norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+            assert value == pytest.approx(sum(a[k] * b[k] for k in a) / norm if norm else 0.0, abs=1e-9)
+
+
+def test_score_new_keeps_processed_records(spark):
+    ddl = "id int, t string, env string, processed_at string"
+    records = spark.createDataFrame([(1, "memory leak detected", "prod", None), (2, "memory leak detected", "prod", "x"),
+                                     (3, "quite another thing", "dev", None)], ddl)
+    old = spark.createDataFrame([(2, "S9"), (3, "S9"), (4, "S9")], "id int, severity_id string")
+    rows = {r.id: r for r in severity.score_new(records, old, "id", "t", "env").collect()}
+    assert {i: r.severity_id for i, r in rows.items()} == {1: "S1", 2: "S9", 3: "S4", 4: "S9"}
+    assert rows[1].matched_pattern == "memory leak detected" and rows[3].matched_pattern is None and rows[3].combined_score == 10.0
+    weights = {"bert_weight": 1.0, "rule_weight": 2.0, "env_weight": 0.0, "intercept": 0.5}
+    learned = severity.score_new(records, old, "id", "t", "env", weights=weights, level=F.lit("S3"))
+    first = learned.filter("id = 1").first()
+    assert first.severity_id == "S3" and first.combined_score == pytest.approx(1.0 + 2 * first.rule_score + 0.5)
+
+
 def test_resource_attributes(spark):
     user = {"department": "IT", "security_clearance": 2, "projects": ["project_a", "project_b"]}
     df = spark.createDataFrame(
