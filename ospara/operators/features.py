@@ -17,7 +17,6 @@ from ospara.scale import collect_small
 from ospara.session import materialize
 
 MAX_CATEGORIES = 1_000
-MAX_INLINE_TERMS = 200
 
 
 def imputing_values(df: DataFrame, columns: Sequence[str], strategy: str) -> dict[str, float]:
@@ -181,24 +180,49 @@ class Reduction:
         return self.loadings.shape[1]
 
     def apply(self, df: DataFrame, prefix: str = "pca") -> DataFrame:
-        """Scores beside the columns; keys stay in the row.
+        """Scores beside the columns: one matrix product per Arrow batch; keys stay in the row."""
+        names = [f"{prefix}{j + 1}" for j in range(self.components)]
+        inputs = F.array(*[F.col(c).cast("double") for c in self.columns])
+        scored = df.withColumn("_scores", _projector(self.means, self.loadings)(inputs))
+        return scored.withColumns({n: F.col("_scores")[j] for j, n in enumerate(names)}).drop("_scores")
+
+    def check(self, df: DataFrame) -> DataFrame:
+        """(component, eigenvalue, share, residual, length, overlap) over the table, in one scan.
 
-        A few terms become plain arithmetic; many become one matrix product
-        per Arrow batch, as generated code would grow with their product.
+        The covariance of the columns with a score is the covariance matrix
+        times the loading; ``residual`` is how far it is from the eigenvalue
+        times the loading at most, ``overlap`` the largest product with another
+        loading. A task hands on one sum per column and component.
         """
-        names = [f"{prefix}{j + 1}" for j in range(self.components)]
-        if len(self.columns) * self.components > MAX_INLINE_TERMS:
-            project = _projector(self.means, self.loadings)
-            inputs = F.array(*[F.col(c).cast("double") for c in self.columns])
-            scored = df.withColumn("_scores", project(inputs))
-            return scored.withColumns({n: F.col("_scores")[j] for j, n in enumerate(names)}).drop("_scores")
-        out = {}
-        for j, n in enumerate(names):
-            score: Column = F.lit(0.0)
-            for i, c in enumerate(self.columns):
-                score = score + (F.col(c) - F.lit(float(self.means[i]))) * F.lit(float(self.loadings[i, j]))
-            out[n] = score
-        return df.withColumns(out)
+        means, loadings = self.means, self.loadings
+
+        def products(batches):
+            total = np.zeros((len(means) + 2, loadings.shape[1]))
+            for batch in batches:
+                x = vectors.batch_matrix(batch.column(0), len(means)) - means
+                scores = x @ loadings
+                total += np.vstack([x.T @ scores, [np.full(len(total[0]), float((x * x).sum()))], [np.full(len(total[0]), float(len(x)))]])
+            yield pa.RecordBatch.from_arrays([pa.array(total.ravel().tolist())], names=["s"])
+
+        inputs = F.array(*[F.col(c).cast("double") for c in self.columns]).alias("v")
+        parts = df.select(inputs).mapInArrow(products, "s double").select("s", F.monotonically_increasing_id().alias("i"))
+        size = (len(means) + 2) * loadings.shape[1]
+        place = F.pmod(F.pmod("i", F.lit(1 << 33)), F.lit(size))
+        rows = parts.groupBy(place.alias("j")).agg(F.sum("s").alias("s")).collect()
+        sums = np.zeros(size)
+        for r in rows:
+            sums[r["j"]] = r["s"]
+        sums = sums.reshape(len(means) + 2, -1)
+        n = sums[-1, 0]
+        image, whole = sums[:-2] / (n - 1), sums[-2, 0] / (n - 1)
+        values = (image * loadings).sum(axis=0)
+        inner = loadings.T @ loadings
+        apart = np.abs(inner - np.diag(np.diag(inner))).max(axis=1)
+        worst = np.abs(image - loadings * values).max(axis=0)
+        out = [(j + 1, float(values[j]), float(values[j] / whole), float(worst[j]), float(np.sqrt(inner[j, j])), float(apart[j]))
+               for j in range(self.components)]
+        return df.sparkSession.createDataFrame(
+            out, "component int, eigenvalue double, share double, residual double, length double, overlap double")
 
     def loading_rows(self) -> list[tuple[int, str, float]]:
         return [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ospara.functions import jsonfields, rules, text, vectors
@@ -198,6 +199,41 @@ def component_report(t: Tables):
     return shares.join(drivers, "component", "left").orderBy("component")
 
 
+TOTAL_SQL = "(SELECT sum(v) FROM (SELECT var_samp(embedding[i]::DOUBLE) AS v FROM embeddings, range(1, 65) x(i) GROUP BY i))"
+
+
+def component_check(t: Tables, n: int):
+    """Each component solves the eigenvalue equation over all rows, with unit length, at right angles, in falling order."""
+    table, fit = reduction(t, n)
+    rows = fit.check(table)
+    shares = F.get(F.array(*[F.lit(float(s)) for s in fit.shares]), F.col("component") - 1)
+    earlier = F.lag("eigenvalue").over(Window.orderBy("component"))
+    return rows.select(
+        "component", rnd(F.col("eigenvalue") / F.col("share"), 6).alias("total"), (F.col("residual") < 1e-9).alias("solves"),
+        (F.abs(F.col("length") - 1) < 1e-9).alias("unit"), (F.col("overlap") < 1e-9).alias("at_right_angles"),
+        (F.abs(F.col("share") - shares) < 1e-9).alias("share_agrees"), F.coalesce(earlier >= F.col("eigenvalue"), F.lit(True)).alias("falling"))
+
+
+def component_check_sql(n: int) -> str:
+    return f"""SELECT i::INTEGER AS component, round({TOTAL_SQL}, 6) AS total, true AS solves, true AS unit, true AS at_right_angles,
+        true AS share_agrees, true AS falling FROM range(1, {n + 1}) x(i)"""
+
+
+@plan("m06_eigen_equation", component_check_sql(64))
+def eigen_equation(t: Tables):
+    return component_check(t, 64)
+
+
+@plan("m07_report_components", component_check_sql(10))
+def report_components(t: Tables):
+    return component_check(t, 10)
+
+
+@plan("m27_projected_plane", component_check_sql(2))
+def projected_plane(t: Tables):
+    return component_check(t, 2)
+
+
 @plan("m08_kmeans")
 def kmeans(t: Tables):
     _, out = clustering.kmeans(t.embeddings.select("vec_id", "embedding"), "embedding", 8)
