@@ -1,8 +1,9 @@
 """Structured Streaming jobs over event files.
 
-Results that change go to an append-only log in the shared folder: one folder
-per micro-batch, overwritten when a batch is replayed, so a restart neither
-loses nor doubles rows. The current table is read from the log.
+Results that change go to a log in the shared folder: one folder per
+micro-batch, overwritten when a batch is replayed, so a restart neither loses
+nor doubles rows. Older batches are folded into one state, so folders do not
+grow with the batches. The current table is read from the log.
 """
 
 from __future__ import annotations
@@ -24,34 +25,87 @@ from ospara.session import fresh_path
 log = logging.getLogger(__name__)
 
 
+Fold = Callable[[DataFrame], DataFrame]
+
+
 class UpdateLog:
-    """Append-only table of micro-batches."""
+    """Table of micro-batches, one folder each, of which older ones are folded.
+
+    A replay repeats the newest batch only. So once ``keep`` batches before it
+    have gathered, a job that gives a ``fold`` merges them with the state so far
+    into one folder, and folders that an earlier state covers are deleted. A
+    state counts once it is complete, and reading takes the newest one and the
+    batches after it; a stop at any point leaves a table that reads the same.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keep: int = 16):
+        self.spark, self.path, self.keep = spark, path, keep
+
+    def _files(self, place: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def _numbers(self, part: str, name: str) -> list[int]:
+        """Numbers of the complete folders ``name=N`` of a part."""
+        files, folder = self._files(f"{self.path}/{part}")
+        if not files.exists(folder):
+            return []
+        found = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith(f"{name}=")]
+        done = [p for p in found if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return sorted(int(p.getName().partition("=")[2]) for p in done)
 
-    def write(self, batch: DataFrame, batch_id: int, part: str = "rows") -> None:
+    def write(self, batch: DataFrame, batch_id: int, part: str = "rows", fold: Fold | None = None) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/{part}/batch={batch_id}")
+        if fold:
+            self._fold(part, fold, batch_id)
+
+    def _fold(self, part: str, fold: Fold, newest: int) -> None:
+        states = self._numbers(f"{part}-states", "state")
+        last = states[-1] if states else -1
+        batches = self._numbers(part, "batch")
+        if sum(last < b < newest for b in batches) < self.keep:
+            return
+        fold(self.read(part=part).filter(F.col("batch") < newest)).write.mode("overwrite").parquet(f"{self.path}/{part}-states/state={newest - 1}")
+        # What the state before covers is still there for readers that began with it; what that one covered goes.
+        for folder, name, numbers in ((part, "batch", [b for b in batches if b <= last]), (f"{part}-states", "state", states[:-1])):
+            for n in numbers:
+                files, place = self._files(f"{self.path}/{folder}/{name}={n}")
+                files.delete(place, True)
 
     def read(self, schema: StructType | str | None = None, part: str = "rows") -> DataFrame:
-        reader = self.spark.read.option("basePath", f"{self.path}/{part}")
-        return (reader.schema(schema) if schema else reader).parquet(f"{self.path}/{part}")
+        states = self._numbers(f"{part}-states", "state")
+        last = states[-1] if states else -1
+        folder = f"{self.path}/{part}"
+        after = [f"{folder}/batch={b}" for b in self._numbers(part, "batch") if b > last]
+        reader = self.spark.read.option("basePath", folder)
+        batches = (reader.schema(schema) if schema else reader).parquet(*(after or [folder]))
+        batches = batches.withColumn("batch", F.col("batch").cast("long"))
+        if not states:
+            return batches
+        state = self.spark.read.parquet(f"{folder}-states/state={last}")
+        return state.unionByName(batches) if after else state
 
     def has(self, part: str) -> bool:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
+        files, place = self._files(f"{self.path}/{part}")
+        return files.exists(place)
 
     def current(self, key: Sequence[str], part: str = "rows") -> DataFrame:
         """Newest row per key over all batches."""
-        rows = self.read(part=part)
-        rest = [c for c in rows.columns if c not in key and c != "batch"]
-        best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_r"))
-        return best.select(*key, "_r.*")
+        return newest_rows(self.read(part=part), key).drop("batch")
 
     def last_batch(self, part: str = "rows") -> DataFrame:
-        rows = self.read(part=part)
-        last = rows.agg(F.max("batch").alias("_last"))
-        return rows.join(F.broadcast(last), F.col("batch") == F.col("_last")).drop("batch", "_last")
+        return only_last_batch(self.read(part=part)).drop("batch")
+
+
+def newest_rows(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    rest = [c for c in rows.columns if c not in key and c != "batch"]
+    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_r"), F.max("batch").alias("batch"))
+    return best.select(*key, "_r.*", "batch")
+
+
+def only_last_batch(rows: DataFrame) -> DataFrame:
+    last = rows.agg(F.max("batch").alias("_last"))
+    return rows.join(F.broadcast(last), F.col("batch") == F.col("_last")).drop("_last")
 
 
 def event_stream(
@@ -100,8 +154,8 @@ def to_files(stream: DataFrame, path: str | None = None, checkpoint: str | None
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def new_log(spark: SparkSession, name: str) -> UpdateLog:
-    return UpdateLog(spark, fresh_path(spark, name))
+def new_log(spark: SparkSession, name: str, keep: int = 16) -> UpdateLog:
+    return UpdateLog(spark, fresh_path(spark, name), keep)
 
 
 def consume(stream: DataFrame, valid: Column, handle: Callable[[DataFrame], DataFrame], sink: UpdateLog) -> UpdateLog:
@@ -145,18 +199,23 @@ def latest_state(stream: DataFrame, key: str, order: Sequence[str], columns: Seq
     one row per task to its state, not its whole traffic.
     """
     newest = stream.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_s")).select(key, "_s.*")
-    run(newest, lambda batch, i: sink.write(batch, i), "update")
+    run(newest, lambda batch, i: sink.write(batch, i, fold=lambda rows: newest_rows(rows, [key])), "update")
     return sink
 
 
 def histories(stream: DataFrame, key: str, order: Sequence[str], value: str, sink: UpdateLog, limit: int = 500) -> UpdateLog:
     """Tail of each entity's values and their number, batch by batch."""
 
+    def tail(rows: DataFrame) -> DataFrame:
+        return top_k(rows, [key], [F.desc(c) for c in order], limit).drop("rank")
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(F.sum("n").alias("n"), F.max("batch").alias("batch"))
+
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        tail = top_k(batch.select(key, *order, value), [key], [F.desc(c) for c in order], limit).drop("rank")
-        sink.write(tail, batch_id)
-        sink.write(batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")), batch_id, "counts")
+        sink.write(tail(batch.select(key, *order, value)), batch_id, fold=tail)
+        sink.write(batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")), batch_id, "counts", totals)
         batch.unpersist()
 
     run(stream, step)
@@ -175,7 +234,7 @@ def history_lengths(sink: UpdateLog, key: str, train_at: int = 60) -> DataFrame:
 
 def live_counts(stream: DataFrame, label: Column, sink: UpdateLog) -> UpdateLog:
     counts = stream.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    run(counts, lambda batch, i: sink.write(batch, i), "complete")
+    run(counts, lambda batch, i: sink.write(batch, i, fold=only_last_batch), "complete")
     return sink
 
 
@@ -210,7 +269,7 @@ def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         done = transform(batch)
-        sink.write(newest(done, key, order) if order else done, batch_id)
+        sink.write(newest(done, key, order) if order else done, batch_id, fold=lambda rows: newest_rows(rows, key))
 
     run(stream, step)
     return sink

@@ -44,6 +44,41 @@ def test_replayed_batch_changes_nothing(spark, feed):
     assert lengths[0] == (86, True) and lengths[6] == (85, False)
 
 
+def folders(sink, part):
+    import pathlib
+
+    return sorted(p.name for p in pathlib.Path(f"{sink.path}/{part}".removeprefix("file:")).glob("*=*"))
+
+
+def test_folded_logs_stay_small_and_replay_exactly(spark, feed):
+    order = ["ts", "event_id"]
+    sink = jobs.new_log(spark, "f", keep=2)
+    jobs.latest_state(stream(spark, feed), "user_id", order, ["event_id", "kind"], sink)
+    want = {r.user_id: r.e for r in feed[1].groupBy("user_id").agg(F.max("event_id").alias("e")).collect()}
+    assert {r.user_id: r.event_id for r in sink.current(["user_id"]).collect()} == want
+    assert len(folders(sink, "rows")) <= 5 and len(folders(sink, "rows-states")) <= 2
+    newest = sink.read().filter("batch = 5").drop("batch")
+    sink.write(spark.createDataFrame(newest.collect(), newest.schema), 5, fold=lambda rows: jobs.newest_rows(rows, ["user_id"]))
+    assert {r.user_id: r.event_id for r in sink.current(["user_id"]).collect()} == want
+
+    tails = jobs.new_log(spark, "t", keep=1)
+    jobs.histories(stream(spark, feed), "user_id", order, "value", tails, 5)
+    plain = jobs.histories(stream(spark, feed), "user_id", order, "value", jobs.new_log(spark, "p", keep=100), 5)
+    rows = [sorted(map(tuple, jobs.history_tail(x, "user_id", order, 5).collect())) for x in (tails, plain)]
+    assert rows[0] == rows[1] and len(rows[0]) == 35
+    assert sorted(map(tuple, jobs.history_lengths(tails, "user_id").collect())) == sorted(map(tuple, jobs.history_lengths(plain, "user_id").collect()))
+    assert len(folders(tails, "counts")) <= 4 and len(folders(plain, "counts")) == 6
+
+
+def test_incomplete_state_is_not_read(spark, feed):
+    sink = jobs.new_log(spark, "i", keep=100)
+    jobs.latest_state(stream(spark, feed), "user_id", ["ts", "event_id"], ["event_id"], sink)
+    before = sorted(map(tuple, sink.current(["user_id"]).collect()))
+    files, place = sink._files(f"{sink.path}/rows-states/state=3/part-0.parquet")
+    files.create(place).close()
+    assert sorted(map(tuple, sink.current(["user_id"]).collect())) == before
+
+
 def test_live_counts(spark, feed):
     sink = jobs.live_counts(stream(spark, feed), F.col("kind"), jobs.new_log(spark, "c"))
     assert {r.label: r.n for r in sink.last_batch().collect()} == {"error": 200, "view": 400}
