@@ -144,6 +144,13 @@ def with_matches(
     return df.withColumn("_scores", found).withColumn("matches", by_score).drop("_scores")
 
 
+def with_text_matches(df: DataFrame, text: str, names: Sequence[str], threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
+    """Add ``matches`` of a text column with the patterns; each distinct text is scored once."""
+    named = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    distinct = with_matches(named.select("_text").distinct(), None, names, None, threshold, text_scores(names)(F.col("_text")))
+    return named.join(distinct, "_text").drop("_text")
+
+
 def score(
     matched: DataFrame, base_scores: Mapping, factor: Column, weights: Mapping[str, float] | None = None,
     level: Column | None = None,
@@ -191,7 +198,7 @@ def score_new(
     """
     base = {r[0]: float(r[2]) for r in known}
     new = records.filter("processed_at IS NULL")
-    matched = with_matches(new, None, list(base), None, threshold, text_scores(list(base))(F.col(text)))
+    matched = with_text_matches(new, text, list(base), threshold)
     factor = rules.environment_factor(F.col(environment))
     bases = F.create_map(*[x for k, v in base.items() for x in (F.lit(k), F.lit(v))])
     best = F.get("matches", F.lit(0))
@@ -211,7 +218,7 @@ def match_features(
     """(similarity, adjusted, factor, level) of the records that match a rule; the level is that of the rule mode."""
     base = {r[0]: float(r[2]) for r in known}
     factor = rules.environment_factor(F.col(environment))
-    matched = with_matches(records, None, list(base), None, threshold, text_scores(list(base))(F.col(text))).filter(F.size("matches") > 0)
+    matched = with_text_matches(records, text, list(base), threshold).filter(F.size("matches") > 0)
     scored = score(matched, base, factor)
     return scored.select(F.col("bert_score").alias("similarity"), F.col("rule_score").alias("adjusted"), factor.alias("factor"),
                          F.col("severity_level").alias("level"))

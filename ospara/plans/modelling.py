@@ -599,8 +599,7 @@ def severity_scores(t: Tables):
     records = incidents(t).select(
         "event_id", jsonfields.analysis_text("payload").alias("analysis"), jsonfields.environment("payload").alias("raw_env"))
     base = {r[0]: float(r[2]) for r in severity.SEVERITY_RULES}
-    scores = severity.text_scores(list(base))(F.col("analysis"))
-    matched = severity.with_matches(records, None, list(base), None, SEVERITY_THRESHOLD, scores)
+    matched = severity.with_text_matches(records, "analysis", list(base), SEVERITY_THRESHOLD)
     out = severity.score(matched, base, rules.environment_factor(F.col("raw_env")))
     return out.withColumn("environment", rules.environment_name(F.col("raw_env")))
 
