@@ -259,12 +259,10 @@ def test_components_match_numpy(points):
     assert np.abs(scores[:, 0]) == pytest.approx(np.abs((x - x.mean(axis=0)) @ vecs[:, -1]))
     assert (fit.loadings[np.abs(fit.loadings).argmax(axis=0), range(3)] > 0).all()
     assert features.reduce(table, ["f0", "f1", "f2"], threshold=0.5).components >= 1
-    features.MAX_INLINE_TERMS, keep = 0, features.MAX_INLINE_TERMS
-    try:
-        again = np.array([[r.pca1, r.pca2] for r in fit.apply(table).orderBy("id").collect()])
-    finally:
-        features.MAX_INLINE_TERMS = keep
-    assert again == pytest.approx(scores)
+    assert scores == pytest.approx((x - x.mean(axis=0)) @ fit.loadings[:, :2])
+    for r in fit.check(table.repartition(3)).collect():
+        assert r.eigenvalue == pytest.approx(sorted(values)[-r.component]) and r.share == pytest.approx(fit.shares[r.component - 1])
+        assert r.residual < 1e-9 and r.length == pytest.approx(1.0) and r.overlap < 1e-9
 
 
 def test_cumulative_cut(spark):
