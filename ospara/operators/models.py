@@ -19,15 +19,15 @@ LEVEL_SCORES = {"S1": 100.0, "S2": 75.0, "S3": 50.0, "S4": 25.0}
 
 
 def anomaly_model(df: DataFrame, columns: Sequence[str], label: str, trees: int = 200, seed: int = SEED) -> PipelineModel:
-    """Median imputer, scaler and random forest; transform adds ``prediction`` and ``probability``.
+    """Median imputer and random forest; transform adds ``prediction`` and ``probability``.
 
-    Rows with gaps are kept: a gap counts as the column's median.
+    Rows with gaps are kept: a gap counts as the column's median. Trees split
+    on order alone, so columns are not scaled.
     """
     filled = [f"_filled_{c}" for c in columns]
     stages = [
         Imputer(inputCols=list(columns), outputCols=filled, strategy="median"),
-        VectorAssembler(inputCols=filled, outputCol="_raw", handleInvalid="keep"),
-        StandardScaler(inputCol="_raw", outputCol="features", withMean=True),
+        VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed),
     ]
     return Pipeline(stages=stages).fit(df)
