@@ -1,17 +1,23 @@
 """License scan by a positional index of rare words.
 
-``TEMPLATES`` are wordings that name a license, with a phrase that a match must
-contain word by word. All template words get their inverse document frequency
-over all documents. A text keeps only the places of template words. The rarest
-words of a template, so many that no sufficient match can lack them all, are its
-postings: where one of them stands in a text, the template would start so many
-words earlier. A start that template words support, each at its own place, with
-``LEAST_SUPPORT`` of the template's weight, and whose key phrase stands there,
-gives the template's label. The base phrases are counted at every place where
-their words stand consecutively; their labels stay whatever the templates say.
-
-Everything is DataFrame functions; a text is looked at inside its own row, and
-only the counts of template words are shuffled.
+``TEMPLATES`` are wordings of licenses and of the notices that name them, each
+with a phrase that a match must contain word by word. All template words get
+their inverse document frequency over all documents. The index is a table of
+postings (word, template, place): of each template its rarest words, so many
+that no sufficient match can lack them all. A text keeps the places of template
+words; those of indexed words are looked up in the postings, and each posting
+proposes the start that the template would have there. The other template words
+around such a place are intersected by their place relative to the start: a
+start that they support, each at its own place, with ``LEAST_SUPPORT`` of the
+template's weight, and whose key phrase stands there whole, gives the
+template's label. The base phrases are counted at every place where their words
+stand consecutively; their labels stay whatever the templates say.
+
+Templates and postings are rows of a broadcast table whose size is that of
+``TEMPLATES``; further templates do not change the plan. A text meets the index
+in blocks of places, so neither long texts nor frequent words gather in a row.
+Everything is DataFrame functions; only counts of template words and the labels
+found are shuffled.
 
 Defined results: null and empty texts have no words, no labels and score 0;
 labels are distinct and sorted, joined by commas; repeated rows are scanned
@@ -22,8 +28,9 @@ gives no rows.
 from __future__ import annotations
 
 import math
+import zlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ospara.llm.graph import written
@@ -34,19 +41,52 @@ BASE = (
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
-#: (label, wording, key phrase that must stand inside the match)
+#: Fixed values: (label, wording, key phrase that must stand inside the match).
 TEMPLATES = (
     ("apache-2", "licensed under the apache license version 2 0", "apache license"),
+    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+     "you may obtain a copy of the license at", "except in compliance with the license"),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+     "basis without warranties or conditions of any kind either express or implied see the license for the specific language governing "
+     "permissions and limitations under the license", "distributed on an as is basis"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+     "must retain the above copyright notice"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+     "in the documentation and or other materials provided with the distribution", "must reproduce the above copyright notice"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+     "from this software without specific prior written permission", "endorse or promote products derived"),
+    ("bsl-1", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying "
+     "documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to "
+     "prepare derivative works of the software", "accompanying documentation covered by this license"),
     ("cc-by", "creative commons attribution 4 0 international license", "creative commons attribution"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     ("cc-by-nc", "creative commons attribution noncommercial", "attribution noncommercial"),
     ("gpl", "licensed under the gnu general public license", "gnu general public license"),
     ("gpl", "under the terms of the gnu general public license", "gnu general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+     "published by the free software foundation either version 3 of the license or at your option any later version",
+     "gnu general public license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+     "that the above copyright notice and this permission notice appear in all copies", "with or without fee is hereby granted"),
     ("lgpl", "under the terms of the gnu lesser general public license", "gnu lesser general public license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+     "the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+     "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to "
+     "the following conditions", "to deal in the software without restriction"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+     "this permission notice shall be included"),
     ("mit", "released under the mit license", "mit license"),
     ("mpl-2", "subject to the terms of the mozilla public license", "mozilla public license"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed "
+     "with this file you can obtain one at", "mozilla public license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile "
+     "sell or distribute this software", "unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any "
+     "damages arising from the use of this software", "in no event will the authors be held liable"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software",
+     "must not be misrepresented as being the original software"),
 )
 #: Share of a template's weight that must stand at its place.
 LEAST_SUPPORT = 0.8
@@ -55,16 +95,39 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 VOCABULARY = sorted({w for _, wording, _ in TEMPLATES for w in wording.split()} | {w for p, _ in BASE for w in p.split()})
 NUMBER = {w: k for k, w in enumerate(VOCABULARY)}
 PLACES = "array<struct<k:int,i:int>>"
+#: Longest wording in words, and the places of a text that meet the index at a time.
+LONGEST = max(len(wording.split()) for _, wording, _ in TEMPLATES)
+PLACES_PER_BLOCK = 4096
+
+
+def _slots() -> list[int]:
+    """A table from CRC-32, by its remainder, to word number or -1; its size has no two words meet."""
+    sums = [zlib.crc32(w.encode()) for w in VOCABULARY]
+    size = 16 * len(sums)
+    while len({c % size for c in sums}) < len(sums):
+        size += 1
+    table = [-1] * size
+    for k, c in enumerate(sums):
+        table[c % size] = k
+    return table
+
+
+def _constant(values: list, kind: str) -> Column:
+    """An array column of plain values, which Spark folds into one constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
 def with_places(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, places): the numbers of the template words in a text with their places, in order."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
-    vocabulary = F.array(*[F.lit(w) for w in VOCABULARY])
+    table = _slots()
+    slots, vocabulary = _constant(table, "int"), _constant(VOCABULARY, "string")
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(text, NOT_WORD), "").alias("w"))
-    numbered = F.transform("w", lambda w, i: F.struct((F.array_position(vocabulary, w) - 1).cast("int").alias("k"), i.cast("int").alias("i")))
-    places = F.when(F.arrays_overlap("w", vocabulary), F.filter(numbered, lambda p: p["k"] >= 0))
-    return df.select("doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(places, F.array().cast(PLACES)).alias("places"))
+    likely = F.filter(
+        F.transform("w", lambda w, i: F.struct(F.get(slots, (F.crc32(w) % len(table)).cast("int")).alias("k"), i.cast("int").alias("i"), w.alias("w"))),
+        lambda p: (p["k"] >= 0) & (F.get(vocabulary, p["k"]) == p["w"]))
+    places = F.transform(likely, lambda p: F.struct(p["k"].alias("k"), p["i"].alias("i")))
+    return df.select("doc_id", F.size("w").cast("long").alias("n_words"), places.cast(PLACES).alias("places"))
 
 
 def weights(placed: DataFrame) -> list[float]:
@@ -75,7 +138,7 @@ def weights(placed: DataFrame) -> list[float]:
     return [math.log((n + 1.0) / (counts.get(k, 0) + 0.5)) for k in range(len(VOCABULARY))]
 
 
-def postings(wording: list[str], weight: list[float]) -> list[tuple[int, int]]:
+def rarest(wording: list[str], weight: list[float]) -> list[tuple[int, int]]:
     """(word number, place) of the rarest words, without which the support falls short."""
     total = sum(weight[NUMBER[w]] for w in wording)
     chosen, missing = set(), 0.0
@@ -87,6 +150,43 @@ def postings(wording: list[str], weight: list[float]) -> list[tuple[int, int]]:
     return [(NUMBER[w], j) for j, w in enumerate(wording) if w in chosen]
 
 
+def postings(spark: SparkSession, weight: list[float], templates=TEMPLATES) -> DataFrame:
+    """The index: (k, j, label, words, shares, key_from, key_to), a row per indexed place of a template."""
+    rows = []
+    for label, text, key in templates:
+        wording, keys = text.split(), key.split()
+        at_key = next(j for j in range(len(wording)) if wording[j : j + len(keys)] == keys)
+        numbers = [NUMBER[w] for w in wording]
+        total = sum(weight[k] for k in numbers)
+        shares = [weight[k] / total for k in numbers]
+        rows += [(k, j, label, numbers, shares, at_key, at_key + len(keys)) for k, j in rarest(wording, weight)]
+    return spark.createDataFrame(rows, "k int, j int, label string, words array<int>, shares array<double>, key_from int, key_to int")
+
+
+def looked_up(placed: DataFrame, index: DataFrame, indexed: set[int]) -> DataFrame:
+    """(row, labels, best) of the texts of ``placed`` (row, places) that a template of the index fits."""
+    flags = _constant([k in indexed for k in range(len(VOCABULARY))], "boolean")
+    cut = placed.filter(F.exists("places", lambda p: F.get(flags, p["k"]))).select("row", F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("places") - 1, F.lit(PLACES_PER_BLOCK)),
+        lambda b: F.struct(
+            F.least(b, F.lit(LONGEST)).alias("skip"),
+            F.slice("places", F.greatest(b - LONGEST, F.lit(0)) + 1, PLACES_PER_BLOCK + 2 * LONGEST).alias("part")),
+    )).alias("block")).select("row", "block.skip", "block.part")
+    words = cut.select("row", F.explode(F.array_compact(F.transform("part", lambda p, n: F.when(
+        (n >= F.col("skip")) & (n < F.col("skip") + PLACES_PER_BLOCK) & F.get(flags, p["k"]),
+        F.struct(p["k"].alias("k"), p["i"].alias("i"),
+                 F.slice("part", F.greatest(n - LONGEST, F.lit(0)) + 1, 2 * LONGEST + 1).alias("near")),
+    )))).alias("word")).select("row", "word.*")
+    proposed = words.join(F.broadcast(index), "k").withColumn("begin", F.col("i") - F.col("j"))
+    right = F.filter("near", lambda q: F.coalesce(F.get("words", q["i"] - F.col("begin")) == q["k"], F.lit(False)))
+    within = F.filter("right", lambda q: (q["i"] >= F.col("begin") + F.col("key_from")) & (q["i"] < F.col("begin") + F.col("key_to")))
+    supported = proposed.select("row", "label", "begin", "shares", "key_from", "key_to", right.alias("right")).filter(
+        F.size(within) == F.col("key_to") - F.col("key_from")
+    ).select("row", "label", F.aggregate("right", F.lit(0.0), lambda a, q: a + F.get("shares", q["i"] - F.col("begin"))).alias("support"))
+    return supported.filter(F.round("support", 9) >= LEAST_SUPPORT).groupBy("row").agg(
+        F.collect_set("label").alias("found"), F.max("support").alias("best"))
+
+
 def _phrase_starts(phrase: str) -> Column:
     """Places where the words stand consecutively; then they are neighbours among the places, too."""
     numbers = [NUMBER[w] for w in phrase.split()]
@@ -101,51 +201,23 @@ def _phrase_starts(phrase: str) -> Column:
     return F.transform(F.filter("places", stands), lambda p: p["i"].cast("long"))
 
 
-def _support(wording: list[str], key: str, weight: list[float]) -> Column:
-    """Best share of the template's weight at any start with the key phrase; null without a start."""
-    numbers = [NUMBER[w] for w in wording]
-    size, keys = len(wording), key.split()
-    at_key = next(j for j in range(size) if wording[j : j + len(keys)] == keys)
-    share = [weight[k] for k in numbers]
-    total = sum(share)
-    word_at, share_at = F.array(*[F.lit(k) for k in numbers]), F.array(*[F.lit(s / total) for s in share])
-    anchors = postings(wording, weight)
-    anchor_words = F.array(*[F.lit(k) for k in sorted({k for k, _ in anchors})])
-
-    def start(j: int, k: int) -> Column:
-        """Support of the start that a word at place ``j`` of the template proposes."""
-        def supported(p: Column, n: Column) -> Column:
-            begin = p["i"] - j
-            near = F.slice("places", F.greatest(n - (size - 1), F.lit(0)) + 1, F.lit(2 * size))
-            right = F.filter(near, lambda q: F.coalesce(F.get(word_at, q["i"] - begin) == q["k"], F.lit(False)))
-            whole = F.size(F.filter(right, lambda q: (q["i"] >= begin + at_key) & (q["i"] < begin + at_key + len(keys)))) == len(keys)
-            sum_ = F.aggregate(right, F.lit(0.0), lambda a, q: a + F.get(share_at, q["i"] - begin))
-            return F.when((p["k"] == k) & whole, sum_)
-
-        return F.array_max(F.transform("places", supported))
-
-    best = F.greatest(*[start(j, k) for k, j in anchors], F.lit(None).cast("double"))
-    return F.when(F.exists("places", lambda p: F.array_contains(anchor_words, p["k"])), best)
-
-
 def scanned(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every document."""
-    placed, _ = written(with_places(docs), "places")
+    spark = docs.sparkSession
+    placed, _ = written(with_places(docs).withColumn("row", F.monotonically_increasing_id()), "places")
     weight = weights(placed)
-    df = placed.select(
-        "doc_id", "n_words", *[_phrase_starts(p).alias(f"b{n}") for n, (p, _) in enumerate(BASE)],
-        *[_support(wording.split(), key, weight).alias(f"t{n}") for n, (_, wording, key) in enumerate(TEMPLATES)],
-    )
-    bases = [F.when(F.size(f"b{n}") > 0, F.lit(label)) for n, (_, label) in enumerate(BASE)]
-    found = [F.when(F.round(f"t{n}", 9) >= LEAST_SUPPORT, F.lit(label)) for n, (label, _, _) in enumerate(TEMPLATES)]
+    indexed = {k for _, wording, _ in TEMPLATES for k, _ in rarest(wording.split(), weight)}
+    found = looked_up(placed.select("row", "places"), postings(spark, weight), indexed)
+    based = placed.select("row", "doc_id", "n_words", *[_phrase_starts(p).alias(f"b{n}") for n, (p, _) in enumerate(BASE)])
+    labels = F.array_compact(F.array(*[F.when(F.size(f"b{n}") > 0, F.lit(label)) for n, (_, label) in enumerate(BASE)]))
     starts = F.concat(*[F.col(f"b{n}") for n in range(len(BASE))])
-    listed = lambda labels: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))), ",")
-    best = F.greatest(*[F.when(F.round(f"t{n}", 9) >= LEAST_SUPPORT, F.col(f"t{n}")) for n in range(len(TEMPLATES))])
-    return df.select(
-        "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"),
-        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
-        listed(bases).alias("base_labels"), listed(bases + found).alias("labels"),
-        F.when(F.size(starts) > 0, 1.0).otherwise(F.round(F.least(F.coalesce(best, F.lit(0.0)), F.lit(1.0)), 4)).alias("score"),
+    listed = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return based.select("row", "doc_id", "n_words", starts.alias("starts"), labels.alias("base")).join(found, "row", "left").select(
+        "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),
+        listed(F.col("base")).alias("base_labels"),
+        listed(F.concat("base", F.coalesce("found", F.array().cast("array<string>")))).alias("labels"),
+        F.when(F.size("starts") > 0, 1.0).otherwise(F.round(F.least(F.coalesce("best", F.lit(0.0)), F.lit(1.0)), 4)).alias("score"),
     )
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 
 import numpy as np
 import pytest
@@ -333,6 +334,64 @@ def test_license_places(spark):
     assert licenses.scanned(docs.limit(0)).count() == 0
 
 
+def plain_licenses(rows):
+    """Labels and score of each text by trying every template at every start."""
+    words = {i: [w for w in re.split("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", text.lower()) if w] for i, text in rows}
+    counts = collections.Counter(w for found in words.values() for w in set(found))
+    out = {}
+    for i, found in words.items():
+        best, labels = 0.0, set()
+        for label, wording, key in licenses.TEMPLATES:
+            wording, keys = wording.split(), key.split()
+            weight = [np.log((len(rows) + 1) / (counts[w] + 0.5)) for w in wording]
+            at = next(j for j in range(len(wording)) if wording[j : j + len(keys)] == keys)
+            for start in range(-len(wording), len(found)):
+                fits = [0 <= start + j < len(found) and found[start + j] == w for j, w in enumerate(wording)]
+                share = sum(w for w, fit in zip(weight, fits) if fit) / sum(weight)
+                if all(fits[at : at + len(keys)]) and round(share, 9) >= licenses.LEAST_SUPPORT:
+                    best = max(best, share)
+                    labels.add(label)
+        out[i] = (labels, best)
+    return out
+
+
+def test_license_index_equals_every_start_tried(spark, monkeypatch):
+    rng = random.Random(8)
+    common = sorted({w for _, wording, _ in licenses.TEMPLATES for w in wording.split()}) + ["plain", "words", "here"]
+    rows = []
+    for n, (_, wording, _) in enumerate(licenses.TEMPLATES):
+        for changes in (0, 1, 4):
+            words = wording.split()
+            for _ in range(changes):
+                words[rng.randrange(len(words))] = rng.choice(common)
+            around = [[rng.choice(common) for _ in range(rng.randint(0, 60))] for _ in range(2)]
+            rows.append((10 * n + changes, ", ".join(around[0] + words + around[1]).title()))
+        rows.append((10 * n + 7, " ".join(wording.split()[: len(wording.split()) // 2])))
+    rows += [(900, " ".join(rng.choice(common) for _ in range(9000)) + " " + licenses.TEMPLATES[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_licenses(rows)
+    assert len(set().union(*(labels for labels, _ in want.values()))) == len({label for label, _, _ in licenses.TEMPLATES})
+    for size in (licenses.PLACES_PER_BLOCK, 16):
+        monkeypatch.setattr(licenses, "PLACES_PER_BLOCK", size)
+        got = {r.doc_id: r for r in licenses.scanned(docs).collect()}
+        for i, (labels, best) in want.items():
+            assert set(filter(None, got[i].labels.split(","))) == labels | set(filter(None, got[i].base_labels.split(","))), i
+            if not got[i].n_base:
+                assert got[i].score == pytest.approx(min(best, 1.0), abs=1e-4), i
+
+
+def test_license_plan_does_not_grow_with_templates(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    placed = licenses.with_places(docs).selectExpr("1L AS row", "places")
+    weight = [1.0] * len(licenses.VOCABULARY)
+
+    def lines_of_plan(templates):
+        found = licenses.looked_up(placed, licenses.postings(spark, weight, templates), {0, 1})
+        return found._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    assert lines_of_plan(licenses.TEMPLATES[:1]) == lines_of_plan(licenses.TEMPLATES)
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = [[float(x) for x in rng.normal(size=8).round(2)] for _ in range(400)]
