@@ -27,6 +27,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 
@@ -160,7 +161,9 @@ def postings(spark: SparkSession, weight: list[float], templates=TEMPLATES) -> D
         total = sum(weight[k] for k in numbers)
         shares = [weight[k] / total for k in numbers]
         rows += [(k, j, label, numbers, shares, at_key, at_key + len(keys)) for k, j in rarest(wording, weight)]
-    return spark.createDataFrame(rows, "k int, j int, label string, words array<int>, shares array<double>, key_from int, key_to int")
+    names = ("k", "j", "label", "words", "shares", "key_from", "key_to")
+    kind = "array<struct<k:int,j:int,label:string,words:array<int>,shares:array<double>,key_from:int,key_to:int>>"
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(json.dumps([dict(zip(names, row)) for row in rows])), kind)))
 
 
 def looked_up(placed: DataFrame, index: DataFrame, indexed: set[int]) -> DataFrame:
