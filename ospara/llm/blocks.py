@@ -6,8 +6,11 @@ the corpus is evaluated once, by the one task that owns its bucket, and the
 answers return to the block, where codes place them. A word that occurs in
 every document still makes one entry per block.
 
-``word_lists`` and ``coded`` fold the same blocks, in the same order, from the
-same input splits; both can be computed again after the loss of an executor.
+``folded`` folds every text once and writes codes and words of the blocks;
+``word_lists`` and ``coded`` without it fold twice and write nothing, which asks
+for texts that come in the same order each time, as those of a scan do. A block
+is named by its words, so that an order that changes is an error, never a wrong
+answer.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ospara.llm.graph import written
 from ospara.llm.texts import raw, slices, task_number
 
 #: Bytes of text per block; a longer text is a block of its own.
@@ -56,7 +60,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], fold: Fold, block_bytes: int) ->
     for ordinal, batch in enumerate(slices(batches, "text", block_bytes)):
         words = _Words()
         texts = raw(batch.column("text"))
-        yield first + ordinal, batch.column("doc_id"), texts, words, fold(texts, words.__getitem__)
+        codes = fold(texts, words.__getitem__)
+        name = xxhash.xxh3_64_intdigest(b"\0".join(words), seed=first + ordinal) - (1 << 63)
+        yield name, batch.column("doc_id"), texts, words, codes
 
 
 def _buckets(words: list[bytes], buckets: int) -> np.ndarray:
@@ -69,50 +75,68 @@ def bucket_count(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def word_lists(docs: DataFrame, fold: Fold, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(bucket, block, words): the block's distinct words of the bucket.
+LISTS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary())])
+CODES = pa.schema([("block", pa.int64()), ("n_words", pa.int64()), ("buckets", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+                   ("n_bytes", pa.list_(pa.int64())), ("n_codes", pa.list_(pa.int64())), ("codes", pa.binary())])
+LISTS_SQL = "bucket long, block long, words binary, lengths binary"
+CODES_SQL = "block long, n_words long, buckets binary, doc_ids array<long>, n_bytes array<long>, n_codes array<long>, codes binary"
 
-    Words come as bytes, one after the other, with their lengths.
-    """
+
+def _lists(block: int, words: _Words, buckets: int) -> dict[str, pa.Array]:
+    names = list(words)
+    of = _buckets(names, buckets)
+    order = np.argsort(of, kind="stable")
+    found, starts = np.unique(of[order], return_index=True)
+    parts = np.split(order, starts[1:]) if names else []
+    return {
+        "bucket": pa.array(found, pa.int64()),
+        "block": pa.array([block] * len(found), pa.int64()),
+        "words": pa.array([b"".join(names[i] for i in p) for p in parts], pa.binary()),
+        "lengths": pa.array([np.fromiter((len(names[i]) for i in p), "<u4", len(p)).tobytes() for p in parts], pa.binary()),
+    }
+
+
+def _codes(block: int, doc_ids: pa.Array, texts: list[bytes], words: _Words, folded: list[np.ndarray], buckets: int) -> dict[str, pa.Array]:
+    row = (block, len(words), squeeze(_buckets(list(words), buckets)), doc_ids.to_pylist(), [len(t) for t in texts],
+           [len(c) for c in folded], squeeze(np.concatenate(folded).astype(np.uint32)))
+    return {f.name: pa.array([v], f.type) for f, v in zip(CODES, row)}
+
+
+def word_lists(docs: DataFrame, fold: Fold, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(bucket, block, words, lengths): the block's distinct words of the bucket, as bytes one after the other."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, _, words, _ in _blocks(batches, fold, block_bytes):
-            if not words:
-                continue
-            names = list(words)
-            of = _buckets(names, buckets)
-            order = np.argsort(of, kind="stable")
-            found, starts = np.unique(of[order], return_index=True)
-            parts = np.split(order, starts[1:])
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array(found, pa.int64()),
-                "block": pa.array([block] * len(found), pa.int64()),
-                "words": pa.array([b"".join(names[i] for i in p) for p in parts], pa.binary()),
-                "lengths": pa.array([np.fromiter((len(names[i]) for i in p), "<u4", len(p)).tobytes() for p in parts],
-                                    pa.binary()),
-            })
+            yield pa.RecordBatch.from_pydict(_lists(block, words, buckets), LISTS)
 
-    return _texts(docs).mapInArrow(lists, "bucket long, block long, words binary, lengths binary")
+    return _texts(docs).mapInArrow(lists, LISTS_SQL)
 
 
 def coded(docs: DataFrame, fold: Fold, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per block: its documents as codes, and the bucket of each code's word."""
-    schema = "block long, n_words long, buckets binary, doc_ids array<long>, n_bytes array<long>, n_codes array<long>, codes binary"
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, doc_ids, texts, words, folded in _blocks(batches, fold, block_bytes):
-            flat = np.concatenate(folded).astype(np.uint32)
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array([block], pa.int64()),
-                "n_words": pa.array([len(words)], pa.int64()),
-                "buckets": pa.array([squeeze(_buckets(list(words), buckets))], pa.binary()),
-                "doc_ids": pa.array([doc_ids.to_pylist()], pa.list_(pa.int64())),
-                "n_bytes": pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-                "n_codes": pa.array([[len(c) for c in folded]], pa.list_(pa.int64())),
-                "codes": pa.array([squeeze(flat)], pa.binary()),
-            })
+        for found in _blocks(batches, fold, block_bytes):
+            yield pa.RecordBatch.from_pydict(_codes(*found, buckets), CODES)
+
+    return _texts(docs).mapInArrow(codes, CODES_SQL)
+
+
+def folded(docs: DataFrame, fold: Fold, buckets: int, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``word_lists`` and ``coded`` from one fold, which is written to the shared folder.
+
+    The lists of a block are rows of their own, so that no row holds a whole block twice.
+    """
+    both = pa.unify_schemas([LISTS, CODES])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _blocks(batches, fold, block_bytes):
+            for part in (_lists(found[0], found[3], buckets), _codes(*found, buckets)):
+                n = len(part["block"])
+                yield pa.RecordBatch.from_arrays([part.get(f.name, pa.nulls(n, f.type)) for f in both], schema=both)
 
-    return _texts(docs).mapInArrow(codes, schema)
+    held, _ = written(_texts(docs).mapInArrow(rows, LISTS_SQL + CODES_SQL.removeprefix("block long")), "blocks")
+    return (held.filter("bucket IS NOT NULL").select(LISTS.names), held.filter("bucket IS NULL").select(CODES.names))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -181,6 +205,8 @@ def place(
                 counts.append(unsqueeze(found["counts"][i], found["n_words"][i]))
                 values.append(unsqueeze(found["values"][i], found["n_values"][i]))
         in_order = np.concatenate([np.zeros(0, np.int64), *counts]).astype(np.int64)
+        if any(row != len(in_order) for row in block.column("n_words").to_pylist()):
+            raise RuntimeError("the texts came in another order the second time; fold them once")
         flat = np.concatenate([np.zeros(0, np.uint32), *values]).astype(np.int64)
         for row in block.to_pylist():
             n = row["n_words"]

@@ -126,9 +126,8 @@ def count_tokens(docs: DataFrame, tokenizer: str | None = None, block_bytes: int
         totals = sums[ends] - sums[ends - sizes // 2]
         return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in (doc_ids, n_bytes, totals)], schema=ARROW)
 
-    lists = blocks.word_lists(docs, fold_pre_tokens, buckets, block_bytes)
-    answers = blocks.answer(lists, counts_of)
-    return blocks.place(blocks.coded(docs, fold_pre_tokens, buckets, block_bytes), answers, finish, SCHEMA, ARROW)
+    lists, codes = blocks.folded(docs, fold_pre_tokens, buckets, block_bytes)
+    return blocks.place(codes, blocks.answer(lists, counts_of), finish, SCHEMA, ARROW)
 
 
 def over_limit(counted: DataFrame, limit: int = LIMIT) -> DataFrame:

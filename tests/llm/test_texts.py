@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from ospara.llm import binary, bpe, counts, packing
+from ospara.llm import binary, blocks, bpe, counts, packing
 from ospara.llm.vocabularies import default_path, encoder
 
 SCHEMA = "doc_id long, text string, block long, bin string, ids string"
@@ -141,3 +141,20 @@ def test_empty_tables(docs):
     assert counts.count_tokens(none).count() == 0
     assert packing.pack_pieces(none).count() == 0
     assert binary.packed(none).count() == 0
+
+
+def test_changed_order_is_an_error(spark):
+    rows = [(i, f"w{i} w{i + 1}") for i in range(40)]
+    one, other = (spark.createDataFrame(r, "doc_id long, text string").coalesce(1) for r in (rows, rows[::-1]))
+    lists = blocks.word_lists(one, bpe.fold_words, 4, 64)
+    codes = blocks.coded(other, bpe.fold_words, 4, 64)
+    placed = blocks.place(codes, blocks.answer(lists, lambda words: [(1,)] * len(words)), None, counts.SCHEMA, counts.ARROW)
+    with pytest.raises(Exception, match="another order"):
+        placed.collect()
+
+
+def test_one_fold_gives_both_sides(spark):
+    docs = spark.createDataFrame([(i, f"w{i % 3} x") for i in range(9)], "doc_id long, text string").coalesce(1)
+    lists, codes = blocks.folded(docs, bpe.fold_words, 4, 16)
+    assert sorted(map(tuple, lists.collect())) == sorted(map(tuple, blocks.word_lists(docs, bpe.fold_words, 4, 16).collect()))
+    assert sorted(map(tuple, codes.collect())) == sorted(map(tuple, blocks.coded(docs, bpe.fold_words, 4, 16).collect()))
