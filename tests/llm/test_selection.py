@@ -399,7 +399,7 @@ def test_top_k_equals_brute_force(spark):
     rows = list(enumerate(vectors)) + [(None, [1.0] * 8)]
     df = spark.createDataFrame([(i, v, "m") for i, v in rows], "vec_id long, embedding array<float>, v string")
     held = topk.quantised(df)
-    got = topk.exact_top_k(held, held.filter("id % 50 = 0"), 10, rows_per_block=64, queries_per_block=3)
+    got = topk.exact_top_k(held, held.filter("id % 50 = 0"), 10, rows_per_block=64, queries_per_block=3).drop("lists_read")
     clean = {r.id: list(r.v) for r in held.collect()}
     assert set(clean) == {i for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
     want = []
@@ -410,9 +410,29 @@ def test_top_k_equals_brute_force(spark):
     assert topk.exact_top_k(held.limit(0), held.limit(0)).count() == 0
 
 
+def test_large_integers_keep_bounds_and_order():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(2**38, 2**39, size=(500, 4))
+    rows[:3] += 2**41
+    rows[3] = rows[1]
+    queries = rng.integers(1, 2**16, size=(5, 4)) * np.array([1, -1, 1, 1])
+    ids = np.arange(500)
+    for q, found, scores, read in topk.best(ids, rows, ids[:5], queries, 6):
+        want = sorted((-sum(int(a) * int(b) for a, b in zip(row, queries[q])), i) for i, row in enumerate(rows) if i != q)[:6]
+        assert list(zip((-scores).tolist(), found.tolist())) == want
+
+
+def test_lists_are_left_early_where_scores_differ():
+    rng = np.random.default_rng(6)
+    rows = np.floor(rng.pareto(1.2, size=(4000, 3)) * 100).astype(np.int64)
+    ids = np.arange(len(rows))
+    found = list(topk.best(ids, rows, np.arange(20) + 10**6, rng.integers(1, 9, size=(20, 3)), 5))
+    assert len(found) == 20 and max(read for *_, read in found) < 0.2
+
+
 def test_large_components_stay_exact():
     rows = np.array([[2**40, 1], [2**40, 2]], np.int64)
-    (q, ids, scores), = topk.best(np.array([1, 2]), rows, np.array([9]), np.array([[2**20, 3]], np.int64), 1)
+    (q, ids, scores, _), = topk.best(np.array([1, 2]), rows, np.array([9]), np.array([[2**20, 3]], np.int64), 1)
     assert ids.tolist() == [2] and scores.tolist() == [2**60 + 6]
     with pytest.raises(OverflowError):
         list(topk.best(np.array([1]), rows[:1], np.array([9]), np.array([[2**40, 0]], np.int64), 1))
