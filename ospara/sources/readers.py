@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,9 @@ CONTENT_TYPES = {
     "txt": "text", "md": "text", "csv": "csv", "json": "json", "html": "html", "htm": "html", "parquet": "parquet",
 }
 
+#: Longest Parquet file that may be a footer without rows.
+FOOTER_BYTES = 1 << 20
+
 
 def parquet(spark: SparkSession, source: str, **options: Any) -> DataFrame:
     return spark.read.options(**options).parquet(source)
@@ -106,6 +111,31 @@ def directory(spark: SparkSession, source: str, known_only: bool = True, **optio
     return found.filter("content_type IS NOT NULL") if known_only else found
 
 
+def without_rows(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Those of the files that gave no row which can be read and hold none.
+
+    A Parquet file says so in its footer; longer files than ``FOOTER_BYTES`` hold more than a footer.
+    """
+    if not paths:
+        return set()
+
+    @F.arrow_udf("boolean")
+    def no_rows(content: pa.Array) -> pa.Array:
+        found = []
+        for file in content:
+            try:
+                found.append(file.is_valid and pq.read_metadata(pa.BufferReader(file.as_buffer())).num_rows == 0)
+            except (pa.ArrowException, OSError):
+                found.append(False)
+        return pa.array(found, pa.bool_())
+
+    escaped = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(escaped).filter(F.col("length") <= FOOTER_BYTES)
+    marked = F.when(F.substring("content", -4, 4) == F.lit(b"PAR1"), F.col("content"))
+    table = F.lower("path").endswith(".parquet")
+    return {r[0] for r in files.select("path", (~table | no_rows(marked)).alias("empty")).filter("empty").select("path").collect()}
+
+
 def name_pattern(kind: str) -> str:
     """Glob of the file names of a content type, in either case."""
     either = ["".join(f"[{c}{c.upper()}]" for c in e) for e, k in CONTENT_TYPES.items() if k == kind]

@@ -98,14 +98,15 @@ def ingest_directory(spark: SparkSession, source: str, **options: Any) -> DataFr
 
     A text or HTML file is one row; files of records give their rows as JSON,
     and share one schema per type. What could not be read is a row, too, with
-    the reason in ``error``: files of an unknown type, files that gave no row,
-    and malformed JSON records. Files without a byte hold nothing and give none. Plugins and registered
-    loaders are asked for their type as in ``ingest``.
+    the reason in ``error``: files of an unknown type, files that should have given a row
+    and did not, and malformed JSON records. Files without a byte hold nothing and give none, as do
+    tables that were read and have no rows. Plugins and registered loaders are asked for
+    their type as in ``ingest``.
     """
     listed = readers.directory(spark, source, known_only=False).select(
-        F.col("_metadata.file_path").alias("path"), "content_type")
+        F.col("_metadata.file_path").alias("path"), "content_type", F.col("path").alias("place"))
     none = F.lit(None).cast("string")
-    parts = []
+    parts, loaded = [], set()
     for kind in sorted(r[0] for r in listed.select("content_type").distinct().collect() if r[0]):
         reading = {"recursiveFileLookup": True, "pathGlobFilter": readers.name_pattern(kind), "ignoreCorruptFiles": True, **options}
         if kind == "parquet":
@@ -118,6 +119,7 @@ def ingest_directory(spark: SparkSession, source: str, **options: Any) -> DataFr
         if rows.columns == ["content", "chunk_id"]:
             parts.append(rows.select(F.col("chunk_id").alias("path"), F.lit(kind).alias("content_type"), "content", none.alias("error")))
             continue
+        loaded.add(kind)
         broken = F.col("_corrupt_record") if "_corrupt_record" in rows.columns else none
         content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "_corrupt_record"]))
         parts.append(rows.select(
@@ -125,9 +127,12 @@ def ingest_directory(spark: SparkSession, source: str, **options: Any) -> DataFr
             F.when(broken.isNotNull(), F.lit("malformed record")).alias("error")))
     shape = "path string, content_type string, content string, error string"
     read = functools.reduce(DataFrame.unionByName, parts, spark.createDataFrame([], shape))
-    silent = listed.join(read.select("path").distinct(), "path", "left_anti")
-    reason = F.when(F.col("content_type").isNull(), "unknown type").otherwise("unreadable")
-    return read.unionByName(silent.select("path", "content_type", none.alias("content"), reason.alias("error")))
+    # The driver's file index holds the paths of all files; those without a row are fewer.
+    silent = listed.join(read.select("path").distinct(), "path", "left_anti").collect()
+    empty = readers.without_rows(spark, [r.place for r in silent if r.content_type in loaded])
+    left = [(r.path, r.content_type, None, "unreadable" if r.content_type else "unknown type")
+            for r in silent if r.place not in empty]
+    return read.unionByName(spark.createDataFrame(left, shape))
 
 
 def ingest_many(spark: SparkSession, sources: Sequence[DataSource]) -> DataFrame:

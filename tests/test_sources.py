@@ -107,6 +107,19 @@ def test_directory_contents_and_what_cannot_be_read(spark, tmp_path):
     assert sorted(r.content or r.error for r in found) == sorted(["unreadable", '{"id":0}', '{"id":1}', '{"id":2}'])
 
 
+def test_tables_without_rows_are_not_unreadable(spark, tmp_path):
+    none = spark.range(0).coalesce(1)
+    none.write.parquet(str(tmp_path / "no [r]ows, {1}"))
+    none.write.option("header", True).csv(str(tmp_path / "none"))
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "two"))
+    (tmp_path / "head.csv").write_text("x,y\n")
+    (tmp_path / "cut.parquet").write_bytes(b"PAR1 cut PAR1")
+    rows = registry.ingest_directory(spark, str(tmp_path)).collect()
+    assert sorted((r.content, r.path.rpartition("/")[2] if r.error else None, r.error) for r in rows if r.content) == [
+        ('{"id":0}', None, None), ('{"id":1}', None, None)]
+    assert [(r.path.rpartition("/")[2], r.error) for r in rows if not r.content] == [("cut.parquet", "unreadable")]
+
+
 def test_plugins_take_their_kind(spark):
     class Numbers:
         def can_handle(self, kind, source):
