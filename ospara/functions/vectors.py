@@ -59,6 +59,8 @@ def distance_matrix(x: np.ndarray, m: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Scores of one block of rows and queries.
+BLOCK_PAIRS = 1 << 22
 METRICS = {"cosine": cosine_matrix, "euclidean": distance_matrix}
 
 
@@ -152,29 +154,27 @@ def nearest(
     qids = np.array(query_ids, dtype=np.int64)
 
     def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = [np.empty(0, dtype=np.int64) for _ in qids]
-        best = [np.empty(0) for _ in qids]
+        best = np.full(len(qids), np.inf)
+        kept = [np.empty(0, t) for t in (np.int64, np.int64, float)]
+        size = max(k, BLOCK_PAIRS // max(1, len(qids)))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            batch_ids = np.asarray(batch.column(0), dtype=np.int64)
-            score = measure(batch_matrix(batch.column(1), dims), queries)
-            score = np.where(np.isnan(score), np.inf, -score if best_first else score)
-            near = np.partition(score, min(k, len(score)) - 1, axis=0)[min(k, len(score)) - 1]
-            for q in range(len(qids)):
-                worst = min(near[q], best[q][-1]) if len(best[q]) == k else near[q]
-                rows = np.flatnonzero((score[:, q] <= worst) & np.isfinite(score[:, q]))
-                values = np.concatenate([best[q], score[rows, q]])
-                names = np.concatenate([ids[q], batch_ids[rows]])
-                order = np.lexsort((names, values))[:k]
-                best[q], ids[q] = values[order], names[order]
-        values = np.concatenate(best)
+            for at in range(0, batch.num_rows, size):
+                rows = batch.slice(at, size)
+                score = measure(batch_matrix(rows.column(1), dims), queries).T
+                score = np.where(np.isnan(score), np.inf, -score if best_first else score)
+                near = np.partition(score, min(k, rows.num_rows) - 1, axis=1)[:, min(k, rows.num_rows) - 1]
+                limit = np.minimum(near, best) if rows.num_rows >= k else best
+                q, r = np.nonzero((score <= limit[:, None]) & np.isfinite(score))
+                found = (q, np.asarray(rows.column(0), dtype=np.int64)[r], score[q, r])
+                kept = [np.concatenate(both) for both in zip(kept, found)]
+                order = np.lexsort((kept[1], kept[2], kept[0]))
+                asked, first, many = np.unique(kept[0][order], return_index=True, return_counts=True)
+                place = np.arange(len(order)) - np.repeat(first, many)
+                full = many >= k
+                best[asked[full]] = kept[2][order[first[full] + k - 1]]
+                kept = [column[order[place < k]] for column in kept]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(qids, [len(b) for b in best])),
-                pa.array(np.concatenate(ids)),
-                pa.array(-values if best_first else values),
-            ],
+            [pa.array(qids[kept[0]]), pa.array(kept[1]), pa.array(-kept[2] if best_first else kept[2])],
             names=["query_id", id_col, "score"],
         )
 

@@ -17,6 +17,7 @@ from ospara.operators import clustering
 from ospara.operators.access import visible_rows
 from ospara.operators.filters import metadata_filter
 from ospara.scale import top_k
+from ospara.session import materialize
 
 
 def recall_at_k(found: DataFrame, truth: DataFrame, id_col: str, k: int) -> DataFrame:
@@ -151,7 +152,9 @@ class CellIndex:
         names = np.array(query_ids, np.int64)
 
         def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, low, high, home = ([np.empty(0, t) for _ in names] for t in (np.int64, float, float, np.int32))
+            # least: a score that k rows of the cells read surely reach, by query.
+            least = np.full(len(names), -np.inf)
+            kept = [np.empty(0, t) for t in (np.int32, np.int64, np.int32, float, float)]
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -159,36 +162,51 @@ class CellIndex:
                 for cell in np.unique(every):
                     part = batch.filter(pa.array(every == cell))
                     asking = np.flatnonzero(place[:, cell] < len(centers))
-                    whole = np.frombuffer(b"".join(part.column("code").to_pylist()), np.int8).reshape(-1, dims).astype(float)
+                    whole = np.frombuffer(b"".join(part.column("code").to_pylist()), np.int8).reshape(-1, dims)
                     step, own = np.asarray(part.column("step")), np.asarray(part.column("id"))
-                    score = unit[asking] @ centers[cell] + (unit[asking] @ whole.T * step).T
-                    error = step[:, None] * weight[asking] + 1e-9
-                    cells = np.array(part.column("cells").to_pylist())
-                    for n, q in enumerate(asking):
-                        once = place[q][cells].min(axis=1) == place[q, cell]
-                        ids[q] = np.concatenate([ids[q], own[once]])
-                        low[q] = np.concatenate([low[q], (score - error)[once, n]])
-                        high[q] = np.concatenate([high[q], (score + error)[once, n]])
-                        home[q] = np.concatenate([home[q], cells[once, 0].astype(np.int32)])
-                        if len(low[q]) > k:
-                            left = high[q] >= np.partition(low[q], len(low[q]) - k)[len(low[q]) - k]
-                            ids[q], low[q], high[q], home[q] = ids[q][left], low[q][left], high[q][left], home[q][left]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.arange(len(names)), [len(i) for i in ids]), pa.int32()), pa.array(np.concatenate(ids)),
-                 pa.array(np.concatenate(home))], names=["q", "id", "home"])
+                    cells = np.asarray(part.column("cells").flatten()).reshape(len(own), -1)
+                    base, size = unit[asking] @ centers[cell], max(k, vectors.BLOCK_PAIRS // max(1, len(asking)))
+                    for at in range(0, len(own), size):
+                        rows = slice(at, at + size)
+                        score = base[:, None] + unit[asking] @ whole[rows].astype(float).T * step[rows]
+                        error = weight[asking][:, None] * step[rows] + 1e-9
+                        if score.shape[1] >= k:
+                            low = np.partition(score - error, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+                            least[asking] = np.maximum(least[asking], low)
+                        n, r = np.nonzero(score + error >= least[asking][:, None])
+                        q, there = asking[n], cells[rows][r]
+                        once = place[q[:, None], there].min(axis=1) == place[q, cell]
+                        n, r, q = n[once], r[once], q[once]
+                        found = (q.astype(np.int32), own[rows][r], there[once, 0].astype(np.int32),
+                                 (score - error)[n, r], (score + error)[n, r])
+                        kept = [np.concatenate(both) for both in zip(kept, found)]
+                if len(kept[0]) >= k:
+                    order = np.lexsort((-kept[3], kept[0]))
+                    asked, first = np.unique(kept[0][order], return_index=True)
+                    full = np.diff(np.append(first, len(order))) >= k
+                    asked, first = asked[full], first[full]
+                    least[asked] = np.maximum(least[asked], kept[3][order[first + k - 1]])
+                left = kept[4] >= least[kept[0]]
+                kept = [column[left] for column in kept]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in kept], names=["q", "id", "home", "low", "high"])
 
         codes = self.spark.read.parquet(f"{self.path}/codes").filter(F.col("cell").isin(np.unique(order).tolist()))
-        few = codes.mapInArrow(rank, "q int, id long, home int")
+        near = materialize(codes.mapInArrow(rank, "q int, id long, home int, low double, high double"), "near")
+        least = top_k(near.select("q", "id", "low"), ["q"], [F.desc("low")], k).filter(F.col("rank") == k).select("q", F.col("low").alias("least"))
+        few = near.join(least, "q", "left").filter("least IS NULL OR high >= least").select("q", "id", "home")
 
         @F.arrow_udf("double")
         def exact(q: pa.Array, v: pa.Array) -> pa.Array:
             rows = vectors.unit_rows(vectors.batch_matrix(v, dims))
             return pa.array((rows * unit[np.asarray(q)]).sum(axis=1))
 
+        @F.arrow_udf("long")
+        def name(q: pa.Array) -> pa.Array:
+            return pa.array(names[np.asarray(q)])
+
         stored = self.spark.read.parquet(f"{self.path}/vectors").select("home", "id", "v")
         scored = few.join(stored, ["home", "id"]).select(
-            F.element_at(F.array(*[F.lit(int(n)) for n in names]), F.col("q") + 1).alias("query_id"),
-            F.col("id").alias(self.id_col), exact("q", "v").alias("score"))
+            name("q").alias("query_id"), F.col("id").alias(self.id_col), exact("q", "v").alias("score"))
         return top_k(scored, ["query_id"], [F.desc("score"), F.asc(self.id_col)], k)
 
 

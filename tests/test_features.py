@@ -1,6 +1,7 @@
 """Features, clusters, models and statistics against brute force."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -114,6 +115,28 @@ def test_index_copies_codes_and_bad_rows(spark):
     assert part[0] < part[1] and part[1] > 0.7
 
 
+def test_searches_with_many_queries(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(12000, 8))
+    x[7000:7040] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").repartition(3)
+    asked = np.arange(0, len(x), 4)
+    index = search.CellIndex.build(df, "id", "v", fresh_path(spark, "many"), cells=8, copies=2)
+    start = time.monotonic()
+    found = index.search(asked.tolist(), x[asked], 5, probes=8).collect()
+    took = time.monotonic() - start
+    exact = vectors.nearest(df, "id", "v", asked.tolist(), x[asked], 5).collect()
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    truth = np.sort(unit[asked] @ unit.T, axis=1)[:, :-6:-1]
+    for rows in (found, exact):
+        scores = np.zeros(truth.shape)
+        for r in rows:
+            scores[r.query_id // 4, r["rank"] - 1] = r.score
+        assert len(rows) == truth.size and np.allclose(scores, truth, atol=1e-9)
+        assert len({(r.query_id, r.id) for r in rows}) == len(rows)
+    assert took < 12
+
+
 def test_rule_matches(points):
     names, m = vectors.small_matrix(vectors.group_means(points, "label", "v"), "label", "center")
     hits = joins.rule_matches(points, "id", "v", names, m, 0.9)
