@@ -119,9 +119,10 @@ def nearest_class(df: DataFrame, columns: Sequence[str], level: str) -> Column:
     One aggregate gives a mean per class and column, as few figures as there
     are classes; ties, to nine places, go to the smaller class.
     """
-    sums = [F.avg(c).alias(c) for c in columns]
-    means = df.groupBy(level).agg(*sums).orderBy(level).collect()
-    widths = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
+    figures = [f for c in columns for f in (F.avg(c).alias(c), F.stddev_pop(c).alias(f"_w_{c}"))]
+    found = df.rollup(level).agg(*figures, F.grouping(level).alias("_all")).orderBy(level).collect()
+    means = [r for r in found if not r["_all"]]
+    widths = next(({c: r[f"_w_{c}"] for c in columns} for r in found if r["_all"]), {})
     cases = []
     for row in means:
         gaps = [(F.col(c) - F.lit(row[c])) / F.lit(widths[c] or 1.0) for c in columns]

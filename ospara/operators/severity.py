@@ -6,7 +6,7 @@ import hashlib
 import json
 import math
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ospara.functions import rules, vectors
 from ospara.functions.text import matched_keywords
-from ospara.sources import sinks
+from ospara.scale import broadcast_if_small
+from ospara.session import materialize
 
 # Size of a text's word vector.
 WORD_BUCKETS = 256
@@ -146,9 +147,18 @@ def with_matches(
 
 def with_text_matches(df: DataFrame, text: str, names: Sequence[str], threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
     """Add ``matches`` of a text column with the patterns; each distinct text is scored once."""
+    return once_per_text(df, text, lambda d: with_matches(d, None, names, None, threshold, text_scores(names)(F.col("_text"))))
+
+
+def once_per_text(df: DataFrame, text: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The table with the columns that ``work`` adds to a column ``_text`` of its distinct texts; a NULL text is empty.
+
+    The distinct texts are written, and few of them are broadcast: a text that
+    many rows share would else send these to one task.
+    """
     named = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    distinct = with_matches(named.select("_text").distinct(), None, names, None, threshold, text_scores(names)(F.col("_text")))
-    return named.join(distinct, "_text").drop("_text")
+    distinct = materialize(work(named.select("_text").distinct()), "texts")
+    return named.join(broadcast_if_small(distinct), "_text").drop("_text")
 
 
 def score(
@@ -209,7 +219,8 @@ def score_new(
     rows = scored.select(
         key, F.col("severity_level").alias("severity_id"), "bert_score", "rule_score", "combined_score", "matched_pattern",
         words.alias("matched_keywords"), rules.environment_name(F.col(environment)).alias("environment"))
-    return sinks.upsert(mappings, rows, [key])
+    # Keys come from the records: scored rows would be made a second time for them.
+    return mappings.join(new.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
 def match_features(

@@ -14,7 +14,7 @@ from ospara.plans.bindings import incidents, readings
 from ospara.plans.combining import rule_case
 from ospara.plans.kmeans_sql import kmeans_sql
 from ospara.plans.scalars import TEXT_FIELDS_SQL, WEIGHTS
-from ospara.session import fresh_path
+from ospara.session import fresh_path, materialize
 
 GAP_COLUMNS = ["quantity", "discount", "tax"]
 GAP_SQL = """
@@ -584,9 +584,10 @@ LITERAL = " ".join(f"WHEN contains(lower(analysis), '{p}') THEN '{p}'" for _, p
           coalesce(literal, soft_rule, '') AS rule_match FROM found""",
 )
 def similarity_tier(t: Tables):
-    records = incidents(t).select("event_id", jsonfields.analysis_text("payload").alias("analysis"))
-    scores = severity.text_scores([p for _, p in TIER_PATTERNS])(F.col("analysis"))
-    out = severity.tiered(records, "analysis", patterns=TIER_PATTERNS, scores=scores)
+    records = materialize(incidents(t).select("event_id", jsonfields.analysis_text("payload").alias("analysis")), "records")
+    scores = severity.text_scores([p for _, p in TIER_PATTERNS])(F.col("_text"))
+    out = severity.once_per_text(
+        records, "analysis", lambda d: severity.tiered(d, "_text", patterns=TIER_PATTERNS, scores=scores))
     return out.select("event_id", "severity", rnd("confidence", 6).alias("confidence"),
                       F.coalesce("rule_match", F.lit("")).alias("rule_match"))
 
@@ -596,8 +597,8 @@ RULE_ROWS = ", ".join(f"('{r[0]}', {r[2]}::DOUBLE, {n})" for n, r in enumerate(s
 
 def severity_scores(t: Tables):
     """All incident records, their analysis text scored by the severity rules."""
-    records = incidents(t).select(
-        "event_id", jsonfields.analysis_text("payload").alias("analysis"), jsonfields.environment("payload").alias("raw_env"))
+    records = materialize(incidents(t).select(
+        "event_id", jsonfields.analysis_text("payload").alias("analysis"), jsonfields.environment("payload").alias("raw_env")), "records")
     base = {r[0]: float(r[2]) for r in severity.SEVERITY_RULES}
     matched = severity.with_text_matches(records, "analysis", list(base), SEVERITY_THRESHOLD)
     out = severity.score(matched, base, rules.environment_factor(F.col("raw_env")))
@@ -660,9 +661,9 @@ def learned_job(t: Tables):
     Every third record was processed before; earlier mappings are those of even
     ids, of which the new records' are replaced.
     """
-    records = incidents(t).select(
+    records = materialize(incidents(t).select(
         "event_id", jsonfields.analysis_text("payload").alias("analysis"), jsonfields.environment("payload").alias("raw_env"),
-        F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-01")).alias("processed_at"))
+        F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-01")).alias("processed_at")), "records")
     earlier = t.events.filter("event_id % 2 = 0").select(
         "event_id", F.lit("S0").alias("severity_id"), *[F.lit(0.0).alias(c) for c in ("bert_score", "rule_score", "combined_score")],
         F.lit("earlier").alias("matched_pattern"), F.array().cast("array<string>").alias("matched_keywords"), F.lit("unknown").alias("environment"))

@@ -185,6 +185,24 @@ def test_text_scores_equal_plain_cosines(spark):
             assert value == pytest.approx(sum(a[k] * b[k] for k in a) / norm if norm else 0.0, abs=1e-9)
 
 
+def test_each_text_is_worked_on_once(spark):
+    rows = [(i, ["memory leak", None, "", "routine"][i % 4]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, t string").repartition(7)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    out = severity.once_per_text(df, "t", lambda d: d.mapInArrow(count, d.schema).withColumn("n", F.length("_text")))
+    got = out.collect()
+    assert sorted((r.id, r.t) for r in got) == rows and all(r.n == len(r.t or "") for r in got)
+    assert seen.value == 3
+    gone = df.filter("id < 0")
+    assert severity.once_per_text(gone, "t", lambda d: d.withColumn("n", F.length("_text"))).columns == ["id", "t", "n"]
+
+
 def test_score_new_keeps_processed_records(spark):
     ddl = "id int, t string, env string, processed_at string"
     records = spark.createDataFrame([(1, "memory leak detected", "prod", None), (2, "memory leak detected", "prod", "x"),
