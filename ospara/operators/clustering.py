@@ -173,24 +173,27 @@ def _labels(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 def _sums(df: DataFrame, vector: str, width: int, slots: int, values: Callable[[np.ndarray], list]) -> np.ndarray:
     """Sums over all rows of the (slots, rows of figures) pairs that ``values`` gives for a batch of vectors.
 
-    A task hands on one row a slot, so what is summed does not grow with the rows.
+    A row of a ``weighed`` table, one of distinct vectors, counts as often as its ``_n`` says. A task
+    hands on one row a slot, so what is summed does not grow with the rows.
     """
+    times = F.col("_n") if "_n" in df.columns else F.lit(1)
 
     def add(batches):
         total = None
         for batch in batches:
             x = vectors.batch_matrix(batch.column(0), width)
-            x = x[~np.isnan(x).any(axis=1)]
+            whole = ~np.isnan(x).any(axis=1)
+            x, n = x[whole], np.asarray(batch.column(1), dtype=float)[whole, None]
             for at, figures in values(x) if len(x) else ():
                 total = np.zeros((slots, figures.shape[1])) if total is None else total
-                np.add.at(total, at, figures)
+                np.add.at(total, at, figures * n)
         if total is not None:
             used = np.flatnonzero((total != 0).any(axis=1))
             offsets = np.arange(0, len(used) * total.shape[1] + 1, total.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(total[used].ravel()))], names=["slot", "s"])
 
-    parts = df.select(vector).mapInArrow(add, "slot int, s array<double>").select("slot", F.posexplode("s").alias("j", "x"))
+    parts = df.select(vector, times.cast("long").alias("_n")).mapInArrow(add, "slot int, s array<double>").select("slot", F.posexplode("s").alias("j", "x"))
     rows = parts.groupBy("slot", "j").agg(F.sum("x").alias("x")).collect()
     out = np.zeros((slots, max((r["j"] for r in rows), default=0) + 1))
     for r in rows:
@@ -198,10 +201,11 @@ def _sums(df: DataFrame, vector: str, width: int, slots: int, values: Callable[[
     return out
 
 
-def fit_all(df: DataFrame, vector: str, candidates: Sequence[int], key: str | None = None, rounds: int = ROUNDS) -> dict[int, np.ndarray]:
+def fit_all(df: DataFrame, vector: str, candidates: Sequence[int], key: str | None = None, rounds: int = ROUNDS,
+            weighed: DataFrame | None = None) -> dict[int, np.ndarray]:
     """Centres of k-means for every candidate k; each round is one scan for all of them together.
 
-    The starts are nested: those of k are the first k of one farthest-first
+    With the ``weighed`` vectors of the table the rounds scan these. The starts are nested: those of k are the first k of one farthest-first
     order. A cluster without rows keeps its centre; rounds end early once no
     centre moves.
     """
@@ -215,7 +219,7 @@ def fit_all(df: DataFrame, vector: str, candidates: Sequence[int], key: str | No
             ones = np.column_stack([x, np.ones(len(x))])
             return [(first[k] + _labels(x, c), ones) for k, c in now.items()]
 
-        sums = _sums(df, vector, width, slots, values)
+        sums = _sums(df if weighed is None else weighed, vector, width, slots, values)
         moved = False
         for k, centers in fitted.items():
             own = sums[first[k] : first[k] + len(centers)]
@@ -227,8 +231,9 @@ def fit_all(df: DataFrame, vector: str, candidates: Sequence[int], key: str | No
     return fitted
 
 
-def score_all(df: DataFrame, vector: str, fitted: dict[int, np.ndarray]) -> dict[int, tuple[float, float]]:
-    """Mean squared silhouette and Davies-Bouldin index for each k: two scans for all."""
+def score_all(df: DataFrame, vector: str, fitted: dict[int, np.ndarray], weighed: DataFrame | None = None) -> dict[int, tuple[float, float]]:
+    """Mean squared silhouette and Davies-Bouldin index for each k: two scans for all, of the ``weighed`` vectors if given."""
+    df = df if weighed is None else weighed
     first = dict(zip(fitted, np.cumsum([0, *map(len, fitted.values())])))
     slots, width = sum(map(len, fitted.values())), next(iter(fitted.values())).shape[1]
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ospara.functions import vectors
 from ospara.operators import clustering, features
-from ospara.session import materialize
+from ospara.session import discard, materialize, written
 
 
 def suggest(summary: str) -> dict:
@@ -32,22 +31,30 @@ def prepare(df: DataFrame, columns: Sequence[str], imputer: str, scaler: str) ->
     return features.scale(filled, columns, scaler)
 
 
-def components(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold: float) -> DataFrame:
-    """The table with its prepared and reduced features in ``_v``."""
+def trial_centers(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold: float = 0.95, key: str | None = None):
+    """The table with its prepared and reduced features in ``_v``, the centres fitted on them, and the scores of one setting.
+
+    Rows of equal features are one row with their number: few distinct readings
+    shrink before the shuffle, and readings that are all different are written
+    once in place of a cache.
+    """
     scaled = prepare(df, columns, trial["imputer"], trial["scaler"])
     reduction = features.reduce(scaled, columns, threshold=threshold)
     names = [f"pca{j + 1}" for j in range(reduction.components)]
-    return reduction.apply(scaled).withColumn("_v", F.array(*names)).drop(*names)
+    reduced = lambda rows: reduction.apply(rows).withColumn("_v", F.array(*names)).drop(*names)
+    distinct = scaled.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    weighed, path = written(reduced(distinct).select("_v", "_n"), "weighed")
+    data = reduced(scaled)
+    fitted = clustering.fit_all(data, "_v", [trial["k"]], key, weighed=weighed)
+    sil, db = clustering.score_all(data, "_v", fitted, weighed=weighed)[trial["k"]]
+    discard(df.sparkSession, path)
+    return data, fitted[trial["k"]], {**trial, "silhouette": sil, "db": db, "combined": sil - db / 10.0}
 
 
 def run_trial(df: DataFrame, columns: Sequence[str], trial: Mapping, threshold: float = 0.95, key: str | None = None):
     """One setting end to end: the labelled table and its scores."""
-    data = components(df, columns, trial, threshold).persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = clustering.fit_all(data, "_v", [trial["k"]], key)
-    sil, db = clustering.score_all(data, "_v", fitted)[trial["k"]]
-    data.unpersist()
-    labelled = clustering.assign(data, "_v", list(range(len(fitted[trial["k"]]))), fitted[trial["k"]]).drop("_v")
-    return labelled, {**trial, "silhouette": sil, "db": db, "combined": sil - db / 10.0}
+    data, centers, scores = trial_centers(df, columns, trial, threshold, key)
+    return clustering.assign(data, "_v", list(range(len(centers))), centers).drop("_v"), scores
 
 
 def sweep(df: DataFrame, columns: Sequence[str], trials: Sequence[Mapping], parallelism: int = 3, threshold: float = 0.95,

@@ -354,6 +354,19 @@ def test_sweep_and_feature_table(points):
     assert out.count() == 161
 
 
+def test_sweep_scans_equal_rows_once(spark, monkeypatch):
+    rows = [(f"{i}-{j}", float(i % 4), float(i % 3) if j % 5 else None) for i in range(24) for j in range(50)]
+    df = spark.createDataFrame(rows, "r string, a double, b double").repartition(5)
+    sizes, sums = [], clustering._sums
+    monkeypatch.setattr(clustering, "_sums", lambda d, *more: sizes.append(d.count()) or sums(d, *more))
+    trial = {"k": 3, "imputer": "median", "scaler": "standard"}
+    data, centers, scores = hyper.trial_centers(df, ["a", "b"], trial, 1.0, "r")
+    assert sizes and max(sizes) <= 16
+    plain = clustering.fit_all(data, "_v", [3], "r")
+    assert np.allclose(plain[3], centers, atol=1e-9)
+    assert clustering.score_all(data, "_v", plain)[3] == pytest.approx((scores["silhouette"], scores["db"]), abs=1e-9)
+
+
 def test_suggestions():
     assert hyper.suggest("5 features, missing 12.5%") == {"k": 10, "imputer": "knn", "scaler": "robust"}
     assert hyper.suggest("nothing known")["k"] == 6 and hyper.suggest("1 features missing")["imputer"] == "median"
