@@ -3,13 +3,16 @@
 Copies of a point are folded into one weighted point. Points are then folded
 into groups: a leader with points within half of ``eps``, so that all members
 of a group are neighbours. A group of ``min_samples`` rows holds core points
-only, and no pair inside a group is ever formed. Members of lighter groups meet
+only, and no pair inside a group is ever formed. Members of lighter groups first count
+the points of their own block; who finds enough there is core. The others meet
 the groups in their reach (``nearby``): a group that is wholly within ``eps``
 counts with its weight, and only groups that may be partly within it are
 looked into, for points whose count is still open.
 
 Groups of core points are linked by their leaders where these are within
-``eps``. Groups that are near but not linked so compare members only if they
+``eps``, first inside a block and with some points that all blocks meet. Only
+groups outside the largest component of that meet all others, as two groups of
+one component need no link. Groups that are near but not linked so compare members only if they
 are still in different components after that, and only members that pass the
 triangle inequality against both leaders.
 """
@@ -32,6 +35,8 @@ from ospara.session import discard, written
 FOLDED = "id long, v array<double>, w long, cell int, gap double, leader long, away double, rho double, weight long"
 #: Points of one folding task.
 FOLD_ROWS = 4096
+#: Points of one block, and points that all blocks meet.
+BLOCK_ROWS, HUBS = 8192, 2048
 
 
 def _vector(coords: str | Sequence[str]):
@@ -90,6 +95,25 @@ def _balls(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.
     return np.asarray(rows.column("id")), batch_matrix(v, dims), np.asarray(rows.column("rho"))
 
 
+class _Open:
+    """Light points of a block that do not surely find ``least`` rows within ``eps`` in it."""
+
+    def __init__(self, members: pa.Table, eps: float, least: int):
+        x, weights = batch_matrix(members.column("v"), len(members.column("v")[0])), np.asarray(members.column("w"))
+        asked = np.flatnonzero(np.asarray(members.column("weight")) < least)
+        sure = np.zeros(len(x), np.int64)
+        for at in range(0, len(x), nearby.SLICE):
+            left = asked[sure[asked] < least]
+            for start in range(0, len(left), nearby.OWNERS):
+                rows = left[start : start + nearby.OWNERS]
+                high = intervals(x[rows], x[at : at + nearby.SLICE])[1]
+                sure[rows] += (high <= eps * (1 - MARGIN)) @ weights[at : at + nearby.SLICE]
+        self.ids = np.asarray(members.column("id"))[asked[sure[asked] < least]]
+
+    def rows(self) -> dict[str, pa.Array]:
+        return {"id": pa.array(self.ids)}
+
+
 class _Counts:
     """Weight surely within ``eps`` of each owner, and the groups to look into while that is below ``least``."""
 
@@ -126,7 +150,7 @@ class _Links:
         self.ids, self.points, self.radii = _balls(owners)
         self.eps = eps
         self.slots = {int(i): n for n, i in enumerate(self.ids)}
-        self.parent = np.arange(len(self.ids))
+        self.parent, self.size = np.arange(len(self.ids)), np.ones(len(self.ids), np.int64)
         self.edges: list[tuple[int, int, bool]] = []
         self.open: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -141,22 +165,39 @@ class _Links:
         ids, points, radii = _balls(balls)
         slots = np.array([self.slots.setdefault(int(i), len(self.slots)) for i in ids])
         self.parent = np.append(self.parent, np.arange(len(self.parent), len(self.slots)))
+        self.size = np.append(self.size, np.ones(len(self.slots) - len(self.size), np.int64))
         for at in range(0, len(self.ids), nearby.OWNERS):
-            rows = slice(at, at + nearby.OWNERS)
-            low, high = intervals(self.points[rows], points)
-            linked = high <= self.eps
-            for i in np.flatnonzero(linked.any(axis=1)):
-                there = np.flatnonzero(linked[i])
-                roots, first = np.unique(self._roots(slots[there]), return_index=True)
-                own = self._roots(np.array([at + i]))[0]
-                for root, n in zip(roots, there[first]):
-                    if root != own:
-                        self.edges.append((int(self.ids[at + i]), int(ids[n]), True))
-                        self.parent[root] = own
-            i, j = np.nonzero(~linked & (low <= (self.eps + self.radii[rows, None] + radii[None, :]) * (1 + MARGIN)))
-            apart = self._roots(i + at) != self._roots(slots[j]) if len(i) else np.empty(0, bool)
-            if apart.any():
-                self.open.append((self.ids[i[apart] + at], ids[j[apart]], i[apart] + at, slots[j[apart]]))
+            # Rows and balls of one component need no comparison; mostly it is the largest one's.
+            rows, there = np.arange(at, min(at + nearby.OWNERS, len(self.ids))), self._roots(slots)
+            names, many = np.unique(there, return_counts=True)
+            within = self._roots(rows) == names[many.argmax()]
+            others = np.flatnonzero(there != names[many.argmax()])
+            self._link(rows[~within], ids, points, radii, slots)
+            self._link(rows[within], ids[others], points[others], radii[others], slots[others])
+
+    def _link(self, rows: np.ndarray, ids: np.ndarray, points: np.ndarray, radii: np.ndarray, slots: np.ndarray) -> None:
+        if not len(rows) or not len(ids):
+            return
+        low, high = intervals(self.points[rows], points)
+        linked = high <= self.eps
+        new = linked & (self._roots(rows)[:, None] != self._roots(slots)[None, :])
+        for i in np.flatnonzero(new.any(axis=1)):
+            there = np.flatnonzero(new[i])
+            roots, first = np.unique(self._roots(slots[there]), return_index=True)
+            own = self._roots(rows[i : i + 1])[0]
+            self.edges += [(int(self.ids[rows[i]]), int(ids[n]), True) for root, n in zip(roots, there[first]) if root != own]
+            # The largest root stays, so that paths stay short.
+            merged = np.union1d(roots, own)
+            top = merged[self.size[merged].argmax()]
+            self.size[top] = self.size[merged].sum()
+            self.parent[merged] = top
+        self._undecided(rows, ids, slots, ~linked & (low <= (self.eps + self.radii[rows, None] + radii[None, :]) * (1 + MARGIN)))
+
+    def _undecided(self, rows: np.ndarray, ids: np.ndarray, slots: np.ndarray, near: np.ndarray) -> None:
+        i, j = np.nonzero(near)
+        apart = self._roots(rows[i]) != self._roots(slots[j]) if len(i) else np.empty(0, bool)
+        if apart.any():
+            self.open.append((self.ids[rows[i[apart]]], ids[j[apart]], rows[i[apart]], slots[j[apart]]))
 
     def rows(self) -> dict[str, pa.Array]:
         for u, v, i, j in self.open:
@@ -166,6 +207,18 @@ class _Links:
         return {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "sure": pa.array(sure, pa.bool_())}
 
 
+class _Local(_Links):
+    """Spanning edges inside a block and to the balls that all blocks meet; what is not linked so is left to ``_Links``."""
+
+    def __init__(self, owners: pa.Table, eps: float):
+        super().__init__(owners, eps)
+        for batch in owners.to_batches(max_chunksize=nearby.SLICE):
+            self.meet(batch)
+
+    def _undecided(self, *_) -> None:
+        pass
+
+
 class _Clusters:
     """The written steps of one run."""
 
@@ -195,12 +248,26 @@ class _Clusters:
             discard(self.spark, path)
 
     def _counts(self) -> DataFrame:
+        """State of the light members that their block leaves open."""
         eps, least = self.eps, self.least
-        light = self.members.filter(F.col("weight") < least).withColumn("rho", F.lit(0.0))
+        schema = "id long, sure long, near array<struct<leader long, low double, high double, sure boolean>>"
+        blocks = nearby.tasks_of(self.members, BLOCK_ROWS, shared=True)[1].select("task", F.lit(0).alias("ball"), "id", "v", "w", "weight")
+        open_ = self._keep(nearby.streamed(blocks, lambda members: _Open(members, eps, least), "id long"), "open")
+        if open_.isEmpty():
+            return self.spark.createDataFrame([], schema)
+        light = self.members.join(open_, "id", "left_semi").withColumn("rho", F.lit(0.0))
         balls = self.members.filter("id = leader")
-        return nearby.streamed(
-            nearby.meetings(light, balls, self.pivots, eps), lambda owners: _Counts(owners, eps, least),
-            "id long, sure long, near array<struct<leader long, low double, high double, sure boolean>>")
+        return nearby.streamed(nearby.meetings(light, balls, self.pivots, eps), lambda owners: _Counts(owners, eps, least), schema)
+
+    def _near_links(self, nodes: DataFrame) -> DataFrame:
+        """Sure edges inside blocks of nodes and to nodes that all blocks meet."""
+        eps = self.eps
+        found, placed = nearby.tasks_of(nodes, BLOCK_ROWS, shared=True)
+        tasks = F.sequence(F.lit(0), F.lit(max((n + many - 1 for n, many in found.values()), default=0)))
+        hubs = nodes.orderBy(F.xxhash64("id"), "id").limit(HUBS)
+        rows = placed.select("task", F.lit(0).alias("ball"), "id", "v", "rho").unionByName(
+            hubs.select(F.explode(tasks).alias("task"), F.lit(1).alias("ball"), "id", "v", "rho"))
+        return nearby.streamed(rows, lambda owners: _Local(owners, eps), "u long, v long, sure boolean")
 
     def _into(self, asked: DataFrame, members: DataFrame) -> DataFrame:
         """Pairs of asked points (id, v, near) and members within ``eps``, by the leaders in reach."""
@@ -226,11 +293,20 @@ class _Clusters:
         core = self.points.filter("core").withColumn("node", F.when(heavy, F.col("leader")).otherwise(F.col("id")))
         core = core.withColumns({"rho": F.when(heavy, F.col("rho")).otherwise(0.0), "to_node": F.when(heavy, F.col("away")).otherwise(0.0)})
         nodes = core.filter("id = node").select("id", "v", "rho", "weight", "cell", "gap")
-        links = self._keep(nearby.streamed(
-            nearby.meetings(nodes, nodes, self.pivots, eps), lambda owners: _Links(owners, eps),
-            "u long, v long, sure boolean"), "links")
         names = nodes.select(F.col("id").alias("node"))
-        found = self._keep(connected_components(names, links.filter("sure").select("u", "v")), "components")
+        links = self._keep(self._near_links(nodes), "near-links")
+        found = self._keep(connected_components(names, links.select("u", "v")), "near-components")
+        largest = found.groupBy("component").count().orderBy(F.desc("count"), "component").first()
+        outside = found.filter(F.col("component") != (largest["component"] if largest else -1)).select(F.col("node").alias("id"))
+        if outside.isEmpty():
+            links = links.filter("NOT sure")
+        else:
+            owners = nodes.join(outside, "id", "left_semi")
+            more = self._keep(nearby.streamed(
+                nearby.meetings(owners, nodes, self.pivots, eps), lambda owners: _Links(owners, eps),
+                "u long, v long, sure boolean"), "links")
+            links = links.unionByName(more)
+            found = self._keep(connected_components(names, links.filter("sure").select("u", "v")), "components")
         found = self._joined(found, links, core, nodes)
         named = core.join(found, "node")
         first = named.groupBy("component").agg(F.min("v").alias("_p")).select(F.lit(0).alias("_all"), "component", "_p")

@@ -3,8 +3,10 @@
 Points lie in the cell of their nearest pivot. By the triangle inequality, a
 ball can only reach a cell if the distance of its centre to the pivot is at
 most the cell's radius plus the reach; copies of the ball go to those cells
-alone. A cell with many owners is cut into tasks by hash, and every task holds
-its owners while the balls stream past in slices, so memory depends on neither.
+alone. A cell with many owners is cut into tasks by hash, small cells share a
+task, and every task holds its owners while the balls stream past in slices, so
+memory depends on neither. Where balls reach most cells anyway, tasks hold more
+owners, as each task costs a copy of nearly every ball.
 
 Distances of whole blocks are matrix products. Their rounding error is bounded,
 so each comes as an interval, and only what the interval decides is taken for
@@ -25,6 +27,8 @@ from ospara.functions.vectors import batch_matrix
 
 MAX_PIVOTS = 2048
 OWNERS, SLICE = 1024, 2048
+#: Owners of one task where the cells exclude little.
+MANY_OWNERS = 16 * OWNERS
 #: Margin for distances that are computed one by one.
 MARGIN = 1e-9
 
@@ -85,13 +89,20 @@ class Pivots:
         return points.mapInArrow(assign, "id long, v array<double>, w long, cell int, gap double")
 
 
-def tasks_of(rows: DataFrame, size: int) -> tuple[dict[int, tuple[int, int]], DataFrame]:
-    """First task and number of tasks of each cell, and the rows with their ``task``; the pivots bound the cells."""
+def tasks_of(rows: DataFrame, size: int, shared: bool = False) -> tuple[dict[int, tuple[int, int]], DataFrame]:
+    """First task and number of tasks of each cell, and the rows with their ``task``; the pivots bound the cells.
+
+    Tasks have about ``size`` rows; cells that fit share one if ``shared``.
+    """
     counts = rows.groupBy("cell").count().collect()
-    found, n = {}, 0
+    found, n, free = {}, 0, 0
     for cell, count in sorted((r["cell"], r["count"]) for r in counts):
+        if shared and count <= free:
+            found[cell], free = (n - 1, 1), free - count
+            continue
         found[cell] = (n, -(-count // size))
         n += found[cell][1]
+        free = size - count
     first = np.zeros(max(found, default=0) + 1, np.int64)
     many = np.ones(len(first), np.int64)
     for cell, (at, times) in found.items():
@@ -148,12 +159,23 @@ def meetings(owners: DataFrame, balls: DataFrame, pivots: Pivots, eps: float) ->
 
     A ball reaches an owner if their centres are at most ``eps`` and both radii apart.
     """
-    found, placed = tasks_of(owners, OWNERS)
-    reach = {r["cell"]: (r["far"], r["rho"]) for r in owners.groupBy("cell").agg(F.max("gap").alias("far"), F.max("rho").alias("rho")).collect()}
-    cells = np.array(sorted(found), np.int64)
+    reach = owners.groupBy("cell").agg(F.max("gap").alias("far"), F.max("rho").alias("rho"), F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
     points = pivots.points
-    far = np.array([reach[c][0] for c in cells])
-    radius = np.array([reach[c][1] for c in cells])
+    cells = np.array([r["cell"] for r in reach], np.int64)
+    far, radius = (np.array([r[c] for r in reach], float) for c in ("far", "rho"))
+
+    def reached(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+        low, high = intervals(x, points)
+        limit = (eps + radius[None, :] + r[:, None]) * (1 + MARGIN)
+        near = low[:, cells] <= (far[None, :] + limit) * (1 + MARGIN)
+        # An owner is no nearer to another pivot than to its own: half the difference bounds its distance.
+        return near & (low[:, cells] * (1 - 1e-6) - high.min(axis=1)[:, None] * (1 + 1e-6) <= 2 * limit)
+
+    size = OWNERS
+    if reached(points, np.zeros(len(points))).mean() > 0.5:
+        cores = owners.sparkSession.sparkContext.defaultParallelism
+        size = min(MANY_OWNERS, max(OWNERS, sum(r["n"] for r in reach) // (2 * cores)))
+    found, placed = tasks_of(owners, size, shared=True)
     tasks = [np.arange(found[c][0], found[c][0] + found[c][1], dtype=np.int32) for c in cells]
 
     @F.arrow_udf("array<int>")
@@ -161,12 +183,8 @@ def meetings(owners: DataFrame, balls: DataFrame, pivots: Pivots, eps: float) ->
         out: list[np.ndarray] = []
         x, r = batch_matrix(v, points.shape[1]), np.asarray(rho)
         for start in range(0, len(x), OWNERS):
-            low, high = intervals(x[start : start + OWNERS], points)
-            limit = (eps + radius[None, :] + r[start : start + OWNERS, None]) * (1 + MARGIN)
-            near = low[:, cells] <= (far[None, :] + limit) * (1 + MARGIN)
-            # An owner is no nearer to another pivot than to its own: half the difference bounds its distance.
-            near &= low[:, cells] * (1 - 1e-6) - high.min(axis=1)[:, None] * (1 + 1e-6) <= 2 * limit
-            out += [np.concatenate([tasks[c] for c in np.flatnonzero(row)]) if row.any() else np.empty(0, np.int32) for row in near]
+            near = reached(x[start : start + OWNERS], r[start : start + OWNERS])
+            out += [np.unique(np.concatenate([tasks[c] for c in np.flatnonzero(row)])) if row.any() else np.empty(0, np.int32) for row in near]
         return pa.array(out, pa.list_(pa.int32()))
 
     copies = balls.select(F.explode(visited("v", "rho")).alias("task"), F.lit(1).alias("ball"), "id", "v", "rho", "weight")

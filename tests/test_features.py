@@ -222,6 +222,30 @@ def test_dbscan_joins_dense_groups_only_by_their_members(spark, monkeypatch):
     check_dbscan(spark, x, 1.0, 5)
 
 
+@pytest.mark.parametrize("block, hubs, eps", [(200, 60, 1.28), (120, 1, 1.13)])
+def test_dbscan_without_structure_copies_few_points(spark, monkeypatch, block, hubs, eps):
+    """Unit vectors reach every cell: only points that their block leaves open meet all the others."""
+    monkeypatch.setattr(density, "BLOCK_ROWS", block)
+    monkeypatch.setattr(density, "HUBS", hubs)
+    monkeypatch.setattr(nearby, "OWNERS", 64)
+    met, meetings = [], nearby.meetings
+
+    def counted(*args):
+        rows = meetings(*args)
+        met.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(nearby, "meetings", counted)
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (700, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x = np.vstack([x, x[:4] * 9, x[0] + 30 + rng.normal(0, 0.05, (40, 64))])
+    core, label = check_dbscan(spark, x, eps, 5)
+    assert (~core).any() and label.max() >= 1
+    if hubs > 1:
+        assert sum(met) < 4 * len(x)
+
+
 def test_dbscan_of_missing_coordinates_and_of_nothing(spark):
     rows = [(1, 0.0, 0.0), (2, 0.1, 0.0), (3, None, 0.0), (4, float("nan"), 1.0), (5, float("inf"), 0.0), (6, -0.0, 0.0), (7, 9.0, 9.0)]
     df = spark.createDataFrame(rows, "id int, x double, y double")
