@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import RandomForestClassifier
@@ -83,10 +86,24 @@ def rule_hit(text: str, rule: ClassRule) -> Column:
     return F.lower(text).contains(rule.pattern.lower())
 
 
+#: Alternatives between word boundaries, without groups of their own.
+WORDS = re.compile(r"\\b\(((?:[^()\\]|\\[sSdDwWbB])*)\)\\b")
+
+
+def any_hit(text: str, rules: Sequence[ClassRule]) -> Column:
+    """Whether any rule matches; lists of words are one pattern, which tests a word boundary once."""
+    lists = [m[1] for r in rules if r.is_regex and (m := WORDS.fullmatch(r.pattern))]
+    hits = [rule_hit(text, r) for r in rules if not (r.is_regex and WORDS.fullmatch(r.pattern))]
+    if lists:
+        hits.append(F.col(text).rlike(r"(?iU)\b(" + "|".join(lists) + r")\b"))
+    return reduce(or_, hits)
+
+
 def rule_classification(text: str, rules: Sequence[ClassRule] = tuple(CLASS_RULES)) -> Column:
     """Struct of the first matching rule in priority order, NULL without one.
 
-    A single CASE: later patterns are not tried once one matched.
+    A single CASE: later patterns are not tried once one matched, and none is
+    where all of them together find nothing.
     """
     case = None
     for r in by_priority(rules):
@@ -96,7 +113,7 @@ def rule_classification(text: str, rules: Sequence[ClassRule] = tuple(CLASS_RULE
             F.array(*[F.lit(s) for s in r.tags]).cast("array<string>").alias("tags"),
         )
         case = F.when(rule_hit(text, r), result) if case is None else case.when(rule_hit(text, r), result)
-    return case
+    return case if case is None else F.when(any_hit(text, rules), case)
 
 
 def text_features(text: str = "text", features: int = 4096) -> list:

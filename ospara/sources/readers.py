@@ -13,6 +13,7 @@ from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ospara.session import materialize
 from ospara.sources import generator
 
 # Content type by file extension.
@@ -158,13 +159,9 @@ def text_embeddings(df: DataFrame, text: str, dims: int = 64, prefix: str = "emb
     else:
         from pyspark.ml.functions import vector_to_array
 
-        stages = Pipeline(
-            stages=[
-                RegexTokenizer(inputCol=text, outputCol="_t", pattern=r"\W+"),
-                HashingTF(inputCol="_t", outputCol="_f", numFeatures=dims),
-                IDF(inputCol="_f", outputCol="_i"),
-                Normalizer(inputCol="_i", outputCol="_n", p=2.0),
-            ]
-        )
-        array = stages.fit(df).transform(df).withColumn("_e", vector_to_array("_n")).drop("_t", "_f", "_i", "_n")
+        words = RegexTokenizer(inputCol=text, outputCol="_t", pattern=r"\W+").transform(df)
+        # Written, as the weights take one pass over the counts and the vectors another.
+        counted = materialize(HashingTF(inputCol="_t", outputCol="_f", numFeatures=dims).transform(words).drop("_t"), "word-counts")
+        stages = Pipeline(stages=[IDF(inputCol="_f", outputCol="_i"), Normalizer(inputCol="_i", outputCol="_n", p=2.0)])
+        array = stages.fit(counted).transform(counted).withColumn("_e", vector_to_array("_n")).drop("_f", "_i", "_n")
     return array.select(*df.columns, *[F.col("_e")[i].alias(f"{prefix}_{i}") for i in range(dims)])

@@ -290,3 +290,18 @@ def test_totals_before_match_pairs(spark, limit):
     want = pairs.groupBy("p.a").agg(F.count(F.lit(1)), F.sum("e.v"))
     flat = lambda rows: [x for r in sorted(rows) for x in r]
     assert flat(one(got)) == pytest.approx(flat(one(want)))
+
+
+def test_joint_test_before_the_class_rules_changes_no_class(spark):
+    texts = ["an API here", "apis", "\u212a8s cluster", "\u017fql table", "social  media", "authenticate now", "x budget\u0301",
+             "unit test", "", None, "policy and rest", "\u00e9api", "a b c 42", "ab1", "plain Words"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rules = [*classify.CLASS_RULES, classify.ClassRule("plain words", "other", "plain", is_regex=False),
+             classify.ClassRule(r"\b(a)(b)1\b", "other", "groups", priority=9)]
+    plain = F.lit(None)
+    for r in reversed(classify.by_priority(rules)):
+        plain = F.when(classify.rule_hit("t", r), F.lit(r.category)).otherwise(plain)
+    rows = df.select("t", classify.rule_classification("t", rules)["category"].alias("a"), plain.alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
+    assert len({r.a for r in rows}) > 6
+    assert "|social\\s*media|" in df.select(classify.any_hit("t", rules))._jdf.queryExecution().toString()

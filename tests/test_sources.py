@@ -150,3 +150,17 @@ def test_json_payload_keeps_types(spark):
     assert dict(out.dtypes) == {"id": "int", "code": "string", "n": "double", "ok": "boolean"}
     rows = {r.id: r for r in out.collect()}
     assert rows[1].code == "00123" and rows[1].ok is True and rows[2].n == 2.5 and rows[3].code is None
+
+
+def test_text_embeddings_read_each_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    df = spark.createDataFrame([(i, f"word{i} and {i % 3}") for i in range(20)], "id long, t string")
+    out = readers.text_embeddings(df.withColumn("t", read("t")), "t", 4)
+    assert out.filter("emb_0 * emb_0 + emb_1 * emb_1 + emb_2 * emb_2 + emb_3 * emb_3 > 0.99").count() > 0
+    assert seen.value == 20
