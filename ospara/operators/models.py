@@ -13,6 +13,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ospara.session import materialize
+
 SEED = 42
 # Target score of each severity level.
 LEVEL_SCORES = {"S1": 100.0, "S2": 75.0, "S3": 50.0, "S4": 25.0}
@@ -52,17 +54,20 @@ def severity_model(df: DataFrame, columns: Sequence[str], level: str, seed: int
     """Multinomial logistic model on an 80/20 split.
 
     Returns the fitted stages and the scored hold-out. The penalty equals an
-    inverse strength of 1 per row, on scaled inputs.
+    inverse strength of 1 per row, on scaled inputs. Both parts are written, as
+    each stage would make its part of the split anew; the fit, which scans its
+    rows up to a hundred times, takes equal rows once with their number.
     """
-    train, test = df.randomSplit([0.8, 0.2], seed)
+    train, test = (materialize(part, "split") for part in df.randomSplit([0.8, 0.2], seed))
+    weighed = materialize(train.groupBy(*columns, level).agg(F.count(F.lit(1)).alias("_n")), "weighed")
     n = train.count()
-    stages = [
-        StringIndexer(inputCol=level, outputCol="label", stringOrderType="alphabetAsc"),
-        VectorAssembler(inputCols=list(columns), outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="features", withMean=True),
-        LogisticRegression(family="multinomial", regParam=1.0 / max(n, 1), standardization=False, maxIter=100),
-    ]
-    model = Pipeline(stages=stages).fit(train)
+    indexer = StringIndexer(inputCol=level, outputCol="label", stringOrderType="alphabetAsc").fit(weighed)
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="_raw")
+    scaler = StandardScaler(inputCol="_raw", outputCol="features", withMean=True).fit(assembler.transform(train))
+    logistic = LogisticRegression(
+        family="multinomial", regParam=1.0 / max(n, 1), standardization=False, maxIter=100, weightCol="_n")
+    fit = logistic.fit(PipelineModel(stages=[indexer, assembler, scaler]).transform(weighed))
+    model = PipelineModel(stages=[indexer, assembler, scaler, fit])
     return model, model.transform(test)
 
 

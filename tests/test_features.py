@@ -473,3 +473,17 @@ def test_vectors_without_numbers_get_no_cluster(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, None), (3, [1.0]), (4, [5.0, 5.0])], "i int, v array<double>")
     out = {r.i: (r.cluster, r.distance_to_center) for r in clustering.assign(df, "v", [10, 20], np.array([[0.0, 0.0], [5.0, 5.0]])).collect()}
     assert out == {1: (10, 0.0), 2: (None, None), 3: (None, None), 4: (20, 0.0)}
+
+
+def test_severity_model_fits_equal_rows_once(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 3, (400, 2)).astype(float)
+    level = np.where(x.sum(axis=1) + rng.normal(0, 0.8, 400) > 2, "S1", "S3")
+    df = spark.createDataFrame([(i, *map(float, p), str(v)) for i, (p, v) in enumerate(zip(x, level))], "id int, a double, b double, level string")
+    model, test = models.severity_model(df, ["a", "b"], "level")
+    fit = model.stages[-1]
+    assert fit.summary.predictions.count() <= 18 and "id" in test.columns
+    train, _ = df.randomSplit([0.8, 0.2], models.SEED)
+    plain = models.LogisticRegression(family="multinomial", regParam=1.0 / train.count(), standardization=False, maxIter=100)
+    rows = models.PipelineModel(stages=model.stages[:3]).transform(train)
+    assert np.allclose(plain.fit(rows).coefficientMatrix.toArray(), fit.coefficientMatrix.toArray(), atol=1e-4)
