@@ -13,11 +13,14 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ospara.scale import fine
 from ospara.session import materialize
 
 SEED = 42
 # Target score of each severity level.
 LEVEL_SCORES = {"S1": 100.0, "S2": 75.0, "S3": 50.0, "S4": 25.0}
+#: Rows of one task of a forest's fit, which keeps a number per tree with each.
+FOREST_ROWS = 1 << 18
 
 
 def anomaly_model(df: DataFrame, columns: Sequence[str], label: str, trees: int = 200, seed: int = SEED) -> PipelineModel:
@@ -32,7 +35,7 @@ def anomaly_model(df: DataFrame, columns: Sequence[str], label: str, trees: int
         VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed),
     ]
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=stages).fit(fine(df.select(*columns, label), FOREST_ROWS))
 
 
 def class_probability(scored: DataFrame) -> DataFrame:

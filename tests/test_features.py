@@ -487,3 +487,13 @@ def test_severity_model_fits_equal_rows_once(spark):
     plain = models.LogisticRegression(family="multinomial", regParam=1.0 / train.count(), standardization=False, maxIter=100)
     rows = models.PipelineModel(stages=model.stages[:3]).transform(train)
     assert np.allclose(plain.fit(rows).coefficientMatrix.toArray(), fit.coefficientMatrix.toArray(), atol=1e-4)
+
+
+def test_forest_tasks_hold_few_rows(spark, monkeypatch):
+    seen, fit = [], models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    monkeypatch.setattr(models, "FOREST_ROWS", 50, raising=False)
+    df = spark.range(400, numPartitions=2).select("id", F.col("id").cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("y"))
+    model = models.anomaly_model(df, ["a"], "y", trees=2)
+    sizes = [len(p) for p in seen[0].rdd.glom().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 100 and model.transform(df).count() == 400
