@@ -67,7 +67,16 @@ def scale(df: DataFrame, columns: Sequence[str], method: str = "robust") -> Data
 
 
 def preprocess(df: DataFrame, columns: Sequence[str], imputer: str = "median", scaler: str = "robust") -> DataFrame:
-    return scale(impute(df, columns, imputer), columns, scaler)
+    """Gaps filled and columns scaled; medians and quartiles share their scans where a column has no gaps."""
+    if (imputer, scaler) != ("median", "robust"):
+        return scale(impute(df, columns, imputer), columns, scaler)
+    rows = profile.quantiles(df, columns, [0.25, 0.5, 0.75]).select("feature", *[F.col("quantiles")[i].alias(f"q{i}") for i in range(3)])
+    found = {r["feature"]: (r["q0"], r["q1"], r["q2"]) for r in rows.collect() if r["q1"] is not None}
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    filled = fill(df, {c: q[1] for c, q in found.items()})
+    values = {c: (m, high - low or 1.0) for c, (low, m, high) in found.items() if not gaps[c]}
+    left = [c for c in columns if c not in values]
+    return rescale(filled, values | (scaling_values(filled, left, "robust") if left else {}))
 
 
 def iterative_impute(df: DataFrame, columns: Sequence[str], rounds: int = 10, tolerance: float = 1e-3) -> DataFrame:

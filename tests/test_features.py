@@ -497,3 +497,15 @@ def test_forest_tasks_hold_few_rows(spark, monkeypatch):
     model = models.anomaly_model(df, ["a"], "y", trees=2)
     sizes = [len(p) for p in seen[0].rdd.glom().collect()]
     assert sum(sizes) == 400 and max(sizes) < 100 and model.transform(df).count() == 400
+
+
+def test_preprocess_shares_the_scans_of_columns_without_gaps(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = [(i, float(a), None if i % 3 == 0 else float(b), int(c)) for i, (a, b, c) in enumerate(rng.normal(0, 5, (60, 3)))]
+    df = spark.createDataFrame(data, "id int, a double, b double, c int")
+    names = ["a", "b", "c"]
+    expected = features.scale(features.impute(df, names), names).orderBy("id").collect()
+    asked, quantiles = [], features.profile.quantiles
+    monkeypatch.setattr(features.profile, "quantiles", lambda d, c, p: asked.append(list(c)) or quantiles(d, c, p))
+    assert features.preprocess(df, names).orderBy("id").collect() == expected
+    assert asked == [names, ["b"]]
